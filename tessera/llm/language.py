@@ -110,4 +110,4 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 names, scores = model.predict(texts.slice(a, b - a).to_pylist())
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(names, pa.string()), pa.array(scores)], names=[*kept, "lang_pred", "score"])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return common.slim_batches(docs.select(*kept)).mapInArrow(run, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import common, language, near_dedup, piece_bpe, token_binary, token_counts, toxicity
+from tessera.llm import common, language, licenses, media, mixing, near_dedup, piece_bpe, quality, token_binary, token_counts, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -46,16 +46,35 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_documents(common.table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(common.table(spark, sf_dir, "documents"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(common.table(spark, sf_dir, "documents"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(common.table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.slim(common.table(spark, sf_dir, "documents"), "doc_id", "text")
     found = toxicity.score(docs, toxicity.learn(docs, common.table(spark, sf_dir, "labels")))
     return found.select("doc_id", (common.fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_of_documents(common.table(spark, sf_dir, "documents"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(common.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_token_binary, op3_language_id, op4_sentencepiece, op8_toxicity, op10_near_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_token_counts, op2_token_binary, op3_language_id, op4_sentencepiece, op5_mixing, op6_quality_rules, op7_license_scan, op8_toxicity, op9_media_columns, op10_near_dedup)
+}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.MIX_SQL, "op6_quality_rules": quality.QUALITY_SQL, "op7_license_scan": licenses.scan_sql()}

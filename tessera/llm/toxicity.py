@@ -97,7 +97,7 @@ def score(docs: DataFrame, model: ToxicityModel, toxic_from: float = TOXIC) -> D
     two new names is replaced. An empty table gives an empty one. Nothing is shuffled.
     """
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
-    schema = docs.select(*kept).schema.add("score", "double").add("predicted", "int")
+    schema = docs.select(*kept).schema.add("score", "double").add("predicted", "integer")
     at = kept.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,4 +107,4 @@ def score(docs: DataFrame, model: ToxicityModel, toxic_from: float = TOXIC) -> D
                 s = model.score(texts.slice(a, b - a).to_pylist())
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(s), pa.array((s >= toxic_from).astype(np.int32))], names=[*kept, "score", "predicted"])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return common.slim_batches(docs.select(*kept)).mapInArrow(run, schema)
