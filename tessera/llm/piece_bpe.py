@@ -197,7 +197,10 @@ class PieceEncoder:
         return self.model.library.decode(ids.tolist())
 
 
-encoder = lru_cache(2)(PieceEncoder)  # one for each Python worker, so that its memo outlives a task
+@lru_cache(2)
+def encoder(path: str) -> PieceEncoder:
+    """One for each Python worker, so that its memo outlives a task."""
+    return PieceEncoder(path)
 
 
 def _run(path: str, with_ids: bool):
