@@ -82,7 +82,10 @@ class TextEncoder:
         return flat, n
 
 
-encoder = lru_cache(2)(TextEncoder)  # one for each Python worker, so that its memo outlives a task
+@lru_cache(2)
+def encoder(path: str) -> TextEncoder:
+    """One for each Python worker, so that its memo outlives a task."""
+    return TextEncoder(path)
 
 
 def _encode(path: str, end: int):
