@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 #: A word, in every operator: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Largest number of text bytes that the vectorised kernels handle at once.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
+#: Rows of whole texts that one Arrow batch may have, in place of Spark's 10,000.
+BATCH_ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,12 +62,20 @@ def drop(spark: SparkSession, path: str) -> None:
 
 def slim(docs: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that no other column of docs can clash with what an operator adds."""
-    return docs.select(*[F.col(n) for n in names])
+    return slim_batches(docs.select(*[F.col(n) for n in names]))
 
 
-def fold(doc_id: Column | str, by: int) -> Column:
+def slim_batches(df: DataFrame) -> DataFrame:
+    """df, once its session sends Python workers no more than BATCH_ROWS rows at a time: a worker's memory is bound by them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df
+
+
+def fold(doc_id: str, by: int) -> Column:
     """crc32 of doc_id as text, modulo by."""
-    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")) if isinstance(doc_id, str) else F.crc32(doc_id.cast("string").cast("binary")), F.lit(by))
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(by))
 
 
 def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:

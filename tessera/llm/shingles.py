@@ -98,8 +98,8 @@ def registers(shingles: np.ndarray, buckets: int) -> np.ndarray:
     """
     mul, add = _family(buckets)
     least = np.full(buckets, ~U(0), U)
-    for a in range(0, len(shingles), 4096):
-        part = shingles[a : a + 4096]
+    for a in range(0, len(shingles), 512):
+        part = shingles[a : a + 512]
         np.minimum(least, (part[:, None] * mul + add).min(0), out=least)
     _, exponent = np.frexp(least.astype(np.float64))  # may round up to the next power of two: both texts alike
     zeros = np.clip(64 - exponent, 0, 53)
