@@ -1,58 +1,129 @@
-"""Ids of pieces of text, each piece encoded once for as long as it stays in a bounded memo."""
+"""Ids of pieces of text, each piece encoded once for as long as it stays in a bounded memo.
+
+A block of texts is cut into pieces, and the pieces hashed, by array operations over its bytes; only pieces that are
+new to the memo become strings. Two independent 64-bit hashes tell pieces apart: one is the key, the other is compared.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
+from tessera.llm import common
+from tessera.llm.shingles import mixed, powers
 
-class _Index(dict):
-    def __init__(self):
-        self.new: list[str] = []
-
-    def __missing__(self, piece: str) -> int:
-        at = self[piece] = len(self)
-        self.new.append(piece)
-        return at
+U = np.uint64
+_RNG = np.random.Generator(np.random.PCG64(987654321))
+_TABLES = tuple(_RNG.integers(1, 2**63, 256, dtype=U) for _ in range(2))
+_FIRST = U(0xD6E8FEB86659FD93)
 
 
 class PieceMemo:
-    """encode_many maps a list of pieces to (flat ids, length of each). The memo starts anew beyond max_pieces or max_chars."""
+    """Starts anew beyond max_pieces or max_bytes.
+
+    cuts(body) marks where pieces begin, besides the starts of texts. encode_many(body, start, end, first) gives the
+    flat ids of the pieces at these places, and how many each has; with apart, a text's first piece is another piece
+    than the same bytes later.
+    """
 
-    def __init__(self, encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], max_pieces: int = 600_000, max_chars: int = 16_000_000):
-        self.encode_many, self.max_pieces, self.max_chars = encode_many, max_pieces, max_chars
+    def __init__(self, cuts: Callable[[np.ndarray], np.ndarray], encode_many: Callable[..., tuple[np.ndarray, np.ndarray]], apart: bool = False, max_pieces: int = 1_000_000, max_bytes: int = 32_000_000):
+        self.cuts, self.encode_many, self.apart, self.max_pieces, self.max_bytes = cuts, encode_many, apart, max_pieces, max_bytes
         self._clear()
 
     def _clear(self) -> None:
-        self.index, self.chars, self.used = _Index(), 0, 0
-        self.flat, self.at, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def _learn(self) -> None:
-        new, first = self.index.new, len(self.index) - len(self.index.new)
-        self.index.new = []
-        self.chars += sum(map(len, new))
-        flat, n = self.encode_many(new)
+        self.pieces, self.bytes, self.used = 0, 0, 0
+        self.flat = np.zeros(1 << 16, np.int32)
+        self.at, self.n, self.check = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32), np.zeros(1 << 14, U)
+        self._table(16)
+
+    def _table(self, bits: int) -> None:
+        """An open hash table of keys, whose free slots hold 0, and of the pieces' numbers."""
+        self.bits, self.keys, self.numbers = bits, np.zeros(1 << bits, U), np.zeros(1 << bits, np.int32)
+
+    def _find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each key's number or -1, and the slot where it is or could be."""
+        slot = (key >> U(64 - self.bits)).astype(np.int64)
+        open_ = np.arange(len(key))
+        number = np.full(len(key), -1, np.int64)
+        while len(open_):
+            there = self.keys[slot[open_]]
+            hit = there == key[open_]
+            number[open_[hit]] = self.numbers[slot[open_[hit]]]
+            open_ = open_[~hit & (there != 0)]
+            slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
+        return number, slot
+
+    def _insert(self, key: np.ndarray, number: np.ndarray) -> None:
+        """New keys, each once; of those that want one slot, one gets it and the others look on."""
+        while len(key):
+            _, slot = self._find(key)
+            self.numbers[slot] = number
+            self.keys[slot] = key
+            lost = self.keys[slot] != key
+            won = np.flatnonzero(~lost)
+            self.numbers[slot[won]] = number[won]
+            key, number = key[lost], number[lost]
+
+    def _learn(self, body: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, key: np.ndarray, check: np.ndarray) -> None:
+        flat, n = self.encode_many(body, start, end, first)
+        a, b = self.pieces, self.pieces + len(key)
         while len(self.flat) < self.used + len(flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while len(self.at) < len(self.index):
-            self.at, self.n = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.n))
+        while len(self.at) < b:
+            self.at, self.n, self.check = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.n, self.check))
         self.flat[self.used : self.used + len(flat)] = flat
-        self.n[first : first + len(new)] = n
-        self.at[first : first + len(new)] = self.used + np.cumsum(n) - n
+        self.n[a:b], self.check[a:b] = n, check
+        self.at[a:b] = self.used + np.cumsum(n) - n
         self.used += len(flat)
+        self.bytes += int((end - start).sum())
+        self.pieces = b
+        if 2 * b > len(self.keys):
+            old, numbers, used = self.keys, self.numbers, self.keys != 0
+            self._table(self.bits + 2)
+            self._insert(old[used], numbers[used])
+        self._insert(key, np.arange(a, b))
 
-    def encode(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pieces of all texts, one after another, and how many each text has."""
-        if len(self.index) > self.max_pieces or self.chars > self.max_chars:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and how many each has."""
+        body, at = common.raw(texts)
+        if not len(body):
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        if self.pieces > self.max_pieces or self.bytes > self.max_bytes:
             self._clear()
-        per = np.fromiter(map(len, texts), np.int64, len(texts))
-        k = np.fromiter(map(self.index.__getitem__, chain.from_iterable(texts)), np.int64, int(per.sum()))
-        if self.index.new:
-            self._learn()
+        mask = self.cuts(body)
+        opens = at[:-1][np.diff(at) > 0]
+        mask[opens] = True
+        start = np.flatnonzero(mask)
+        end = np.append(start[1:], len(body))
+        up, down = powers(len(body) + 1)
+        hashes = []
+        for t in _TABLES:
+            sums = np.zeros(len(body) + 1, U)
+            np.cumsum(t[body] * up[:-1], out=sums[1:])
+            hashes.append(mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(U)))
+        key, check = hashes
+        first = np.zeros(len(start), bool)
+        if self.apart:
+            first[np.searchsorted(start, opens)] = True
+            key = np.where(first, key ^ _FIRST, key)
+        key = np.maximum(key, U(1))
+        k, _ = self._find(key)
+        new = np.flatnonzero(k < 0)
+        if len(new):
+            _, w = np.unique(key[new], return_index=True)
+            w = new[w]
+            self._learn(body, start[w], end[w], first[w], key[w], check[w])
+            k[new], _ = self._find(key[new])
+        if (self.check[k] != check).any():
+            raise RuntimeError("two pieces have one hash; change the seed")
         n = self.n[k]
-        to = np.concatenate([[0], np.cumsum(n)])
-        ends = np.cumsum(per)
+        to = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
         flat = self.flat[np.repeat(self.at[k] - to[:-1], n) + np.arange(to[-1])]
-        return flat, to[ends] - to[ends - per]
+        return flat, np.diff(to[np.searchsorted(start, at)])
+
+
+def strings(body: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[str]:
+    raw = body.tobytes()
+    return [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(start.tolist(), end.tolist(), strict=True)]

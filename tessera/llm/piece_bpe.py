@@ -9,7 +9,6 @@ matters) is done at the leftmost place alone.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,11 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tessera.llm import common
-from tessera.llm.memo import PieceMemo
+from tessera.llm.memo import PieceMemo, strings
 
 SPACE = "▁"
 NONE = np.int32(2**31 - 1)
-_SEAM = re.compile(f"(?<=[^{SPACE}])(?={SPACE})")
 
 
 class PieceModel:
@@ -82,12 +80,22 @@ class PieceModel:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where((a >= 0) & (b >= 0) & (self.keys[at] == key), self.to[at], np.int32(-1))
 
-    def pieces(self, text: str) -> list[str]:
-        """Stretches of an escaped text that no merge can cross: before a space that follows anything but a space."""
-        text = (SPACE if self.dummy else "") + text.replace(" ", SPACE)
-        if SPACE + SPACE in text or "\x01" in text:
-            return _SEAM.split(text)
-        return text.replace(SPACE, "\x01" + SPACE).removeprefix("\x01").split("\x01")
+    @staticmethod
+    def cuts(body: np.ndarray) -> np.ndarray:
+        """Where no merge can cross: before a space that follows anything but a space or what spaces become, in UTF-8."""
+        out = body == 32
+        out[1:] &= body[:-1] != 32
+        if (marks := np.flatnonzero(body == 0xE2)).size:  # the first of three bytes
+            marks = marks[marks + 3 < len(body)]
+            marks = marks[(body[marks + 1] == 0x96) & (body[marks + 2] == 0x81)]
+            out[marks + 3] = False
+        out[0] = True
+        return out
+
+    def escaped(self, body: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of pieces of text, and how many each has; a text's first piece has the dummy space before it."""
+        dummy = SPACE if self.dummy else ""
+        return self.encode_many([(dummy if f else "") + p.replace(" ", SPACE) for p, f in zip(strings(body, start, end), first.tolist(), strict=True)])
 
     def encode_many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of escaped words, and how many each has."""
@@ -184,11 +192,11 @@ class PieceModel:
 class PieceEncoder:
     def __init__(self, path: str):
         self.model = PieceModel(path)
-        self.memo = PieceMemo(self.model.encode_many)
+        self.memo = PieceMemo(self.model.cuts, self.model.escaped, apart=True)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts with begin and end ids."""
-        flat, n = self.memo.encode([self.model.pieces(t) if t else [] for t in texts])
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of whole texts (large_string) with begin and end ids."""
+        flat, n = self.memo.encode(texts)
         first = np.array([self.model.bos], np.int32), np.array([self.model.eos], np.int32)
         to = np.cumsum(n)
         return [np.concatenate([first[0], flat[b - k : b], first[1]]).astype("<u4") for k, b in zip(n.tolist(), to.tolist(), strict=True)]
@@ -210,7 +218,7 @@ def _run(path: str, with_ids: bool):
             texts = common.whole(batch.column(1))
             for a, b in common.blocks(texts):
                 n, ids_sha, text_sha, kept = [], [], [], []
-                for ids in codec.encode(texts.slice(a, b - a).to_pylist()):
+                for ids in codec.encode(texts.slice(a, b - a)):
                     n.append(len(ids))
                     ids_sha.append(hashlib.sha256(ids).hexdigest())
                     text_sha.append(hashlib.sha256(codec.decode(ids).encode("utf-8", "surrogatepass")).hexdigest())

@@ -30,7 +30,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _powers = (np.ones(1, U), np.ones(1, U))
 
 
-def _to_power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0 to n - 1 of the base, and of its inverse modulo 2**64."""
     global _powers
     if len(_powers[0]) < n:
@@ -55,7 +55,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     edge[at] = True  # no word goes on from one text to the next
     first = np.flatnonzero(inside & (edge[:-1] | np.concatenate([[True], ~inside[:-1]])))
     last = np.flatnonzero(inside & (edge[1:] | np.concatenate([~inside[1:], [True]])))
-    up, down = _to_power(len(body) + 1)
+    up, down = powers(len(body) + 1)
     sums = np.concatenate([np.zeros(1, U), np.cumsum(_BYTE[body] * up[:-1], dtype=U)])
     words = (sums[last + 1] - sums[first]) * down[first]
     return mixed(words + (last - first).astype(U)), np.searchsorted(first, at)

@@ -7,11 +7,10 @@ carry page indexes, so a reader of a doc_id range or of the metadata alone skips
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +24,27 @@ from tessera.llm.memo import PieceMemo
 SCHEMA = "doc_id long, shard int, local_start long, n_tokens long, ids array<int>"
 #: Bytes of a row group and of a page: a task's write buffer, and the least that a selective read decodes.
 ROW_GROUP, PAGE = 16 << 20, 256 << 10
-#: Where a text may be cut, and what a plain cut before each space doesn't suit.
-_SEAM = re.compile(r"(?<=[\w!-~])(?= )")
-_ODD = re.compile(r" (?<![\w!-~] )").search
-_SIGNS = frozenset(map(chr, range(0x21, 0x7F)))
-_LAST = re.compile(r"[\w!-~]\Z").search
+# Bytes that a text may be cut after, before a space: ASCII signs, letters and digits. A character of Latin-1's letters
+# ends in one of the bytes below after the byte C3.
+_PLAIN = np.zeros(256, bool)
+_PLAIN[0x21:0x7F] = True
+_LATIN = np.zeros(256, bool)
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False  # the signs for times and divided by
+
+
+def _safe(body: np.ndarray) -> np.ndarray:
+    """Bytes that end a character after which a space may be cut off."""
+    safe = _PLAIN[body]
+    safe[1:] |= _LATIN[body[1:]] & (body[:-1] == 0xC3)
+    return safe
+
+
+def _cuts(body: np.ndarray) -> np.ndarray:
+    out = body == 32
+    out[1:] &= _safe(body)[:-1]
+    out[0] = True
+    return out
 
 
 class TextEncoder:
@@ -41,43 +56,44 @@ class TextEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo = PieceMemo(self._many)
+        self.memo = PieceMemo(_cuts, self._many)
         vocab = self.tokenizer.get_vocab()
         #: UTF-8 bytes that each id stands for: a byte-level token has one character for each byte.
         self.lengths = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.lengths[i] = len(token)
 
-    def _many(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _many(self, body: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces between two cuts go to the library as one text; the bytes of its tokens show where each ends."""
-        n = np.zeros(len(pieces), np.int64)
-        apart = np.fromiter((p[0] == " " and len(p) > 1 and (p[-1] in _SIGNS or _LAST(p[-1]) is not None) for p in pieces), bool, len(pieces))
-        joined, single = np.flatnonzero(apart).tolist(), np.flatnonzero(~apart).tolist()
-        order = np.array(joined + single, np.int64)
-        texts = ["".join(pieces[k] for k in joined[a : a + 2000]) for a in range(0, len(joined), 2000)] + [pieces[k] for k in single]
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, sum(map(len, ids)))
-        ends = np.cumsum(np.fromiter((len(p) if p.isascii() else len(p.encode()) for p in pieces), np.int64, len(pieces))[order])
-        upto = np.searchsorted(np.cumsum(self.lengths[flat]), ends, "right")
+        apart = (body[start] == 32) & (end - start > 1) & _safe(body)[end - 1]
+        order = np.concatenate([np.flatnonzero(apart), np.flatnonzero(~apart)])
+        raw, size = body.tobytes(), (end - start)[order]
+        bits = [raw[a:b] for a, b in zip(start[order].tolist(), end[order].tolist(), strict=True)]
+        m = int(apart.sum())
+        texts = [b"".join(bits[a : min(a + 1000, m)]).decode() for a in range(0, m, 1000)] + [x.decode() for x in bits[m:]]
+        flat = np.concatenate([np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        upto = np.searchsorted(np.cumsum(self.lengths[flat]), np.cumsum(size), "right")
+        n = np.zeros(len(start), np.int64)
         n[order] = np.diff(upto, prepend=0)
         back = np.cumsum(n) - n
         out = np.empty(len(flat), np.int32)
         out[np.repeat(back[order] - (upto - n[order]), n[order]) + np.arange(len(flat))] = flat
         return out, n
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and how many each has."""
-        odd = [k for k, t in enumerate(texts) if any(a in t for a in self.added)]
-        plain = ["" if k in set(odd) else t for k, t in enumerate(texts)] if odd else texts
-        flat, n = self.memo.encode([(_SEAM.split(t) if _ODD(t) or "\x01" in t else t.replace(" ", "\x01 ").split("\x01")) if t else [] for t in plain])
-        if odd:
+        flat, n = self.memo.encode(texts)
+        body = common.raw(texts)[0].tobytes()
+        if any(a.encode() in body for a in self.added):
             parts = np.split(flat, np.cumsum(n)[:-1])
-            for k in odd:
-                parts[k] = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, np.int32)
+            for k, text in enumerate(texts.to_pylist()):
+                if any(a in text for a in self.added):
+                    parts[k] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
             flat, n = np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
         return flat, n
 
@@ -94,7 +110,7 @@ def _encode(path: str, end: int):
         for batch in batches:
             texts, doc_ids = common.whole(batch.column(1)), batch.column(0)
             for a, b in common.blocks(texts):
-                flat, n = encode(texts.slice(a, b - a).to_pylist())
+                flat, n = encode(texts.slice(a, b - a))
                 flat, n = np.insert(flat, np.cumsum(n), np.int32(end)), n + 1
                 ends = np.cumsum(n)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
