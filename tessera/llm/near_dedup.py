@@ -2,12 +2,14 @@
 
 1. One pass makes each text's shingle set, its digest, its registers and its band keys.
 2. Rows of equal sets become one representative (the least doc_id), whatever their number.
-3. Representatives that share a band key form a bucket. Each bucket is compared with one member, its leader; pairs
-   whose estimate is high enough are confirmed on full sets, and confirmed links are closed to components.
-4. Buckets that still hold several components go on: small ones compare all pairs across components; in large ones
-   more and more members outside the most common component become leaders, and each leaves its bucket when all
-   others have been compared with it. So each pair of a bucket is in one component or has been compared, and a
-   bucket of n near copies takes about n comparisons, not n * n.
+3. Representatives that share a band key form a bucket. Buckets that have a member in common form a unit; where a unit
+   would be very large, its buckets stay units of their own. So two texts that share a band key are in one unit.
+4. A unit of few members is compared in one task. In a larger one each member is first compared with its buckets'
+   leaders, which joins most near copies of one text; then the members outside the unit's largest component are
+   dealt out in chunks, and each pair of chunks (theirs with one another, and with those of the component) is one
+   task's work. Pairs within a component are not looked at.
+5. A task compares registers, confirms on full sets the pairs of different components whose corrected estimate is near
+   the limit or above, and gives out links that join components: fewer than it has members, whatever the pairs.
 """
 
 from __future__ import annotations
@@ -34,8 +36,11 @@ class NearDedup:
     rows: int = 5
     #: An estimate lower than the limit by this much (over five standard deviations) is not confirmed.
     slack: float = 0.17
-    #: Buckets up to this size compare all pairs across components; the rest goes on by leaders.
-    small: int = 24
+    #: Members of a chunk, and shingles of a chunk: what a task holds is two chunks.
+    chunk_docs: int = 512
+    chunk_shingles: int = 500_000
+    #: Units up to this many members are taken as a whole; larger ones by bucket.
+    unit: int = 4096
     #: Members of one leader that a task compares before the leader's text is read again.
     chunk: int = 64
     #: Ids that may be broadcast: 16 MB.
@@ -116,6 +121,103 @@ def _confirm(p: NearDedup):
     return run
 
 
+def _grid(n: np.ndarray) -> np.ndarray:
+    return np.round(np.log2(np.maximum(n, 1)) * 2).astype(int)
+
+
+def _near_pairs(regs: np.ndarray, n: np.ndarray, comp: np.ndarray, p: NearDedup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (i, j, estimate), i < j, of different components whose sizes and estimates allow a link."""
+    steps, at = np.unique(_grid(n), return_inverse=True)
+    sizes = np.maximum(1, np.power(2.0, steps / 2)).astype(int)
+    by_chance = np.array([[shingles.chance(min(a, b), max(a, b)) for b in sizes.tolist()] for a in sizes.tolist()])
+    out = []
+    for i in range(len(n) - 1):
+        j = i + 1 + np.flatnonzero((comp[i + 1 :] != comp[i]) & (100 * np.minimum(n[i + 1 :], n[i]) >= p.percent * np.maximum(n[i + 1 :], n[i])))
+        if len(j):
+            c = by_chance[at[i], at[j]]
+            estimate = ((regs[j] == regs[i]).sum(1) / p.buckets - c) / (1 - c)
+            ok = estimate >= p.percent / 100 - p.slack
+            out.append((np.full(ok.sum(), i), j[ok], estimate[ok]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+
+
+def _shared(own: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections: a product of the presence matrix, of shingles that several sets have, by blocks."""
+    flat = np.concatenate(own)
+    row = np.repeat(np.arange(len(own)), [len(x) for x in own])
+    _, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    column = np.cumsum(n > 1) - 1
+    keep = n[at] > 1
+    row, at = row[keep], column[at[keep]]
+    out = np.zeros((len(own), len(own)), np.float32)
+    by = np.argsort(at, kind="stable")
+    row, at = row[by], at[by]
+    for a in range(0, int(at[-1]) + 1 if len(at) else 0, 4096):
+        i, j = np.searchsorted(at, (a, a + 4096))
+        x = np.zeros((len(own), 4096), np.float32)
+        x[row[i:j], at[i:j] - a] = 1
+        out += x @ x.T
+    return np.rint(out).astype(np.int64)
+
+
+def _join_group(ids: list[int], comps: list[int], own: list[np.ndarray], p: NearDedup) -> list[tuple[int, int]]:
+    """Confirmed links of a group that join different components, fewer than it has members."""
+    n = np.array([len(x) for x in own])
+    i, j, estimate = _near_pairs(np.array([shingles.registers(x, p.buckets) for x in own]), n, np.array(comps), p)
+    by = np.argsort(-estimate, kind="stable")
+    i, j = i[by], j[by]
+    # one by one a pair takes about 30 microseconds; a product takes about two operations a cell and shingle
+    at_once = len(i) * 3e-5 > n.sum() * len(n) * 1e-9 + 0.01
+    if at_once:
+        both = _shared(own)[i, j]
+        ok = 100 * both >= p.percent * (n[i] + n[j] - both)
+        i, j = i[ok], j[ok]
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := above.get(x, x)) != x:
+            above[x] = x = above.get(y, y)
+        return x
+
+    out = []
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+        x, y = top(comps[a]), top(comps[b])
+        if x != y:
+            if not at_once:
+                both = len(np.intersect1d(own[a], own[b], assume_unique=True))
+                if 100 * both < p.percent * (len(own[a]) + len(own[b]) - both):
+                    continue
+            above[max(x, y)] = min(x, y)
+            out.append((ids[a], ids[b]))
+    return out
+
+
+def _compare(p: NearDedup):
+    """Rows (group, id, comp, text) in the order of the groups; gives the links that join components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, ids, comps, own = None, [], [], []
+
+        def flush() -> pa.RecordBatch:
+            found = _join_group(ids, comps, own, p) if len(ids) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            names, doc, comp = (batch.column(k).to_pylist() for k in ("group", "id", "comp"))
+            texts = common.whole(batch.column("text"))
+            for a, b in common.blocks(texts):
+                for k, x in enumerate(shingles.sets(texts.slice(a, b - a), p.width), a):
+                    if names[k] != group:
+                        yield flush()
+                        group, ids, comps, own = names[k], [], [], []
+                    ids.append(doc[k])
+                    comps.append(comp[k])
+                    own.append(x)
+        yield flush()
+
+    return run
+
+
 class _Run:
     def __init__(self, docs: DataFrame, p: NearDedup):
         self.p, self.docs = p, common.slim(docs, "doc_id", "text").where("doc_id is not null")
@@ -132,6 +234,51 @@ class _Run:
         shared = rows.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader <> last").select("key", "leader")
         return common.materialise(rows.join(shared, "key"), "buckets")
 
+    def units(self, buckets: DataFrame, star: DataFrame) -> DataFrame:
+        """(unit, id): the connected buckets, or a bucket alone where those have too many members."""
+        whole = self.components(star)
+        sizes = whole.groupBy("comp").agg(F.count("*").alias("n")).withColumn("large", F.col("n") > self.p.unit)
+        placed = common.materialise(whole.join(sizes, "comp").select("id", "comp", "large"), "placed")
+        large = placed.where("large").select("id")
+        alone = buckets.join(large, "id").select(F.concat(F.lit("b"), F.col("key").cast("string")).alias("unit"), "id")
+        return placed.where("not large").select(F.concat(F.lit("c"), F.col("comp").cast("string")).alias("unit"), "id").unionByName(alone)
+
+    def groups(self, units: DataFrame, comps: DataFrame) -> DataFrame:
+        """(group, id, comp): what each task compares."""
+        p = self.p
+        size = self.reps.groupBy(F.col("doc_id").alias("id")).agg(F.max("n_shingles").alias("n"))
+        member = units.join(size, "id").join(comps, "id", "left").select("unit", "id", "n", F.coalesce("comp", "id").alias("comp"))
+        about = member.groupBy("unit").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.mode("comp").alias("most"), F.count("*").alias("docs"), F.sum("n").alias("shingles")).where("lo <> hi")
+        chunks = lambda docs, n: F.greatest(F.ceil(docs / p.chunk_docs), F.ceil(n / p.chunk_shingles)).cast("int")
+        about = about.withColumn("one", chunks(F.col("docs"), F.col("shingles")) == 1).select("unit", "one", "most", "docs", "shingles")
+        rows = common.materialise(member.join(about, "unit").withColumn("inner", ~F.col("one") & (F.col("comp") == F.col("most"))), "members")
+        counts = rows.where("not one").groupBy("unit").agg(
+            *[f(F.when(F.col("inner") == inner, v)).alias(name) for name, inner, f, v in (("s_docs", False, F.count, F.lit(1)), ("s_n", False, F.sum, F.col("n")), ("g_docs", True, F.count, F.lit(1)), ("g_n", True, F.sum, F.col("n")))]
+        )
+        counts = counts.select(F.col("unit").alias("u"), chunks(F.col("s_docs"), F.col("s_n")).alias("s"), chunks(F.col("g_docs"), F.col("g_n")).alias("g"))
+        # a component's chunks are numbered after the others'; a pair of them is nobody's work
+        own = F.when(F.col("inner"), F.col("s") + F.pmod(F.xxhash64("id"), F.col("g")).cast("int")).otherwise(F.pmod(F.xxhash64("id"), F.col("s")).cast("int"))
+        many = rows.where("not one").join(counts, F.col("unit") == F.col("u")).withColumn("own", own)
+        # with one outer chunk and no inner one the chunk is compared with itself; pairs of chunks hold their own pairs too
+        others = F.when(F.col("inner"), F.sequence(F.lit(0), F.col("s") - 1)).otherwise(F.filter(F.sequence(F.lit(0), F.col("s") + F.col("g") - 1), lambda k: (k != F.col("own")) | (F.col("s") + F.col("g") == 1)))
+        dealt = many.select("unit", "id", "comp", "own", F.explode(others).alias("other"))
+        name = F.concat_ws("|", "unit", F.least("own", "other").cast("string"), F.greatest("own", "other").cast("string"))
+        return rows.where("one").select(F.col("unit").alias("group"), "id", "comp").unionByName(dealt.select(name.alias("group"), "id", "comp"))
+
+    def joins(self, groups: DataFrame) -> DataFrame:
+        """Confirmed links within groups, as many as join their components."""
+        asked = common.materialise(groups, "groups")
+        rows = asked.join(self._texts(asked), "id").select("group", "id", "comp", "text")
+        rows = rows.repartition("group").sortWithinPartitions("group", "id")
+        return common.materialise(rows.mapInArrow(_compare(self.p), "a long, b long"), "links")
+
+    def _texts(self, asked: DataFrame) -> DataFrame:
+        """(id, text) of the documents asked for; a bounded set of ids is sent to the scan, a larger one is joined."""
+        texts, ids = self.docs.withColumnRenamed("doc_id", "_d"), asked.select("id").distinct()
+        if asked.count() <= self.p.broadcast_ids:
+            texts = texts.join(F.broadcast(ids), F.col("_d") == F.col("id"), "left_semi")
+        return texts.withColumnRenamed("_d", "id")
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The confirmed ones of distinct pairs (a, b), materialised."""
         p = self.p
@@ -142,17 +289,12 @@ class _Run:
         members = near.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("chunks") + 1).alias("salt"), F.lit(True).alias("member"), F.col("b").alias("id"))
         leaders = members.groupBy("a", "salt").agg(F.lit(False).alias("member"), F.col("a").alias("id")).select("a", "salt", "member", "id")
         asked = common.materialise(members.unionByName(leaders), "asked")
-        ids = asked.select("id").distinct()
-        texts = self.docs
-        if asked.count() <= p.broadcast_ids:
-            texts = texts.join(F.broadcast(ids), texts["doc_id"] == F.col("id"), "left_semi")
-        rows = asked.join(texts.withColumnRenamed("doc_id", "id"), "id").select("a", "salt", "member", "id", "text")
+        rows = asked.join(self._texts(asked), "id").select("a", "salt", "member", "id", "text")
         rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "member", "id")
         return common.materialise(rows.mapInArrow(_confirm(p), "a long, b long").where("a <> b"), "links")
 
-    def components(self, links: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    def components(self, edges: DataFrame) -> DataFrame:
         """(id, comp) of all that have a link: comp is the least id that links lead to."""
-        edges = links if before is None else links.unionByName(before.where("id <> comp").select(F.col("comp").alias("a"), F.col("id").alias("b")))
         both = common.materialise(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
         labels = common.materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("comp")), "labels")
         while True:
@@ -166,38 +308,14 @@ class _Run:
 
     def closed(self) -> DataFrame:
         """(id, comp) of all representatives that have a link."""
-        p, left = self.p, self.buckets()
-        pairs = left.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-        comps, done, leaders = self.components(self.links(pairs)), pairs, 1
-        left = left.withColumn("compared", F.col("id") == F.col("leader")).select("key", "id", "compared")
-        while True:
-            member = left.where("not compared").select("key", "id").join(comps, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-            # buckets of one component are done
-            mixed = member.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.mode("comp").alias("most")).where("lo <> hi")
-            member = common.materialise(member.join(mixed.select("key", "n", "most"), "key"), "members")
-            if not member.take(1):
-                return comps
-            few = member.where(F.col("n") <= p.small)
-            one, two = few.alias("x"), few.alias("y")
-            pairs = one.join(two, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-            leaders *= 4
-            many = member.where(F.col("n") > p.small)
-            odd = many.where("comp <> most").select("key", F.struct(F.xxhash64("id", F.lit(leaders)).alias("h"), F.col("id").alias("lead"), F.col("comp").alias("lead_comp")).alias("s"))
-            # the first few by hash of the members outside the most common component
-            lead = self._first(odd, leaders)
-            more = many.join(lead, "key").where("comp <> lead_comp").select(F.col("lead").alias("a"), F.col("id").alias("b"))
-            pairs = pairs.unionByName(more).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
-            pairs = common.materialise(pairs, "pairs")
-            comps = self.components(self.links(pairs), comps)
-            done = common.materialise(done.unionByName(pairs), "done")
-            left = many.select("key", "id").join(lead.select("key", F.col("lead").alias("id"), F.lit(True).alias("compared")), ["key", "id"], "left").select("key", "id", F.coalesce("compared", F.lit(False)).alias("compared"))
-
-    @staticmethod
-    def _first(rows: DataFrame, k: int) -> DataFrame:
-        """For each key its k least s, gathered in bounded parts: of 256 shares of a key the least k, then of these."""
-        least = F.slice(F.array_sort(F.collect_list("s")), 1, k)
-        share = rows.groupBy("key", F.pmod(F.col("s.h"), F.lit(256)).alias("share")).agg(F.min("s").alias("s"))
-        return share.groupBy("key").agg(least.alias("s")).select("key", F.explode("s").alias("s")).select("key", "s.lead", "s.lead_comp")
+        p, buckets = self.p, self.buckets()
+        star = common.materialise(buckets.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "star")
+        units = common.materialise(self.units(buckets, star), "units")
+        sizes = units.groupBy("unit").agg(F.count("*").alias("n")).where(F.col("n") > p.chunk_docs).select("unit")
+        crowded = units.join(sizes, "unit", "left_semi").select("id").distinct()
+        links = self.links(star.join(crowded.withColumnRenamed("id", "b"), "b", "left_semi").select("a", "b"))
+        links = links.unionByName(self.joins(self.groups(units, self.components(links))))
+        return self.components(links)
 
 
 def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
