@@ -1,7 +1,7 @@
 """Toxicity by a character n-gram linear classifier over naive Bayes features.
 
 Features are the letter n-grams (n from 3 to 5) that a text has, in hashed slots. Each is scaled by its naive Bayes
-log-count ratio between the classes, and a logistic regression over the scaled features gives the score.
+log-count ratio between the classes (0 where that is within twice its standard error), and a logistic regression over the scaled features gives the score.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ BITS, ORDERS = 18, range(3, 6)
 #: Bounds of the sample that the model is fitted on: labelled rows of each class (about; chosen by a hash of doc_id),
 #: and characters of a sampled text (longer ones are left out of the sample, not cut).
 PER_CLASS, MAX_CHARS = 2500, 50_000
-ALPHA, RIDGE, ROUNDS, LEAST_DOCS = 1.0, 1e-3, 80, 3
+ALPHA, RIDGE, ROUNDS, LEAST_DOCS, LEAST_Z = 1.0, 1.0, 80, 3, 2.0
 TOXIC = 0.7
 
 
@@ -50,11 +50,13 @@ class ToxicityModel:
         flat = np.concatenate(rows)
         doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
         df = np.bincount(flat, minlength=size)
-        keep = df[flat] >= LEAST_DOCS
-        flat, doc = flat[keep], doc[keep]
         p = ALPHA + np.bincount(flat, weights=y[doc], minlength=size)
         q = ALPHA + np.bincount(flat, weights=(1 - y)[doc], minlength=size)
-        ratio = np.where(df >= LEAST_DOCS, np.log(p / p.sum()) - np.log(q / q.sum()), 0)
+        ratio = np.log(p / (y.sum() + 2 * ALPHA)) - np.log(q / ((1 - y).sum() + 2 * ALPHA))
+        # n-grams whose ratio is within the noise of their counts tell nothing, and there are very many of them
+        ratio = np.where((df >= LEAST_DOCS) & (np.abs(ratio) >= LEAST_Z * np.sqrt(1 / p + 1 / q)), ratio, 0)
+        keep = ratio[flat] != 0
+        flat, doc = flat[keep], doc[keep]
         weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())  # the classes weigh the same
         value = ratio[flat]
         w, b, m, v = np.zeros(size), 0.0, np.zeros(size + 1), np.zeros(size + 1)
