@@ -303,6 +303,8 @@ def swift(text: str, out: Records) -> None:
                 if names[0] in ("struct", "class", "enum", "protocol", "func", "var", "let", "typealias") and len(names) > 1:
                     names = names[1:]
                 out.reference("imports", "".join(names), x.line, [])
+            elif k and t[k - 1].value == "import":
+                continue
             elif x.value == "func" or x.value in _SWIFT_TYPES and after.kind == "name" and after.value not in ("func", "var", "let", "subscript", "init"):
                 name = after.value
                 for y, z in zip(t[k + 2 :: 2], t[k + 3 :: 2], strict=False):
