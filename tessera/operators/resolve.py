@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import materialise
+
 
 def resolve(refs: DataFrame, index: DataFrame) -> DataFrame:
     """refs(source_file, kind, target, line, candidates, resolution) with target_path, target_slice and outcome.
 
     index(path, slice) is the universe of files. unique: resolved if exactly one candidate is there; first: the
     earliest candidate that is there. outcome: link (own slice), cross (another slice) or unresolved. Each candidate
-    is shuffled once; a reference is known by a hash of its place, so equal references stay apart by an id.
+    is shuffled once; references are numbered, so that equal ones stay apart.
     """
-    rows = refs.withColumn("_ref", F.monotonically_increasing_id())
+    # numbered once: the references are read twice below, and may come in another order the second time
+    rows = materialise(refs.withColumn("_ref", F.monotonically_increasing_id()), "references")
     asked = rows.select("_ref", F.posexplode("candidates").alias("pos", "path"))
     found = asked.join(index, "path").groupBy("_ref").agg(F.countDistinct("path").alias("hits"), F.min(F.struct("pos", "path", "slice")).alias("first"))
     own = index.select(F.col("path").alias("_own"), F.col("slice").alias("_own_slice"))

@@ -51,7 +51,7 @@ def fill_cache(spark: SparkSession, source: str, cache: str, state: str):
     from tessera.operators.extract import VERSION, fragments
     from tessera.operators.state import fragment_key
 
-    files = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").load(source).select("path", "content")
+    files = spark.readStream.schema("path string, modificationTime timestamp, length bigint, content binary").format("binaryFile").option("recursiveFileLookup", "true").load(source).select("path", "content")
 
     def write(batch: DataFrame, number: int) -> None:
         keyed = batch.withColumn("key_sha256", fragment_key(F.col("path"), F.sha2("content", 256), "structural", VERSION))
