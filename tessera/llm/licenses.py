@@ -2,14 +2,14 @@
 
 A document is compared whole and line by line. Texts are normalised (lower case; runs of other characters than letters
 and digits are one space), and cut to their distinct word bigrams. A Dice coefficient of t needs sizes within the
-ratio t / (2 - t), so a template is a candidate for the segments of such sizes only: an equality join on the size.
+ratio t / (2 - t), so a template is a candidate for the segments of such sizes only.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import common
@@ -68,14 +68,18 @@ def _grams(text: Column) -> Column:
     return F.transform(F.array(F.split(normal(text), " ")), bigrams)[0]
 
 
-def candidates(docs: DataFrame, p: LicenseScan) -> DataFrame:
-    """(n, rank, license, t, m): template sets t of m bigrams, one row for each size n of a segment that they can match."""
-    spark = docs.sparkSession
+def candidates(spark: SparkSession, p: LicenseScan) -> Column:
+    """The templates as one constant array of (rank, license, t, m, lo, hi): m distinct bigrams t, and the sizes of sets
+    that can match them. The templates are parameters, so they are few and small."""
     rows = spark.createDataFrame([(k, name, text) for k, (name, text) in enumerate(p.templates)], "rank int, license string, text string")
-    sets = rows.select("rank", "license", _grams(F.col("text")).alias("t")).withColumn("m", F.size("t")).where("m > 0")
-    lo = F.ceil(F.col("m") * p.percent / F.lit(200.0 - p.percent)).cast("int")
-    hi = F.floor(F.col("m") * (200 - p.percent) / F.lit(float(p.percent))).cast("int")
-    return sets.select(F.explode(F.sequence(lo, hi)).alias("n"), "rank", "license", "t", "m")
+    sets = rows.select("rank", "license", _grams(F.col("text")).alias("t")).where(F.size("t") > 0).orderBy("rank").collect()
+    each = []
+    for r in sets:
+        m = len(r["t"])
+        lo, hi = -(-m * p.percent // (200 - p.percent)), m * (200 - p.percent) // p.percent
+        values = (("rank", F.lit(r["rank"])), ("license", F.lit(r["license"])), ("t", F.array(*map(F.lit, r["t"]))), ("m", F.lit(m)), ("lo", F.lit(lo)), ("hi", F.lit(hi)))
+        each.append(F.struct(*[v.alias(n) for n, v in values]))
+    return F.array(*each) if each else F.array().cast("array<struct<rank: int, license: string, t: array<string>, m: int, lo: int, hi: int>>")
 
 
 def scan(docs: DataFrame, p: LicenseScan = LicenseScan()) -> DataFrame:
@@ -83,22 +87,24 @@ def scan(docs: DataFrame, p: LicenseScan = LicenseScan()) -> DataFrame:
 
     license and dice are those of the best match (ties: the earlier template), null without one; n_matches counts the
     segments (lines, and the whole text if it has several) with a match. Null or empty text has no match. Repeated
-    rows and null ids stay. An empty table gives an empty one. Other columns of docs are not read.
+    rows and null ids stay. An empty table gives an empty one. Other columns of docs are not read. Nothing is shuffled.
     """
-    rows = common.slim(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    templates = candidates(docs, p)
-    most = templates.agg(F.max("n")).first()[0] or 0
-    lines = F.split("text", "\n")
+    templates = candidates(docs.sparkSession, p)
+
+    def matches(g: Column) -> Column:
+        """(dice, rank from the end, license) of the templates that a segment of bigrams g matches."""
+        near = F.filter(templates, lambda t: F.size(g).between(t["lo"], t["hi"]))
+        scored = F.transform(near, lambda t: F.struct(F.size(F.array_intersect(g, t["t"])).alias("both"), (F.size(g) + t["m"]).alias("all"), (-t["rank"]).alias("r"), t["license"].alias("license")))
+        sure = F.filter(scored, lambda x: 200 * x["both"] >= p.percent * x["all"])
+        return F.transform(sure, lambda x: F.struct((2.0 * x["both"] / x["all"]).alias("dice"), x["r"].alias("r"), x["license"].alias("license")))
+
     text = F.coalesce("text", F.lit(""))
+    lines = F.split(text, "\n")
     parts = F.when(F.size(lines) > 1, F.concat(lines, F.array(text))).otherwise(lines)
-    segments = rows.select("row", "doc_id", F.posexplode(parts).alias("segment", "s")).where(F.length("s") > 0)
-    segments = segments.select("row", "doc_id", "segment", _grams(F.col("s")).alias("g")).withColumn("n", F.size("g")).where(F.col("n").between(1, most))
-    # the templates are parameters of the plan: as many rows as they have sizes in bounds
-    near = segments.join(F.broadcast(templates), "n").withColumn("both", F.size(F.array_intersect("g", "t"))).where(200 * F.col("both") >= p.percent * (F.col("n") + F.col("m")))
-    each = near.withColumn("dice", 2.0 * F.col("both") / (F.col("n") + F.col("m")))
-    best = F.max(F.struct(F.col("dice"), (-F.col("rank")).alias("r"), F.col("license").alias("license"))).alias("best")
-    found = each.groupBy("row").agg(best, F.countDistinct("segment").alias("n_matches")).withColumnRenamed("row", "r")
-    return rows.drop("text").join(found, F.col("row") == F.col("r"), "left").select("doc_id", F.col("best.license").alias("license"), F.col("best.dice").alias("dice"), F.coalesce("n_matches", F.lit(0)).cast("long").alias("n_matches"))
+    found = F.filter(F.transform(parts, lambda s: F.transform(F.array(_grams(s)), matches)[0]), lambda m: F.size(m) > 0)
+    rows = common.slim(docs, "doc_id", "text").select("doc_id", found.alias("found"))
+    best = F.array_max(F.flatten("found"))
+    return rows.select("doc_id", best["license"].alias("license"), best["dice"].alias("dice"), F.size("found").cast("long").alias("n_matches"))
 
 
 def scan_sql(p: LicenseScan = LicenseScan()) -> str:
