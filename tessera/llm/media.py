@@ -181,5 +181,7 @@ def media_of_documents(docs: DataFrame) -> DataFrame:
     pages, media = document_pages(docs)
     path = common.scratch(spark, "media")
     store(media, path)
-    found = resolve(sequences(pages, "doc_id"), described(spark, path), "doc_id").where("kind = 'media'")
+    # a table of its own, so that the join's shuffle can be split where many documents have one digest
+    media_rows = common.materialise(described(spark, path), "described")
+    found = resolve(sequences(pages, "doc_id"), media_rows, "doc_id").where("kind = 'media'")
     return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
