@@ -250,7 +250,8 @@ class _Run:
         member = units.join(size, "id").join(comps, "id", "left").select("unit", "id", "n", F.coalesce("comp", "id").alias("comp"))
         about = member.groupBy("unit").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.mode("comp").alias("most"), F.count("*").alias("docs"), F.sum("n").alias("shingles")).where("lo <> hi")
         chunks = lambda docs, n: F.greatest(F.ceil(docs / p.chunk_docs), F.ceil(n / p.chunk_shingles)).cast("int")
-        about = about.withColumn("one", chunks(F.col("docs"), F.col("shingles")) == 1).select("unit", "one", "most", "docs", "shingles")
+        # a table of its own, so that the join's shuffle can be split where a unit has many members
+        about = common.materialise(about.select("unit", (chunks(F.col("docs"), F.col("shingles")) == 1).alias("one"), "most"), "about")
         rows = common.materialise(member.join(about, "unit").withColumn("inner", ~F.col("one") & (F.col("comp") == F.col("most"))), "members")
         counts = rows.where("not one").groupBy("unit").agg(
             *[f(F.when(F.col("inner") == inner, v)).alias(name) for name, inner, f, v in (("s_docs", False, F.count, F.lit(1)), ("s_n", False, F.sum, F.col("n")), ("g_docs", True, F.count, F.lit(1)), ("g_n", True, F.sum, F.col("n")))]
