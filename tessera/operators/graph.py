@@ -112,7 +112,7 @@ def find_path(nodes: DataFrame, links: DataFrame, start: str, target: str, max_h
     frontier = spark.createDataFrame([(start, [start], [])], "node string, way array<string>, turns array<bigint>")
     known, explored = frontier.select("node"), 0
     for _ in range(max_hops):
-        seen = materialise(adj.join(frontier, "node").withColumn("at", F.concat("turns", F.array("ord"))), "walk")
+        seen = materialise(adj.join(frontier, "node").select("next", "way", F.concat("turns", F.array("ord")).alias("at")), "walk")
         hits = seen.where(F.col("next") == target).agg(F.min(F.struct("at", "way")).alias("m")).first()["m"]
         looked = seen.where(F.col("at") <= F.array(*[F.lit(x).cast("long") for x in hits["at"]])).count() if hits else seen.count()
         if explored + looked > max_explored:

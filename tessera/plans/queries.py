@@ -35,6 +35,11 @@ def _graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return trade_graph.nodes(spark, sf_dir), trade_graph.links(spark, sf_dir)
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The graph with its links as a table, for walks that read them at each level."""
+    return trade_graph.nodes(spark, sf_dir), scratch.materialise(trade_graph.links(spark, sf_dir), "links")
+
+
 # --- graph -----------------------------------------------------------------------------------------------------------
 
 
@@ -99,7 +104,7 @@ def graph_neighbors_both_d1(spark, sf_dir):
 ) SELECT {_HIT} FROM hits JOIN nodes n ON n.id = node_id WHERE position <= 1000""")
 )
 def graph_neighbors_both_d2(spark, sf_dir):
-    return graph.neighbors(*_graph(spark, sf_dir), "customer:5", "both", depth=2, limit=1000)
+    return graph.neighbors(*_stored(spark, sf_dir), "customer:5", "both", depth=2, limit=1000)
 
 
 _WALK = """, out AS (SELECT source AS node, target AS next, ord FROM links), walk AS (
@@ -113,7 +118,7 @@ _WALK = """, out AS (SELECT source AS node, target AS next, ord FROM links), wal
 
 def _to_region(spark, sf_dir) -> tuple[DataFrame, DataFrame, graph.Path]:
     """From order:1 to the region of its customer."""
-    nodes, links = _graph(spark, sf_dir)
+    nodes, links = _stored(spark, sf_dir)
     to = links.where("source = 'order:1' and kind = 'placed_by'").select(F.col("target").alias("c"))
     to = to.join(links.where("kind = 'in_nation'").select(F.col("source").alias("c"), F.col("target").alias("n")), "c")
     region = to.join(links.where("kind = 'in_region'").select(F.col("source").alias("n"), "target"), "n").first()["target"]
@@ -134,7 +139,7 @@ def graph_path_hops(spark, sf_dir):
 
 @query("SELECT * FROM (VALUES ('order:1', 'order:1', 6, 'ok', 0), ('region:0', 'order:1', 6, 'no_path', -1), ('order:1', 'region:9', 1, 'no_path_within_hop_limit', -1), ('nation:0', 'region:0', 6, 'ok', 1)) AS v(source, target, max_hops, status, hops)")
 def graph_path_status(spark, sf_dir):
-    nodes, links = _graph(spark, sf_dir)
+    nodes, links = _stored(spark, sf_dir)
     cases = [("order:1", "order:1", 6), ("region:0", "order:1", 6), ("order:1", "region:9", 1), ("nation:0", "region:0", 6)]
     rows = []
     for a, b, hops in cases:
@@ -175,7 +180,7 @@ def graph_freshness(spark, sf_dir):
 @query()
 def graph_rank(spark, sf_dir):
     """An extension: nodes by personalised rank from two seeds."""
-    _, links = _graph(spark, sf_dir)
+    _, links = _stored(spark, sf_dir)
     return graph.rank_nodes(links, ["order:1", "order:2"], rounds=4).withColumn("score", F.round("score", 9))
 
 
@@ -357,9 +362,6 @@ def diff_paths_top50(spark, sf_dir):
     return state.top_paths(state.diff(*_versions(spark, sf_dir), "path", "sha256"), "path")
 
 
-_COST = "CAST(ceil((i::DECIMAL(28,0) * 1.25 + o::DECIMAL(28,0) * 10.000000001) ) AS BIGINT)"
-
-
 @query(
     _CHANGES
     + """, t AS (SELECT repository, (((bytes + 3) // 4) * 150 + 99) // 100 AS i, 100 AS o FROM c WHERE change IN ('added', 'modified')),
@@ -637,7 +639,6 @@ def page_cap(spark, sf_dir):
 def page_next(spark, sf_dir):
     """The page after the hundredth hit, by its cursor."""
     hits = _hits(spark, sf_dir)
-    last = hits.orderBy(F.desc(numbers.score_6(F.col("score"))), "node_id").limit(100).agg(F.min_by(F.struct(numbers.score_6(F.col("score")).alias("s"), "node_id"), F.struct(numbers.score_6(F.col("score")), F.lit(0))).alias("l"))
     last = hits.orderBy(F.desc(numbers.score_6(F.col("score"))), "node_id").limit(100).collect()[-1]
     return paging.page(paging.after(hits, round(last["score"], 6), last["node_id"]))
 
