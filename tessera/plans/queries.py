@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import numbers, text
-from tessera.operators import admission, checks, entity, graph, paging, resolve, state, symbols, vectors
+from tessera.operators import admission, build, checks, entity, graph, paging, resolve, state, symbols, vectors
 from tessera.plans import trade_graph
 from tessera.sources import scratch, snapshots
 from tessera.streaming import windows
@@ -773,6 +773,72 @@ def validator_ratchet(spark, sf_dir):
     return checks.ratchet(w, b)
 
 
+# --- builds ----------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT lang AS slice, CASE lang WHEN 'fr' THEN 'new' WHEN 'de' THEN 'changed' ELSE 'paths_and_blobs_unchanged' END AS state FROM (SELECT DISTINCT lang FROM documents) UNION ALL SELECT 'gone', 'removed'")
+def slice_preview(spark, sf_dir):
+    """Slices by language: one is new, one has other texts, and one is no more."""
+    now = _t(spark, sf_dir, "documents").select(F.col("lang").alias("slice"), F.col("doc_id").cast("string").alias("path"), F.sha1(F.col("text").cast("binary")).alias("blob_oid"))
+    then = now.where("slice <> 'fr'").withColumn("blob_oid", F.when(F.col("slice") == "de", F.lit("0")).otherwise(F.col("blob_oid")))
+    return build.slice_preview(now, then.unionByName(now.where("slice = 'en'").withColumn("slice", F.lit("gone"))))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS path, CAST(2 AS BIGINT) AS slices FROM documents WHERE doc_id % 11 = 0")
+def slice_overlap(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("lang").alias("slice"), "doc_id")
+    return build.overlapping_slices(d.unionByName(d.where("doc_id % 11 = 0").withColumn("slice", F.lit("other"))))
+
+
+@query("SELECT coverage, CAST(coalesce(n, 0) AS BIGINT) AS n FROM (VALUES ('structural'), ('enriched'), ('unknown')) AS v(coverage) LEFT JOIN (SELECT CASE WHEN doc_id % 4 = 0 THEN 'unknown' ELSE 'structural' END AS coverage, count(*) AS n FROM documents GROUP BY ALL) USING (coverage)")
+def coverage_histogram(spark, sf_dir):
+    return build.coverage(_t(spark, sf_dir, "documents").select(F.when(F.col("doc_id") % 4 == 0, "unknown").otherwise("structural").alias("coverage")))
+
+
+@query(trade_graph.with_sql("SELECT level, class, count(*) AS n FROM (SELECT 'fatal' AS level, 'missing_source' AS class FROM links l WHERE kind = 'in_nation' AND ord % 5 = 0 UNION ALL SELECT 'warning', 'external_url' FROM links WHERE kind = 'placed_by' AND ord % 9 = 0 UNION ALL SELECT 'warning', 'conservative_internal_looking' FROM links WHERE kind = 'placed_by' AND ord % 9 = 1) GROUP BY ALL"))
+def validator_links(spark, sf_dir):
+    """Links of which some are given sources and targets that do not exist."""
+    nodes, links = _graph(spark, sf_dir)
+    k = F.col("ord")
+    links = links.withColumn("source", F.when((F.col("kind") == "in_nation") & (k % 5 == 0), "nobody").otherwise(F.col("source")))
+    placed = F.col("kind") == "placed_by"
+    links = links.withColumn("target", F.when(placed & (k % 9 == 0), "https://x.org/a").when(placed & (k % 9 == 1), "bare").otherwise(F.col("target")))
+    return build.link_faults(nodes, links).groupBy("level", "class").agg(F.count("*").alias("n"))
+
+
+@query("SELECT fault, count(*) AS n FROM (SELECT CASE WHEN doc_id % 6 = 0 THEN 'no_source_file' WHEN doc_id % 6 = 1 THEN 'not_in_inventory' END AS fault FROM documents) WHERE fault IS NOT NULL GROUP BY fault")
+def provenance_missing(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), "doc_id")
+    records = d.select(F.when(F.col("doc_id") % 6 != 0, F.col("path")).alias("source_file"))
+    return build.without_provenance(records, d.where("doc_id % 6 <> 1"))
+
+
+@query(_resolved("first", "SELECT own AS slice, count(*) AS n, least(100, count(*)) AS listed, count(*) > 100 AS truncated, FALSE AS followed FROM o JOIN r USING (source_file) WHERE outcome = 'cross' GROUP BY own"))
+def cross_reference_list(spark, sf_dir):
+    refs, index = _references(spark, sf_dir, "first")
+    cross = resolve.resolve(refs, index).where("outcome = 'cross'")
+    own = index.select(F.col("path").alias("source_file"), "slice")
+    return build.cross_reference_list(cross.join(own, "source_file").select("slice", "source_file", F.col("kind").alias("type"), "target", "line", "target_path"))
+
+
+@query("SELECT count(*) FILTER (WHERE k % 3 = 0) AS passed, count(*) FILTER (WHERE k % 3 = 1) AS failed, count(*) FILTER (WHERE k % 3 = 2) AS skipped, string_agg(CASE WHEN k % 3 = 1 THEN n_name END, ',' ORDER BY n_name) AS failed_corpora FROM (SELECT n_nationkey AS k, n_name FROM nation)")
+def wave_summary(spark, sf_dir):
+    n = _t(spark, sf_dir, "nation")
+    return build.wave_summary(n.select(F.col("n_name").alias("corpus"), F.element_at(F.array(F.lit("passed"), F.lit("failed"), F.lit("skipped")), (F.col("n_nationkey") % 3 + 1).cast("int")).alias("outcome")))
+
+
+@query("SELECT * FROM (VALUES ('a.md', 'One', 'B1', 'open', 'none', 2, 'first second'), ('a.md', 'Two', 'B2', 'held', 'C1,C2', 7, 'third'), ('a.md', 'Two', 'B3', 'open', 'none', 9, 'fourth')) AS v(path, section, boundary, status, claims, line, statement)")
+def dq_governed_blocks(spark, sf_dir):
+    lines = ["## One", "text", "<!-- negative-boundary: B1 status=open claims=none -->", "first ", " second", "", "## Two", "<!-- negative-boundary: B2 status=held claims=C1,C2 -->", "third", "<!-- negative-boundary: B3 status=open claims=none -->", "fourth", "| table |", "after"]
+    return build.governed_blocks(spark.createDataFrame([("a.md", k, v) for k, v in enumerate(lines)], "path string, ord int, value string"))
+
+
+@query("SELECT * FROM (VALUES ('100644', 'blob', 'ab12', 12, 'a b.txt'), ('160000', 'commit', 'cd34', NULL, 'sub/dir')) AS v(mode, kind, blob_oid, bytes, path)")
+def tree_entries(spark, sf_dir):
+    listing = "100644 blob ab12      12\ta b.txt\x00160000 commit cd34       -\tsub/dir\x00"
+    return build.tree_entries(spark.createDataFrame([(listing,)], "value string"))
+
+
 # --- functions -------------------------------------------------------------------------------------------------------
 
 

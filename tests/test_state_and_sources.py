@@ -171,3 +171,32 @@ def test_fragment_cache_stream(spark, tmp_path):
 def test_sessions(spark):
     rows = spark.sql("select timestamp(t) ts, 1L user_id from values ('2024-01-01 00:00:00'), ('2024-01-01 00:10:00'), ('2024-01-01 02:00:00') as v(t)")
     assert sorted(r["n"] for r in windows.sessions(rows).collect()) == [1, 2]
+
+
+def test_symbol_index(spark, tmp_path):
+    from tessera.sources import symbol_index
+
+    index = {
+        "documents": [
+            {"relative_path": "./a.py", "symbols": [{"symbol": "A", "kind": "Class", "relationships": [{"symbol": "Z", "roles": [1, "TypeDefinition"]}]}], "occurrences": [{"symbol": "A", "symbol_roles": 3}, {"symbol": "local 1", "symbol_roles": 1}]},
+            {"relative_path": "b.py", "occurrences": [{"symbol": "B", "symbol_roles": ["Definition"]}, {"symbol": "A", "symbol_roles": 0}, {"symbol": "E"}]},
+            {"occurrences": [{"symbol": "lost", "symbol_roles": 1}]},
+        ],
+        "external_symbols": [{"symbol": "E", "kind": "UnspecifiedKind"}, {"symbol": "F", "kind": "Function"}],
+    }
+    (tmp_path / "index.json").write_text(json.dumps(index))
+    occ, rel, kinds = symbol_index.read(spark, f"file://{tmp_path}/index.json")
+    assert {tuple(r)[1:] for r in occ.collect()} == {("a.py", "A", "def"), ("a.py", "local 1", "def"), ("b.py", "B", "def"), ("b.py", "A", "ref"), ("b.py", "E", "ref")}
+    assert {tuple(r) for r in rel.collect()} == {("A", "Z", "implements"), ("A", "Z", "type-def")}
+    assert {tuple(r) for r in symbols.symbol_links(occ, rel).collect()} == {("A", "Z", "implements"), ("A", "Z", "type-def"), ("B", "A", "ref"), ("B", "E", "ref")}
+    assert {(r["id"], r["kind"], r["source_file"]) for r in symbols.symbol_nodes(occ, kinds, rel).collect()} == {("A", "class", "a.py"), ("B", "symbol", "b.py"), ("E", "symbol", None), ("F", "function", None)}
+
+
+def test_tracked_files(spark):
+    from tessera.operators import build
+
+    files = spark.createDataFrame([("a",), ("b",)], "path string")
+    assert build.tracked_only(files, None).count() == 2
+    assert build.tracked_only(files, files.where("path = 'a'")).count() == 1
+    nodes = spark.createDataFrame([("x", "A/Secret.py"), ("y", None)], "id string, source_file string")
+    assert [r["id"] for r in build.forbidden_sources(nodes, ("secret",)).collect()] == ["x"]
