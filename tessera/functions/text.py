@@ -44,13 +44,13 @@ def mint(corpus: Column, path: Column, kind: Column) -> Column:
     return F.concat(corpus, F.lit(":"), path, F.lit("#"), slugify(stem(path)), F.lit("-"), slugify(kind))
 
 
-CURIE = r"^([a-z0-9][a-z0-9._-]*):([^#]+)#([a-z0-9]+(?:-[a-z0-9]+)*)$"
+CURIE = r"^([^:#]+):([^#]+)#(.+)$"
 
 
 def decompose(curie: Column) -> Column:
-    """corpus, path, slug and kind (the slug's last part) of an identity; null if it is not one."""
+    """corpus, path, slug and kind (what follows the slug's last -, or nothing) of an identity; null if it is not one."""
     part = lambda k: F.regexp_extract(curie, CURIE, k)
-    return F.when(curie.rlike(CURIE), F.struct(part(1).alias("corpus"), part(2).alias("path"), part(3).alias("slug"), F.element_at(F.split(part(3), "-"), -1).alias("kind")))
+    return F.when(curie.rlike(CURIE), F.struct(part(1).alias("corpus"), part(2).alias("path"), part(3).alias("slug"), F.regexp_extract(part(3), "-([^-]*)$", 1).alias("kind")))
 
 
 def glob_regex(glob: str) -> str:

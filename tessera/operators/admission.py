@@ -10,27 +10,39 @@ from pyspark.sql import functions as F
 from tessera.functions.text import glob_match, hash_bucket, safe_path, suffix
 
 # Texts whose presence marks a canary file.
-MARKERS = ("BEGIN RSA PRIVATE KEY", "BEGIN OPENSSH PRIVATE KEY", "AWS_SECRET_ACCESS_KEY", "ghp_")
-
-
-def last_match(path: Column, rules: Sequence[tuple[str, str]], deny: Sequence[str] = (), default: str = "include") -> Column:
-    """(verdict, rule): a deny glob wins, then the last rule (verb, glob) that matches, then the default."""
-    rule = F.lit("default")
-    verdict = F.lit(default)
+MARKERS = ("BEGIN PRIVATE KEY", "BEGIN RSA PRIVATE KEY", "AWS_ACCESS_KEY_ID=", "api_key =")
+# Globs that are always denied.
+GLOBAL_DENY = (
+    ".git/*", "*/.git/*", "node_modules/*", "*/node_modules/*",
+    ".venv/*", "*/.venv/*", "venv/*", "*/venv/*", "__pycache__/*", "*/__pycache__/*",
+    ".ruff_cache/*", ".next/*", "dist/*", "build/*", "target/*",
+    ".codex/*", ".omp/*", ".opencode/*", ".agents/*", ".goal-state/*", ".beads/*",
+    "data/pg17/*", "*/data/pg17/*",
+    "*.png", "*.jpg", "*.jpeg", "*.gif", "*.webp", "*.ico", "*.woff", "*.woff2", "*.ttf",
+    "*.mp4", "*.mov", "*.mp3", "*.wav", "*.zip", "*.tar", "*.gz", "*.7z",
+    "*.pdf", "*.sqlite", "*.sqlite-*", "*.db", "*.duckdb", "*.parquet", "*.tsv",
+    ".env*", "*.pem", "*.key", "*.p12", "*.pfx", "id_rsa*", "*credential*", "*secret*",
+    "package-lock.json", "*.lock", "uv.lock", "*.jsonl", "*.seq",
+)
+
+
+def last_match(path: Column, rules: Sequence[tuple[str, str]], deny: Sequence[str] = GLOBAL_DENY) -> Column:
+    """(verdict, rule): a deny glob wins, then the last rule (verb, glob) that matches, then include."""
+    rule = F.lit("default-include")
+    verdict = F.lit("include")
     for verb, glob in rules:
         hit = glob_match(path, glob)
-        verdict, rule = F.when(hit, F.lit(verb)).otherwise(verdict), F.when(hit, F.lit(f"{verb} {glob}")).otherwise(rule)
+        verdict, rule = F.when(hit, F.lit(verb)).otherwise(verdict), F.when(hit, F.lit(f"{verb}:{glob}")).otherwise(rule)
     for glob in reversed(deny):
         hit = glob_match(path, glob)
-        verdict, rule = F.when(hit, F.lit("exclude")).otherwise(verdict), F.when(hit, F.lit(f"deny {glob}")).otherwise(rule)
+        verdict, rule = F.when(hit, F.lit("exclude")).otherwise(verdict), F.when(hit, F.lit(f"global-deny:{glob}")).otherwise(rule)
     return F.struct(verdict.alias("verdict"), rule.alias("rule"))
 
 
 def parse_rules(lines: DataFrame) -> DataFrame:
-    """(ord, verb, glob) of the lines (ord, value) of a rule file; blank lines and # comments are left out."""
-    plain = F.trim(F.regexp_replace("value", r"(^|\s)#.*$", ""))
-    rows = lines.select("ord", plain.alias("rule")).where("rule <> ''")
-    return rows.select("ord", F.regexp_extract("rule", r"^(include|exclude)\s+(.+)$", 1).alias("verb"), F.regexp_extract("rule", r"^(include|exclude)\s+(.+)$", 2).alias("glob"))
+    """(ord, verb, glob) of the lines (ord, value) of a rule file; other lines, and those that begin with #, are left out."""
+    rows = lines.select("ord", F.trim("value").alias("rule")).where(F.col("rule").rlike("^(include|exclude) "))
+    return rows.select("ord", F.substring_index("rule", " ", 1).alias("verb"), F.regexp_replace("rule", "^[a-z]+ ", "").alias("glob"))
 
 
 def folders(path: Column) -> Column:
@@ -39,7 +51,7 @@ def folders(path: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
 
 
-def pruned(path: Column, rules: Sequence[tuple[str, str]], deny: Sequence[str] = ()) -> Column:
+def pruned(path: Column, rules: Sequence[tuple[str, str]], deny: Sequence[str] = GLOBAL_DENY) -> Column:
     """Whether a folder above the path matches an exclude rule, or with a slash a deny glob; later includes don't help."""
 
     def out(folder: Column) -> Column:
@@ -121,5 +133,6 @@ def overlapping(paths: DataFrame) -> DataFrame:
 
 
 def target_class(target: Column) -> Column:
-    """How a validator classes a link target that is no node: by the form of its name only."""
-    return F.when(target.rlike(r"^[a-z][a-z0-9+.-]*://"), "external_url").when(target.startswith("/"), "absolute_path").otherwise("conservative_internal_looking")
+    """How a validator classes a link target that is neither a node nor a file. A bare name is taken as a path below the
+    root, so only the folder above the root itself counts as an outside name."""
+    return F.when(target == "..", "external_bare_import").otherwise("conservative_internal_looking")

@@ -50,11 +50,15 @@ def without_provenance(records: DataFrame, inventory: DataFrame) -> DataFrame:
     return records.join(known, F.col("source_file") == F.col("_p"), "left").where(fault.isNotNull()).groupBy(fault.alias("fault")).agg(F.count("*").alias("n"))
 
 
-def link_faults(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(ord, level, class) of links whose ends are missing: a missing source is fatal, a missing target is a classed warning."""
+def link_faults(nodes: DataFrame, links: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """(ord, level, class) of links whose ends are missing: a missing source is fatal, a missing target is a classed
+    warning, unless it is the path of one of files(path)."""
     known = nodes.select(F.col("id").alias("_id"))
     bad = links.join(known, F.col("source") == F.col("_id"), "left_anti").select("ord", F.lit("fatal").alias("level"), F.lit("missing_source").alias("class"))
-    return bad.unionByName(links.join(known, F.col("target") == F.col("_id"), "left_anti").select("ord", F.lit("warning").alias("level"), target_class(F.col("target")).alias("class")))
+    lost = links.join(known, F.col("target") == F.col("_id"), "left_anti").where("target <> ''")
+    if files is not None:
+        lost = lost.join(files.select(F.col("path").alias("_path")), F.col("target") == F.col("_path"), "left_anti")
+    return bad.unionByName(lost.select("ord", F.lit("warning").alias("level"), target_class(F.col("target")).alias("class")))
 
 
 def forbidden_sources(nodes: DataFrame, tokens: Sequence[str]) -> DataFrame:

@@ -19,8 +19,8 @@ from tessera.operators.resolve import resolve
 #: By file name, by ending, and by folder and ending, in the order in which they are looked at.
 BY_NAME: dict[str, Callable[[str, Records], None]] = {"package.json": documents.package_json, "pyproject.toml": documents.pyproject, "go.mod": documents.go_mod}
 BY_ENDING: dict[str, Callable[[str, Records], None]] = {
-    ".py": code.python, ".md": documents.markdown, ".markdown": documents.markdown, ".sh": documents.shell, ".bash": documents.shell, ".go": code.go, ".swift": code.swift,
-    **dict.fromkeys((".ts", ".tsx", ".js", ".jsx", ".mts", ".cts", ".mjs", ".cjs"), code.javascript),
+    ".py": code.python, ".md": documents.markdown, ".markdown": documents.markdown, ".sh": documents.shell, ".bash": documents.shell, ".zsh": documents.shell, ".go": code.go, ".swift": code.swift,
+    **dict.fromkeys(code.JS_EXTENSIONS, code.javascript),
 }
 VERSION = "1"
 
@@ -39,7 +39,7 @@ def extractor_of(path: str) -> Callable[[str, Records], None] | None:
     name = path.rsplit("/", 1)[-1]
     if name in BY_NAME:
         return BY_NAME[name]
-    if path.startswith(".github/workflows/") and name.endswith((".yml", ".yaml")):
+    if name in ("action.yml", "action.yaml") or name.endswith((".yml", ".yaml")) and path.split("/")[-3:-1] == [".github", "workflows"]:
         return documents.workflow
     ending = "." + name.rsplit(".", 1)[1].lower() if "." in name else ""
     return BY_ENDING.get(ending)
@@ -49,12 +49,10 @@ def fragment(path: str, content: bytes) -> dict:
     """The records of one file. A file that can't be read for any reason has no records but its own node."""
     unknown = lambda reason: {"outcome": "unknown", "reason": reason, "nodes": [], "edges": [], "refs": []}
     extract = extractor_of(path)
-    if path.startswith(".github/actions/") and extract is None and path.endswith((".yml", ".yaml")):
-        return Records(path).fragment()
     if extract is None:
         return unknown("unsupported")
     try:
-        text = content.decode("utf-8")
+        text = content.decode("utf-8").removeprefix("\ufeff")
         if any(m in text for m in MARKERS):
             return unknown("forbidden_marker")
         out = Records(path)

@@ -123,7 +123,7 @@ _JS_KINDS = {"function": "function", "class": "class", "interface": "interface",
 _JS_BEFORE = frozenset({"export", "default", "declare", "abstract", "async"})
 _JS_MEMBER = frozenset({"static", "async", "get", "set", "public", "private", "protected", "readonly", "override", "abstract", "declare", "accessor"})
 # Extensions in the order in which they are tried, and what a written extension may stand for.
-JS_EXTENSIONS = (".ts", ".tsx", ".d.ts", ".js", ".jsx", ".mts", ".cts", ".mjs", ".cjs")
+JS_EXTENSIONS = (".ts", ".tsx", ".mts", ".cts", ".js", ".jsx", ".mjs", ".cjs")
 JS_SWAPS = {".js": (".ts", ".tsx"), ".jsx": (".tsx",), ".mjs": (".mts",), ".cjs": (".cts",)}
 
 

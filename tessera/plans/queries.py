@@ -210,7 +210,7 @@ RULES = (("exclude", "src1*"), ("include", "src1/*"), ("exclude", "*/fr/*"), ("i
 @query(
     f"""WITH f AS ({_FILES}) SELECT path,
   CASE WHEN path LIKE '%/de/%' THEN 'exclude' WHEN regexp_matches(path, '[13579]\\.md$') THEN 'exclude' WHEN regexp_matches(path, '/fr/.\\.md$') THEN 'include' WHEN path LIKE '%/fr/%' THEN 'exclude' WHEN path LIKE 'src1/%' THEN 'include' WHEN path LIKE 'src1%' THEN 'exclude' ELSE 'include' END AS verdict,
-  CASE WHEN path LIKE '%/de/%' THEN 'deny */de/*' WHEN regexp_matches(path, '[13579]\\.md$') THEN 'exclude *[13579].md' WHEN regexp_matches(path, '/fr/.\\.md$') THEN 'include */fr/?.md' WHEN path LIKE '%/fr/%' THEN 'exclude */fr/*' WHEN path LIKE 'src1/%' THEN 'include src1/*' WHEN path LIKE 'src1%' THEN 'exclude src1*' ELSE 'default' END AS rule FROM f"""
+  CASE WHEN path LIKE '%/de/%' THEN 'global-deny:*/de/*' WHEN regexp_matches(path, '[13579]\\.md$') THEN 'exclude:*[13579].md' WHEN regexp_matches(path, '/fr/.\\.md$') THEN 'include:*/fr/?.md' WHEN path LIKE '%/fr/%' THEN 'exclude:*/fr/*' WHEN path LIKE 'src1/%' THEN 'include:src1/*' WHEN path LIKE 'src1%' THEN 'exclude:src1*' ELSE 'default-include' END AS rule FROM f"""
 )
 def admit_rules_last_match(spark, sf_dir):
     return _files(spark, sf_dir).select("path", admission.last_match(F.col("path"), RULES, deny=("*/de/*",)).alias("m")).select("path", "m.verdict", "m.rule")
@@ -795,15 +795,16 @@ def coverage_histogram(spark, sf_dir):
     return build.coverage(_t(spark, sf_dir, "documents").select(F.when(F.col("doc_id") % 4 == 0, "unknown").otherwise("structural").alias("coverage")))
 
 
-@query(trade_graph.with_sql("SELECT level, class, count(*) AS n FROM (SELECT 'fatal' AS level, 'missing_source' AS class FROM links l WHERE kind = 'in_nation' AND ord % 5 = 0 UNION ALL SELECT 'warning', 'external_url' FROM links WHERE kind = 'placed_by' AND ord % 9 = 0 UNION ALL SELECT 'warning', 'conservative_internal_looking' FROM links WHERE kind = 'placed_by' AND ord % 9 = 1) GROUP BY ALL"))
+@query(trade_graph.with_sql("SELECT level, class, count(*) AS n FROM (SELECT 'fatal' AS level, 'missing_source' AS class FROM links l WHERE kind = 'in_nation' AND ord % 5 = 0 UNION ALL SELECT 'warning', 'external_bare_import' FROM links WHERE kind = 'placed_by' AND ord % 9 = 0 UNION ALL SELECT 'warning', 'conservative_internal_looking' FROM links WHERE kind = 'placed_by' AND ord % 9 = 1) GROUP BY ALL"))
 def validator_links(spark, sf_dir):
     """Links of which some are given sources and targets that do not exist."""
     nodes, links = _graph(spark, sf_dir)
     k = F.col("ord")
     links = links.withColumn("source", F.when((F.col("kind") == "in_nation") & (k % 5 == 0), "nobody").otherwise(F.col("source")))
     placed = F.col("kind") == "placed_by"
-    links = links.withColumn("target", F.when(placed & (k % 9 == 0), "https://x.org/a").when(placed & (k % 9 == 1), "bare").otherwise(F.col("target")))
-    return build.link_faults(nodes, links).groupBy("level", "class").agg(F.count("*").alias("n"))
+    links = links.withColumn("target", F.when(placed & (k % 9 == 0), "..").when(placed & (k % 9 == 1), "bare").when(placed & (k % 9 == 2), "a/file.py").otherwise(F.col("target")))
+    files = spark.createDataFrame([("a/file.py",)], "path string")
+    return build.link_faults(nodes, links, files).groupBy("level", "class").agg(F.count("*").alias("n"))
 
 
 @query("SELECT fault, count(*) AS n FROM (SELECT CASE WHEN doc_id % 6 = 0 THEN 'no_source_file' WHEN doc_id % 6 = 1 THEN 'not_in_inventory' END AS fault FROM documents) WHERE fault IS NOT NULL GROUP BY fault")

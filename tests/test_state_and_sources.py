@@ -146,7 +146,7 @@ def test_graph_documents(spark, tmp_path):
 def test_rule_files_and_folders(spark, tmp_path):
     from tessera.operators import admission
 
-    (tmp_path / "rules").write_text("# note\ninclude *.py  # all\n\nexclude a/*\n")
+    (tmp_path / "rules").write_text("# note\ninclude *.py\n\n exclude a/* \nother x\n")
     rules = admission.parse_rules(catalogs.text_lines(spark, f"file://{tmp_path}/rules")).orderBy("ord").collect()
     assert [(r["verb"], r["glob"]) for r in rules] == [("include", "*.py"), ("exclude", "a/*")]
     (tmp_path / "d" / "e").mkdir(parents=True)
