@@ -23,7 +23,7 @@ BITS, ORDERS = 16, range(1, 5)
 #: Bounds of the sample that the model is fitted on: rows of each language (about; chosen by a hash of doc_id),
 #: languages, and characters of a sampled text (longer ones are left out of the sample, not cut).
 PER_LANG, MAX_LANGS, MAX_CHARS = 300, 200, 200_000
-LANDMARKS, RIDGE = 256, 1e-3
+LANDMARKS, RIDGE = 128, 1e-3
 UNKNOWN = "und"
 
 
@@ -50,15 +50,17 @@ class LanguageModel:
         names = sorted(set(langs))
         if not names:
             return cls([], np.zeros((1 << BITS, 0), np.float32))
-        x = _scaled(_rows([common.letter_runs(t) for t in texts]))
+        runs = [common.letter_runs(t) for t in texts]
         y = np.array([[float(a == b) for b in names] for a in langs])
         seen: dict[str, int] = {}
         turn = [(seen.__setitem__(a, seen.get(a, -1) + 1), seen[a])[1] for a in langs]
         chosen = np.lexsort((np.arange(len(langs)), turn))[:landmarks]
-        marks = x[chosen]
-        k = (x @ marks.T).astype(np.float64)
-        among = (marks @ marks.T).astype(np.float64)
-        a = np.linalg.solve(k.T @ k + ridge * len(x) * among + 1e-6 * np.eye(len(among)), k.T @ y)
+        marks = _scaled(_rows([runs[c] for c in chosen]))
+        seen = np.flatnonzero(marks.any(0))  # what no landmark has adds nothing to a product with one
+        some = np.ascontiguousarray(marks[:, seen].T)
+        k = np.concatenate([_scaled(_rows(runs[a : a + 64]))[:, seen] @ some for a in range(0, len(runs), 64)]).astype(np.float64)
+        among = (some.T @ some).astype(np.float64)
+        a = np.linalg.solve(k.T @ k + ridge * len(runs) * among + 1e-6 * np.eye(len(among)), k.T @ y)
         return cls(names, (marks.T @ a).astype(np.float32))
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:

@@ -50,10 +50,11 @@ class ToxicityModel:
         flat = np.concatenate(rows)
         doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
         df = np.bincount(flat, minlength=size)
-        p = ALPHA + np.bincount(flat, weights=y[doc], minlength=size)
-        q = ALPHA + np.bincount(flat, weights=(1 - y)[doc], minlength=size)
+        p = ALPHA + np.bincount(np.concatenate([r for r, t in zip(rows, y, strict=True) if t]), minlength=size)
+        q = 2 * ALPHA + df - p
         ratio = np.log(p / (y.sum() + 2 * ALPHA)) - np.log(q / ((1 - y).sum() + 2 * ALPHA))
         # n-grams whose ratio is within the noise of their counts tell nothing, and there are very many of them
+        del rows
         ratio = np.where((df >= LEAST_DOCS) & (np.abs(ratio) >= LEAST_Z * np.sqrt(1 / p + 1 / q)), ratio, 0)
         keep = ratio[flat] != 0
         flat, doc = flat[keep], doc[keep]
