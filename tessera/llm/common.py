@@ -1,9 +1,7 @@
-"""Helpers shared by the training-data operators: scratch tables and vectorised text arrays."""
+"""Helpers shared by the training-data operators: tables of documents and vectorised text arrays."""
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import drop, materialise, scratch, shared_dir
+
+__all__ = ["blocks", "code_points", "drop", "fold", "gram_slots", "letter_runs", "letters", "materialise", "raw", "scratch", "shared_dir", "slim", "slim_batches", "table", "whole"]
+
 #: A word, in every operator: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Largest number of text bytes that the vectorised kernels handle at once.
@@ -24,42 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Where it is unset, a local master gets a folder of its own; a cluster must name one.
-    """
-    known = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", "")
-    if known:
-        return known.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = f"/tmp/checkpoints/{os.getuid()}"
-    spark.conf.set("spark.checkpoint.dir", own)
-    spark.sparkContext.setCheckpointDir(own)
-    return own
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Cuts the lineage: writes df as Parquet to the shared folder and reads it back."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop(spark: SparkSession, path: str) -> None:
-    """Deletes a scratch table, by whatever file system it is in."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def slim(docs: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that no other column of docs can clash with what an operator adds."""
     return slim_batches(docs.select(*[F.col(n) for n in names]))
