@@ -81,7 +81,7 @@ class PieceMemo:
         self.pieces = b
         if 2 * b > len(self.keys):
             old, numbers, used = self.keys, self.numbers, self.keys != 0
-            self._table(self.bits + 2)
+            self._table(self.bits + 1)
             self._insert(old[used], numbers[used])
         self._insert(key, np.arange(a, b))
 
