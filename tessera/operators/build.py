@@ -95,3 +95,58 @@ def governed_blocks(lines: DataFrame, marker: str = r"^<!-- negative-boundary: (
     part = lambda k: F.max(F.when(F.col("mark"), F.nullif(F.regexp_extract("value", marker, k), F.lit(""))))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~F.col("mark"), F.struct("ord", F.trim("value").alias("t"))))), lambda x: x["t"]), " ")
     return rows.where("ended = 0").groupBy("path", "block").agg(F.max(F.when(F.col("mark"), F.col("section"))).alias("section"), part(1).alias("boundary"), part(2).alias("status"), part(3).alias("claims"), F.min("ord").alias("line"), text.alias("statement")).drop("block")
+
+
+def run_counts(current: DataFrame, previous: DataFrame, reused: DataFrame) -> DataFrame:
+    """One row of counts for a repository's run: current and previous(slice, path, blob_oid), and slices reused(slice).
+
+    A rename counts as one path added and one deleted.
+    """
+    c = current.select(F.col("path").alias("_c"), F.col("blob_oid").alias("_cb"))
+    p = previous.select(F.col("path").alias("_p"), F.col("blob_oid").alias("_pb"))
+    has, had = F.col("_c").isNotNull(), F.col("_p").isNotNull()
+    files = c.join(p, F.col("_c") == F.col("_p"), "full_outer").agg(
+        F.count_if(has).alias("admitted"), F.count_if(has & ~had).alias("added"), F.count_if(has & had & (F.col("_cb") != F.col("_pb"))).alias("modified"), F.count_if(had & ~has).alias("deleted"), F.count_if(has & had & (F.col("_cb") == F.col("_pb"))).alias("unchanged")
+    )
+    now, then = (x.select("slice").distinct() for x in (current, previous))
+    slices = now.join(reused.select("slice", F.lit(True).alias("_r")), "slice", "left").agg(F.count("*").alias("slices"), F.count("_r").alias("slices_reused"))
+    gone = then.join(now, "slice", "left_anti").agg(F.count("*").alias("slices_removed"))
+    return files.crossJoin(F.broadcast(slices)).crossJoin(F.broadcast(gone)).withColumn("slices_built", F.col("slices") - F.col("slices_reused"))  # one row each
+
+
+def observed(rows: DataFrame) -> DataFrame:
+    """rows(snapshot_head, head_before, head_after, status_before, status_after, target_head) with the outcome of an observation.
+
+    status is the listing of what isn't committed. An unstable source comes before a dirty one, that before another
+    head, and a clean match before the target is held against it.
+    """
+    stable = F.col("head_before").eqNullSafe(F.col("head_after")) & F.col("status_before").eqNullSafe(F.col("status_after")) & F.col("head_after").isNotNull()
+    other = F.col("target_head").isNotNull() & (F.col("target_head") != F.col("snapshot_head"))
+    outcome = F.when(~stable, "unstable_source").when(F.col("status_before") != "", "dirty_source").when(F.col("snapshot_head") != F.col("head_before"), "head_mismatch").when(other, "target_mismatch").otherwise("clean_head_match")
+    return rows.withColumn("outcome", outcome).withColumn("qualified", F.col("outcome") == "clean_head_match")
+
+
+def slicing_faults(rules: DataFrame, most_slices: int = 128, most_buckets: int = 64) -> DataFrame:
+    """(ord, fault) of slice rules(ord, prefix, name, buckets): bad or repeated prefixes and names, too many slices."""
+    from tessera.functions.text import safe_path
+
+    seen = lambda c: F.count("*").over(Window.partitionBy(c)) > 1
+    faults = F.array_compact(
+        F.array(
+            F.when(~F.col("prefix").endswith("/") | ~safe_path(F.regexp_replace("prefix", "/$", "")), "prefix"),
+            F.when(F.col("same_prefix"), "repeated_prefix"),
+            F.when(~F.col("name").rlike("^[a-z0-9][a-z0-9_-]{0,31}$") | (F.col("name") == "rest"), "name"),
+            F.when(F.col("same_name"), "repeated_name"),
+            F.when(~F.col("buckets").between(1, most_buckets), "buckets"),
+        )
+    )
+    each = rules.withColumn("same_prefix", seen("prefix")).withColumn("same_name", seen("name")).select("ord", F.explode(faults).alias("fault"))
+    total = rules.agg((F.sum(F.coalesce("buckets", F.lit(1))) + 1).alias("n")).where(F.col("n") > most_slices)
+    return each.unionByName(total.select(F.lit(-1).cast("int").alias("ord"), F.lit("slices").alias("fault")))
+
+
+def set_faults(files: DataFrame, states: DataFrame) -> DataFrame:
+    """(slice, fault) of states(slice, n_files, n_bytes): records that don't agree with files(slice, bytes), or lack one side."""
+    sums = files.groupBy(F.col("slice").alias("_s")).agg(F.count("*").alias("_n"), F.sum("bytes").alias("_b"))
+    fault = F.when(F.col("_s").isNull(), "no_files").when(F.col("slice").isNull(), "no_state").when((F.col("n_files") != F.col("_n")) | (F.col("n_bytes") != F.col("_b")), "other_counts")
+    return states.join(sums, F.col("slice") == F.col("_s"), "full_outer").select(F.coalesce("slice", "_s").alias("slice"), fault.alias("fault")).where("fault is not null")

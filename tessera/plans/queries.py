@@ -828,6 +828,38 @@ def wave_summary(spark, sf_dir):
     return build.wave_summary(n.select(F.col("n_name").alias("corpus"), F.element_at(F.array(F.lit("passed"), F.lit("failed"), F.lit("skipped")), (F.col("n_nationkey") % 3 + 1).cast("int")).alias("outcome")))
 
 
+@query(
+    _CHANGES
+    + """SELECT (SELECT count(*) FROM d) AS admitted, count(*) FILTER (WHERE change = 'added') AS added, count(*) FILTER (WHERE change = 'modified') AS modified, count(*) FILTER (WHERE change = 'deleted') AS deleted, count(*) FILTER (WHERE change = 'unchanged') AS unchanged,
+  (SELECT count(DISTINCT repository) FROM d) AS slices, CAST(1 AS BIGINT) AS slices_reused, CAST(1 AS BIGINT) AS slices_removed, (SELECT count(DISTINCT repository) FROM d) - 1 AS slices_built FROM c"""
+)
+def run_counts(spark, sf_dir):
+    now, then = _versions(spark, sf_dir)
+    now, then = (x.select(F.col("repository").alias("slice"), "path", F.col("sha256").alias("blob_oid")) for x in (now, then))
+    then = then.withColumn("slice", F.when(F.col("path").startswith("gone/"), "gone").otherwise(F.col("slice")))
+    return build.run_counts(now, then, spark.createDataFrame([("src0",)], "slice string"))
+
+
+@query("SELECT * FROM (VALUES (0, 'clean_head_match', TRUE), (1, 'unstable_source', FALSE), (2, 'dirty_source', FALSE), (3, 'head_mismatch', FALSE), (4, 'target_mismatch', FALSE)) AS v(k, outcome, qualified)")
+def source_observed(spark, sf_dir):
+    rows = [(0, "h", "h", "h", "", "", "h"), (1, "h", "h", "i", "", "", None), (2, "x", "h", "h", "M a", "M a", None), (3, "x", "h", "h", "", "", "x"), (4, "h", "h", "h", "", "", "t")]
+    df = spark.createDataFrame(rows, "k int, snapshot_head string, head_before string, head_after string, status_before string, status_after string, target_head string")
+    return build.observed(df).select("k", "outcome", "qualified")
+
+
+@query("SELECT * FROM (VALUES (1, 'prefix'), (2, 'repeated_prefix'), (3, 'repeated_prefix'), (3, 'name'), (4, 'repeated_name'), (5, 'repeated_name'), (6, 'buckets'), (-1, 'slices')) AS v(ord, fault)")
+def slicing_policy(spark, sf_dir):
+    rows = [(0, "a/", "a", 4), (1, "../b", "b", None), (2, "c/", "c", None), (3, "c/", "rest", None), (4, "d/", "d", None), (5, "e/", "d", None), (6, "f/", "f", 200)]
+    return build.slicing_faults(spark.createDataFrame(rows, "ord int, prefix string, name string, buckets int"))
+
+
+@query("SELECT * FROM (VALUES ('de', 'other_counts'), ('es', 'no_state'), ('gone', 'no_files')) AS v(slice, fault)")
+def slice_set_agreement(spark, sf_dir):
+    files = _t(spark, sf_dir, "documents").select(F.col("lang").alias("slice"), F.octet_length("text").cast("long").alias("bytes"))
+    states = files.groupBy("slice").agg(F.count("*").alias("n_files"), F.sum("bytes").alias("n_bytes")).where("slice <> 'es'").withColumn("n_bytes", F.col("n_bytes") + (F.col("slice") == "de").cast("long"))
+    return build.set_faults(files, states.unionByName(spark.createDataFrame([("gone", 1, 1)], "slice string, n_files bigint, n_bytes bigint")))
+
+
 @query("SELECT * FROM (VALUES ('a.md', 'One', 'B1', 'open', 'none', 2, 'first second'), ('a.md', 'Two', 'B2', 'held', 'C1,C2', 7, 'third'), ('a.md', 'Two', 'B3', 'open', 'none', 9, 'fourth')) AS v(path, section, boundary, status, claims, line, statement)")
 def dq_governed_blocks(spark, sf_dir):
     lines = ["## One", "text", "<!-- negative-boundary: B1 status=open claims=none -->", "first ", " second", "", "## Two", "<!-- negative-boundary: B2 status=held claims=C1,C2 -->", "third", "<!-- negative-boundary: B3 status=open claims=none -->", "fourth", "| table |", "after"]

@@ -161,3 +161,11 @@ def staged(wanted: DataFrame, contents: DataFrame) -> DataFrame:
     """wanted(path, sha256) with the content that has that digest, and is what it says."""
     sound = contents.where(F.sha2("content", 256) == F.col("sha256"))
     return wanted.join(sound.select("path", "sha256", "content"), ["path", "sha256"], "left")
+
+
+def verified_archives(spark: SparkSession, entries: DataFrame, folder: str) -> DataFrame:
+    """(archive, fault) of catalogue entries whose archive below a folder is missing, or has another size or digest."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar.gz").load(folder)
+    f = found.select(F.element_at(F.split("path", "/"), -1).alias("_a"), F.col("length").alias("_n"), F.sha2("content", 256).alias("_s"))
+    fault = F.when(F.col("_a").isNull(), "missing").when(F.col("_n") != F.col("bytes"), "other_size").when(F.col("_s") != F.col("sha256"), "other_content")
+    return entries.join(f, F.col("archive") == F.col("_a"), "left").select("archive", fault.alias("fault")).where("fault is not null")

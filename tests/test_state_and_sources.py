@@ -200,3 +200,11 @@ def test_tracked_files(spark):
     assert build.tracked_only(files, files.where("path = 'a'")).count() == 1
     nodes = spark.createDataFrame([("x", "A/Secret.py"), ("y", None)], "id string, source_file string")
     assert [r["id"] for r in build.forbidden_sources(nodes, ("secret",)).collect()] == ["x"]
+
+
+def test_archives_are_what_the_catalogue_says(spark, tmp_path):
+    digest, raw = catalogs.pack({"a.json": b"{}"})
+    for name in ("x", "y", "z"):
+        (tmp_path / f"{name}.tar.gz").write_bytes(raw)
+    entries = spark.createDataFrame([("x.tar.gz", digest, len(raw)), ("y.tar.gz", "0", len(raw)), ("z.tar.gz", digest, 1), ("w.tar.gz", digest, 1)], "archive string, sha256 string, bytes long")
+    assert {tuple(r) for r in catalogs.verified_archives(spark, entries, f"file://{tmp_path}").collect()} == {("y.tar.gz", "other_content"), ("z.tar.gz", "other_size"), ("w.tar.gz", "missing")}
