@@ -78,7 +78,10 @@ class ToxicityModel:
 
 
 def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, folds: int = 3) -> ToxicityModel:
-    """Fits on a bounded sample of labels(doc_id, toxic) with their docs(doc_id, text), outside the held-out fold."""
+    """Fits on a bounded sample of labels(doc_id, toxic) with their docs(doc_id, text), outside the held-out fold.
+
+    A doc_id with several labels counts as toxic if one of them says so; labels without a doc_id or a 0 or 1 are left out.
+    """
     marks = common.slim(labels, "doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null")
     if held_out_fold is not None:
         marks = marks.where(common.fold("doc_id", folds) != held_out_fold)
@@ -87,7 +90,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, fol
     for r in marks.groupBy("toxic").count().collect():
         wanted |= (F.col("toxic") == r["toxic"]) & (dice < int(min(1.0, PER_CLASS / r["count"]) * (1 << 30)))
     # at most about 2 * PER_CLASS rows of two numbers each
-    chosen = marks.where(wanted).select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    chosen = marks.where(wanted).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     texts = common.slim(docs, "doc_id", "text").where(F.length("text") <= MAX_CHARS)
     sample = texts.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(4 * PER_CLASS).collect()
     return ToxicityModel.fit([r["text"] for r in sample], [r["toxic"] for r in sample])

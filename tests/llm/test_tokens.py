@@ -15,7 +15,9 @@ def _texts(count=1500, seed=3):
     draw = random.Random(seed)
     signs = "  \t\n abcdethein▁_é×日😀-.,'123<0x0A></s>\x01\x00ʼ\xa0\x1c"
     made = ["".join(draw.choice(signs) for _ in range(draw.randint(0, 200))) for _ in range(count)]
-    return [*made, "", *(" " * n for n in range(40)), *("a" * n for n in range(60)), *(" " * n + "the" for n in range(20)), "the" * 2000, "don't we'll 12 3", "trail ", "x<|endoftext|>y <|endoftext|>"]
+    seams = "  \n\n\t ab'st.,!@1é\xa0\u3000(){}ÀC×"
+    made += ["".join(draw.choice(seams) for _ in range(draw.randint(1, 50))) for _ in range(4 * count)]
+    return [*made, "line1\nline2", "a.\n\nb", "it's a'll", "x\n", "x\n y", "foo(bar)[0].baz", "a\n\xa0b", "", *(" " * n for n in range(40)), *("a" * n for n in range(60)), *(" " * n + "the" for n in range(20)), "the" * 2000, "don't we'll 12 3", "trail ", "x<|endoftext|>y <|endoftext|>"]
 
 
 def _blocks(texts, size):
