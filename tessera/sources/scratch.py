@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Where it is unset, a local master gets a folder of its own; a cluster must name one.
+    Where it is unset, a local master gets a folder that goes with its process; a cluster must name one.
     """
     known = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", "")
     if known:
         return known.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = f"/tmp/checkpoints/{os.getuid()}"
+    own = f"/tmp/checkpoints/{os.getuid()}-{os.getpid()}"
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", own)
     spark.sparkContext.setCheckpointDir(own)
     return own
