@@ -1,14 +1,18 @@
-"""Tables in the folder that the driver and all executors share."""
+"""Tables in the folder that the driver and all executors share; they go when the driver ends, or with clear()."""
 
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[str] = []
+_jvm = None
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
@@ -27,9 +31,25 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def _delete(jvm, path: str) -> None:
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(at, True)
+
+
+def _sweep() -> None:
+    for path in _made:
+        with contextlib.suppress(Exception):  # the driver is ending; what can't be deleted stays
+            _delete(_jvm, path)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder. No table outlives the driver, for only its DataFrames read it."""
+    global _jvm
+    if _jvm is None:
+        atexit.register(_sweep)
+    _jvm = spark.sparkContext._jvm
+    _made.append(f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
 
 
 def materialise(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
@@ -44,3 +64,9 @@ def drop(spark: SparkSession, path: str) -> None:
     """Deletes a scratch table, by whatever file system it is in."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes all scratch tables so far. DataFrames that read them can't be used any more."""
+    while _made:
+        drop(spark, _made.pop())
