@@ -28,7 +28,7 @@ class PieceMemo:
     than the same bytes later.
     """
 
-    def __init__(self, cuts: Callable[[np.ndarray], np.ndarray], encode_many: Callable[..., tuple[np.ndarray, np.ndarray]], apart: bool = False, max_pieces: int = 1_000_000, max_bytes: int = 32_000_000):
+    def __init__(self, cuts: Callable[[np.ndarray], np.ndarray], encode_many: Callable[..., tuple[np.ndarray, np.ndarray]], apart: bool = False, max_pieces: int = 520_000, max_bytes: int = 24_000_000):
         self.cuts, self.encode_many, self.apart, self.max_pieces, self.max_bytes = cuts, encode_many, apart, max_pieces, max_bytes
         self._clear()
 

@@ -28,6 +28,12 @@ ROW_GROUP, PAGE = 16 << 20, 256 << 10
 # ends in one of the bytes below after the byte C3.
 _PLAIN = np.zeros(256, bool)
 _PLAIN[0x21:0x7F] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+_SIGN = _PLAIN & ~_LETTER
+_SIGN[ord("0") : ord("9") + 1] = False
+_OPENS = _PLAIN.copy()  # first bytes of characters that are no white space
+_OPENS[0xC3] = True
 _LATIN = np.zeros(256, bool)
 _LATIN[0x80:0xC0] = True
 _LATIN[[0x97, 0xB7]] = False  # the signs for times and divided by
@@ -41,8 +47,13 @@ def _safe(body: np.ndarray) -> np.ndarray:
 
 
 def _cuts(body: np.ndarray) -> np.ndarray:
+    """Where the library's own splitting always cuts: after a safe character before a space, or before a line end that
+    no other white space follows; and between an ASCII letter and an ASCII sign."""
     out = body == 32
+    if len(body) > 2:
+        out[1:-1] |= (body[1:-1] == 10) & _OPENS[body[2:]]
     out[1:] &= _safe(body)[:-1]
+    out[1:] |= _SIGN[body[1:]] & _LETTER[body[:-1]]
     out[0] = True
     return out
 
@@ -69,20 +80,29 @@ class TextEncoder:
             self.lengths[i] = len(token)
 
     def _many(self, body: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces between two cuts go to the library as one text; the bytes of its tokens show where each ends."""
-        apart = (body[start] == 32) & (end - start > 1) & _safe(body)[end - 1]
+        """Pieces between two cuts go to the library as one text; the bytes of its tokens show where each ends.
+
+        A piece that begins with a sign gets a letter before it, after which it would have been cut off.
+        """
+        opens, size = body[start], end - start
+        second = body[np.minimum(start + 1, len(body) - 1)]
+        sign = _SIGN[opens]
+        apart = _safe(body)[end - 1] & (sign | (size > 1) & ((opens == 32) | (opens == 10) & _OPENS[second]))
         order = np.concatenate([np.flatnonzero(apart), np.flatnonzero(~apart)])
-        raw, size = body.tobytes(), (end - start)[order]
-        bits = [raw[a:b] for a, b in zip(start[order].tolist(), end[order].tolist(), strict=True)]
-        m = int(apart.sum())
+        raw, m = body.tobytes(), int(apart.sum())
+        lead = sign[order] & (np.arange(len(order)) < m)
+        bits = [(b" a" + raw[a:b]) if x else raw[a:b] for a, b, x in zip(start[order].tolist(), end[order].tolist(), lead.tolist(), strict=True)]
         texts = [b"".join(bits[a : min(a + 1000, m)]).decode() for a in range(0, m, 1000)] + [x.decode() for x in bits[m:]]
         flat = np.concatenate([np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
-        upto = np.searchsorted(np.cumsum(self.lengths[flat]), np.cumsum(size), "right")
+        ends = np.cumsum(size[order] + 2 * lead)
+        at = np.cumsum(self.lengths[flat])
+        upto, since = np.searchsorted(at, ends, "right"), np.searchsorted(at, ends - size[order], "right")
         n = np.zeros(len(start), np.int64)
-        n[order] = np.diff(upto, prepend=0)
+        n[order] = upto - since
         back = np.cumsum(n) - n
-        out = np.empty(len(flat), np.int32)
-        out[np.repeat(back[order] - (upto - n[order]), n[order]) + np.arange(len(flat))] = flat
+        out = np.empty(int(n.sum()), np.int32)
+        step = np.arange(len(out)) - np.repeat(np.cumsum(n[order]) - n[order], n[order])
+        out[np.repeat(back[order], n[order]) + step] = flat[np.repeat(since, n[order]) + step]
         return out, n
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
