@@ -591,10 +591,16 @@ def _vectors(spark, sf_dir) -> DataFrame:
     return _t(spark, sf_dir, "embeddings").select(F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("chunk_id"), F.col("embedding").alias("vec"))
 
 
-@query("SELECT 'v' || vec_id AS chunk_id, len(embedding) AS dims, 127 AS largest FROM embeddings")
+@query(
+    """WITH s AS (SELECT vec_id, embedding, CAST(greatest(list_max(list_transform(embedding, lambda x: abs(x))), CAST(1e-12 AS FLOAT)) / CAST(127 AS FLOAT) AS FLOAT) AS scale FROM embeddings),
+q AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(greatest(-127, least(127, round_even(CAST(x / scale AS FLOAT), 0))) AS BIGINT)) AS q FROM s)
+SELECT 'v' || vec_id AS chunk_id, len(q) AS dims, CAST(list_sum(q) AS BIGINT) AS total, CAST(list_sum(list_transform(q, lambda x, i: x * i)) AS BIGINT) AS weighted, CAST(list_max(list_transform(q, lambda x: abs(x))) AS BIGINT) AS largest FROM q"""
+)
 def vec_int8(spark, sf_dir):
-    v = vectors.twins(_vectors(spark, sf_dir))
-    return v.select("chunk_id", F.size("vec_int8").cast("long").alias("dims"), F.array_max(F.transform("vec_int8", lambda x: F.abs(x.cast("int")))).alias("largest"))
+    """The quantised vectors by three sums each."""
+    q = vectors.twins(_vectors(spark, sf_dir)).select("chunk_id", F.transform("vec_int8", lambda x: x.cast("long")).alias("q"))
+    total = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, v: a + v)
+    return q.select("chunk_id", F.size("q").cast("long").alias("dims"), total(F.col("q")).alias("total"), total(F.transform("q", lambda x, i: x * (i + 1))).alias("weighted"), F.array_max(F.transform("q", F.abs)).alias("largest"))
 
 
 @query("SELECT 'v' || vec_id AS chunk_id, CAST(len(list_filter(embedding, lambda x: x > 0)) AS BIGINT) AS ones, CAST(embedding[1] > 0 AS BOOLEAN) AS first FROM embeddings")
