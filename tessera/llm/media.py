@@ -171,7 +171,7 @@ def document_pages(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     rows = common.slim(docs, "doc_id", "text").withColumn("payload", payload(F.col("text"))).withColumn("digest", F.sha2("payload", 256))
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    html = F.concat(F.lit("<article><h1>Document "), name, F.lit('</h1><figure><img src="sha256:'), F.col("digest"), F.lit('" data-bytes="'), F.octet_length(F.coalesce("text", F.lit(""))).cast("string"), F.lit('"><figcaption>Bytes of document '), name, F.lit("</figcaption></figure></article>"))
+    html = F.concat(F.lit("<article><h1>Document "), name, F.lit('</h1><figure><img src="sha256:'), F.col("digest"), F.lit('" data-bytes="'), F.octet_length(F.coalesce("text", F.lit(""))).cast("string"), F.lit('"><figcaption>The bytes of the text, '), F.octet_length(F.coalesce("text", F.lit(""))).cast("string"), F.lit(" of them</figcaption></figure></article>"))
     return rows.select("doc_id", html.alias("html")), rows.select("digest", image(F.col("payload")).alias("media"))
 
 

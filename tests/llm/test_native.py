@@ -105,7 +105,7 @@ def test_media_round_trip(spark):
         stored = f"P5\n192 {len(padded) // 192}\n255\n".encode() + padded
         wanted.append((doc_id, len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), media.feature(media.samples_of(stored))))
     assert sorted(repr(tuple(r)[:8]) for r in found) == sorted(map(repr, wanted))
-    assert all(r["caption"] == f"Bytes of document {'' if r['doc_id'] is None else r['doc_id']}".strip() and r["position"] == 1 for r in found)
+    assert all(r["caption"] == f"The bytes of the text, {r['n_bytes']} of them" and r["position"] == 1 for r in found)
 
 
 def test_pages_keep_order_positions_and_captions(spark):
