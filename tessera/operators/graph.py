@@ -53,9 +53,11 @@ def listing(entries: DataFrame, empty: DataFrame) -> DataFrame:
     return entries.withColumn("status", F.lit("selected")).unionByName(empty, allowMissingColumns=True)
 
 
-def _need(nodes: DataFrame, node_id: str, what: str) -> None:
-    if not nodes.where(F.col("id") == node_id).take(1):
-        raise ValueError(f"{what} node absent: {node_id}")
+def _need(nodes: DataFrame, **ends: str) -> None:
+    found = {r["id"] for r in nodes.where(F.col("id").isin(*ends.values())).select("id").distinct().collect()}
+    for what, node_id in ends.items():
+        if node_id not in found:
+            raise ValueError(f"{what} node absent: {node_id}")
 
 
 def neighbors(nodes: DataFrame, links: DataFrame, start: str, direction: str = "both", depth: int = 1, limit: int = 50, max_explored: int = 10_000) -> DataFrame:
@@ -66,7 +68,7 @@ def neighbors(nodes: DataFrame, links: DataFrame, start: str, direction: str = "
     """
     if depth not in (1, 2):
         raise ValueError("depth is 1 or 2")
-    _need(nodes, start, "start")
+    _need(nodes, start=start)
     adj = adjacency(links, direction)
     cap = min(limit, max_explored)
     first = adj.where(F.col("node") == start).withColumn("k", F.lit(0).cast("long")).withColumn("depth", F.lit(1))
@@ -103,8 +105,7 @@ def find_path(nodes: DataFrame, links: DataFrame, start: str, target: str, max_h
     discovery makes a node known: the least list of link positions from the start on."""
     if not 0 <= max_hops <= 12:
         raise ValueError("max_hops is 0 to 12")
-    _need(nodes, start, "start")
-    _need(nodes, target, "target")
+    _need(nodes, start=start, target=target)
     if start == target:
         return Path("ok", [start], 0)
     spark = nodes.sparkSession
@@ -113,8 +114,9 @@ def find_path(nodes: DataFrame, links: DataFrame, start: str, target: str, max_h
     known, explored = frontier.select("node"), 0
     for _ in range(max_hops):
         seen = materialise(adj.join(frontier, "node").select("next", "way", F.concat("turns", F.array("ord")).alias("at")), "walk")
-        hits = seen.where(F.col("next") == target).agg(F.min(F.struct("at", "way")).alias("m")).first()["m"]
-        looked = seen.where(F.col("at") <= F.array(*[F.lit(x).cast("long") for x in hits["at"]])).count() if hits else seen.count()
+        hits, looked = seen.agg(F.min(F.when(F.col("next") == target, F.struct("at", "way"))), F.count("*")).first()
+        if hits:  # the walk ends at the link that reaches the target
+            looked = seen.where(F.col("at") <= F.array(*[F.lit(x).cast("long") for x in hits["at"]])).count()
         if explored + looked > max_explored:
             return Path("exploration_exhausted", [], max_explored)
         explored += looked
@@ -125,7 +127,7 @@ def find_path(nodes: DataFrame, links: DataFrame, start: str, target: str, max_h
         frontier = materialise(new.select(F.col("next").alias("node"), F.concat("m.way", F.array("next")).alias("way"), F.col("m.at").alias("turns")), "frontier")
         if not frontier.take(1):
             return Path("no_path", [], explored)
-        known = materialise(known.unionByName(frontier.select("node")), "known")
+        known = known.unionByName(frontier.select("node"))
     onward = adj.join(frontier, "node", "left_semi").join(known.withColumnRenamed("node", "next"), "next", "left_anti")
     return Path("no_path_within_hop_limit" if onward.take(1) else "no_path", [], explored)
 
