@@ -422,7 +422,7 @@ def cache_reuse_split(spark, sf_dir):
     d = _t(spark, sf_dir, "documents")
     key = state.fragment_key(F.concat_ws("/", "source", F.col("doc_id").cast("string")), F.sha2("text", 256), "schema/1", "structural/2", "extractor/1")
     wanted = d.select("doc_id", key.alias("key_sha256"))
-    cache = d.where("doc_id % 5 <> 0").select(key.alias("key_sha256"), F.substring("text", 1, 20).alias("payload"), F.when(F.col("doc_id") % 5 == 1, F.lit("0")).otherwise(F.sha2(F.substring("text", 1, 20), 256)).alias("payload_sha256"))
+    cache = d.where("doc_id % 5 <> 0").select(key.alias("key_sha256"), F.col("text").alias("payload"), F.when(F.col("doc_id") % 5 == 1, F.lit("0")).otherwise(F.sha2("text", 256)).alias("payload_sha256"))
     return state.reuse(wanted, cache).select("doc_id", "outcome")
 
 
@@ -496,17 +496,13 @@ def commit_relation(spark, sf_dir):
 
 # --- entity resolution -----------------------------------------------------------------------------------------------
 
-_NAMES = r"""WITH names AS (SELECT doc_id AS i, {name} AS name FROM documents), norms AS (
+_NAMES = r"""WITH names AS (SELECT p_partkey AS i, p_name AS name FROM part), norms AS (
   SELECT i, name, trim(regexp_replace(regexp_replace(lower(name), '[^\p{L}\p{N}_\s]+', ' ', 'g'), '\s+', ' ', 'g')) AS norm FROM names
 ), token AS (SELECT i, array_to_string(list_sort(string_split(norm, ' ')), ' ') AS key FROM norms
 ), gram AS (SELECT DISTINCT i, substr(norm, CAST(k AS BIGINT), 3) AS key FROM (SELECT i, norm, unnest(range(1, len(norm) - 1)) AS k FROM norms)
 ), ranked AS (SELECT i, row_number() OVER (ORDER BY norm, i) AS r FROM norms)"""
 
 
-_PLAIN_NAMES = _NAMES.replace("{name}", "regexp_replace(text[:60], '[^\\x00-\\x7F]', '?', 'g')")
-_NAMES = _NAMES.replace("{name}", "text[:60]")
-
-
 def _pairs(keyed: str) -> str:
     return f"SELECT DISTINCT a.i AS l, b.i AS r FROM {keyed} a JOIN {keyed} b USING (key) WHERE a.i < b.i AND key IN (SELECT key FROM {keyed} GROUP BY key HAVING count(*) BETWEEN 2 AND 500)"
 
@@ -515,8 +511,7 @@ _SNM = "SELECT DISTINCT least(a.i, b.i) AS l, greatest(a.i, b.i) AS r FROM ranke
 
 
 def _names(spark, sf_dir) -> DataFrame:
-    """The first 60 characters of every document stand for names: long enough to tell them apart, as a name field is."""
-    return _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("i"), F.substring("text", 1, 60).alias("name"))
+    return _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("i"), F.col("p_name").alias("name"))
 
 
 @query(
@@ -545,11 +540,9 @@ def er_snm_pairs(spark, sf_dir):
     return entity.neighborhood_pairs(entity.normalized(_names(spark, sf_dir)))
 
 
-@query(_PLAIN_NAMES + f", pairs AS ({_pairs('token')} UNION {_pairs('gram')} UNION {_SNM}) SELECT l, r, round(jaro_winkler_similarity(a.name, b.name), 9) AS score FROM pairs JOIN names a ON a.i = l JOIN names b ON b.i = r WHERE jaro_winkler_similarity(a.name, b.name) >= 0.85")
+@query(_NAMES + f", pairs AS ({_pairs('token')} UNION {_pairs('gram')} UNION {_SNM}) SELECT l, r, round(jaro_winkler_similarity(a.name, b.name), 9) AS score FROM pairs JOIN names a ON a.i = l JOIN names b ON b.i = r WHERE jaro_winkler_similarity(a.name, b.name) >= 0.85")
 def er_candidates_jw(spark, sf_dir):
-    """With ? for characters outside ASCII, for the SQL function compares bytes and the operator compares characters."""
-    plain = _names(spark, sf_dir).withColumn("name", F.regexp_replace("name", r"[^\x00-\x7F]", "?"))
-    return entity.candidates(plain).where(F.col("score") >= 0.85).select("l", "r", F.round("score", 9).alias("score"))
+    return entity.candidates(_names(spark, sf_dir)).where(F.col("score") >= 0.85).select("l", "r", F.round("score", 9).alias("score"))
 
 
 @query()
@@ -882,13 +875,12 @@ def tree_entries(spark, sf_dir):
 
 
 @query(
-    r"""SELECT doc_id, trim(regexp_replace(regexp_replace(lower(text[:60]), '[^\p{L}\p{N}_\s]+', ' ', 'g'), '\s+', ' ', 'g')) AS norm,
-coalesce(nullif(trim(regexp_replace(lower(text[:60]), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'x') AS slug, sha256(source || chr(31) || lang) AS row_digest, greatest(1, len(text) // 4) AS tokens FROM documents"""
+    r"""SELECT doc_id, trim(regexp_replace(regexp_replace(lower(text), '[^\p{L}\p{N}_\s]+', ' ', 'g'), '\s+', ' ', 'g')) AS norm,
+coalesce(nullif(trim(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'x') AS slug, sha256(source || chr(31) || lang) AS row_digest, greatest(1, len(text) // 4) AS tokens FROM documents"""
 )
 def text_functions(spark, sf_dir):
     d = _t(spark, sf_dir, "documents")
-    head = F.substring("text", 1, 60)
-    return d.select("doc_id", text.normalize(head).alias("norm"), text.slugify(head).alias("slug"), text.row_digest(F.col("source"), F.col("lang")).alias("row_digest"), numbers.page_tokens(F.length("text")).alias("tokens"))
+    return d.select("doc_id", text.normalize(F.col("text")).alias("norm"), text.slugify(F.col("text")).alias("slug"), text.row_digest(F.col("source"), F.col("lang")).alias("row_digest"), numbers.page_tokens(F.length("text")).alias("tokens"))
 
 
 @query("SELECT * FROM (VALUES (0, 'a/c.md', TRUE), (1, NULL, FALSE), (2, 'x.md', TRUE), (3, NULL, FALSE), (4, 'a/b/d', TRUE)) AS v(k, path, safe)")
