@@ -78,6 +78,17 @@ def test_lines_that_many_documents_share_go(spark):
     assert not found[100]["kept"] and found[200]["removed_words"] == 0 and found[200]["kept"]
 
 
+def test_lines_of_a_host_of_over_a_thousand_documents(spark):
+    common = lambda k: f"shared by {20 if k < 20 else 15 if k < 35 else 0} documents"
+    rows = [(k, f"own words of document {k}\n{common(k)}", None, "hot") for k in range(1700)]
+    con = duckdb.connect()
+    con.execute("create table documents as select i as doc_id, 'own words of document ' || i || chr(10) || 'shared by ' || case when i < 20 then 20 when i < 35 then 15 else 0 end || ' documents' as text, 'hot' as source from range(1700) t(i)")
+    docs = cases.docs(spark, rows)
+    _same(quality.quality(docs), quality.QUALITY_SQL, con)
+    found = {r["doc_id"]: r["removed_words"] for r in quality.quality(docs).collect()}
+    assert (found[0], found[20], found[35]) == (4, 0, 4)  # 1 % of the host is 17 documents
+
+
 def test_repeated_windows(spark):
     texts = {1: "a b c a b c", 2: "a a a a", 3: "a b c d a b c d a", 4: "x y z", 5: "a b c x a b c y", 6: ""}
     rows = spark.createDataFrame(list(texts.items()), "k int, text string").select("k", quality.repeat_words(quality.words_of(F.col("text"))).alias("n")).collect()
