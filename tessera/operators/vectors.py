@@ -1,11 +1,11 @@
-"""Vectors with int8 and bit twins, upserts, and a two-stage search as an extension."""
+"""Vectors with int8 and bit twins, upserts, and an exact search as an extension."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.numbers import cosine, hamming, to_bits, to_int8
+from tessera.functions.numbers import cosine, to_bits, to_int8
 
 
 def twins(vectors: DataFrame) -> DataFrame:
@@ -18,13 +18,7 @@ def upsert(stored: DataFrame, new: DataFrame) -> DataFrame:
     return stored.join(new.select("chunk_id"), "chunk_id", "left_anti").unionByName(twins(new))
 
 
-def nearest(stored: DataFrame, query: list[float], k: int = 10, coarse: int = 100) -> DataFrame:
-    """An extension: the coarse vectors nearest by bits, then the k nearest of them by cosine. Vectors of 64 components."""
-    if len(query) != 64:
-        raise ValueError("bit search is for 64 components")
-    import numpy as np
-
-    bits = np.packbits(np.asarray(query, np.float32) > 0).tobytes()
-    first = stored.withColumn("_d", hamming(F.col("vec_bit"), F.lit(bits))).orderBy("_d", "chunk_id").limit(coarse)
+def nearest(stored: DataFrame, query: list[float], k: int = 10) -> DataFrame:
+    """An extension: the k nearest of all vectors by cosine, ties by chunk_id. One scan; each task keeps k rows."""
     asked = F.array(*[F.lit(float(x)) for x in query])
-    return first.select("chunk_id", cosine(F.col("vec"), asked).alias("score")).orderBy(F.desc("score"), "chunk_id").limit(k)
+    return stored.select("chunk_id", cosine(F.col("vec"), asked).alias("score")).orderBy(F.desc("score"), "chunk_id").limit(k)

@@ -613,7 +613,7 @@ def vec_upsert(spark, sf_dir):
 
 @query()
 def vec_nearest(spark, sf_dir):
-    """An extension: the ten vectors nearest to the first, bits first."""
+    """An extension: the ten vectors nearest to the first."""
     v = vectors.twins(_vectors(spark, sf_dir))
     return vectors.nearest(v, v.where("chunk_id = 'v0'").first()["vec"])
 

@@ -69,6 +69,16 @@ def test_nearest(spark, sf_dir):
     assert best[0]["chunk_id"] == "v3" and best[0]["score"] == pytest.approx(1.0)
 
 
+def test_nearest_are_those_of_brute_force(spark):
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(1500, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    v = vectors.twins(spark.createDataFrame([(f"v{k}", row.tolist()) for k, row in enumerate(x)], "chunk_id string, vec array<float>"))
+    for q in (0, 7):
+        best = [r["chunk_id"] for r in vectors.nearest(v, x[q].tolist()).collect()]
+        assert best == [f"v{k}" for k in np.argsort(-(x.astype(float) @ x[q].astype(float)))[:10]]
+
+
 def _graph(spark, n=3):
     nodes = spark.createDataFrame([(k, f"n{k}") for k in range(n)], "ord long, id string")
     return nodes, spark.createDataFrame([(0, "n0", "n1")], "ord long, source string, target string")
