@@ -112,21 +112,28 @@ def intern(known: DataFrame, curies: DataFrame) -> DataFrame:
     return known.unionByName(global_rank(new, "curie").crossJoin(F.broadcast(top)).select((F.col("_top") + F.col("rank") + 1).cast("long").alias("id"), "curie"))
 
 
-def resolve_aliases(curies: DataFrame, known: DataFrame, aliases: DataFrame, most_steps: int = 64) -> DataFrame:
+def walk_ends(step: DataFrame) -> DataFrame:
+    """(start, end, around) of rows step(start, end), one for each start: where walks along all steps end; around is true if
+    they never do. Each round doubles the steps taken. If no walk ends in a round, none ends later: one that is longer
+    passes through a start that is as far from its end as this round reaches."""
+    walk, left = step.select("start", "end", F.lit(True).alias("around")), None
+    while True:
+        ahead = walk.select(F.col("start").alias("_s"), F.col("end").alias("_e"))
+        walk = materialise(walk.join(ahead, F.col("end") == F.col("_s"), "left").select("start", F.coalesce("_e", "end").alias("end"), F.col("_s").isNotNull().alias("around")), "walks")
+        on = walk.where("around").count()
+        if on in (0, left):
+            return walk
+        left = on
+
+
+def resolve_aliases(curies: DataFrame, known: DataFrame, aliases: DataFrame) -> DataFrame:
     """(curie, id) of curies: along aliases(alias_id, old_curie, new_curie), newest first, to a known(id, curie); null if it
-    leads nowhere or around. Each step is one join; what has arrived or gone around leaves the loop."""
-    step = aliases.groupBy("old_curie").agg(F.max_by("new_curie", "alias_id").alias("_next"))
-    walk = curies.select("curie", F.col("curie").alias("_at"), F.array("curie").alias("_seen"))
-    done = None
-    for _ in range(most_steps):
-        found = materialise(walk.join(known.select(F.col("curie").alias("_at"), "id"), "_at", "left").join(step, F.col("_at") == step["old_curie"], "left"), "aliases")
-        stop = F.col("id").isNotNull() | F.col("_next").isNull() | F.array_contains("_seen", F.col("_next"))
-        ended = found.where(F.coalesce(stop, F.lit(True))).select("curie", "id")
-        done = ended if done is None else done.unionByName(ended)
-        walk = found.where(~F.coalesce(stop, F.lit(True))).select("curie", F.col("_next").alias("_at"), F.concat("_seen", F.array("_next")).alias("_seen"))
-        if not walk.take(1):
-            return done
-    return done.unionByName(walk.select("curie", F.lit(None).cast("long").alias("id")))
+    leads nowhere or around. Chains are followed to their end, in rounds that double the steps."""
+    newest = aliases.groupBy("old_curie").agg(F.max_by("new_curie", "alias_id").alias("end")).where("end is not null")
+    ids = known.where("id is not null").select(F.col("curie").alias("_at"), "id")
+    ends = walk_ends(newest.select(F.col("old_curie").alias("start"), "end").join(ids, F.col("start") == F.col("_at"), "left_anti"))
+    at = F.when(F.col("around"), F.lit(None)).otherwise(F.coalesce("end", "curie"))
+    return curies.select("curie").join(ends, F.col("curie") == F.col("start"), "left").withColumn("_to", at).join(ids, F.col("_to") == F.col("_at"), "left").select("curie", "id")
 
 
 def plan_costs(changes: DataFrame, overhead_percent: int, output_each: int, input_rate: str, output_rate: str) -> DataFrame:
@@ -163,18 +170,27 @@ def worst_status(runs: DataFrame, group: str) -> DataFrame:
     return runs.groupBy(group).agg(F.min_by("status", F.array_position(order, F.col("status"))).alias("status"))
 
 
-def target_relation(commits: DataFrame, built: str, target: str, most_steps: int = 64) -> str:
-    """current, behind or unknown: whether the built commit is the target, or an ancestor of it by commits(id, parent)."""
+def target_relation(commits: DataFrame, built: str, target: str) -> str:
+    """current, behind or unknown: whether the built commit is the target, or an ancestor of it by commits(id, parent).
+
+    Runs of commits with one parent are crossed in rounds that double the steps; then a round goes from merge to merge,
+    until the built commit or nothing new is found.
+    """
     if built == target:
         return "current"
-    frontier = commits.where(F.col("id") == target).select(F.col("parent").alias("id")).where("id is not null").distinct()
+    links = materialise(commits.where("parent is not null").select("id", "parent").distinct(), "commits")
+    single = links.groupBy("id").agg(F.count("*").alias("n"), F.min("parent").alias("end")).where((F.col("n") == 1) & (F.col("id") != built)).select(F.col("id").alias("start"), "end")
+    ends = walk_ends(single)
+
+    def crossed(ids: DataFrame) -> DataFrame:
+        """The built commit, merges and roots that ids lead to; those that go around lead to none."""
+        return ids.join(ends, F.col("id") == F.col("start"), "left").where("around is null or not around").select(F.coalesce("end", "id").alias("id")).distinct()
+
+    frontier = materialise(crossed(commits.where(F.col("id") == target).select("id")), "ancestors")
     known = frontier
-    for _ in range(most_steps):
-        if known.where(F.col("id") == built).take(1):
+    while frontier.take(1):
+        if frontier.where(F.col("id") == built).take(1):
             return "behind"
-        frontier = materialise(commits.join(frontier, "id").select(F.col("parent").alias("id")).where("id is not null").distinct().join(known, "id", "left_anti"), "ancestors")
-        if not frontier.take(1):
-            return "unknown"
+        frontier = materialise(crossed(links.join(frontier, "id").select(F.col("parent").alias("id"))).join(known, "id", "left_anti"), "ancestors")
         known = materialise(known.unionByName(frontier), "ancestors")
     return "unknown"
-

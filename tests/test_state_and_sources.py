@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import checks, entity, paging, symbols, vectors
+from tessera.operators import checks, entity, paging, state, symbols, vectors
 from tessera.sources import catalogs, scratch, snapshots
 from tessera.streaming import windows
 
@@ -79,6 +79,24 @@ def test_nearest_are_those_of_brute_force(spark):
         assert best == [f"v{k}" for k in np.argsort(-(x.astype(float) @ x[q].astype(float)))[:10]]
 
 
+def test_aliases_are_followed_to_the_end(spark):
+    chain = [(k, f"a{k}", f"a{k + 1}") for k in range(150)] + [(1000, "x0", "x1"), (1001, "x1", "x2"), (1002, "x2", "x1"), (1003, "y", "nowhere"), (1004, "a150", "y"), (1005, "z", "z"), (1, "a7", "nowhere"), (1006, "a7", "a8"), (1007, "q", None)]
+    aliases = spark.createDataFrame(chain, "alias_id long, old_curie string, new_curie string")
+    known = spark.createDataFrame([(5, "a150"), (6, "w")], "id long, curie string")
+    wanted = [("a0", 5), ("a0", 5), ("a85", 5), ("a86", 5), ("a149", 5), ("a150", 5), ("w", 6), ("x0", None), ("x2", None), ("y", None), ("z", None), ("q", None), ("none", None), (None, None)]
+    got = state.resolve_aliases(spark.createDataFrame([(c,) for c, _ in wanted], "curie string"), known, aliases).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, wanted))
+    assert {r["id"] for r in state.resolve_aliases(known.select("curie"), known, aliases.limit(0)).collect()} == {5, 6}
+
+
+def test_commits_far_behind_their_target(spark):
+    line = [(f"c{k}", f"c{k - 1}" if k else None) for k in range(150)]
+    side = [("s0", "c20"), ("s1", "s0"), ("c100", "s1"), ("lost", None), ("l1", "l2"), ("l2", "l1"), ("c120", "l1")]
+    commits = spark.createDataFrame(line + side, "id string, parent string")
+    wanted = {("c0", "c149"): "behind", ("c84", "c149"): "behind", ("s0", "c149"): "behind", ("s0", "c99"): "unknown", ("c149", "c0"): "unknown", ("lost", "c149"): "unknown", ("c3", "l1"): "unknown", ("l2", "c149"): "behind", ("c100", "c149"): "behind", ("c5", "gone"): "unknown", ("gone", "gone"): "current"}
+    assert {case: state.target_relation(commits, *case) for case in wanted} == wanted
+
+
 def _graph(spark, n=3):
     nodes = spark.createDataFrame([(k, f"n{k}") for k in range(n)], "ord long, id string")
     return nodes, spark.createDataFrame([(0, "n0", "n1")], "ord long, source string, target string")
