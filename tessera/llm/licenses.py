@@ -107,6 +107,109 @@ def scan(docs: DataFrame, p: LicenseScan = LicenseScan()) -> DataFrame:
     return rows.select("doc_id", best["license"].alias("license"), best["dice"].alias("dice"), F.size("found").cast("long").alias("n_matches"))
 
 
+# More notices, for whole_notices(): scan() and its SQL have TEMPLATES alone.
+_GNU = "This {0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2} as published by the Free Software Foundation, either version {3} of the License, or (at your option) any later version. This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {2} for more details."
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. {} THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_TAGS = ("ISC", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "Unlicense")
+NOTICES: tuple[tuple[str, str], ...] = (
+    *TEMPLATES,
+    ("GPL-2.0-or-later", _GNU.format("program", ";", "General Public License", "2")),
+    ("LGPL-2.1-or-later", _GNU.format("library", ";", "Lesser General Public License", "2.1")),
+    ("LGPL-3.0-or-later", _GNU.format("program", ":", "Lesser General Public License", "3")),
+    ("AGPL-3.0-or-later", _GNU.format("program", ":", "Affero General Public License", "3")),
+    ("BSD-2-Clause", _BSD.format("")),
+    ("BSD-3-Clause", _BSD.format("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.")),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("CC-BY-SA-4.0", "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License."),
+    *((tag, f"SPDX-License-Identifier: {tag}") for tag in _TAGS),
+)
+
+
+def _once(value: Column, use) -> Column:
+    """use(value), with value worked out one time only."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _hashes(text: Column) -> Column:
+    """Hashes of the word bigrams, in order."""
+    of = lambda w: F.transform(F.slice(w, 1, F.size(w) - 1), lambda x, i: F.xxhash64(x, F.get(w, i + 1)))
+    return _once(F.split(normal(text), " "), lambda w: F.when(F.size(w) >= 2, of(w)).otherwise(F.array().cast("array<bigint>")))
+
+
+def _hashed(spark: SparkSession, p: LicenseScan) -> tuple[Column, Column]:
+    """The templates as in candidates(), with hashes, their own length and that of their longest run; and all their hashes."""
+    rows = spark.createDataFrame([(k, name, text) for k, (name, text) in enumerate(p.templates)], "rank int, license string, text string")
+    longs = lambda x: F.expr(f"array({', '.join(f'{v}L' if v > -(2**63) else 'cast(-9223372036854775808 as bigint)' for v in x)})")
+    each, known = [], set()
+    for r in rows.select("rank", "license", _hashes(F.col("text")).alias("h")).where(F.size("h") > 0).orderBy("rank").collect():
+        t = sorted(set(r["h"]))
+        m, length = len(t), len(r["h"])
+        lo, hi = -(-m * p.percent // (200 - p.percent)), m * (200 - p.percent) // p.percent
+        values = (("rank", F.lit(r["rank"])), ("license", F.lit(r["license"])), ("t", longs(t)), ("m", F.lit(m)), ("lo", F.lit(lo)), ("hi", F.lit(hi)), ("length", F.lit(length)), ("longest", F.lit(hi + length - m)))
+        each.append(F.struct(*[v.alias(n) for n, v in values]))
+        known.update(t)
+    return F.array(*each), longs(sorted(known))
+
+
+def whole_notices(docs: DataFrame, p: LicenseScan = LicenseScan(templates=NOTICES)) -> DataFrame:
+    """doc_id, licenses, dice of each row of docs(doc_id, text): all licences found, the best first, and the best's Dice.
+
+    Beside lines and the whole text, each run of words is compared that starts with a bigram of the template and is as
+    long as the template to half as long again (or ends with the text), so a notice may be wrapped over lines and have
+    other words around it. Of runs that lie by more than half in a better run of another licence, that one alone counts;
+    the best line or whole text always does. Nothing is shuffled. Rows stay as in scan().
+    """
+    templates, known = _hashed(docs.sparkSession, p)
+
+    def of_segment(g: Column) -> Column:
+        near = F.filter(templates, lambda t: F.size(g).between(t["lo"], t["hi"]))
+        dice = lambda t: 2.0 * F.size(F.array_intersect(g, t["t"])) / (F.size(g) + t["m"])
+        return F.filter(F.transform(near, lambda t: F.struct(dice(t).alias("dice"), (-t["rank"]).alias("r"), t["license"].alias("license"))), lambda x: x["dice"] >= p.percent / 100)
+
+    def placed(g: Column) -> Column:
+        """(i, h, prev) of each bigram: its place, its hash, and the place before that has the same, or -1."""
+        of = lambda s: F.transform(s, lambda x, k: F.struct(x["i"].alias("i"), x["h"].alias("h"), F.coalesce(F.when(F.get(s, k - 1)["h"] == x["h"], F.get(s, k - 1)["i"]), F.lit(-1)).alias("prev")))
+        return F.sort_array(_once(F.sort_array(F.transform(g, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), of))
+
+    def runs(a: Column, t: Column) -> Column:
+        """The best run of each start that reaches the limit."""
+
+        def best(b: Column, s: Column) -> Column:
+            def step(acc: Column, x: Column) -> Column:
+                new = (x["prev"] < s["i"]).cast("int")
+                n, both = acc["n"] + new, acc["both"] + new * x["hit"]
+                long = (x["i"] - s["i"] + 1 >= t["length"]) | (x["i"] == F.size(b) - 1)
+                dice = F.when(long, 2.0 * both / (n + t["m"])).otherwise(0.0)
+                more = dice > acc["dice"]
+                return F.struct(n.alias("n"), both.alias("both"), F.when(more, dice).otherwise(acc["dice"]).alias("dice"), F.when(more, x["i"]).otherwise(acc["end"]).alias("end"))
+
+            start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("both"), F.lit(0.0).alias("dice"), F.lit(-1).alias("end"))
+            done = lambda acc: F.struct(acc["dice"].alias("dice"), (-t["rank"]).alias("r"), t["license"].alias("license"), s["i"].alias("start"), acc["end"].alias("end"))
+            return F.aggregate(F.slice(b, s["i"] + 1, t["longest"]), start, step, done)
+
+        marked = F.transform(a, lambda x: F.struct(x["i"].alias("i"), x["prev"].alias("prev"), F.array_contains(t["t"], x["h"]).cast("int").alias("hit")))
+        return _once(marked, lambda b: F.filter(F.transform(F.filter(b, lambda s: s["hit"] == 1), lambda s: best(b, s)), lambda x: x["dice"] >= p.percent / 100))
+
+    def alone(found: Column) -> Column:
+        shared = lambda a, b: F.least(a["end"], b["end"]) - F.greatest(a["start"], b["start"]) + 1
+        better = lambda a, b: (b["license"] != a["license"]) & ((b["dice"] > a["dice"]) | ((b["dice"] == a["dice"]) & (b["r"] > a["r"]))) & (2 * shared(a, b) > a["end"] - a["start"] + 1)
+        return F.transform(F.filter(found, lambda a: ~F.exists(found, lambda b: better(a, b))), lambda x: F.struct(x["dice"].alias("dice"), x["r"].alias("r"), x["license"].alias("license")))
+
+    def of_text(g: Column) -> Column:
+        near = _once(F.array_intersect(g, known), lambda own: F.filter(templates, lambda t: F.size(F.array_intersect(own, t["t"])) >= t["lo"]))
+        spans = lambda ts: F.when(F.size(ts) > 0, _once(_once(placed(g), lambda a: F.flatten(F.transform(ts, lambda t: runs(a, t)))), alone))
+        return _once(near, spans)
+
+    text = F.coalesce("text", F.lit(""))
+    lines = F.split(text, "\n")
+    of_lines = F.flatten(F.transform(lines, lambda s: _once(F.array_distinct(_hashes(s)), of_segment)))
+    whole = lambda g: F.struct(F.array_max(F.concat(of_lines, _once(F.array_distinct(g), of_segment))).alias("best"), F.coalesce(of_text(g), F.array().cast("array<struct<dice: double, r: int, license: string>>")).alias("runs"))
+    rows = common.slim(docs, "doc_id", "text").select("doc_id", _once(_hashes(text), whole).alias("x"))
+    each = rows.select("doc_id", F.sort_array(F.array_compact(F.concat("x.runs", F.array("x.best"))), asc=False).alias("found"))
+    return each.select("doc_id", F.array_distinct(F.transform("found", lambda m: m["license"])).alias("licenses"), F.get("found", F.lit(0))["dice"].alias("dice"))
+
+
 def scan_sql(p: LicenseScan = LicenseScan()) -> str:
     """The same scan for DuckDB."""
     quoted = ",\n  ".join("({}, '{}', '{}')".format(k, name, text.replace("'", "''")) for k, (name, text) in enumerate(p.templates))

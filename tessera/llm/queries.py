@@ -58,6 +58,11 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(common.table(spark, sf_dir, "documents"))
 
 
+def op7_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All licences of each document, in notices wrapped over lines or amid other words too."""
+    return licenses.whole_notices(common.table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.slim(common.table(spark, sf_dir, "documents"), "doc_id", "text")
     found = toxicity.score(docs, toxicity.learn(docs, common.table(spark, sf_dir, "labels")))
@@ -74,7 +79,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op2_token_binary, op3_language_id, op4_sentencepiece, op5_mixing, op6_quality_rules, op7_license_scan, op8_toxicity, op9_media_columns, op10_near_dedup)
+    for f in (op1_token_counts, op2_token_binary, op3_language_id, op4_sentencepiece, op5_mixing, op6_quality_rules, op7_license_scan, op7_license_notices, op8_toxicity, op9_media_columns, op10_near_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.MIX_SQL, "op6_quality_rules": quality.QUALITY_SQL, "op7_license_scan": licenses.scan_sql()}

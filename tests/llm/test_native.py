@@ -103,6 +103,24 @@ def test_licence_texts_are_found(spark):
     assert found[1] == ("MIT", 1) and found[2][0] == "MIT" and found[3][0] == "MIT" and found[4] == (None, 0) and found[5] == ("Apache-2.0", 1)
 
 
+def test_notices_inside_documents_are_found(spark):
+    import textwrap
+
+    texts = {name: text for name, text in licenses.NOTICES if len(text.split()) > 30}
+    around = lambda t: "def f(x):\n    return x + 1\n" * 30 + "\n".join(f" * {x}" for x in textwrap.wrap(t, 60)) + "\n" + "and then the story goes on with other words\n" * 30
+    rows = [(k, around(t), None, None) for k, t in enumerate(texts.values())]
+    rows += [(100, "Here: Released under the MIT License. More words follow in this very line.\nLicensed under CC BY-NC 4.0. So be it, dear reader, for now.", None, None)]
+    rows += [(101, "SPDX-License-Identifier: Zlib and so on\nnothing", None, None), (102, None, None, None), (103, "", None, None), (None, "x", None, None), (104, "SPDX-License-Identifier: Apache-2.0", None, None)]
+    docs = cases.docs(spark, rows)
+    found = {r["doc_id"]: r["licenses"] for r in licenses.whole_notices(docs).collect()}
+    assert [found[k] for k in range(len(texts))] == [[name] for name in texts]
+    assert set(found[100]) == {"MIT", "CC-BY-NC-4.0"} and found[104] == ["Apache-2.0"]
+    assert all(found[k] == [] for k in (101, 102, 103, None))
+    assert licenses.whole_notices(cases.empty(spark)).collect() == []
+    plan = licenses.whole_notices(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+
+
 def test_media_round_trip(spark):
     import hashlib
     import zlib
