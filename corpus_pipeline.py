@@ -1,8 +1,8 @@
 """A corpus pipeline over ``documents``: each stage is one training-data operator, and works on what the one before kept.
 
-Null text: the language stage drops it, for it holds no letter. Repeated rows: the near-duplicate stage keeps the rows
-of the least doc_id of each group. An empty table passes through every stage. Columns that ``documents`` has besides
-its own stay up to the last stage.
+Null text: the language stage drops it, for it holds no letter. Repeated rows: the near-duplicate stage keeps the row
+of the least doc_id of each group; rows without a doc_id, or with that of another row, come last in their group. An
+empty table passes through every stage. Columns that ``documents`` has besides its own stay up to the last stage.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates."""
-    return near_dedup.keep_one(docs)
+    """Keeps one row of each group of near duplicates."""
+    return near_dedup.keep_rows(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

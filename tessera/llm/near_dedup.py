@@ -341,4 +341,19 @@ def keep_one(docs: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
     return docs.join(kept, docs["doc_id"] == F.col("_kept_id"), "left_semi")
 
 
-
+def keep_rows(docs: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
+    """One row of each group of near duplicates, with all columns of docs. A row without a doc_id, or with that of an
+    earlier row, is a document of its own; it comes after all that have one, and stays if it is like no other row."""
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    if not ids.where("doc_id is null or _rows > 1").take(1):
+        return keep_one(docs, p)
+    rows = common.materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    first = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("_row").alias("_first"))
+    top = rows.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long").alias("_top"))
+    # one row for the table
+    named = rows.select("_row", F.col("doc_id").alias("_own")).join(first.select("_first"), F.col("_row") == F.col("_first"), "left").crossJoin(F.broadcast(top))
+    names = common.materialise(named.select(F.col("_row").alias("_at"), F.when(F.col("_first").isNotNull(), F.col("_own").cast("long")).otherwise(F.col("_top") + 1 + F.col("_row")).alias("_id")), "names")
+    texts = common.materialise(rows.select("_row", "text").join(names, F.col("_row") == F.col("_at")).select(F.col("_id").alias("doc_id"), "text"), "texts")
+    kept = near_duplicates(texts, p).where("kept").select(F.col("doc_id").alias("_kept_id"))
+    at = names.join(kept, F.col("_id") == F.col("_kept_id"), "left_semi").select("_at")
+    return rows.join(at, F.col("_row") == F.col("_at"), "left_semi").select(*docs.columns)

@@ -75,6 +75,19 @@ def test_odd_documents(spark):
     assert {r["doc_id"] for r in kept.collect()} == {1, 3, 4, 5, 6, 7, 9, 10, 11} and set(kept.columns) == set(cases.docs(spark).columns)
 
 
+def test_rows_are_kept_by_row(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(1, text(1)), (None, text(2)), (None, text(3)), (None, text(3) + " more"), (None, text(1)), (4, text(4)), (4, text(5)), (4, text(1)), (4, text(4)), (6, text(6)), (None, "")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, extra int")
+    kept = near_dedup.keep_rows(docs)
+    assert kept.columns == docs.columns
+    found = sorted((r["text"], r["doc_id"] is None) for r in kept.collect())
+    same = [t for t, _ in found if t in (text(3), text(3) + " more")]
+    assert len(same) == 1 and found == sorted([(text(1), False), (text(2), True), (same[0], True), (text(4), False), (text(5), False), (text(6), False), ("", True)])
+    whole = docs.where("doc_id in (1, 6)")
+    assert sorted(map(tuple, near_dedup.keep_rows(whole).collect())) == sorted(map(tuple, near_dedup.keep_one(whole).collect()))
+
+
 def test_shingles_are_sets_of_five_words():
     texts = ["a b c d e f", "A b\tC d e f a b c d e", "x", "", "one two three four", "one  two three four", "four three two one", "日本 語 é b c d", " lead a b c d"]
     own = shingles.sets(common.whole(pa.array(texts)))
