@@ -3,24 +3,28 @@
 All words of a batch lie in one symbol array. A round finds the least pair rank of each word (a segmented minimum),
 merges all its leftmost non-overlapping occurrences at once, and closes the gaps; words without a pair that can
 merge leave the array. A merge that could make a pair of a better or equal rank (so that the order within the word
-matters) is done at the leftmost place alone.
+matters) is done at the leftmost place alone. Rounds over an unbroken stretch cost its length times their number, so
+stretches of over LONG symbols are merged from a queue of their pairs instead, in time n log n, as are those that come
+down to pairs of the last rank, which several pieces share.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tessera.llm import common
-from tessera.llm.memo import PieceMemo, strings
+from tessera.llm.memo import PieceMemo
 
 SPACE = "▁"
 NONE = np.int32(2**31 - 1)
+LONG = 512
 
 
 class PieceModel:
@@ -92,10 +96,10 @@ class PieceModel:
         out[0] = True
         return out
 
-    def escaped(self, body: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def escaped(self, pieces: list[bytes], first: list[bool]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of pieces of text, and how many each has; a text's first piece has the dummy space before it."""
         dummy = SPACE if self.dummy else ""
-        return self.encode_many([(dummy if f else "") + p.replace(" ", SPACE) for p, f in zip(strings(body, start, end), first.tolist(), strict=True)])
+        return self.encode_many([(dummy if f else "") + p.decode("utf-8", "surrogatepass").replace(" ", SPACE) for p, f in zip(pieces, first, strict=True)])
 
     def encode_many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of escaped words, and how many each has."""
@@ -123,6 +127,13 @@ class PieceModel:
         """Position of the first character, and symbol, of all that is left after the last round."""
         at = np.arange(len(sym))
         ends: list[tuple[np.ndarray, np.ndarray]] = []
+        first = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]])) if len(sym) else at
+        n = np.diff(np.append(first, len(seg)))
+        if (long := np.flatnonzero(n > LONG)).size:
+            for a, b in zip(first[long].tolist(), (first + n)[long].tolist(), strict=True):
+                ends.append(self._queued(at[a:b], sym[a:b]))
+            on = np.repeat(n <= LONG, n)
+            at, sym, seg = at[on], sym[on], seg[on]
         to = np.full(len(sym), -1, np.int32)
         if len(sym) > 1:
             same = np.flatnonzero(seg[1:] == seg[:-1])
@@ -134,7 +145,7 @@ class PieceModel:
             least = np.minimum.reduceat(rank, first)
             live = (least != NONE) & (least < self.tied)
             for k in np.flatnonzero(least == self.tied) if self.tied != NONE else ():
-                ends.append(self._in_turn(at[first[k] : first[k] + n[k]], sym[first[k] : first[k] + n[k]]))
+                ends.append(self._queued(at[first[k] : first[k] + n[k]], sym[first[k] : first[k] + n[k]]))
             keep = np.repeat(least == NONE, n)
             ends.append((at[keep], sym[keep]))
             on = np.repeat(live, n)
@@ -164,16 +175,41 @@ class PieceModel:
         by = np.argsort(where, kind="stable")
         return where[by], what[by]
 
-    def _in_turn(self, at: np.ndarray, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Merges of the last, shared rank: always the leftmost pair, which may be one that was just made."""
-        out: list[tuple[int, int]] = []
-        for p, s in zip(at.tolist(), sym.tolist(), strict=True):
-            out.append((p, s))
-            while len(out) > 1 and (c := int(self.pair(np.array([out[-2][1]]), np.array([out[-1][1]]))[0])) >= 0:
-                p, _ = out[-2]
-                out[-2:] = [(p, c)]
-        where, what = zip(*out, strict=True)
-        return np.array(where), np.array(what, np.int32)
+    @cached_property
+    def _merges(self) -> dict[int, int]:
+        return dict(zip(self.keys.tolist(), self.to.tolist(), strict=True))
+
+    def _queued(self, at: np.ndarray, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The merges of one stretch, always the least rank next and of equal ones the leftmost, from a queue."""
+        merges, size, rank = self._merges, self.size, self.rank
+        s, end = sym.tolist(), len(sym)
+        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
+        k = self.pair(sym[:-1], sym[1:])
+        some = np.flatnonzero(k >= 0)
+        # a pair's rank and place as one number, and its piece
+        queue = list(zip((rank[k[some]].astype(np.int64) * end + some).tolist(), k[some].tolist(), strict=True))
+        heapq.heapify(queue)
+        rank = rank.tolist()
+        while queue:
+            key, piece = heapq.heappop(queue)
+            i = key % end
+            j = after[i]
+            # a number below 0 is a character that is no piece, or a symbol that is merged already
+            if s[i] < 0 or j == end or s[j] < 0 or merges.get(s[i] * size + s[j]) != piece:
+                continue
+            s[i], s[j] = piece, -1
+            j = after[i] = after[j]
+            if j < end:
+                before[j] = i
+                if s[j] >= 0 and (c := merges.get(piece * size + s[j])) is not None:
+                    heapq.heappush(queue, (rank[c] * end + i, c))
+            h = before[i]
+            if h >= 0 and s[h] >= 0 and (c := merges.get(s[h] * size + piece)) is not None:
+                heapq.heappush(queue, (rank[c] * end + h, c))
+        left = [0]
+        while (j := after[left[-1]]) < end:
+            left.append(j)
+        return at[left], np.array([s[i] for i in left], np.int32)
 
     def _ids(self, sym: np.ndarray, word: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
         odd = np.flatnonzero(sym < 0)

@@ -8,42 +8,15 @@ import numpy as np
 import pyarrow as pa
 
 from tessera.llm import common
+from tessera.llm.hashes import mixed, of_runs
 
 U = np.uint64
-_RNG = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=U)
-_BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]  # lower-cases
-_BASE = U(0x9E3779B97F4A7C15)
-_UNBASE = U(pow(int(_BASE), -1, 2**64))
-_PLACE = _RNG.integers(1, 2**63, 16, dtype=U) | U(1)
+_LOW = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+_PLACE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 16, dtype=U)
 _WORD = np.ones(256, bool)
 _WORD[[32, 9, 10, 11, 12, 13]] = False
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers whose bits all depend on all bits."""
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
-
-
-_powers = (np.ones(1, U), np.ones(1, U))
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0 to n - 1 of the base, and of its inverse modulo 2**64."""
-    global _powers
-    if len(_powers[0]) < n:
-        size = max(n, 2 * len(_powers[0]))
-        a, b = np.full(size, _BASE, U), np.full(size, _UNBASE, U)
-        a[0] = b[0] = 1
-        _powers = np.multiply.accumulate(a), np.multiply.accumulate(b)
-        if n > 4 * common.BLOCK_BYTES:
-            big, _powers = _powers, (np.ones(1, U), np.ones(1, U))
-            return big[0][:n], big[1][:n]
-    return _powers[0][:n], _powers[1][:n]
-
-
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all lower-cased words of a block of texts, and the n + 1 offsets of the texts in them."""
     body, at = common.raw(texts)
@@ -55,27 +28,28 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     edge[at] = True  # no word goes on from one text to the next
     first = np.flatnonzero(inside & (edge[:-1] | np.concatenate([[True], ~inside[:-1]])))
     last = np.flatnonzero(inside & (edge[1:] | np.concatenate([~inside[1:], [True]])))
-    up, down = powers(len(body) + 1)
-    sums = np.concatenate([np.zeros(1, U), np.cumsum(_BYTE[body] * up[:-1], dtype=U)])
-    words = (sums[last + 1] - sums[first]) * down[first]
-    return mixed(words + (last - first).astype(U)), np.searchsorted(first, at)
+    return of_runs(body.tobytes().translate(_LOW), first, last + 1 - first)[0], np.searchsorted(first, at)
+
+
+def _together(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of each width words in a row; every word passes through all mixing after it."""
+    n = len(words) - width + 1
+    out = np.full(n, _PLACE[width], U)
+    for k in range(width):
+        out = mixed((out ^ words[k : k + n]) * (_PLACE[k] | U(1)) + _PLACE[k])
+    return out
 
 
 def sets(texts: pa.Array, width: int = 5) -> list[np.ndarray]:
     """The sorted distinct shingles of each text; of fewer words than width, the whole sequence; of none, nothing."""
     words, at = word_hashes(texts)
-    n = len(words) - width + 1
-    if n > 0:
-        long = np.zeros(n, U)
-        for k in range(width):
-            long += words[k : k + n] * _PLACE[k]
-        long = mixed(long)
+    long = _together(words, width) if len(words) >= width else words[:0]
     out = []
     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
         if b - a >= width:
             out.append(np.unique(long[a : b - width + 1]))
         elif b > a:
-            out.append(mixed(mixed((words[a:b] * _PLACE[: b - a]).sum(keepdims=True, dtype=U)) + U(b - a)))
+            out.append(_together(words[a:b], b - a))
         else:
             out.append(np.zeros(0, U))
     return out

@@ -79,17 +79,22 @@ class TextEncoder:
         for token, i in vocab.items():
             self.lengths[i] = len(token)
 
-    def _many(self, body: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _many(self, pieces: list[bytes], _: list[bool]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces between two cuts go to the library as one text; the bytes of its tokens show where each ends.
 
         A piece that begins with a sign gets a letter before it, after which it would have been cut off.
         """
-        opens, size = body[start], end - start
+        raw = b"".join(pieces)
+        body = np.frombuffer(raw, np.uint8)
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        end = np.cumsum(size)
+        start = end - size
+        opens = body[start]
         second = body[np.minimum(start + 1, len(body) - 1)]
         sign = _SIGN[opens]
         apart = _safe(body)[end - 1] & (sign | (size > 1) & ((opens == 32) | (opens == 10) & _OPENS[second]))
         order = np.concatenate([np.flatnonzero(apart), np.flatnonzero(~apart)])
-        raw, m = body.tobytes(), int(apart.sum())
+        m = int(apart.sum())
         lead = sign[order] & (np.arange(len(order)) < m)
         bits = [(b" a" + raw[a:b]) if x else raw[a:b] for a, b, x in zip(start[order].tolist(), end[order].tolist(), lead.tolist(), strict=True)]
         texts = [b"".join(bits[a : min(a + 1000, m)]).decode() for a in range(0, m, 1000)] + [x.decode() for x in bits[m:]]

@@ -29,3 +29,9 @@ def docs(spark, rows=ROWS):
 
 def empty(spark):
     return docs(spark, ROWS[:1]).where("doc_id < 0")
+
+
+def thue_morse(n):
+    """Two words of n letters, a power of two: sums of letters times powers of an odd number modulo 2**64 are equal from 1,024 letters on."""
+    bits = [k.bit_count() & 1 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)

@@ -1,12 +1,13 @@
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from tessera.llm import common, piece_bpe, token_binary, token_counts
+from tessera.llm import common, hashes, piece_bpe, token_binary, token_counts
 from tessera.llm.queries import vocabulary
 from tests.llm import cases
 
@@ -46,6 +47,65 @@ def test_byte_ids_are_the_library_s():
     assert [f.tolist() for f in found] == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def _patterns():
+    return [t for n in (1024, 4096) for a, b in [cases.thue_morse(n)] for t in (a, b, f"x {a} y", f"x {b} y", f"{a} {b} {b} {a}")]
+
+
+def test_patterns_of_letters_are_told_apart():
+    texts = _patterns()
+    block = common.whole(pa.array(texts))
+    pieces = piece_bpe.PieceEncoder(vocabulary("piece_bpe_32k.model"))
+    assert [f.tolist() for f in pieces.encode(block)] == pieces.model.library.encode(texts, add_bos=True, add_eos=True)
+    tokens = token_binary.TextEncoder(vocabulary("byte_bpe_50k.json"))
+    flat, n = tokens.encode(block)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == [e.ids for e in tokens.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_hashes_tell_runs_apart():
+    draw = random.Random(2)
+    runs = {bytes(draw.choice(b"\0\1ab") for _ in range(draw.randint(0, 80))) for _ in range(20000)}
+    runs |= {b"\0" * n for n in range(100)} | {t.encode() for t in _patterns()}
+    runs = sorted(runs)
+    size = np.array([len(r) for r in runs])
+    one, two = hashes.of_runs(b"".join(runs), np.cumsum(size) - size, size, lanes=2)
+    assert len(set(one.tolist())) == len(runs) == len(set(zip(one.tolist(), two.tolist(), strict=True)))
+    again = hashes.of_runs(b"".join(b"x" + r for r in runs), np.cumsum(size + 1) - size, size, lanes=2)
+    assert (again[0] == one).all() and (again[1] == two).all()
+
+
+def test_pieces_of_one_key_are_told_apart(monkeypatch):
+    from tessera.llm import memo
+
+    exact = memo.of_runs
+    monkeypatch.setattr(memo, "of_runs", lambda *a, **k: [exact(*a, **k)[0] & np.uint64(7 << 60), exact(*a, **k)[1]])
+    codec = piece_bpe.PieceEncoder(vocabulary("piece_bpe_32k.model"))
+    texts = ["the river and the house", "a river or a horse and the", "the the a"]
+    for _ in range(2):
+        assert [f.tolist() for f in codec.encode(common.whole(pa.array(texts)))] == codec.model.library.encode(texts, add_bos=True, add_eos=True)
+
+
+@pytest.mark.parametrize("made", [lambda n: "the" * (n // 3), lambda n: "".join(random.Random(n).choices("abcdefghijklmnopqrstuvwxyz", k=n)), lambda n: " " * n, lambda n: "".join(random.Random(n).choices("theand ", k=n))])
+def test_long_stretches_take_time_in_proportion(made):
+    import time
+
+    took = []
+    for n in (60_000, 300_000):
+        codec, text = piece_bpe.PieceEncoder(vocabulary("piece_bpe_32k.model")), made(n)
+        codec.encode(common.whole(pa.array(["the" * 1000])))
+        began = time.process_time()
+        found = codec.encode(common.whole(pa.array([text])))[0].tolist()
+        took.append(time.process_time() - began)
+        assert found == codec.model.library.encode(text, add_bos=True, add_eos=True)
+    assert took[1] < 12 * took[0] + 0.5  # a square would be 25 times
+
+
+def test_stretches_about_the_longest_that_is_merged_in_rounds():
+    codec = piece_bpe.PieceEncoder(vocabulary("piece_bpe_32k.model"))
+    draw = random.Random(8)
+    texts = ["".join(draw.choices(draw.choice(["the", "theandio ", " ", "abcdefghijklmnopqrstuvwxyz", "▁ et"]), k=draw.randint(505, 520))) for _ in range(300)]
+    assert [f.tolist() for f in codec.encode(common.whole(pa.array(texts)))] == codec.model.library.encode(texts, add_bos=True, add_eos=True)
+
+
 def test_documents_as_pieces(spark):
     import sentencepiece
 
@@ -133,3 +193,24 @@ def test_counts_are_the_library_s(spark):
     found = token_counts.count_tokens(cases.docs(spark), "t", path, public_tokenizers.PATTERN).collect()
     assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in found) == sorted((r[0] or 0, len(library.encode_ordinary(r[1] or ""))) for r in cases.ROWS)
     assert token_counts.count_tokens(cases.empty(spark), "t", path, public_tokenizers.PATTERN).collect() == []
+
+
+def test_query_of_totals_is_brute_force(spark, sf_dir):
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    from tessera.llm import queries
+
+    with open(vocabulary("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    wanted: dict = {}
+    for r in common.table(spark, sf_dir, "documents").collect():
+        text = r["text"] or ""
+        for tokenizer, n in (("words@1", len(re.findall(common.WORD, text))), ("byte_bpe_50k@1", len(library.encode_ordinary(text)))):
+            docs, total = wanted.get((r["source"], r["lang"], tokenizer), (0, 0))
+            wanted[r["source"], r["lang"], tokenizer] = docs + 1, total + n
+    found = queries.op1_token_counts(spark, sf_dir).collect()
+    assert {(r["source"], r["lang"], r["tokenizer"]): (r["n_docs"], r["n_tokens"]) for r in found} == wanted and len(found) == len(wanted)
