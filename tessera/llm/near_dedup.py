@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import common, shingles
@@ -220,7 +220,7 @@ def _compare(p: NearDedup):
 
 class _Run:
     def __init__(self, docs: DataFrame, p: NearDedup):
-        self.p, self.docs = p, common.slim(docs, "doc_id", "text").where("doc_id is not null")
+        self.p, self.docs = p, common.slim(docs, "doc_id", "text")
         self.sketches = common.materialise(self.docs.mapInArrow(_sketch(p), "doc_id long, n_shingles long, digest binary, registers binary, keys array<long>"), "sketches")
         own = self.sketches.where("digest is not null")
         self.classes = common.materialise(own.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
@@ -319,26 +319,40 @@ class _Run:
         return self.components(links)
 
 
-def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row of docs(doc_id, text).
-
-    Null, empty or wordless text: no shingle, linked with nothing. Rows of equal sets are linked. A row without a
-    doc_id is left out, for it can't be named; rows that repeat a doc_id are one document if their sets are equal.
-    component_id is the least doc_id that links lead to; kept marks that one (every row of it, if it repeats). An
-    empty table gives an empty one. Other columns of docs are not read.
-    """
+def _groups(docs: DataFrame, p: NearDedup) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of docs(doc_id, text), each with a doc_id."""
     run = _Run(docs, p)
     comps = run.closed()
     classes = run.classes.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select(F.col("digest").alias("d"), F.coalesce("comp", "rep").alias("comp"))
-    return run.sketches.select("doc_id", "n_shingles", "digest").join(classes, F.col("digest") == F.col("d"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"), (F.col("doc_id") == F.coalesce("comp", "doc_id")).alias("kept")
-    )
+    comp = F.coalesce("comp", "doc_id")
+    return run.sketches.select("doc_id", "n_shingles", "digest").join(classes, F.col("digest") == F.col("d"), "left").select("doc_id", "n_shingles", comp.alias("component_id"), (F.col("doc_id") == comp).alias("kept"))
 
 
-def keep_one(docs: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
-    """The rows of docs that near_duplicates keeps, with all their columns."""
-    kept = near_duplicates(docs, p).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"] == F.col("_kept_id"), "left_semi")
+def _named(rows: DataFrame, own: Column) -> DataFrame:
+    """(_row, _id, _top) of rows(_row, doc_id): a row's own doc_id, or a number above _top, the greatest of all doc_ids."""
+    top = rows.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long").alias("_top"))
+    # one row for the table
+    return rows.crossJoin(F.broadcast(top)).select("_row", F.when(own, F.col("doc_id").cast("long")).otherwise(F.col("_top") + 1 + F.col("_row")).alias("_id"), "_top")
+
+
+def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each row of docs(doc_id, text).
+
+    Null, empty or wordless text: no shingle, linked with nothing. Rows of equal sets are linked. component_id is the
+    least doc_id that links lead to; kept marks that one (every row of it, if it repeats). Rows that repeat a doc_id are
+    one document if their sets are equal. A row without a doc_id is a document of its own that comes after all others:
+    its component_id is null unless links lead to a doc_id, and of linked rows without any doc_id one is kept. An empty
+    table gives an empty one. Other columns of docs are not read.
+    """
+    docs = common.slim(docs, "doc_id", "text")
+    if not docs.where("doc_id is null").take(1):
+        return _groups(docs, p)
+    rows = common.materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    names = _named(rows.select("_row", "doc_id"), F.col("doc_id").isNotNull()).select(F.col("_row").alias("_at"), "_id", "_top")
+    texts = common.materialise(rows.join(names, F.col("_row") == F.col("_at")).select(F.col("_id").alias("doc_id"), "text", "_top"), "texts")
+    top = texts.agg(F.max("_top").alias("_top"))
+    real = lambda c: F.when(F.col(c) <= F.col("_top"), F.col(c)).alias(c)
+    return _groups(texts, p).crossJoin(F.broadcast(top)).select(real("doc_id"), "n_shingles", real("component_id"), "kept")
 
 
 def keep_rows(docs: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
@@ -346,14 +360,13 @@ def keep_rows(docs: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
     earlier row, is a document of its own; it comes after all that have one, and stays if it is like no other row."""
     ids = docs.groupBy("doc_id").agg(F.count("*").alias("_rows"))
     if not ids.where("doc_id is null or _rows > 1").take(1):
-        return keep_one(docs, p)
+        kept = _groups(common.slim(docs, "doc_id", "text"), p).where("kept").select(F.col("doc_id").alias("_kept_id"))
+        return docs.join(kept, docs["doc_id"] == F.col("_kept_id"), "left_semi")
     rows = common.materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
     first = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("_row").alias("_first"))
-    top = rows.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long").alias("_top"))
-    # one row for the table
-    named = rows.select("_row", F.col("doc_id").alias("_own")).join(first.select("_first"), F.col("_row") == F.col("_first"), "left").crossJoin(F.broadcast(top))
-    names = common.materialise(named.select(F.col("_row").alias("_at"), F.when(F.col("_first").isNotNull(), F.col("_own").cast("long")).otherwise(F.col("_top") + 1 + F.col("_row")).alias("_id")), "names")
+    numbered = rows.select("_row", "doc_id").join(first.select("_first"), F.col("_row") == F.col("_first"), "left")
+    names = common.materialise(_named(numbered, F.col("_first").isNotNull()).select(F.col("_row").alias("_at"), "_id"), "names")
     texts = common.materialise(rows.select("_row", "text").join(names, F.col("_row") == F.col("_at")).select(F.col("_id").alias("doc_id"), "text"), "texts")
-    kept = near_duplicates(texts, p).where("kept").select(F.col("doc_id").alias("_kept_id"))
+    kept = _groups(texts, p).where("kept").select(F.col("doc_id").alias("_kept_id"))
     at = names.join(kept, F.col("_id") == F.col("_kept_id"), "left_semi").select("_at")
     return rows.join(at, F.col("_row") == F.col("_at"), "left_semi").select(*docs.columns)

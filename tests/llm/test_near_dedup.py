@@ -1,3 +1,4 @@
+import collections
 import random
 import re
 
@@ -68,11 +69,60 @@ def test_groups_are_those_of_all_pairs(spark, p):
 def test_odd_documents(spark):
     found = near_dedup.near_duplicates(cases.docs(spark))
     rows = [(i, t) for i, t, *_ in cases.ROWS if i is not None]
-    assert _found(found) == {(i, n, c, i == c) for i, (n, c) in _brute(rows).items()}
-    assert found.count() == len(rows)
+    assert _found(found) == {(i, n, c, i == c) for i, (n, c) in _brute(rows).items()} | {(None, 1, None, True)}
+    assert found.count() == len(cases.ROWS)
     assert near_dedup.near_duplicates(cases.empty(spark)).collect() == []
-    kept = near_dedup.keep_one(cases.docs(spark))
-    assert {r["doc_id"] for r in kept.collect()} == {1, 3, 4, 5, 6, 7, 9, 10, 11} and set(kept.columns) == set(cases.docs(spark).columns)
+    kept = near_dedup.keep_rows(cases.docs(spark))
+    assert {r["doc_id"] for r in kept.collect()} == {1, 3, 4, 5, 6, 7, 9, 10, 11, None} and set(kept.columns) == set(cases.docs(spark).columns)
+
+
+def test_rows_without_a_doc_id_have_a_group(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(5, text(1)), (None, text(1)), (None, text(1) + " more"), (None, text(2)), (None, text(2) + " more"), (None, text(2)), (None, text(3)), (None, None), (None, ""), (7, text(4))]
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, [
+        (5, 36, 5, True), (None, 36, 5, False), (None, 37, 5, False), (None, 36, None, True), (None, 37, None, False), (None, 36, None, False), (None, 36, None, True), (None, 0, None, True), (None, 0, None, True), (7, 36, 7, True),
+    ]))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_patterns_of_letters_are_told_apart(spark, n):
+    a, b = cases.thue_morse(n)
+    around = "one two three four five six seven eight nine ten "
+    rows = [(0, a), (1, b), (2, around + a), (3, around + b), (4, f"{a} {b} {a} {a} {b}"), (5, f"{b} {a} {a} {b} {a}"), (6, a)]
+    found = _found(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert found == {(i, k, c, i == c) for i, (k, c) in _brute(rows).items()}
+
+
+def _prefix_join(rows, percent=85):
+    """Components by an exact prefix join: of two sets that are so alike, the rarest shingles hold a common one."""
+    sets = {i: _set(t) for i, t in rows}
+    often = collections.Counter(x for s in sets.values() for x in s)
+    comp, seen = {i: i for i in sets}, collections.defaultdict(list)
+
+    def top(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+
+    for i in sorted(sets, key=lambda i: (len(sets[i]), i)):
+        own = sorted(sets[i], key=lambda x: (often[x], x))
+        near = {j for x in own[: len(own) - -(-percent * len(own) // 100) + 1] for j in seen[x]}
+        for j in near:
+            if top(i) != top(j) and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                x, y = top(i), top(j)
+                comp[max(x, y)] = min(x, y)
+        for x in own[: len(own) - -(-percent * len(own) // 100) + 1]:
+            seen[x].append(i)
+    return {i: (len(sets[i]), top(i)) for i in sets}
+
+
+def test_whole_table_is_that_of_an_exact_prefix_join(spark, sf_dir):
+    """Recall is 1: no document of the table is in another group."""
+    docs = common.table(spark, sf_dir.replace("0.001", "0.01"), "documents").select("doc_id", "text")
+    wanted = _prefix_join([tuple(r) for r in docs.collect()])
+    assert _found(near_dedup.near_duplicates(docs)) == {(i, n, c, i == c) for i, (n, c) in wanted.items()}
+    assert any(c != i for i, (_, c) in wanted.items())
 
 
 def test_rows_are_kept_by_row(spark):
@@ -85,7 +135,7 @@ def test_rows_are_kept_by_row(spark):
     same = [t for t, _ in found if t in (text(3), text(3) + " more")]
     assert len(same) == 1 and found == sorted([(text(1), False), (text(2), True), (same[0], True), (text(4), False), (text(5), False), (text(6), False), ("", True)])
     whole = docs.where("doc_id in (1, 6)")
-    assert sorted(map(tuple, near_dedup.keep_rows(whole).collect())) == sorted(map(tuple, near_dedup.keep_one(whole).collect()))
+    assert sorted(r["text"] for r in near_dedup.keep_rows(whole).collect()) == [text(1), text(6)]
 
 
 def test_shingles_are_sets_of_five_words():
