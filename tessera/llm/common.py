@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.sources.scratch import drop, materialise, scratch, shared_dir
 
-__all__ = ["blocks", "code_points", "drop", "fold", "gram_slots", "letter_runs", "letters", "materialise", "raw", "scratch", "shared_dir", "slim", "slim_batches", "table", "whole"]
+__all__ = ["blocks", "code_points", "drop", "fold", "gram_slots", "letter_runs", "letters", "materialise", "packed", "packed_slots", "raw", "scratch", "shared_dir", "slim", "slim_batches", "table", "unpacked", "whole"]
 
 #: A word, in every operator: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -98,9 +98,35 @@ def letter_runs(text: str) -> np.ndarray:
     return c[keep]
 
 
+def packed(slots: np.ndarray, bits: int) -> bytes:
+    """Distinct slots of 2**bits, as a bitmap or as a list of numbers, whichever is shorter."""
+    if 32 * len(slots) < 1 << bits:
+        return slots.astype("<i4").tobytes()
+    row = np.zeros(1 << bits, bool)
+    row[slots] = True
+    return b"*" + np.packbits(row).tobytes()  # one byte more than a multiple of four
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8, offset=1))).astype(np.int32) if len(raw) % 4 else np.frombuffer(raw, "<i4")
+
+
+def packed_slots(rows: DataFrame, name: str, orders: range, bits: int) -> DataFrame:
+    """rows with their distinct letter n-gram slots, packed, in the place of the text: at most 2**bits / 8 + 1 bytes a row."""
+    kept = [c for c in rows.columns if c != name]
+    at = rows.columns.index(name)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [packed(np.unique(gram_slots(letter_runs(t), orders, bits)), bits) for t in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*[c for k, c in enumerate(batch.columns) if k != at], pa.array(made, pa.binary())], names=[*kept, "slots"])
+
+    return slim_batches(rows).mapInArrow(run, rows.select(*kept).schema.add("slots", "binary"))
+
+
 def gram_slots(c: np.ndarray, orders: range, bits: int) -> np.ndarray:
     """Slots, of 2**bits, of all n-grams of a code point array; a gram's order is part of its key."""
-    c = c.astype(np.uint64) & np.uint64(0xFFFF)
+    c = c.astype(np.uint64)
     key, out = c.copy(), []
     for n in range(1, orders.stop):
         if n > 1:

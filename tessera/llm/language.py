@@ -20,21 +20,31 @@ from pyspark.sql import functions as F
 from tessera.llm import common
 
 BITS, ORDERS = 16, range(1, 5)
-#: Bounds of the sample that the model is fitted on: rows of each language (about; chosen by a hash of doc_id),
-#: languages, and characters of a sampled text (longer ones are left out of the sample, not cut).
-PER_LANG, MAX_LANGS, MAX_CHARS = 300, 200, 200_000
-LANDMARKS, RIDGE = 128, 1e-3
+#: Bounds of the sample that the model is fitted on: rows of each language (about; chosen by a hash over all rows, however
+#: long their texts), and rows of all languages, which share them where there are many, at least LEAST rows each. A row
+#: comes to the driver as its presence bits, 8 KB at most.
+PER_LANG, SAMPLE_ROWS, LEAST = 300, 20_000, 8
+#: Landmarks, and landmarks of each language where that is more.
+LANDMARKS, PER_LANDMARK, RIDGE = 128, 2, 1e-3
 UNKNOWN = "und"
 
 
-def _rows(runs: list[np.ndarray]) -> np.ndarray:
+def _slots(text: str) -> np.ndarray:
+    return common.gram_slots(common.letter_runs(text), ORDERS, BITS)
+
+
+def _presence(slots: list[np.ndarray]) -> np.ndarray:
     """Presence rows of texts, one column for each slot."""
-    out = np.zeros((len(runs), 1 << BITS), np.float32)
-    for row, c in zip(out, runs, strict=True):
-        row[common.gram_slots(c, ORDERS, BITS)] = 1
+    out = np.zeros((len(slots), 1 << BITS), np.float32)
+    for row, s in zip(out, slots, strict=True):
+        row[s] = 1
     return out
 
 
+def _rows(runs: list[np.ndarray]) -> np.ndarray:
+    return _presence([common.gram_slots(c, ORDERS, BITS) for c in runs])
+
+
 def _scaled(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt(np.maximum(rows.sum(1, keepdims=True), 1))
 
@@ -46,21 +56,24 @@ class LanguageModel:
 
     @classmethod
     def fit(cls, texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
+        return cls.fit_slots([_slots(t) for t in texts], langs, landmarks, ridge)
+
+    @classmethod
+    def fit_slots(cls, slots: list[np.ndarray], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
         """Landmarks are taken in turn from the languages, in the order of the rows. No rows: a model that knows none."""
         names = sorted(set(langs))
         if not names:
             return cls([], np.zeros((1 << BITS, 0), np.float32))
-        runs = [common.letter_runs(t) for t in texts]
-        y = np.array([[float(a == b) for b in names] for a in langs])
+        y = (np.array(langs)[:, None] == np.array(names)).astype(np.float64)
         seen: dict[str, int] = {}
         turn = [(seen.__setitem__(a, seen.get(a, -1) + 1), seen[a])[1] for a in langs]
-        chosen = np.lexsort((np.arange(len(langs)), turn))[:landmarks]
-        marks = _scaled(_rows([runs[c] for c in chosen]))
+        chosen = np.lexsort((np.arange(len(langs)), turn))[: max(landmarks, PER_LANDMARK * len(names))]
+        marks = _scaled(_presence([slots[c] for c in chosen]))
         seen = np.flatnonzero(marks.any(0))  # what no landmark has adds nothing to a product with one
         some = np.ascontiguousarray(marks[:, seen].T)
-        k = np.concatenate([_scaled(_rows(runs[a : a + 64]))[:, seen] @ some for a in range(0, len(runs), 64)]).astype(np.float64)
+        k = np.concatenate([_scaled(_presence(slots[a : a + 64]))[:, seen] @ some for a in range(0, len(slots), 64)]).astype(np.float64)
         among = (some.T @ some).astype(np.float64)
-        a = np.linalg.solve(k.T @ k + ridge * len(runs) * among + 1e-6 * np.eye(len(among)), k.T @ y)
+        a = np.linalg.solve(k.T @ k + ridge * len(slots) * among + 1e-6 * np.eye(len(among)), k.T @ y)
         return cls(names, (marks.T @ a).astype(np.float32))
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -81,18 +94,22 @@ class LanguageModel:
 
 
 def learn(docs: DataFrame, held_out_fold: int | None = 0, folds: int = 5) -> LanguageModel:
-    """Fits on a bounded sample of docs(doc_id, text, lang) with a language, outside the held-out fold."""
-    rows = common.slim(docs, "doc_id", "text", "lang").where("lang is not null")
+    """Fits on a bounded sample of docs(doc_id, text, lang) with a language, outside the held-out fold; every language
+    that has a text is learned. A null doc_id is in no held-out fold. The languages themselves are collected, one row each.
+    """
+    rows = common.slim(docs, "doc_id", "text", "lang").where("lang is not null and text <> ''")
     if held_out_fold is not None:
-        rows = rows.where(common.fold("doc_id", folds) != held_out_fold)
-    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    rows = rows.where(F.length("text").between(1, MAX_CHARS))
-    dice = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    wanted = F.lit(False)
-    for r in known:
-        wanted |= (F.col("lang") == r["lang"]) & (dice < int(min(1.0, PER_LANG / r["count"]) * (1 << 30)))
-    sample = rows.where(wanted).select("text", "lang", dice.alias("dice"), "doc_id").orderBy("dice", "doc_id", "text").limit(3 * PER_LANG * max(1, len(known))).collect() if known else []
-    return LanguageModel.fit([r["text"] for r in sample], [r["lang"] for r in sample])
+        rows = rows.where(F.coalesce(common.fold("doc_id", folds) != held_out_fold, F.lit(True)))
+    known = rows.groupBy("lang").count().collect()
+    if not known:
+        return LanguageModel.fit([], [])
+    each = min(PER_LANG, max(LEAST, SAMPLE_ROWS // len(known)))
+    dice = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    below = F.create_map(*[F.lit(x) for r in known for x in (r["lang"], int(min(1.0, each / r["count"]) * (1 << 30)))])
+    drawn = rows.select("lang", dice.alias("dice"), "text").where(F.col("dice") < F.element_at(below, F.col("lang")))
+    # equal rows count once, so rows that repeat can't crowd the sample
+    sample = common.packed_slots(drawn, "text", ORDERS, BITS).dropDuplicates(["lang", "dice"]).orderBy("dice", "lang").collect()
+    return LanguageModel.fit_slots([common.unpacked(r["slots"]) for r in sample], [r["lang"] for r in sample])
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -39,7 +39,7 @@ def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.slim(common.table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
     found = language.identify(docs.select("doc_id", "text"), language.learn(docs))
-    return found.select("doc_id", (common.fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(common.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +66,7 @@ def op7_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.slim(common.table(spark, sf_dir, "documents"), "doc_id", "text")
     found = toxicity.score(docs, toxicity.learn(docs, common.table(spark, sf_dir, "labels")))
-    return found.select("doc_id", (common.fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+    return found.select("doc_id", F.coalesce(common.fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

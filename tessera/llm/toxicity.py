@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from tessera.llm import common
 
 BITS, ORDERS = 18, range(3, 6)
-#: Bounds of the sample that the model is fitted on: labelled rows of each class (about; chosen by a hash of doc_id),
-#: and characters of a sampled text (longer ones are left out of the sample, not cut).
-PER_CLASS, MAX_CHARS = 2500, 50_000
+#: Bounds of the sample that the model is fitted on: labelled doc_ids of each class (about; chosen by a hash of doc_id,
+#: however long their texts), and distinct n-grams of all their texts: 64 MB. Texts are taken in the order of a hash
+#: until those are used up.
+PER_CLASS, SAMPLE_SLOTS = 2500, 16_000_000
 ALPHA, RIDGE, ROUNDS, LEAST_DOCS, LEAST_Z = 1.0, 1.0, 80, 3, 2.0
 TOXIC = 0.7
 
@@ -40,13 +41,16 @@ class ToxicityModel:
 
     @classmethod
     def fit(cls, texts: list[str], toxic: list[int]) -> ToxicityModel:
+        seen = np.zeros(1 << BITS, bool)
+        return cls.fit_slots([_slots(t, seen).astype(np.int32) for t in texts], toxic)
+
+    @classmethod
+    def fit_slots(cls, rows: list[np.ndarray], toxic: list[int]) -> ToxicityModel:
         """Without rows of both classes: a model that says the share of toxic rows (or 0) of every text."""
         y = np.array(toxic, np.float64)
         size = 1 << BITS
         if not len(y) or y.min() == y.max():
             return cls(np.zeros(size, np.float32), 9.0 if len(y) and y[0] else -9.0)
-        seen = np.zeros(size, bool)
-        rows = [_slots(t, seen).astype(np.int32) for t in texts]
         flat = np.concatenate(rows)
         doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
         df = np.bincount(flat, minlength=size)
@@ -54,7 +58,6 @@ class ToxicityModel:
         q = 2 * ALPHA + df - p
         ratio = np.log(p / (y.sum() + 2 * ALPHA)) - np.log(q / ((1 - y).sum() + 2 * ALPHA))
         # n-grams whose ratio is within the noise of their counts tell nothing, and there are very many of them
-        del rows
         ratio = np.where((df >= LEAST_DOCS) & (np.abs(ratio) >= LEAST_Z * np.sqrt(1 / p + 1 / q)), ratio, 0)
         keep = ratio[flat] != 0
         flat, doc = flat[keep], doc[keep]
@@ -80,7 +83,8 @@ class ToxicityModel:
 def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, folds: int = 3) -> ToxicityModel:
     """Fits on a bounded sample of labels(doc_id, toxic) with their docs(doc_id, text), outside the held-out fold.
 
-    A doc_id with several labels counts as toxic if one of them says so; labels without a doc_id or a 0 or 1 are left out.
+    A doc_id with several labels counts as toxic if one of them says so; labels without a doc_id or a 0 or 1 are left
+    out. Of several texts of one doc_id that of the least hash is taken.
     """
     marks = common.slim(labels, "doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null")
     if held_out_fold is not None:
@@ -91,9 +95,20 @@ def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, fol
         wanted |= (F.col("toxic") == r["toxic"]) & (dice < int(min(1.0, PER_CLASS / r["count"]) * (1 << 30)))
     # at most about 2 * PER_CLASS rows of two numbers each
     chosen = marks.where(wanted).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    texts = common.slim(docs, "doc_id", "text").where(F.length("text") <= MAX_CHARS)
-    sample = texts.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(4 * PER_CLASS).collect()
-    return ToxicityModel.fit([r["text"] for r in sample], [r["toxic"] for r in sample])
+    texts = common.slim(docs, "doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
+    slots = common.packed_slots(texts.select("doc_id", "toxic", F.xxhash64("text").alias("h"), "text"), "text", ORDERS, BITS)
+    each = slots.groupBy("doc_id").agg(F.min_by(F.struct("toxic", "slots"), "h").alias("x")).select(F.xxhash64("doc_id").alias("dice"), "doc_id", "x.*")
+    sample = common.materialise(each, "labelled")
+    # a bitmap stands for no more slots than it has bits
+    size = F.when(F.length("slots") % 4 == 0, F.length("slots") / 4).otherwise(F.lit(1 << BITS))
+    total, last = 0, None
+    for r in sorted(sample.select("dice", size.cast("long").alias("n")).collect(), key=lambda r: r["dice"]):
+        total += r["n"]
+        if total > SAMPLE_SLOTS:
+            break
+        last = r["dice"]
+    rows = sample.where(F.col("dice") <= F.lit(last)).orderBy("dice", "doc_id").collect() if last is not None else []
+    return ToxicityModel.fit_slots([common.unpacked(r["slots"]) for r in rows], [r["toxic"] for r in rows])
 
 
 def score(docs: DataFrame, model: ToxicityModel, toxic_from: float = TOXIC) -> DataFrame:
