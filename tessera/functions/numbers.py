@@ -32,13 +32,55 @@ def cost(input_tokens: Column, output_tokens: Column, input_rate: str, output_ra
 
 
 def score_6(score: Column) -> Column:
-    return F.round(score, 6)
+    """The nearest number of six places to the number itself (not to its shortest decimal text); exact halves to even.
+
+    A million times the score is worked out as a number and its exact error: the score is split into halves of 26 bits,
+    whose products with a million are exact.
+    """
+    million = F.lit(1e6)
+    x = F.abs(score.cast("double"))
+    big = x * F.lit(134217729.0)
+    high = big - (big - x)
+    p = x * million
+    error = (high * million - p) + (x - high) * million
+    below = F.floor(p).cast("double")
+    rest = (p - below) + error
+    up = (rest > 0.5) | (rest == 0.5) & (below % 2 == 1)
+    near = (below + F.when(up, 1.0).otherwise(0.0)) / million
+    # from 2**33 on, doubles have no more than six places
+    return F.when((x > 0) & (x < 8589934592.0), F.when(score < 0, -near).otherwise(near)).otherwise(score.cast("double"))
+
+
+def ascii_json(text: Column) -> Column:
+    """A JSON string of ASCII characters alone: others, and control characters, as \\u and their UTF-16 units."""
+    units = F.hex(F.encode(text, "UTF-16BE"))
+    short = F.create_map(*[F.lit(x) for pair in (("0022", '\\"'), ("005C", "\\\\"), ("000A", "\\n"), ("000D", "\\r"), ("0009", "\\t"), ("0008", "\\b"), ("000C", "\\f")) for x in pair])
+
+    def shown(k: Column) -> Column:
+        unit = F.substring(units, 4 * k + 1, F.lit(4))
+        plain = unit.between("0020", "007E")
+        return F.coalesce(F.try_element_at(short, unit), F.when(plain, F.char(F.conv(unit, 16, 10).cast("int"))).otherwise(F.concat(F.lit("\\u"), F.lower(unit))))
+
+    hard = F.array_join(F.transform(F.sequence(F.lit(0), (F.length(units) / 4).cast("int") - 1), shown), "")
+    return F.concat(F.lit('"'), F.when(text.rlike(r"^[ !#-\[\]-~]*$"), text).otherwise(hard), F.lit('"'))
+
+
+def json_number(x: Column) -> Column:
+    """A number as JSON has it: the shortest digits, with an exponent only below 0.0001 and from 1e16 on."""
+    text = F.abs(x.cast("double")).cast("string")
+    digits = F.regexp_replace(F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", ""), r"\.", "")
+    power = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).cast("int"))
+    whole = F.concat(F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0")), F.lit("."), F.coalesce(F.nullif(F.substring(digits, power + 2, F.lit(17)), F.lit("")), F.lit("0")))
+    rest = F.substring(digits, 2, 17)
+    exponent = F.concat(F.substring(digits, 1, 1), F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    shown = F.when(power.isNull(), text).when(power == -4, F.concat(F.lit("0.000"), digits)).when(power.between(0, 15), whole).otherwise(exponent)
+    return F.concat(F.when(x.cast("string").startswith("-"), "-").otherwise(""), shown)
 
 
 def encode_cursor(score: Column, node_id: Column) -> Column:
-    """base64url, unpadded, of the JSON list of a score text and an id."""
-    raw = F.concat(F.lit("["), score, F.lit(","), F.lit('"'), node_id, F.lit('"]'))
-    return F.rtrim(F.translate(F.base64(raw.cast("binary")), "+/", "-_"), F.lit("="))
+    """base64url, unpadded, of the JSON list of a score of six places and an id."""
+    raw = F.concat(F.lit("["), json_number(score_6(score)), F.lit(","), ascii_json(node_id), F.lit("]"))
+    return F.rtrim(F.translate(F.base64(raw.cast("binary")), "+/\r\n", "-_"), F.lit("="))
 
 
 def decode_cursor(cursor: Column) -> Column:
@@ -61,9 +103,11 @@ def hex_digest(text: Column, digits: int = 64) -> Column:
     return text.rlike(f"^[0-9a-f]{{{digits}}}$")
 
 
-def git_blob_id(content: Column) -> Column:
+def git_blob_id(content: Column, digits: int = 40) -> Column:
+    """The object id of a file's content: SHA-1 of 40 digits, or SHA-256 of 64."""
     head = F.concat(F.lit("blob "), F.octet_length(content).cast("string")).cast("binary")
-    return F.sha1(F.concat(head, F.lit(b"\0"), content))
+    whole = F.concat(head, F.lit(b"\0"), content)
+    return F.sha1(whole) if digits == 40 else F.sha2(whole, 256)
 
 
 def int8_scale(vector: Column) -> Column:

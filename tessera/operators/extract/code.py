@@ -8,8 +8,6 @@ from dataclasses import dataclass
 
 from tessera.operators.extract.records import Limit, Records, inside
 
-MAX_AST_NODES = 100_000
-
 
 def python(text: str, out: Records) -> None:
     """Classes and functions with dotted labels, and imports by module path; relative imports by their level."""
@@ -19,7 +17,7 @@ def python(text: str, out: Records) -> None:
         nonlocal seen
         for child in ast.iter_child_nodes(item):
             seen += 1
-            if seen > MAX_AST_NODES:
+            if seen > out.limits.syntax_nodes:
                 raise Limit("syntax nodes")
             if isinstance(child, ast.Import):
                 for a in child.names:

@@ -1,17 +1,26 @@
-"""What extractors give out: the nodes, edges and references of one file."""
+"""What extractors give out: the nodes, edges and references of one file, within its limits."""
 
 from __future__ import annotations
 
 import hashlib
 import posixpath
+from dataclasses import dataclass
 
 from tessera.functions.numbers import canonical
 
-MAX_RECORDS, MAX_CANDIDATES = 20_000, 32
+
+@dataclass(frozen=True)
+class Limits:
+    """What one file may have; a file beyond them has no records but the outcome "unknown", with the reason "limit"."""
+
+    records: int = 20_000
+    bytes: int = 64 << 20
+    candidates: int = 32
+    syntax_nodes: int = 100_000
 
 
 class Limit(Exception):
-    """A file has more records than one file may have."""
+    """A file has more than one file may have, or a name that no record may have."""
 
 
 def record_id(*parts: object) -> str:
@@ -30,44 +39,45 @@ def inside(base: str, path: str) -> str | None:
     return None if out in (".", "..") or out.startswith("../") else out
 
 
-class Records:
-    """Collects the records of one file; equal edges and references are kept once, in order."""
+def _checked(name: str) -> str:
+    if not 0 < len(name) <= 4096 or min(name) < " ":
+        raise Limit("name")
+    return name
 
-    def __init__(self, path: str, most: int = MAX_RECORDS):
-        self.path, self.folder, self.most = path, posixpath.dirname(path), most
-        self.file = file_id(path)
-        self.nodes: list[dict] = [{"id": self.file, "type": "file", "label": path}]
-        self.edges: dict[tuple[str, str, str], None] = {}
-        self.references: dict[tuple[str, str, int], tuple[list[str], str]] = {}
 
-    def _count(self) -> None:
-        if len(self.nodes) + len(self.edges) + len(self.references) > self.most:
-            raise Limit("records")
+class Records:
+    """One table a kind of record, from a record's key to the record: what has a known key changes nothing."""
 
-    def node(self, kind: str, label: str, *place: int, parent: str | None = None) -> str:
+    def __init__(self, path: str, limits: Limits = Limits()):
+        self.path, self.folder, self.limits = path, posixpath.dirname(path), limits
+        self.file = file_id(path)
+        self.tables: dict[str, dict[object, dict]] = {"nodes": {self.file: {"id": self.file, "type": "file", "label": path}}, "edges": {}, "refs": {}}
+        self.room, self.room_bytes = limits.records, limits.bytes
+
+    def _put(self, table: str, key: object, record: dict) -> None:
+        if key in self.tables[table]:
+            return
+        self.room -= 1
+        self.room_bytes -= len(canonical(record))
+        if min(self.room, self.room_bytes) < 0:
+            raise Limit(table)
+        self.tables[table][key] = record
+
+    def node(self, kind: str, label: str, *place: int, parent: str | None = None, by: str = "contains") -> str:
         """Adds a node below a parent (the file, if none is named) and gives its id."""
-        if not label or len(label) > 4096 or any(ord(c) < 32 for c in label):
-            return parent or self.file
-        identity = record_id(self.path, kind, label, *place)
-        self.nodes.append({"id": identity, "type": kind, "label": label})
-        self.edge(parent or self.file, identity, "contains")
-        self._count()
+        identity = record_id(self.path, kind, _checked(label), *place)
+        self._put("nodes", identity, {"id": identity, "type": kind, "label": label})
+        self.edge(parent or self.file, identity, by)
         return identity
 
     def edge(self, source: str, target: str, kind: str) -> None:
-        self.edges.setdefault((source, target, kind))
+        self._put("edges", (source, target, kind), {"source": source, "target": target, "type": kind})
 
     def reference(self, kind: str, target: str, line: int, candidates: list[str | None], resolution: str = "unique") -> None:
-        if target and len(target) <= 4096 and not any(ord(c) < 32 for c in target):
-            known = [c for c in dict.fromkeys(candidates) if c][:MAX_CANDIDATES]
-            self.references.setdefault((kind, target, line), (known, resolution))
-            self._count()
+        known = list(filter(None, dict.fromkeys(candidates)))
+        if len(known) > self.limits.candidates:
+            raise Limit("candidates")
+        self._put("refs", (kind, _checked(target), line), {"kind": kind, "target": target, "line": line, "candidates": known, "resolution": resolution})
 
     def fragment(self) -> dict:
-        return {
-            "outcome": "structural",
-            "reason": None,
-            "nodes": self.nodes,
-            "edges": [{"source": s, "target": t, "type": k} for s, t, k in self.edges],
-            "refs": [{"kind": k, "target": t, "line": n, "candidates": c, "resolution": r} for (k, t, n), (c, r) in self.references.items()],
-        }
+        return {"outcome": "structural", "reason": None} | {name: list(table.values()) for name, table in self.tables.items()}

@@ -625,7 +625,7 @@ def _hits(spark, sf_dir) -> DataFrame:
     return _t(spark, sf_dir, "events").select(F.col("value").alias("score"), F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("node_id"), F.col("event_type").alias("kind"))
 
 
-_HITS = """WITH hits AS (SELECT round(value, 6) AS score, 'e' || event_id AS node_id, event_type AS kind, len(printf('{"score":%.6f,"node_id":"%s","kind":"%s"}', round(value, 6), 'e' || event_id, event_type)) AS chars FROM events) """
+_HITS = """WITH hits AS (SELECT round(value, 6) AS score, 'e' || event_id AS node_id, event_type AS kind, len('{"score":' || CAST(value AS VARCHAR) || ',"node_id":"e' || event_id || '","kind":"' || event_type || '"}') AS chars FROM events) """
 _PAGE = "SELECT CAST(position AS INTEGER) AS position, node_id, score, kind, chars FROM (SELECT *, row_number() OVER o AS position, sum(chars) OVER o AS c, sum(greatest(1, chars // 4)) OVER o AS t FROM (SELECT * FROM hits {where} ORDER BY score DESC, node_id LIMIT 200) WINDOW o AS (ORDER BY score DESC, node_id)) WHERE position = 1 OR c <= 8192 AND t <= 25000"
 
 
@@ -643,14 +643,37 @@ def page_next(spark, sf_dir):
 
 
 @query(
-    "WITH e AS (SELECT event_id, round(value, 6) AS s FROM events) SELECT event_id, rtrim(replace(replace(base64(encode('[' || printf('%.6f', s) || ',\"e' || event_id || '\"]')), '+', '-'), '/', '_'), '=') AS cursor, s AS score, 'e' || event_id AS node_id FROM e"
+    """WITH e AS (SELECT event_id, round(value, 6) AS s, 'e"' || event_id || '\\' || event_type AS id FROM events)
+SELECT event_id, rtrim(replace(replace(base64(encode('[' || CAST(s AS VARCHAR) || ',' || CAST(to_json(id) AS VARCHAR) || ']')), '+', '-'), '/', '_'), '=') AS cursor, s AS score, id AS node_id FROM e"""
 )
 def cursor_round_trip(spark, sf_dir):
-    e = _t(spark, sf_dir, "events").select("event_id", F.format_string("%.6f", numbers.score_6(F.col("value"))).alias("s"))
-    c = e.select("event_id", numbers.encode_cursor(F.col("s"), F.concat(F.lit("e"), F.col("event_id").cast("string"))).alias("cursor"))
+    """Cursors of ids with quotes and backslashes."""
+    e = _t(spark, sf_dir, "events").select("event_id", "value", F.concat(F.lit('e"'), F.col("event_id").cast("string"), F.lit("\\"), "event_type").alias("id"))
+    c = e.select("event_id", numbers.encode_cursor(F.col("value"), F.col("id")).alias("cursor"))
     return c.select("event_id", "cursor", numbers.decode_cursor(F.col("cursor")).alias("d")).select("event_id", "cursor", "d.score", "d.node_id")
 
 
+@query(
+    """WITH hits AS (SELECT value AS score, 'e' || event_id AS node_id, event_type AS kind FROM events),
+shown AS (SELECT *, len('{"score":' || CAST(score AS VARCHAR) || ',"node_id":"' || node_id || '","kind":"' || kind || '"}') AS chars FROM hits ORDER BY round(score, 6) DESC, node_id LIMIT 200),
+page AS (SELECT * FROM (SELECT *, row_number() OVER o AS position, sum(chars) OVER o AS c FROM shown WINDOW o AS (ORDER BY round(score, 6) DESC, node_id)) WHERE position = 1 OR c <= 8192),
+last AS (SELECT * FROM page ORDER BY position DESC LIMIT 1),
+whole AS (SELECT count(*) AS n, sum(len('{"score": ' || CAST(score AS VARCHAR) || ', "node_id": "' || node_id || '", "kind": "' || kind || '"}') + 2) AS chars FROM hits)
+SELECT position AS n_items, n > position AS truncated, CAST(whole.chars // 4 AS BIGINT) AS total_estimate,
+rtrim(replace(replace(base64(encode('[' || CAST(round(score, 6) AS VARCHAR) || ',"' || node_id || '"]')), '+', '-'), '/', '_'), '=') AS next_cursor,
+(n - position) || ' further hits beyond this page; re-call with cursor=next_cursor to continue' AS hint
+FROM whole, last"""
+)
+def page_answer(spark, sf_dir):
+    return paging.page_answer(_hits(spark, sf_dir))
+
+
+@query("SELECT event_id, CAST(to_json(props) AS VARCHAR) AS quoted, CAST(value AS VARCHAR) AS number FROM events")
+def json_texts(spark, sf_dir):
+    """Texts that are JSON themselves, quoted as JSON strings; and numbers."""
+    return _t(spark, sf_dir, "events").select("event_id", numbers.ascii_json(F.col("props")).alias("quoted"), numbers.json_number(F.col("value")).alias("number"))
+
+
 @query(
     """SELECT count(*) AS n, max(round(value, 6)) AS top, (SELECT round(value, 6) FROM events ORDER BY round(value, 6) DESC LIMIT 1 OFFSET (SELECT count(*) // 2 FROM events)) AS middle,
 (SELECT string_agg(event_type || 'x' || n, ', ' ORDER BY n DESC, event_type) FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)) AS mix FROM events"""

@@ -52,7 +52,7 @@ def test_files_without_records():
     assert extract.fragment("x.py", b"# BEGIN RSA PRIVATE KEY")["reason"] == "forbidden_marker"
     assert extract.fragment("x.ts", b"const a = `b")["reason"] == "SyntaxError"
     many = "\n".join(f"def f{k}(): pass" for k in range(10_001))
-    assert extract.fragment("x.py", many.encode())["reason"] == "Limit"
+    assert extract.fragment("x.py", many.encode())["reason"] == "limit"
 
 
 def _assembled(spark, files, slices):
@@ -118,3 +118,79 @@ def test_graph_of_fragments(spark):
     rows = spark.createDataFrame(list(FILES.items()), "path string, content string").select("path", F.encode("content", "UTF-8").alias("content"))
     nodes, links = extract.graph(extract.fragments(rows), rows.select("path", F.lit("all").alias("slice")))
     graph.check(nodes, links.withColumn("ord", F.monotonically_increasing_id()))
+
+
+def _markdown(text, path="docs/a.md", **more):
+    found = extract.fragment(path, text.encode(), **more)
+    assert found["outcome"] == "structural"
+    name = {n["id"]: n["label"] for n in found["nodes"]}
+    return [n["label"] for n in found["nodes"][1:]], {(name[e["source"]], name[e["target"]]) for e in found["edges"]}, {(r["target"], r["line"], *r["candidates"]) for r in found["refs"]}
+
+
+def test_markdown_lines():
+    heads = lambda t: _markdown(t)[0]
+    assert heads("para one\npara two\n---\n") == []  # more than one line above
+    assert heads("- item\n---\n") == heads("1. item\n===\n") == heads("> q\n---\n") == heads("| a |\n---\n") == []
+    assert heads("one\n---\ntwo\n===\n") == ["one", "two"] and heads("\n---\n") == []
+    assert heads("# **Bold** _it_ `code` [text](x.md) ![pic](p.png) ##") == ["**Bold** _it_ code text pic"]
+    assert heads("#no\n####### seven\n    # code\n   ### three #\n#\n## ##\n") == ["three"]
+    assert heads("```\n# no\n~~~\n````\n# yes\n<!-- # no\n# no\n--> x\n# after <!-- c --> it\n") == ["yes", "after it"]
+    assert heads("---\n# no\n...\n# yes") == ["yes"] and heads("---\n# open") == ["open"]
+    _, edges, _ = _markdown("# a\n### b\n## c\n### d\n# e\n## f\n")
+    assert edges == {("docs/a.md", "a"), ("a", "b"), ("a", "c"), ("c", "d"), ("docs/a.md", "e"), ("e", "f")}
+
+
+def test_markdown_links():
+    links = lambda t, **m: _markdown(t, **m)[2]
+    assert links("see [text][name] and [name]\n\n[name]: ./b.md\n[unused]: c.md 'T'\n[^1]: note.md\n") == {("./b.md", 3, "docs/b.md"), ("c.md", 4, "docs/c.md")}
+    assert links('[a](<b.md> "t") [c]( ../d.md#x ) [e](f.md?q "u" x) ![i](j.png) [k](http://l) [m](/n) [o](#p) [q](../../r.md) `[s](t.md)`') == {("b.md", 1, "docs/b.md"), ("../d.md#x", 1, "d.md"), ("../../r.md", 1)}
+    assert links("[![i](j.png)](k.md)") == {("j.png", 1, "docs/j.png")}
+    first = {"family": "1"}
+    assert links('[a](b.md) [c](d.md "t")\n[n]: e.md\n# [h](i.md)\n```\n[x](y.md)\n```\n', **first) == {("b.md", 1, "docs/b.md"), ("i.md", 3, "docs/i.md")} and _markdown("# a", **first)[0] == []
+    assert extract.fragment("a.go", b"package a", family="1")["reason"] == "unsupported"
+
+
+def test_shell_lines():
+    def refs(text):
+        found = extract.fragment("bin/a.sh", text.encode())
+        return {(r["target"], r["line"], *r["candidates"]) for r in found["refs"]}, [n["label"] for n in found["nodes"][1:]]
+
+    assert refs('if x; then . ./a.sh; fi\nx && source b.sh # . no.sh\necho . no.sh\necho "\n. no.sh\n"\n. "${BASH_SOURCE%/*}/c.sh"\n(. d.sh)\n. /abs.sh\n')[0] == {
+        ("./a.sh", 1, "bin/a.sh", "a.sh"), ("b.sh", 2, "bin/b.sh", "b.sh"), ("${BASH_SOURCE%/*}/c.sh", 7, "bin/c.sh"), ("d.sh", 8, "bin/d.sh", "d.sh"), ("/abs.sh", 9),
+    }
+    assert refs("cat <<-'E' <<F\n. no.sh\n\tE\n. no.sh\nF\n. y.sh\ncat <<< x\n. z.sh\n")[0] == {("y.sh", 6, "bin/y.sh", "y.sh"), ("z.sh", 8, "bin/z.sh", "z.sh")}
+    assert refs('. "$(dirname "${BASH_SOURCE[0]}")/e f.sh"\n. $(cd x)/g.sh\n. *.sh\n')[0] == {("$(dirname ${BASH_SOURCE[0]})/e f.sh", 1, "bin/e f.sh"), ("$(cd x)/g.sh", 2), ("*.sh", 3)}
+    assert refs("f() {\n:\n}\nfunction g-h {\n:\n}\nfunction i() (\n:\n)\nj ()\n{\n:\n}\nk() echo\necho l() {\n'\nm() {\n'\n")[1] == ["f", "g-h", "i", "j"]
+
+
+def test_manifest_names():
+    labels = lambda path, text: [n["label"] for n in extract.fragment(path, text.encode())["nodes"][1:]]
+    assert labels("package.json", '{"dependencies": {"ok": "1", "@a/b": "1", "a/b": "1", "-x": "1", "": "1", "~t": 1}, "devDependencies": []}') == ["ok", "@a/b", "~t"]
+    assert extract.fragment("package.json", b"{")["reason"] == "SyntaxError"
+    assert labels("pyproject.toml", '[project]\ndependencies = [" Req.uests>=1", "-bad", "x_"]\n[dependency-groups]\ndev = ["y", {include-group = "z"}]\n[tool.poetry.group.t.dependencies]\npython = "1"\nw = "2"\n') == ["Req.uests", "x", "y", "w"]
+    assert labels("go.mod", 'module "a.b/c"\nmodule d\nrequire(\n"e.f/g" v1\n)\nreplace (\nh => i\n)\nrequire j v2 // x\nrequire !k v1\n') == ["a.b/c", "e.f/g", "j"]
+    assert labels(".github/workflows/w.yml", "a:\n - uses: o/a@v1 # c\n - uses: 'o/b/c@v1'\n - uses: single\n - uses: o/d extra\n - name: >-\n     uses: o/no\n - key: |2\n    uses: o/no\n   uses: o/no\n - uses:  docker://x:1\n") == ["o/a", "o/b/c", "docker://x:1"]
+
+
+def test_limits_of_a_file():
+    from tessera.operators.extract.records import Limits, Records
+
+    out = Records("a/b.py")
+    out.reference("imports", "x", 1, [f"c{k}" for k in range(32)])
+    with pytest.raises(Exception, match="candidates"):
+        out.reference("imports", "y", 1, [f"c{k}" for k in range(33)])
+    for bad in ("", "a\nb", "x" * 4097):
+        with pytest.raises(Exception, match="name"):
+            out.node("function", bad)
+    text = b"def f(): pass\ndef g(): pass\n"
+    assert extract.fragment("x.py", text, Limits(records=4))["outcome"] == "structural"
+    for small in (Limits(records=3), Limits(bytes=100), Limits(syntax_nodes=2)):
+        assert extract.fragment("x.py", text, small) == {"outcome": "unknown", "reason": "limit", "nodes": [], "edges": [], "refs": []}
+
+
+def test_names_of_files_are_the_records_own(spark):
+    from tessera.operators.extract.records import file_id
+
+    paths = ["a/b.py", 'q"u.md', "é/😀.go", "back\\slash"]
+    found = spark.createDataFrame([(p,) for p in paths], "p string").select("p", extract.file_name("p").alias("id")).collect()
+    assert all(r["id"] == file_id(r["p"]) for r in found)

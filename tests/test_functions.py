@@ -84,3 +84,34 @@ def test_git_blob_ids(spark):
 
 def test_canonical_records():
     assert numbers.canonical({"b": None, "a": "é/\""}) == '{"a":"\\u00e9/\\"","b":null}'
+
+
+def test_sha256_object_ids(spark):
+    import hashlib
+
+    from tessera.sources import catalogs
+
+    body = b"hello\n"
+    ids = [h(b"blob 6\0" + body).hexdigest() for h in (hashlib.sha1, hashlib.sha256)]
+    blobs = spark.createDataFrame([(i, 6, bytearray(body)) for i in (*ids, "0" * 64, "0" * 40)], "blob_oid string, bytes long, content binary")
+    assert {r["blob_oid"] for r in catalogs.blob_faults(blobs).collect()} == {"0" * 64, "0" * 40}
+
+
+def test_scores_and_json_are_those_of_python(spark):
+    import base64
+    import json
+    import random
+
+    draw = random.Random(4)
+    values = [0.0, -0.0, 0.5, 1.0, 2.5e-06, 3.5e-06, 0.0000005, 0.0000015, 1.0000005, 2.0000015, 0.0078125, 0.0234375, 1e-05, 0.00012, 1e-4, 1e7, 123456789.5, 1e15, 1e16, 1.5e22, 1e-7, 12345.678901234567]
+    values += [draw.choice([-1, 1]) * round(draw.random() * 10 ** draw.randint(-6, 6), draw.randint(5, 8)) for _ in range(3000)] + [k / 128 for k in range(200)] + [(2 * k + 1) * 5e-7 for k in range(3000)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", numbers.score_6(F.col("v")).alias("r"), numbers.json_number(F.col("v")).alias("t")).collect()
+    for r in rows:
+        assert repr(r["r"]) == repr(round(r["v"], 6)) and r["t"] == json.dumps(r["v"]), r
+    ids = ["a", 'q"u\\o', "é😀\n\t\x01\x7f", "", "/b c", None]
+    found = spark.createDataFrame([(i, 0.25) for i in ids], "i string, s double").select("i", numbers.ascii_json(F.col("i")).alias("j"), numbers.encode_cursor(F.col("s"), F.col("i")).alias("c")).withColumn("d", numbers.decode_cursor(F.col("c"))).collect()
+    for r in found:
+        if r["i"] is not None:
+            assert r["j"] == json.dumps(r["i"])
+            assert r["c"] == base64.urlsafe_b64encode(json.dumps([0.25, r["i"]], separators=(",", ":")).encode()).decode().rstrip("=")
+            assert (r["d"]["score"], r["d"]["node_id"]) == (0.25, r["i"])
