@@ -44,8 +44,8 @@ def score_6(score: Column) -> Column:
     p = x * million
     error = (high * million - p) + (x - high) * million
     below = F.floor(p).cast("double")
-    rest = (p - below) + error
-    up = (rest > 0.5) | (rest == 0.5) & (below % 2 == 1)
+    over = (p - below) - 0.5  # exact, and larger than the error unless it is 0
+    up = (over > 0) | (over == 0) & ((error > 0) | (error == 0) & (below % 2 == 1))
     near = (below + F.when(up, 1.0).otherwise(0.0)) / million
     # from 2**33 on, doubles have no more than six places
     return F.when((x > 0) & (x < 8589934592.0), F.when(score < 0, -near).otherwise(near)).otherwise(score.cast("double"))

@@ -1,20 +1,27 @@
 """Bounded read-only queries on a directed multigraph of nodes(ord, id, ...) and links(ord, source, target, ...).
 
 Links are looked at in input order, node by node in the order of discovery, as a breadth-first walk does. Each level is
-one join of the frontier with the links; a driver loop goes from level to level (two for neighbours, twelve at most for
-paths) and materialises each, so lost executors cost one level at most.
+one job: the links of the frontier's nodes, in order, and no more of them than the walk may still look at, plus one.
+Both the frontier and what a level gives are bound by max_explored (100,000 at most), and so are held by the driver;
+what has no bound, the links, stays distributed. Walks over links that are stored by node (store) read only the row
+groups of a small frontier's nodes.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cache
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import casefold
 from tessera.sources.scratch import materialise
 
+MOST_EXPLORED = 100_000
+#: Frontiers up to this size are named in the filter that reaches the scan.
+NAMED = 10
+
 
 def adjacency(links: DataFrame, direction: str = "both") -> DataFrame:
     """(node, next, ord, dir, source, target, kind): out links have dir 0, in links dir 1; both has a self-loop twice."""
@@ -28,19 +35,50 @@ def adjacency(links: DataFrame, direction: str = "both") -> DataFrame:
     return ways[0] if len(ways) == 1 else ways[0].unionByName(ways[1])
 
 
+def store(links: DataFrame, path: str) -> None:
+    """Writes the adjacency of links, both ways, sorted by node; a node of very many links is dealt over several files."""
+    adjacency(links).repartitionByRange("node", "ord").sortWithinPartitions("node", "ord", "dir").write.option("parquet.block.size", str(16 << 20)).parquet(path)
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def _ways(links: DataFrame, direction: str) -> DataFrame:
+    """The adjacency of links, or the wanted part of a stored one."""
+    if "dir" not in links.columns:
+        return adjacency(links, direction)
+    if direction not in ("in", "out", "both"):
+        raise ValueError(f"direction: {direction}")
+    return links if direction == "both" else links.where(F.col("dir") == int(direction == "in"))
+
+
+@cache
+def _folded_to_ascii() -> dict[str, str]:
+    """Characters that are not ASCII and whose case folding has ASCII in it."""
+    return {c: f for c in map(chr, range(128, 0x110000)) if not 0xD800 <= ord(c) < 0xE000 and (f := c.casefold()) != c and any(x.isascii() for x in f)}
+
+
+def _folds_to(text: Column, wanted: str) -> Column:
+    """Whether the case-folded text has wanted, which is folded, in it."""
+    if not wanted.isascii():
+        return casefold(text).contains(wanted)
+    # where ASCII is looked for, lower case does but for the few characters that fold to ASCII
+    special = _folded_to_ascii()
+    full = text
+    for c, folded in special.items():
+        full = F.replace(full, F.lit(c), F.lit(folded))
+    return F.lower(text).contains(wanted) | text.rlike(f"[{''.join(special)}]") & F.lower(full).contains(wanted)
+
+
 def search(nodes: DataFrame, text: str, limit: int = 50) -> DataFrame:
     """The first nodes, in input order, one of whose attributes has the case-folded text in it.
 
-    A null attribute counts as the text None. ASCII text needs no Python: lower case is the same as case folding then,
-    but for the Kelvin sign and the long s, which are folded too.
+    A null attribute counts as the text None.
     """
-    fields = [c for c in ("id", "label", "name", "source_file", "type") if c in nodes.columns]
-    wanted = text.casefold()
-    shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("None"))
-    fold = (lambda c: F.lower(F.translate(shown(c), "Kſ", "ks"))) if wanted.isascii() else (lambda c: casefold(shown(c)))
     hit = F.lit(False)
-    for c in fields:
-        hit = hit | fold(c).contains(wanted)
+    for c in [c for c in ("id", "label", "name", "source_file", "type") if c in nodes.columns]:
+        hit = hit | _folds_to(F.coalesce(F.col(c).cast("string"), F.lit("None")), text.casefold())
     return nodes.where(hit).orderBy("ord").limit(limit)
 
 
@@ -60,75 +98,108 @@ def _need(nodes: DataFrame, **ends: str) -> None:
             raise ValueError(f"{what} node absent: {node_id}")
 
 
-def neighbors(nodes: DataFrame, links: DataFrame, start: str, direction: str = "both", depth: int = 1, limit: int = 50, max_explored: int = 10_000) -> DataFrame:
-    """One row for each link looked at, links back to known nodes too: position, depth, the other node and the link.
+def _level(ways: DataFrame, frontier: list[str], most: int, *more: str) -> list:
+    """The first links of the frontier's nodes, in their order: k, the place of the node, and next, ord, dir, ..."""
+    if len(frontier) <= NAMED:
+        ways = ways.where(F.col("node").isin(*frontier))
+    ranked = ways.sparkSession.createDataFrame([(n, k) for k, n in enumerate(frontier)], "node string, k long")
+    return ways.join(F.broadcast(ranked), "node").select("k", "node", "next", "ord", "dir", *more).orderBy("k", "ord", "dir").limit(most).collect()
 
-    The walk ends after the node that brings it over the limit, or when max_explored links were looked at; the first
-    limit rows are returned. Both bounds are the operator's own.
-    """
+
+def _bounded(max_explored: int) -> None:
+    if not 1 <= max_explored <= MOST_EXPLORED:
+        raise ValueError(f"max_explored is 1 to {MOST_EXPLORED}")
+
+
+@dataclass
+class Neighbors:
+    """rows as neighbors() gives them, the number of links looked at, and why rows are missing (record_limit,
+    exploration_limit), if any are."""
+
+    rows: DataFrame
+    explored: int
+    truncation: str | None
+
+
+def explore(nodes: DataFrame, links: DataFrame, start: str, direction: str = "both", depth: int = 1, limit: int = 50, max_explored: int = 10_000) -> Neighbors:
+    """The neighbours of a node. The walk ends after the node that brings it over the limit, or when max_explored links
+    were looked at; the first limit rows are given. links may be stored ones."""
     if depth not in (1, 2):
         raise ValueError("depth is 1 or 2")
+    _bounded(max_explored)
     _need(nodes, start=start)
-    adj = adjacency(links, direction)
-    cap = min(limit, max_explored)
-    first = adj.where(F.col("node") == start).withColumn("k", F.lit(0).cast("long")).withColumn("depth", F.lit(1))
-    found = first.orderBy("ord", "dir").limit(cap + 1)
-    if depth == 2:
-        # the frontier: nodes in the order of their first link, start left out; it is no larger than max_explored
-        level = materialise(first.orderBy("ord", "dir").limit(max_explored), "level")
-        room = cap - level.count()
-        if room > 0:
-            frontier = level.where(F.col("next") != start).groupBy("next").agg(F.min(F.struct("ord", "dir")).alias("at"))
-            order = Window.orderBy("at.ord", "at.dir")
-            ranked = F.broadcast(frontier.select(F.col("next").alias("node"), F.row_number().over(order).cast("long").alias("k")))
-            second = adj.join(ranked, "node").withColumn("depth", F.lit(2)).orderBy("k", "ord", "dir").limit(room)
-            found = level.select(*first.columns).unionByName(second.select(*first.columns))
-        else:
-            found = level
-    order = Window.orderBy("depth", "k", "ord", "dir")
-    rows = found.withColumn("position", F.row_number().over(order)).where(F.col("position") <= cap)
-    about = nodes.select(F.col("id").alias("next"), F.col("type").alias("node_type"), F.col("label").alias("node_label"))
-    return rows.join(about, "next").select("position", "depth", F.col("next").alias("node_id"), "node_type", "node_label", F.col("source").alias("link_source"), F.col("target").alias("link_target"), F.col("kind").alias("link_kind"), F.col("ord").alias("link_ord"))
+    ways = _ways(links, direction)
+    rows: list[tuple] = []
+    truncation, frontier = None, [start]
+    for level in range(1, depth + 1):
+        got = _level(ways, frontier, max_explored - len(rows) + 1, "source", "target", "kind") if frontier else []
+        for at, r in enumerate(got):
+            # the limit is looked at between nodes
+            if at and r["k"] != got[at - 1]["k"] and len(rows) > limit:
+                break
+            if len(rows) == max_explored:
+                truncation = "exploration_limit"
+                break
+            rows.append((len(rows) + 1, level, r["next"], r["source"], r["target"], r["kind"], r["ord"]))
+        if truncation or len(rows) > limit:
+            break
+        known = {start, *frontier}
+        frontier = [n for n in dict.fromkeys(r["next"] for r in got) if n not in known]
+    if len(rows) > limit:
+        truncation = truncation or "record_limit"
+    shown = nodes.sparkSession.createDataFrame(rows[:limit], "position int, depth int, node_id string, link_source string, link_target string, link_kind string, link_ord long")
+    about = nodes.select(F.col("id").alias("node_id"), F.col("type").alias("node_type"), F.col("label").alias("node_label"))
+    found = about.join(F.broadcast(shown), "node_id")  # limit rows at most
+    return Neighbors(found.select("position", "depth", "node_id", "node_type", "node_label", "link_source", "link_target", "link_kind", "link_ord"), len(rows), truncation)
+
+
+def neighbors(nodes: DataFrame, links: DataFrame, start: str, direction: str = "both", depth: int = 1, limit: int = 50, max_explored: int = 10_000) -> DataFrame:
+    """One row for each link looked at, links back to known nodes too: position, depth, the other node and the link; see explore()."""
+    return explore(nodes, links, start, direction, depth, limit, max_explored).rows
 
 
 @dataclass
 class Path:
-    """ok, no_path, no_path_within_hop_limit or exploration_exhausted; the nodes of the path, if there is one."""
+    """ok, no_path, no_path_within_hop_limit or exploration_exhausted; the nodes of the path, if there is one; the number
+    of links looked at; and exploration_limit, if that ended the walk."""
 
     status: str
     nodes: list[str]
     explored: int
+    truncation: str | None = field(default=None)
 
 
 def find_path(nodes: DataFrame, links: DataFrame, start: str, target: str, max_hops: int = 6, max_explored: int = 10_000) -> Path:
-    """The path along out links that a breadth-first walk finds first. Of links at one level, the least in the order of
-    discovery makes a node known: the least list of link positions from the start on."""
+    """The path along out links that a breadth-first walk finds first. links may be stored ones."""
     if not 0 <= max_hops <= 12:
         raise ValueError("max_hops is 0 to 12")
+    _bounded(max_explored)
     _need(nodes, start=start, target=target)
     if start == target:
         return Path("ok", [start], 0)
-    spark = nodes.sparkSession
-    adj = links.select(F.col("source").alias("node"), F.col("target").alias("next"), "ord")
-    frontier = spark.createDataFrame([(start, [start], [])], "node string, way array<string>, turns array<bigint>")
-    known, explored = frontier.select("node"), 0
+    ways = _ways(links, "out")
+    before: dict[str, str | None] = {start: None}
+    frontier, explored = [start], 0
     for _ in range(max_hops):
-        seen = materialise(adj.join(frontier, "node").select("next", "way", F.concat("turns", F.array("ord")).alias("at")), "walk")
-        hits, looked = seen.agg(F.min(F.when(F.col("next") == target, F.struct("at", "way"))), F.count("*")).first()
-        if hits:  # the walk ends at the link that reaches the target
-            looked = seen.where(F.col("at") <= F.array(*[F.lit(x).cast("long") for x in hits["at"]])).count()
-        if explored + looked > max_explored:
-            return Path("exploration_exhausted", [], max_explored)
-        explored += looked
-        if hits:
-            return Path("ok", [*hits["way"], target], explored)
-        best = seen.groupBy("next").agg(F.min(F.struct("at", "way")).alias("m"))
-        new = best.join(known, best["next"] == known["node"], "left_anti")
-        frontier = materialise(new.select(F.col("next").alias("node"), F.concat("m.way", F.array("next")).alias("way"), F.col("m.at").alias("turns")), "frontier")
-        if not frontier.take(1):
+        new = []
+        for r in _level(ways, frontier, max_explored - explored + 1):
+            if explored == max_explored:
+                return Path("exploration_exhausted", [], explored, "exploration_limit")
+            explored += 1
+            if r["next"] not in before:
+                before[r["next"]] = r["node"]
+                new.append(r["next"])
+            if r["next"] == target:
+                way = [target]
+                while (last := before[way[-1]]) is not None:
+                    way.append(last)
+                return Path("ok", way[::-1], explored)
+        frontier = new
+        if not frontier:
             return Path("no_path", [], explored)
-        known = known.unionByName(frontier.select("node"))
-    onward = adj.join(frontier, "node", "left_semi").join(known.withColumnRenamed("node", "next"), "next", "left_anti")
+    known = ways.sparkSession.createDataFrame([(n,) for n in before], "next string")
+    edge = ways.sparkSession.createDataFrame([(n,) for n in frontier], "node string")
+    onward = ways.select("node", "next").join(F.broadcast(edge), "node", "left_semi").join(F.broadcast(known), "next", "left_anti")  # max_explored rows at most
     return Path("no_path_within_hop_limit" if onward.take(1) else "no_path", [], explored)
 
 
@@ -136,6 +207,8 @@ def path_hops(links: DataFrame, path: Path) -> DataFrame:
     """One row for each link of each hop of a path: parallel links are all shown."""
     spark = links.sparkSession
     steps = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(zip(path.nodes, path.nodes[1:], strict=False), 1)], "hop int, source string, target string")
+    if "dir" in links.columns:  # stored by node
+        links = links.where((F.col("dir") == 0) & F.col("node").isin(*path.nodes[:-1]))
     return links.join(F.broadcast(steps), ["source", "target"]).select("hop", "source", "target", "kind", "ord")
 
 

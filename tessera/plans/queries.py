@@ -36,8 +36,8 @@ def _graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The graph with its links as a table, for walks that read them at each level."""
-    return trade_graph.nodes(spark, sf_dir), scratch.materialise(trade_graph.links(spark, sf_dir), "links")
+    """The graph with its links by node, for walks."""
+    return trade_graph.nodes(spark, sf_dir), trade_graph.stored_links(spark, sf_dir)
 
 
 # --- graph -----------------------------------------------------------------------------------------------------------
@@ -78,17 +78,17 @@ def _one_level(direction: str, start: str) -> str:
 
 @query(_one_level("out", "order:5"))
 def graph_neighbors_out_d1(spark, sf_dir):
-    return graph.neighbors(*_graph(spark, sf_dir), "order:5", "out", limit=1000)
+    return graph.neighbors(*_stored(spark, sf_dir), "order:5", "out", limit=1000)
 
 
 @query(_one_level("in", "nation:3"))
 def graph_neighbors_in_d1(spark, sf_dir):
-    return graph.neighbors(*_graph(spark, sf_dir), "nation:3", "in", limit=1000)
+    return graph.neighbors(*_stored(spark, sf_dir), "nation:3", "in", limit=1000)
 
 
 @query(_one_level("both", "part:11"))
 def graph_neighbors_both_d1(spark, sf_dir):
-    return graph.neighbors(*_graph(spark, sf_dir), "part:11", "both", limit=1000)
+    return graph.neighbors(*_stored(spark, sf_dir), "part:11", "both", limit=1000)
 
 
 @query(
@@ -119,10 +119,10 @@ _WALK = """, out AS (SELECT source AS node, target AS next, ord FROM links), wal
 def _to_region(spark, sf_dir) -> tuple[DataFrame, DataFrame, graph.Path]:
     """From order:1 to the region of its customer."""
     nodes, links = _stored(spark, sf_dir)
-    to = links.where("source = 'order:1' and kind = 'placed_by'").select(F.col("target").alias("c"))
-    to = to.join(links.where("kind = 'in_nation'").select(F.col("source").alias("c"), F.col("target").alias("n")), "c")
-    region = to.join(links.where("kind = 'in_region'").select(F.col("source").alias("n"), "target"), "n").first()["target"]
-    return nodes, links, graph.find_path(nodes, links, "order:1", region)
+    at = "order:1"
+    for kind in ("placed_by", "in_nation", "in_region"):
+        at = links.where((F.col("node") == at) & (F.col("dir") == 0) & (F.col("kind") == kind)).first()["next"]
+    return nodes, links, graph.find_path(nodes, links, "order:1", at)
 
 
 @query(trade_graph.with_sql(_WALK + " SELECT CAST(step AS INTEGER) AS step, id, type, label FROM steps JOIN nodes USING (id)"))
@@ -137,16 +137,57 @@ def graph_path_hops(spark, sf_dir):
     return graph.path_hops(links, path)
 
 
-@query("SELECT * FROM (VALUES ('order:1', 'order:1', 6, 'ok', 0), ('region:0', 'order:1', 6, 'no_path', -1), ('order:1', 'region:9', 1, 'no_path_within_hop_limit', -1), ('nation:0', 'region:0', 6, 'ok', 1)) AS v(source, target, max_hops, status, hops)")
+@query(trade_graph.with_sql(""", far AS (
+  SELECT 'customer:' || min(c_custkey) AS id FROM customer
+), to_nation AS (
+  SELECT target AS id FROM links, far WHERE source = far.id AND kind = 'in_nation'
+), to_region AS (
+  SELECT target AS id FROM links, to_nation WHERE source = to_nation.id AND kind = 'in_region'
+) SELECT far.id AS source, far.id AS target, 0 AS max_hops, 'ok' AS status, 0 AS hops, CAST(0 AS BIGINT) AS explored FROM far
+UNION ALL SELECT far.id, to_nation.id, 6, 'ok', 1, 1 FROM far, to_nation
+UNION ALL SELECT far.id, to_region.id, 6, 'ok', 2, 2 FROM far, to_region
+UNION ALL SELECT far.id, to_region.id, 1, 'no_path_within_hop_limit', -1, 1 FROM far, to_region
+UNION ALL SELECT to_region.id, far.id, 6, 'no_path', -1, 0 FROM far, to_region
+UNION ALL SELECT far.id, to_region.id, 6, 'exploration_exhausted', -1, 1 FROM far, to_region"""))
 def graph_path_status(spark, sf_dir):
+    """Walks from the first customer: to itself, its nation and its region, too far, backwards, and with one link to look at."""
     nodes, links = _stored(spark, sf_dir)
-    cases = [("order:1", "order:1", 6), ("region:0", "order:1", 6), ("order:1", "region:9", 1), ("nation:0", "region:0", 6)]
+    start = "customer:" + str(_t(spark, sf_dir, "customer").agg(F.min("c_custkey")).first()[0])
+    onward = lambda at: links.where((F.col("node") == at) & (F.col("dir") == 0)).first()["next"]
+    nation = onward(start)
+    region = onward(nation)
     rows = []
-    for a, b, hops in cases:
-        # region 9 stands for a node that one hop doesn't reach
-        path = graph.find_path(nodes, links, a, "region:4" if b == "region:9" else b, hops)
-        rows.append((a, b, hops, path.status, len(path.nodes) - 1))
-    return spark.createDataFrame(rows, "source string, target string, max_hops int, status string, hops int")
+    for a, b, hops, most in ((start, start, 0, 10), (start, nation, 6, 10), (start, region, 6, 10), (start, region, 1, 10), (region, start, 6, 10), (start, region, 6, 1)):
+        path = graph.find_path(nodes, links, a, b, hops, most)
+        rows.append((a, b, hops, path.status, len(path.nodes) - 1, path.explored))
+    return spark.createDataFrame(rows, "source string, target string, max_hops int, status string, hops int, explored long")
+
+
+@query(trade_graph.with_sql(f""", adj AS ({_adjacent("both")}), hub AS (
+  SELECT count(*) AS n FROM adj WHERE node = 'nation:3'
+) SELECT 'all' AS asked, n AS explored, NULL AS truncation, n AS n_rows FROM hub
+UNION ALL SELECT 'records', n, 'record_limit', n - 1 FROM hub
+UNION ALL SELECT 'links', n - 2, 'exploration_limit', n - 2 FROM hub
+UNION ALL SELECT 'both', n - 1, 'exploration_limit', 1 FROM hub"""))
+def graph_neighbors_bounds(spark, sf_dir):
+    """The links of a nation under bounds that are just not, or just, too small for it."""
+    nodes, links = _stored(spark, sf_dir)
+    n = links.where("node = 'nation:3'").count()
+    rows = []
+    for asked, limit, most in (("all", n, n), ("records", n - 1, n), ("links", n, n - 2), ("both", 1, n - 1)):
+        found = graph.explore(nodes, links, "nation:3", limit=limit, max_explored=most)
+        rows.append((asked, found.explored, found.truncation, found.rows.count()))
+    return spark.createDataFrame(rows, "asked string, explored long, truncation string, n_rows long")
+
+
+_FOLDED = "CASE c_custkey % 4 WHEN 0 THEN 'Stra\u1e9ee ' WHEN 1 THEN 'stra\u00dfe ' WHEN 2 THEN 'STRASSE ' ELSE 'strase ' END || c_custkey"
+
+
+@query(f"SELECT c_custkey AS ord, 'customer:' || c_custkey AS id, {_FOLDED} AS label FROM customer WHERE c_custkey % 4 < 3 ORDER BY c_custkey LIMIT 1000")
+def graph_search_folded(spark, sf_dir):
+    """Letters that fold to several."""
+    nodes = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ord"), F.concat(F.lit("customer:"), F.col("c_custkey").cast("string")).alias("id"), F.expr(_FOLDED).alias("label"))
+    return graph.search(nodes, "Stra\u00dfe", limit=1000)
 
 
 @query(trade_graph.with_sql("SELECT ord, side, id FROM (SELECT ord, 'source' AS side, source AS id FROM links WHERE kind <> 'placed_by' UNION ALL SELECT ord, 'target', target FROM links WHERE kind <> 'placed_by' UNION ALL SELECT ord, 'source', source FROM links WHERE kind = 'placed_by' UNION ALL SELECT ord, 'target', target || 'x' FROM links WHERE kind = 'placed_by' AND ord % 10 = 0) e WHERE NOT EXISTS (SELECT 1 FROM nodes n WHERE n.id = e.id)"))
@@ -180,7 +221,7 @@ def graph_freshness(spark, sf_dir):
 @query()
 def graph_rank(spark, sf_dir):
     """An extension: nodes by personalised rank from two seeds."""
-    _, links = _stored(spark, sf_dir)
+    links = trade_graph.links(spark, sf_dir)
     return graph.rank_nodes(links, ["order:1", "order:2"], rounds=4).withColumn("score", F.round("score", 9))
 
 

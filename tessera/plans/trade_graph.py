@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.operators import graph
+from tessera.sources import scratch
+
 SPAN = 10**13
 _KINDS = (("region", "region", "r_regionkey", "r_name"), ("nation", "nation", "n_nationkey", "n_name"), ("customer", "customer", "c_custkey", "c_name"), ("supplier", "supplier", "s_suppkey", "s_name"), ("part", "part", "p_partkey", "p_name"), ("order", "orders", "o_orderkey", "o_orderpriority"))
 #: kind, source type, source key, target type, target key, table
@@ -43,6 +46,13 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def stored_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links by node, in a table that is written once a session and read by all walks."""
+    tables = sorted({t for *_, t in _LINKS} | {"lineitem"})
+    path = scratch.once(spark, "trade-links", [f"{sf_dir}/{t}.parquet" for t in tables], lambda path: graph.store(links(spark, sf_dir), path))
+    return graph.stored(spark, path)
+
+
 def with_sql(rest: str) -> str:
     """DuckDB SQL with the same nodes and links as CTEs, then the rest (which may begin with a comma and more CTEs)."""
     n = "\n  UNION ALL ".join(f"SELECT CAST({key} AS BIGINT) + {k * SPAN} AS ord, '{kind}:' || {key} AS id, '{kind}' AS type, {label} AS label, '{table}.parquet' AS source_file FROM {table}" for k, (kind, table, key, label) in enumerate(_KINDS))

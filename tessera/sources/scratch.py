@@ -7,10 +7,12 @@ import contextlib
 import os
 import shutil
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[str] = []
+_once: dict[tuple, str] = {}
 _jvm = None
 
 
@@ -60,6 +62,24 @@ def materialise(df: DataFrame, name: str, compression: str = "zstd") -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def once(spark: SparkSession, name: str, inputs: list[str], write: Callable[[str], None]) -> str:
+    """The path of a table that write(path) makes from input files, once a session for as long as they stay the same."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def seen(path: str) -> tuple:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        files = at.getFileSystem(conf).listStatus(at)
+        return path, *((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in files)
+
+    key = spark.sparkContext.applicationId, name, *map(seen, inputs)
+    if _once.get(key) not in _made:
+        path = scratch(spark, name)
+        write(path)
+        _once[key] = path
+    return _once[key]
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Deletes a scratch table, by whatever file system it is in."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -30,6 +30,63 @@ def test_neighbors(small):
         graph.neighbors(*small, "zz")
 
 
+def test_folded_search(spark):
+    labels = ["Hauptstraße", "HAUPTSTRASSE", "STRA\u1e9eE", "ﬁle", "oﬃce", "\u212Aelvin", "ſum", "x"]
+    nodes = spark.createDataFrame([(k, f"n{k}", t) for k, t in enumerate(labels)], "ord bigint, id string, label string")
+    for text in ("strasse", "straße", "SS", "file", "ffi", "kelvin", "sum", "X", "ﬁ", "raße"):
+        assert [r["label"] for r in graph.search(nodes, text).collect()] == [t for t in labels if text.casefold() in t.casefold()], text
+
+
+def _neighbors(edges, start, direction, depth, limit, most):
+    """(rows, explored, reason) of a queue of nodes."""
+    out = {}
+    for k, (s, t) in enumerate(edges):
+        if direction != "in":
+            out.setdefault(s, []).append((t, k))
+        if direction != "out":
+            out.setdefault(t, []).append((s, k))
+    rows, reason, known, queue = [], None, {start}, deque([(start, 0)])
+    while queue and not reason:
+        node, level = queue.popleft()
+        if level == depth:
+            continue
+        for t, k in out.get(node, []):
+            if len(rows) == most:
+                reason = "exploration_limit"
+                break
+            rows.append((level + 1, t, k))
+            if t not in known:
+                known.add(t)
+                queue.append((t, level + 1))
+        if len(rows) > limit:
+            break
+    return rows[:limit], len(rows), reason or ("record_limit" if len(rows) > limit else None)
+
+
+def test_neighbors_are_those_of_a_queue(spark, tmp_path):
+    draw = random.Random(5)
+    names = [f"n{k}" for k in range(9)]
+    nodes = spark.createDataFrame([(k, n, None, None) for k, n in enumerate(names)], "ord bigint, id string, type string, label string")
+    edges = [(draw.choice(names), draw.choice(names)) for _ in range(30)] + [("n0", "n0"), ("n0", "n1"), ("n0", "n1")]
+    links = spark.createDataFrame([(k, s, t, "x") for k, (s, t) in enumerate(edges)], "ord bigint, source string, target string, kind string")
+    graph.store(links, str(tmp_path / "links"))
+    by_node = graph.stored(spark, str(tmp_path / "links"))
+    for direction, depth, limit, most in (("both", 2, 50, 1000), ("out", 2, 5, 1000), ("in", 2, 3, 4), ("both", 1, 2, 1000), ("both", 2, 10, 12), ("out", 1, 50, 1)):
+        for form in (links, by_node):
+            found = graph.explore(nodes, form, "n0", direction, depth, limit, most)
+            rows = [(r["depth"], r["node_id"], r["link_ord"]) for r in found.rows.orderBy("position").collect()]
+            assert (rows, found.explored, found.truncation) == _neighbors(edges, "n0", direction, depth, limit, most)
+
+
+def test_a_start_reaches_the_scan(spark, sf_dir):
+    from tessera.plans import trade_graph
+
+    links = trade_graph.stored_links(spark, sf_dir)
+    assert trade_graph.stored_links(spark, sf_dir).inputFiles() == links.inputFiles()
+    plan = graph._ways(links, "out").where("node = 'order:5'")._jdf.queryExecution().toString()
+    assert "Window" not in plan and "EqualTo(node,order:5)" in plan
+
+
 def test_paths(small):
     found = graph.find_path(*small, "a", "c")
     assert (found.status, found.nodes) == ("ok", ["a", "b", "c"])
@@ -39,6 +96,7 @@ def test_paths(small):
     assert graph.find_path(*small, "a", "c", max_hops=1).status == "no_path_within_hop_limit"
     assert graph.find_path(*small, "a", "c", max_explored=1).status == "exploration_exhausted"
     assert graph.find_path(*small, "a", "a", max_hops=0).nodes == ["a"]
+    assert (found.explored, graph.find_path(*small, "a", "c", max_explored=1).truncation) == (3, "exploration_limit")
     with pytest.raises(ValueError):
         graph.find_path(*small, "a", "zz")
 
