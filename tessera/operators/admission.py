@@ -75,15 +75,15 @@ def first_marker(text: Column, size: Column, markers: Sequence[str] = MARKERS, m
     return F.when(size <= most_bytes, found)
 
 
-def git_admission(path: Column, mode: Column, size: Column, includes: Sequence[str], deny: Sequence[str], most_bytes: int) -> Column:
-    """admitted, not_selected, denied or the reason why a selected entry isn't supported."""
+def git_admission(path: Column, mode: Column, size: Column, includes: Sequence[str], deny: Sequence[str], most_bytes: int, kind: Column | None = None) -> Column:
+    """admitted, not_selected, denied or the reason why a selected entry isn't supported; only entries of the kind blob are."""
     any_of = lambda globs: F.coalesce(*[F.when(glob_match(path, g), F.lit(True)) for g in globs], F.lit(False)) if globs else F.lit(False)
     return (
         F.when(any_of(deny), "denied")
         .when(~any_of(includes), "not_selected")
         .when(mode == "120000", "symlink")
         .when(mode == "160000", "gitlink")
-        .when(~mode.isin("100644", "100755"), "unsupported_mode")
+        .when(~mode.isin("100644", "100755") | (F.lit(False) if kind is None else kind != "blob"), "unsupported_mode")
         .when(~safe_path(path), "unsafe_path")
         .when(size > most_bytes, "file_byte_limit")
         .otherwise("admitted")
@@ -91,9 +91,28 @@ def git_admission(path: Column, mode: Column, size: Column, includes: Sequence[s
 
 
 def conversion(attributes: Column) -> Column:
-    """What a checkout would change, in fixed order: filter, eol, encoding, ident; null for nothing."""
-    has = lambda k: F.coalesce(~attributes[k].isin("unspecified", "unset"), F.lit(False))
-    return F.when(has("filter"), "filter").when(F.coalesce(attributes["eol"] == "crlf", F.lit(False)), "eol").when(has("working-tree-encoding"), "working-tree-encoding").when(has("ident"), "ident")
+    """The attribute by which a checkout would change a file, in fixed order: filter, eol, encoding, ident; null for none."""
+    named = lambda k: F.when(~attributes[k].isin("unspecified", "unset"), F.lit(f"attribute:{k}"))
+    return F.coalesce(named("filter"), F.when(attributes["eol"] == "crlf", "attribute:eol=crlf"), named("working-tree-encoding"), named("ident"))
+
+
+def link_verdicts(entries: DataFrame, root: str, rules: Sequence[tuple[str, str]], deny: Sequence[str] = GLOBAL_DENY) -> DataFrame:
+    """(path, rule, outside) of the symbolic links among entries(path, kind, resolved), of the kinds link and folder_link.
+
+    No link is followed. One that an exclude rule matches is left out by that rule (of several, the last), a folder link
+    by a deny glob before that. Of the others, links that lead out of the root are outside: a check with one has failed.
+    """
+    folder = F.col("kind") == "folder_link"
+    denied, excluded = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for glob in reversed(deny):
+        denied = F.when(glob_match(F.concat("path", F.lit("/")), glob), F.lit(f"global-deny:{glob}")).otherwise(denied)
+    for verb, glob in rules:
+        if verb == "exclude":
+            excluded = F.when(glob_match(F.col("path"), glob), F.lit(f"policy-exclude:{glob}")).otherwise(excluded)
+    by_rule = F.coalesce(F.when(folder, denied), excluded)
+    out = by_rule.isNull() & ~F.col("resolved").startswith(root.rstrip("/") + "/")
+    rule = F.coalesce(by_rule, F.when(folder & out, "outside-root-symlink-dir").otherwise("symlink-not-followed"))
+    return entries.where(F.col("kind").isin("link", "folder_link")).select("path", rule.alias("rule"), out.alias("outside"))
 
 
 def slice_of(path: Column, rules: Sequence[tuple[str, str, int | None]]) -> Column:

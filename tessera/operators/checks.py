@@ -53,6 +53,30 @@ def citation_counts(lanes: DataFrame) -> DataFrame:
     return lanes.groupBy("lane").agg(F.sum(F.coalesce(urls, F.lit(0))).cast("long").alias("urls")).withColumn("ok", F.col("urls") > 0)
 
 
+def citations(lanes: DataFrame) -> DataFrame:
+    """citation_counts, and their total as the lane *."""
+    each = citation_counts(lanes)
+    return each.unionByName(each.agg(F.lit("*").alias("lane"), F.coalesce(F.sum("urls"), F.lit(0)).cast("long").alias("urls"), F.coalesce(F.min("ok"), F.lit(False)).alias("ok")))
+
+
+def not_once(rows: DataFrame, expected: DataFrame, key: str) -> DataFrame:
+    """(key, times) of expected(key) that the rows have not exactly once, and of keys that are not expected: markers, sections."""
+    n = rows.groupBy(key).agg(F.count("*").alias("times"))
+    both = n.join(expected.select(F.col(key).alias("_k")).distinct(), F.col(key).eqNullSafe(F.col("_k")), "full_outer")
+    return both.where(F.col("_k").isNull() | (F.coalesce("times", F.lit(0)) != 1)).select(F.coalesce(key, "_k").alias(key), F.coalesce("times", F.lit(0)).cast("long").alias("times"))
+
+
+def compatibility(mapped: DataFrame, required: DataFrame) -> DataFrame:
+    """(requirement, fault) where a map(requirement, label) isn't that of required(requirement, label): missing, unknown,
+    repeated, or another label."""
+    m = mapped.groupBy("requirement").agg(F.count("*").alias("_n"), F.min("label").alias("_least"), F.max("label").alias("_most"))
+    r = required.select(F.col("requirement").alias("_r"), F.col("label").alias("_label"))
+    rows = m.join(r, F.col("requirement") == F.col("_r"), "full_outer")
+    other = ~(F.col("_least").eqNullSafe(F.col("_label")) & F.col("_most").eqNullSafe(F.col("_label")))
+    fault = F.when(F.col("requirement").isNull(), "missing").when(F.col("_r").isNull(), "unknown").when(F.col("_n") > 1, "repeated").when(other, "other_label")
+    return rows.select(F.coalesce("requirement", "_r").alias("requirement"), fault.alias("fault")).where("fault is not null")
+
+
 def phrases(texts: DataFrame, required: Sequence[str], prohibited: Sequence[str]) -> DataFrame:
     """(path, phrase, fault): required phrases that a text lacks, prohibited ones that it has."""
     rows = [F.when(~F.col("text").contains(p), F.struct(F.lit(p).alias("phrase"), F.lit("missing").alias("fault"))) for p in required]

@@ -101,8 +101,15 @@ def auto_merge(samples: DataFrame, group: str, gate: float = 0.99) -> DataFrame:
     return sums.withColumn("lower", wilson_lower(F.col("mean"), F.col("n"))).withColumn("auto_merge", F.col("lower") >= gate)
 
 
+def in_order(pairs: DataFrame) -> DataFrame:
+    """Pairs(l, r, ...) with the lesser name first, each once, by l and then r."""
+    rest = [c for c in pairs.columns if c not in ("l", "r")]
+    return pairs.select(F.least("l", "r").alias("l"), F.greatest("l", "r").alias("r"), *rest).dropDuplicates(["l", "r"]).orderBy("l", "r")
+
+
 def bootstrap(deltas: DataFrame, group: str, resamples: int = 1000, seed: int = 0, reject_below: float = -0.005) -> DataFrame:
-    """(group, mean, lower, upper, reject) of paired differences (group, cluster, d), by resampling clusters.
+    """(group, mean, lower, upper, reject) of paired differences (group, cluster, d), by resampling clusters. A group whose
+    differences are all null has none: zeros, and no rejection.
 
     The clusters of a group are its decisions' summaries and come together in one task, in the order of their ids.
     """
@@ -110,7 +117,9 @@ def bootstrap(deltas: DataFrame, group: str, resamples: int = 1000, seed: int =
     import pandas as pd
 
     def of(key, rows: pd.DataFrame) -> pd.DataFrame:
-        d = rows.sort_values("cluster")["d"].to_numpy(np.float64)
+        d = rows.dropna(subset=["d"]).sort_values("cluster")["d"].to_numpy(np.float64)
+        if not d.size:
+            return pd.DataFrame({group: [key[0]], "mean": [0.0], "lower": [0.0], "upper": [0.0], "reject": [False]})
         draw = np.random.default_rng(seed)
         means = np.concatenate([d[draw.integers(0, d.size, size=(1, d.size))].mean(axis=1) for _ in range(resamples)])
         low, high = np.percentile(means, [2.5, 97.5])

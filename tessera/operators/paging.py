@@ -8,6 +8,7 @@ are over at most that many rows.
 from __future__ import annotations
 
 import base64
+import binascii
 import json
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,6 +52,15 @@ def page(hits: DataFrame, max_nodes: int = MAX_NODES, max_chars: int = MAX_CHARS
     return sums.where((F.col("position") == 1) | ((F.col("_c") <= max_chars) & (F.col("_t") <= max_tokens))).select("position", "node_id", score_6(F.col("score")).alias("score"), "kind", "chars")
 
 
+def decode_cursor(cursor: str) -> tuple[float, str]:
+    """The score and id of a cursor; a malformed one is an error."""
+    try:
+        score, node_id = json.loads(base64.urlsafe_b64decode(cursor + "=" * (-len(cursor) % 4)))
+        return float(score), str(node_id)
+    except (binascii.Error, TypeError, UnicodeDecodeError) as e:
+        raise ValueError("not a cursor") from e
+
+
 def page_answer(hits: DataFrame, cursor: str | None = None, max_nodes: int = MAX_NODES, max_chars: int = MAX_CHARS, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """One row about the page after a cursor (or the first): n_items, truncated, total_estimate, next_cursor and hint.
 
@@ -58,8 +68,7 @@ def page_answer(hits: DataFrame, cursor: str | None = None, max_nodes: int = MAX
     """
     rest = hits
     if cursor is not None:
-        score, node_id = json.loads(base64.urlsafe_b64decode(cursor + "=" * (-len(cursor) % 4)))
-        rest = after(hits, float(score), str(node_id))
+        rest = after(hits, *decode_cursor(cursor))
     shown = page(rest, max_nodes, max_chars, max_tokens)
     # a list of n texts has two signs around it, and two between each pair
     everything = hits.agg((F.coalesce(F.sum(F.length(hit_json(hits, spaced=True)) + 2), F.lit(2))).alias("chars"))
@@ -112,3 +121,24 @@ def split_spill(payloads: DataFrame, text: str, most_chars: int = MAX_CHARS) ->
 def write_spill(payloads: DataFrame, text: str, path: str) -> None:
     """Payloads over the limit as one row each, under their digest; what is there already stays."""
     payloads.where("spilled").select("ref", F.col(text).alias("payload")).dropDuplicates(["ref"]).write.mode("append").parquet(path)
+
+
+def bounded_answer(answer: dict, budget: int) -> bytes:
+    """An answer as compact ASCII JSON and a line end, in a budget of bytes: results go from the end; if that is not
+    enough, coverage and hints are replaced; then the fields that name the source are emptied."""
+    text = lambda: json.dumps(answer, ensure_ascii=True, separators=(",", ":")).encode() + b"\n"
+    answer = dict(answer)
+    if len(text()) > budget and answer["results"]:
+        # sizes of the results, with commas, tell how many stay; a reason takes the place of null
+        sizes = [len(json.dumps(r, ensure_ascii=True, separators=(",", ":"))) for r in answer["results"]]
+        results, answer["results"], answer["truncation_reason"] = answer["results"], [], "byte_budget"
+        room, keep = budget - len(text()), 0
+        while keep < len(sizes) - 1 and sizes[keep] + (keep > 0) <= room:
+            room -= sizes[keep] + (keep > 0)
+            keep += 1
+        answer["results"] = results[:keep]
+    if len(text()) > budget:
+        answer |= {"validation_coverage": {"status": "omitted_for_byte_budget"}, "hints": ["Metadata omitted to fit byte budget."], "truncation_reason": "byte_budget"}
+    if len(text()) > budget:
+        answer |= {k: None for k in ("repository", "source_head", "freshness", "error", "slice", "built_head", "equivalent_head") if k in answer}
+    return text()

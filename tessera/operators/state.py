@@ -9,6 +9,10 @@ from tessera.functions.numbers import cost, planned_tokens
 from tessera.sources.scratch import materialise
 
 
+#: An approval may be valid for a week.
+VALID_HOURS = 168
+
+
 def diff(current: DataFrame, previous: DataFrame, key: str, digest: str) -> DataFrame:
     """(key, change) with change in added, modified, deleted, unchanged; a rename is one deleted and one added."""
     c, p = current.select(F.col(key).alias("_c"), F.col(digest).alias("_cd")), previous.select(F.col(key).alias("_p"), F.col(digest).alias("_pd"))
@@ -56,9 +60,13 @@ def put(cache: DataFrame, new: DataFrame, quota_bytes: int) -> DataFrame:
     return rows.select(*[new[x] for x in new.columns], outcome.alias("outcome"))
 
 
-def cache_stats(outcomes: DataFrame) -> DataFrame:
+def cache_stats(outcomes: DataFrame, cache: DataFrame, quota_bytes: int) -> DataFrame:
+    """One row: how often each outcome came, bytes_used by cache(payload), and the status: corrupt, full or ok."""
     names = ("hit", "miss", "corrupt", "stored", "exists_verified", "exists_conflict", "full")
-    return outcomes.agg(*[F.count_if(F.col("outcome") == n).alias(n) for n in names])
+    counts = outcomes.agg(*[F.count_if(F.col("outcome") == n).alias(n) for n in names])
+    used = cache.agg(F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).cast("long").alias("bytes_used"))
+    status = F.when(F.col("corrupt") + F.col("exists_conflict") > 0, "corrupt").when((F.col("full") > 0) | (F.col("bytes_used") >= quota_bytes), "full").otherwise("ok")
+    return counts.crossJoin(F.broadcast(used)).withColumn("status", status)  # one row each
 
 
 def input_digest(files: DataFrame, group: str) -> DataFrame:
@@ -159,6 +167,8 @@ def approval_refusals(plan: DataFrame, approval: DataFrame) -> DataFrame:
             no(F.col("token_ceiling") > F.col("requested_ceiling"), "approved_over_requested"),
             no(F.col("expires_at") <= F.col("approved_at"), "expires_before_approval"),
             no(F.col("expires_at") <= F.col("now"), "expired"),
+            no(F.col("expires_at") > F.col("approved_at") + F.expr(f"interval {VALID_HOURS} hours"), "valid_too_long"),
+            no(F.col("approved_at") > F.col("now"), "approved_in_future"),
         )
     )
     return rows.select("plan_sha256", reasons.alias("refusals"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import numbers, text
-from tessera.operators import admission, build, checks, entity, graph, paging, resolve, state, symbols, vectors
+from tessera.operators import admission, build, checks, entity, graph, paging, refresh, resolve, state, symbols, vectors
 from tessera.plans import trade_graph
 from tessera.sources import scratch, snapshots
 from tessera.streaming import windows
@@ -274,10 +274,23 @@ def admit_deny_first_reason(spark, sf_dir):
     return files.groupBy("reason").agg(F.count("*").alias("n"))
 
 
-@query("SELECT * FROM (VALUES (0, 'filter'), (1, 'eol'), (2, 'working-tree-encoding'), (3, 'ident'), (4, NULL)) AS v(k, conversion)")
+@query("SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'attribute:filter' WHEN doc_id % 5 = 0 THEN 'attribute:eol=crlf' WHEN doc_id % 3 = 0 THEN 'attribute:working-tree-encoding' WHEN doc_id % 2 = 0 THEN 'attribute:ident' END AS conversion FROM documents")
 def admit_conversion(spark, sf_dir):
-    rows = [(0, {"filter": "lfs", "eol": "crlf"}), (1, {"filter": "unset", "eol": "crlf", "ident": "set"}), (2, {"working-tree-encoding": "UTF-16", "ident": "set"}), (3, {"ident": "set", "eol": "lf"}), (4, {"filter": "unspecified"})]
-    return spark.createDataFrame(rows, "k int, attributes map<string,string>").select("k", admission.conversion(F.col("attributes")).alias("conversion"))
+    """Documents with attributes by their number."""
+    has = lambda k, yes, no: F.when(F.col("doc_id") % k == 0, yes).otherwise(no)
+    attributes = F.create_map(*[x for name, value in (("filter", has(7, "lfs", "unset")), ("eol", has(5, "crlf", "lf")), ("working-tree-encoding", has(3, "UTF-16", "unspecified")), ("ident", has(2, "set", "unset"))) for x in (F.lit(name), value)])
+    return _t(spark, sf_dir, "documents").select("doc_id", admission.conversion(attributes).alias("conversion"))
+
+
+@query("""WITH e AS (SELECT doc_id, source || '/' || lang || '/' || doc_id AS path FROM documents)
+SELECT path, CASE WHEN path LIKE '%/de/%' THEN 'policy-exclude:*/de/*' WHEN doc_id % 6 = 0 THEN 'outside-root-symlink-dir' ELSE 'symlink-not-followed' END AS rule,
+path NOT LIKE '%/de/%' AND doc_id % 3 = 0 AS outside FROM e WHERE doc_id % 4 < 3""")
+def admit_links(spark, sf_dir):
+    """Documents as links, of which a third leads out of the root, and the even ones are folders."""
+    d = _t(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"))
+    kind = F.when(F.col("doc_id") % 4 == 3, "file").when(F.col("doc_id") % 2 == 0, "folder_link").otherwise("link")
+    entries = d.select("path", kind.alias("kind"), F.concat(F.when(F.col("doc_id") % 3 == 0, "/elsewhere/").otherwise("/root/"), F.col("path")).alias("resolved"))
+    return admission.link_verdicts(entries, "/root", (("exclude", "*/de/*"), ("include", "*")), deny=("*.git/",))
 
 
 @query("SELECT doc_id, CASE WHEN octet_length(encode(text)) <= 1048576 THEN CASE WHEN contains(text[:262144], 'password=') THEN 'password=' WHEN contains(text[:262144], 'License') THEN 'License' WHEN contains(text[:262144], '@') THEN '@' END END AS marker FROM documents")
@@ -417,7 +430,7 @@ def plan_tokens_cost(spark, sf_dir):
     return plan.select("repository", "files", "input_tokens", "output_tokens", "total_tokens", (F.col("cost") * 1000000).cast("long").alias("cost_micros"))
 
 
-@query("SELECT * FROM (VALUES ('p0', ''), ('p1', 'not_approved,no_approver'), ('p2', 'estimate_over_approved'), ('p3', 'approved_over_requested,expired'), ('p4', 'expires_before_approval,expired')) AS v(plan_sha256, refusals)")
+@query("SELECT * FROM (VALUES ('p0', 'valid_too_long'), ('p1', 'not_approved,no_approver'), ('p2', 'estimate_over_approved,valid_too_long'), ('p3', 'approved_over_requested,expired,valid_too_long'), ('p4', 'expires_before_approval,expired')) AS v(plan_sha256, refusals)")
 def plan_approval(spark, sf_dir):
     now = "timestamp'2024-05-01 00:00:00'"
     plans = spark.sql(f"select * from values ('p0', 10L, 20L, {now}), ('p1', 10L, 20L, {now}), ('p2', 30L, 40L, {now}), ('p3', 10L, 20L, {now}), ('p4', 10L, 20L, {now}) as t(plan_sha256, estimate, requested_ceiling, now)")
@@ -815,9 +828,46 @@ def dq_provenance(spark, sf_dir):
     return checks.provenance_faults(rows, d.drop("doc_id"))
 
 
-@query(r"SELECT source AS lane, CAST(sum(len(regexp_extract_all(text, 'https?://[^\s)>\]]+'))) AS BIGINT) AS urls, sum(len(regexp_extract_all(text, 'https?://[^\s)>\]]+'))) > 0 AS ok FROM documents GROUP BY source")
+@query(r"WITH l AS (SELECT source AS lane, CAST(sum(len(regexp_extract_all(text, 'https?://[^\s)>\]]+'))) AS BIGINT) AS urls, sum(len(regexp_extract_all(text, 'https?://[^\s)>\]]+'))) > 0 AS ok FROM documents GROUP BY source) SELECT * FROM l UNION ALL SELECT '*', CAST(sum(urls) AS BIGINT), min(ok) FROM l")
 def dq_citations(spark, sf_dir):
-    return checks.citation_counts(_t(spark, sf_dir, "documents").select(F.col("source").alias("lane"), "text"))
+    return checks.citations(_t(spark, sf_dir, "documents").select(F.col("source").alias("lane"), "text"))
+
+
+@query("SELECT 'd' || doc_id AS requirement, CASE WHEN doc_id % 5 = 0 THEN 'missing' WHEN doc_id % 5 = 1 THEN 'repeated' WHEN doc_id % 5 = 2 AND lang <> 'en' THEN 'other_label' END AS fault FROM documents WHERE doc_id % 5 < 2 OR doc_id % 5 = 2 AND lang <> 'en' UNION ALL SELECT DISTINCT 'x' || label, 'unknown' FROM embeddings")
+def dq_compatibility(spark, sf_dir):
+    """Documents as requirements with their languages as labels, against a map that lacks, repeats, changes and adds some."""
+    d = _t(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("requirement"), F.col("lang").alias("label"))
+    k = F.col("doc_id") % 5
+    mapped = d.where(k != 0).select("requirement", F.when(k == 2, "en").otherwise(F.col("label")).alias("label"))
+    more = _t(spark, sf_dir, "embeddings").select(F.concat(F.lit("x"), F.col("label").cast("string")).alias("requirement"), F.lit("en").alias("label")).distinct()
+    return checks.compatibility(mapped.unionByName(d.where(k == 1).select("requirement", "label")).unionByName(more), d.select("requirement", "label"))
+
+
+@query("SELECT doc_id AS section, times FROM (SELECT d.doc_id, count(l.doc_id) AS times FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY d.doc_id) WHERE times <> 1 UNION ALL SELECT doc_id, count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents) GROUP BY doc_id")
+def dq_sections(spark, sf_dir):
+    """Documents as the sections that labels should have once."""
+    return checks.not_once(_t(spark, sf_dir, "labels").select(F.col("doc_id").alias("section")), _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("section")), "section")
+
+
+@query("""WITH f AS (SELECT lang AS slice, source || '/' || doc_id AS path, octet_length(encode(text)) AS bytes FROM documents),
+o AS (SELECT slice, count(*) AS n_files, CAST(sum(bytes) AS BIGINT) AS content_bytes, CAST(sum(4 * CAST(ceil(bytes / 3) AS BIGINT) + octet_length(encode(path)) + 101) AS BIGINT) AS encoded_bytes FROM f GROUP BY slice)
+SELECT slice, n_files, content_bytes, encoded_bytes, CASE WHEN slice = 'fr' THEN 0 ELSE n_files END AS index_paths,
+array_to_string(list_filter([CASE WHEN encoded_bytes > 200000 THEN 'bytes' END, CASE WHEN n_files > 40 THEN 'files' END, CASE WHEN slice <> 'fr' AND n_files > 45 THEN 'paths' END], lambda x: x IS NOT NULL), ',') AS bounds FROM o""")
+def refresh_request_sizes(spark, sf_dir):
+    f = _t(spark, sf_dir, "documents").select(F.col("lang").alias("slice"), F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), F.octet_length("text").alias("bytes"))
+    return refresh.request_sizes(f, f.where("slice <> 'fr'"), 200_000, 40, 45)
+
+
+@query("""WITH f AS (SELECT lang AS slice, doc_id FROM documents),
+r AS (SELECT lang AS slice, count(*) AS refs, count(*) FILTER (doc_id % 3 = 1) AS cross_, count(*) FILTER (doc_id % 3 = 2) AS unresolved FROM documents WHERE lang <> 'de' GROUP BY lang),
+s AS (SELECT slice, count(*) AS files, count(*) FILTER (doc_id % 4 = 0) AS unknown FROM f GROUP BY slice)
+SELECT s.slice, files, unknown, coalesce(refs, 0) AS n_references, coalesce(cross_, 0) AS cross_slice, coalesce(unresolved, 0) AS unresolved FROM s LEFT JOIN r ON s.slice = r.slice""")
+def refresh_slice_report(spark, sf_dir):
+    """Documents by language, a quarter without coverage; each but the German ones refers to one other."""
+    d = _t(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("slice"), F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), F.sha2("text", 256).alias("sha256"))
+    coverage = d.where("doc_id % 4 <> 0").select("path", F.lit("structural").alias("coverage"))
+    outcome = F.element_at(F.array(F.lit("link"), F.lit("cross"), F.lit("unresolved")), (F.col("doc_id") % 3 + 1).cast("int"))
+    return refresh.slice_documents(d.drop("doc_id"), coverage, d.where("slice <> 'de'").select("slice", outcome.alias("outcome")))["slice_report"].withColumnRenamed("references", "n_references")
 
 
 @query("SELECT 'd/' || doc_id AS path, 'the' AS phrase, 'missing' AS fault FROM documents WHERE NOT contains(text, 'the') UNION ALL SELECT 'd/' || doc_id, 'password', 'prohibited' FROM documents WHERE contains(text, 'password')")

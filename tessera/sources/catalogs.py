@@ -113,6 +113,42 @@ def pack(docs: dict[str, bytes]) -> tuple[str, bytes]:
     return hashlib.sha256(out.getvalue()).hexdigest(), out.getvalue()
 
 
+#: The documents that an archive of a graph has.
+MEMBERS = ("enriched/graph.json", "enriched/validation.json", "inventory.json", "policy.json", "source.json", "request.json")
+
+
+def pack_graph(spark: SparkSession, folder: str, repository: str, head: str, docs: dict[str, bytes], slice: str | None = None) -> dict:
+    """Writes the archive of a graph's six documents, under its digest, to a folder, reads it back, and gives its catalogue entry.
+
+    The graph must be built at the head, and the inventory name files that have a coverage.
+    """
+    import json
+
+    from tessera.sources import outputs
+
+    if sorted(docs) != sorted(MEMBERS):
+        raise ValueError(f"wanted: {', '.join(MEMBERS)}")
+    graph, inventory, source = (json.loads(docs[n]) for n in ("enriched/graph.json", "inventory.json", "source.json"))
+    if graph.get("built_at_commit") != head or source.get("head") != head or source.get("repository") != repository:
+        raise ValueError("the documents are of another source")
+    ids = {n["id"] for n in graph["nodes"]}
+    if graph.get("directed") is not True or len(ids) != len(graph["nodes"]) or not all(ids.issuperset((e["source"], e["target"])) for e in graph["links"]):
+        raise ValueError("not a sound directed graph")
+    if not all(f.get("coverage") in ("structural", "enriched", "unknown") and len(f.get("sha256", "")) == 64 for f in inventory):
+        raise ValueError("not an inventory")
+    listed = {"members": {n: hashlib.sha256(docs[n]).hexdigest() for n in sorted(docs)}}
+    digest, raw = pack(docs | {"package.json": json.dumps(listed, sort_keys=True).encode()})
+    name = f"{digest}.tar.gz"
+    if outputs.read(spark, f"{folder}/{name}") is None:
+        outputs.create_only(spark, f"{folder}/{name}", [raw])
+    back = outputs.read(spark, f"{folder}/{name}")
+    with tarfile.open(fileobj=io.BytesIO(back), mode="r:gz") as tar:
+        found = {m.name: hashlib.sha256(tar.extractfile(m).read()).hexdigest() for m in tar.getmembers() if m.name != "package.json"}
+    if hashlib.sha256(back).hexdigest() != digest or found != listed["members"]:
+        raise ValueError("the archive is not what was written")
+    return {"repository": repository, "head": head, "slice": slice, "archive": name, "sha256": digest, "bytes": len(back)}
+
+
 def merge_catalogs(packages: DataFrame, most: int = 128) -> tuple[str, DataFrame]:
     """Version and entries, in order, of packages(repository, head, slice, archive, sha256, bytes); each place once."""
     if packages.groupBy("repository", "slice").count().where("count > 1").take(1) or packages.groupBy("archive").count().where("count > 1").take(1) or packages.count() > most:

@@ -11,6 +11,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources import catalogs, outputs
 from tessera.sources.scratch import scratch
 
 
@@ -49,11 +50,15 @@ def write(spark: SparkSession, path: str, nodes: DataFrame, links: DataFrame, no
 
 
 def point(spark: SparkSession, path: str, pointer: str, name: str) -> None:
-    spark.createDataFrame([(name,)], "name string").coalesce(1).write.mode("overwrite").json(f"{path}/_{pointer}")
+    """A pointer is one file, and another takes its place in one step: a reader always finds one."""
+    outputs.replace(spark, f"{path}/_{pointer}", [name.encode()])
 
 
 def pointed(spark: SparkSession, path: str, pointer: str = "latest") -> str:
-    return spark.read.schema("name string").json(f"{path}/_{pointer}").first()["name"]
+    name = outputs.read(spark, f"{path}/_{pointer}")
+    if name is None:
+        raise FileNotFoundError(f"{path}/_{pointer}")
+    return name.decode()
 
 
 def open_latest(spark: SparkSession, path: str, pointer: str = "latest") -> SparkSession:
@@ -82,6 +87,27 @@ def promote(spark: SparkSession, path: str, name: str, attribution: str, status:
     point(spark, path, "current", name)
 
 
-def pull(entries: DataFrame, repositories: list[str], target: str) -> None:
-    """Copies the catalogue entries of repositories, all their slices, to a new store."""
-    entries.where(F.col("repository").isin(repositories)).write.mode("errorifexists").parquet(target)
+def pull(entries: DataFrame, repositories: list[str], source: str, target: str) -> str:
+    """Copies the archives of repositories, all their slices, from one store to a new one, with their catalogue entries, which
+    are held against what was copied. Gives the digest of the whole upstream catalogue, which the new store notes."""
+    spark = entries.sparkSession
+    wanted = entries.where(F.col("repository").isin(repositories))
+    rows = wanted.collect()  # a catalogue has 128 entries at most
+    missing = set(repositories) - {r["repository"] for r in rows}
+    if missing:
+        raise ValueError(f"not in the catalogue: {sorted(missing)}")
+    fs, at = _fs(spark, target)
+    if fs.exists(at(target)):
+        raise ValueError(f"{target} is there already")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    upstream = at(source).getFileSystem(conf)
+    for r in rows:
+        jvm.org.apache.hadoop.fs.FileUtil.copy(upstream, at(f"{source}/{r['archive']}"), fs, at(f"{target}/{r['archive']}"), False, conf)
+    faults = catalogs.verified_archives(spark, wanted, target).collect()
+    if faults:
+        fs.delete(at(target), True)
+        raise ValueError(f"other content upstream: {faults[:5]}")
+    digest = content_digest(entries)
+    wanted.coalesce(1).write.parquet(f"{target}/catalog")
+    outputs.create_only(spark, f"{target}/upstream", [digest.encode()])
+    return digest
