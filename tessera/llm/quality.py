@@ -20,9 +20,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 @dataclass(frozen=True)
 class QualityRules:
-    #: A line may be in this many documents of its host, or in this share of them if that is more.
+    #: A line may be in this many documents of its host, however large the host is.
     line_docs: int = 10
-    line_share: float = 0.01
     #: A document is depleted if less than this share of its words is left.
     words_left: float = 0.3
     #: Frequent lines that may be broadcast (16 bytes each); more are joined by a shuffle.
@@ -79,9 +78,8 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def frequent_lines(rows: DataFrame, p: QualityRules = QualityRules()) -> DataFrame:
     """(source, h) of the lines that more documents of their host have than its limit."""
-    docs = rows.groupBy("source").agg(F.count("*").alias("docs")).select(F.col("source").alias("s"), F.greatest(F.lit(p.line_docs), F.col("docs") * p.line_share).alias("limit"))
-    counts = rows.select("source", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h")).groupBy("source", "h").agg(F.count("*").alias("in_docs"))
-    return counts.where(F.col("in_docs") > p.line_docs).join(docs, F.col("source").eqNullSafe(F.col("s"))).where("in_docs > limit").select("source", "h")
+    lines = rows.select("source", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+    return lines.groupBy("source", "h").agg(F.count("*").alias("in_docs")).where(F.col("in_docs") > p.line_docs).select("source", "h")
 
 
 def quality(docs: DataFrame, p: QualityRules = QualityRules()) -> DataFrame:
@@ -123,11 +121,8 @@ WITH docs AS (
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), dups AS (
   SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r
-), hosts AS (
-  SELECT source, count(*) AS docs FROM docs GROUP BY source
 ), frequent AS (
-  SELECT l.source, norm FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
-  GROUP BY l.source, norm, docs HAVING count(DISTINCT r) > greatest(10, docs * 0.01::DOUBLE)
+  SELECT source, norm FROM lines GROUP BY source, norm HAVING count(DISTINCT r) > 10
 ), removed AS (
   SELECT r, sum(len(l.norm) - len(replace(l.norm, ' ', '')) + 1) AS n
   FROM lines l JOIN frequent f ON l.norm = f.norm AND l.source IS NOT DISTINCT FROM f.source GROUP BY r
