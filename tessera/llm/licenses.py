@@ -1,8 +1,9 @@
 """Licence scans: Dice coefficient over word bigrams against licence templates. DataFrame operations only.
 
-A document is compared whole and line by line. Texts are normalised (lower case; runs of other characters than letters
-and digits are one space), and cut to their distinct word bigrams. A Dice coefficient of t needs sizes within the
-ratio t / (2 - t), so a template is a candidate for the segments of such sizes only.
+A document is compared whole, line by line, and by runs of words, so a notice may be wrapped over lines and have other
+words around it. Texts are normalised (lower case; runs of other characters than letters and digits are one space), and
+cut to their distinct word bigrams. A Dice coefficient of t needs sizes within the ratio t / (2 - t): a list by size tells
+which templates a line or text is held against, and runs are as long as that allows.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ),
     (
         "ISC",
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     ),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
@@ -47,67 +48,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 
-@dataclass(frozen=True)
-class LicenseScan:
-    #: Least Dice coefficient, in hundredths.
-    percent: int = 80
-    templates: tuple[tuple[str, str], ...] = field(default=TEMPLATES)
-
-
-def normal(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-
-
-def bigrams(words: Column) -> Column:
-    """The distinct word bigrams of an array of words."""
-    pairs = F.transform(F.slice(words, 1, F.size(words) - 1), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))
-    return F.when(F.size(words) >= 2, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
-
-
-def _grams(text: Column) -> Column:
-    return F.transform(F.array(F.split(normal(text), " ")), bigrams)[0]
-
-
-def candidates(spark: SparkSession, p: LicenseScan) -> Column:
-    """The templates as one constant array of (rank, license, t, m, lo, hi): m distinct bigrams t, and the sizes of sets
-    that can match them. The templates are parameters, so they are few and small."""
-    rows = spark.createDataFrame([(k, name, text) for k, (name, text) in enumerate(p.templates)], "rank int, license string, text string")
-    sets = rows.select("rank", "license", _grams(F.col("text")).alias("t")).where(F.size("t") > 0).orderBy("rank").collect()
-    each = []
-    for r in sets:
-        m = len(r["t"])
-        lo, hi = -(-m * p.percent // (200 - p.percent)), m * (200 - p.percent) // p.percent
-        values = (("rank", F.lit(r["rank"])), ("license", F.lit(r["license"])), ("t", F.array(*map(F.lit, r["t"]))), ("m", F.lit(m)), ("lo", F.lit(lo)), ("hi", F.lit(hi)))
-        each.append(F.struct(*[v.alias(n) for n, v in values]))
-    return F.array(*each) if each else F.array().cast("array<struct<rank: int, license: string, t: array<string>, m: int, lo: int, hi: int>>")
-
-
-def scan(docs: DataFrame, p: LicenseScan = LicenseScan()) -> DataFrame:
-    """doc_id, license, dice, n_matches of each row of docs(doc_id, text).
-
-    license and dice are those of the best match (ties: the earlier template), null without one; n_matches counts the
-    segments (lines, and the whole text if it has several) with a match. Null or empty text has no match. Repeated
-    rows and null ids stay. An empty table gives an empty one. Other columns of docs are not read. Nothing is shuffled.
-    """
-    templates = candidates(docs.sparkSession, p)
-
-    def matches(g: Column) -> Column:
-        """(dice, rank from the end, license) of the templates that a segment of bigrams g matches."""
-        near = F.filter(templates, lambda t: F.size(g).between(t["lo"], t["hi"]))
-        scored = F.transform(near, lambda t: F.struct(F.size(F.array_intersect(g, t["t"])).alias("both"), (F.size(g) + t["m"]).alias("all"), (-t["rank"]).alias("r"), t["license"].alias("license")))
-        sure = F.filter(scored, lambda x: 200 * x["both"] >= p.percent * x["all"])
-        return F.transform(sure, lambda x: F.struct((2.0 * x["both"] / x["all"]).alias("dice"), x["r"].alias("r"), x["license"].alias("license")))
-
-    text = F.coalesce("text", F.lit(""))
-    lines = F.split(text, "\n")
-    parts = F.when(F.size(lines) > 1, F.concat(lines, F.array(text))).otherwise(lines)
-    found = F.filter(F.transform(parts, lambda s: F.transform(F.array(_grams(s)), matches)[0]), lambda m: F.size(m) > 0)
-    rows = common.slim(docs, "doc_id", "text").select("doc_id", found.alias("found"))
-    best = F.array_max(F.flatten("found"))
-    return rows.select("doc_id", best["license"].alias("license"), best["dice"].alias("dice"), F.size("found").cast("long").alias("n_matches"))
-
-
-# More notices, for whole_notices(): scan() and its SQL have TEMPLATES alone.
+# Fixed values, too: notices that differ by a name, and SPDX tags.
 _GNU = "This {0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2} as published by the Free Software Foundation, either version {3} of the License, or (at your option) any later version. This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {2} for more details."
 _BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. {} THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 _TAGS = ("ISC", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "Unlicense")
@@ -126,6 +67,17 @@ NOTICES: tuple[tuple[str, str], ...] = (
 )
 
 
+@dataclass(frozen=True)
+class LicenseScan:
+    #: Least Dice coefficient, in hundredths.
+    percent: int = 80
+    templates: tuple[tuple[str, str], ...] = field(default=NOTICES)
+
+
+def normal(text: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+
+
 def _once(value: Column, use) -> Column:
     """use(value), with value worked out one time only."""
     return F.transform(F.array(value), use)[0]
@@ -137,11 +89,13 @@ def _hashes(text: Column) -> Column:
     return _once(F.split(normal(text), " "), lambda w: F.when(F.size(w) >= 2, of(w)).otherwise(F.array().cast("array<bigint>")))
 
 
-def _hashed(spark: SparkSession, p: LicenseScan) -> tuple[Column, Column]:
-    """The templates as in candidates(), with hashes, their own length and that of their longest run; and all their hashes."""
+def _hashed(spark: SparkSession, p: LicenseScan) -> tuple[Column, Column, Column]:
+    """The templates as one constant array of (rank, license, t, m, lo, hi, length, longest): m distinct hashes t, the sizes of
+    sets that can match them, their number of bigrams and that of their longest run; all hashes; and the places of the
+    templates by the sizes that can match them. The templates are parameters, so they are few and small."""
     rows = spark.createDataFrame([(k, name, text) for k, (name, text) in enumerate(p.templates)], "rank int, license string, text string")
     longs = lambda x: F.expr(f"array({', '.join(f'{v}L' if v > -(2**63) else 'cast(-9223372036854775808 as bigint)' for v in x)})")
-    each, known = [], set()
+    each, known, sizes = [], set(), []
     for r in rows.select("rank", "license", _hashes(F.col("text")).alias("h")).where(F.size("h") > 0).orderBy("rank").collect():
         t = sorted(set(r["h"]))
         m, length = len(t), len(r["h"])
@@ -149,21 +103,28 @@ def _hashed(spark: SparkSession, p: LicenseScan) -> tuple[Column, Column]:
         values = (("rank", F.lit(r["rank"])), ("license", F.lit(r["license"])), ("t", longs(t)), ("m", F.lit(m)), ("lo", F.lit(lo)), ("hi", F.lit(hi)), ("length", F.lit(length)), ("longest", F.lit(hi + length - m)))
         each.append(F.struct(*[v.alias(n) for n, v in values]))
         known.update(t)
-    return F.array(*each), longs(sorted(known))
+        sizes += [[] for _ in range(hi + 1 - len(sizes))]
+        for size in range(lo, hi + 1):
+            sizes[size].append(len(each) - 1)
+    empty = "array<struct<rank: int, license: string, t: array<bigint>, m: int, lo: int, hi: int, length: int, longest: int>>"
+    by_size = F.expr(f"array({', '.join('array({})'.format(', '.join(map(str, x))) if x else 'cast(array() as array<int>)' for x in sizes)})") if sizes else F.array().cast("array<array<int>>")
+    return F.array(*each) if each else F.array().cast(empty), longs(sorted(known)) if known else F.array().cast("array<bigint>"), by_size
 
 
-def whole_notices(docs: DataFrame, p: LicenseScan = LicenseScan(templates=NOTICES)) -> DataFrame:
-    """doc_id, licenses, dice of each row of docs(doc_id, text): all licences found, the best first, and the best's Dice.
+def scan(docs: DataFrame, p: LicenseScan = LicenseScan()) -> DataFrame:
+    """doc_id, license, dice, licenses, n_licenses of each row of docs(doc_id, text): the best licence and its Dice (ties:
+    the earlier template), and all licences found, the best first, with commas.
 
     Beside lines and the whole text, each run of words is compared that starts with a bigram of the template and is as
-    long as the template to half as long again (or ends with the text), so a notice may be wrapped over lines and have
-    other words around it. Of runs that lie by more than half in a better run of another licence, that one alone counts;
-    the best line or whole text always does. Nothing is shuffled. Rows stay as in scan().
+    long as the template to half as long again (or ends with the text). Of runs that lie by more than half in a better
+    run of another licence, that one alone counts; the best line or whole text always does. Null or empty text has no
+    match. Repeated rows and null ids stay. An empty table gives an empty one. Other columns of docs are not read.
+    Nothing is shuffled.
     """
-    templates, known = _hashed(docs.sparkSession, p)
+    templates, known, by_size = _hashed(docs.sparkSession, p)
 
     def of_segment(g: Column) -> Column:
-        near = F.filter(templates, lambda t: F.size(g).between(t["lo"], t["hi"]))
+        near = F.transform(F.coalesce(F.get(by_size, F.size(g)), F.array().cast("array<int>")), lambda k: F.get(templates, k))
         dice = lambda t: 2.0 * F.size(F.array_intersect(g, t["t"])) / (F.size(g) + t["m"])
         return F.filter(F.transform(near, lambda t: F.struct(dice(t).alias("dice"), (-t["rank"]).alias("r"), t["license"].alias("license"))), lambda x: x["dice"] >= p.percent / 100)
 
@@ -207,7 +168,8 @@ def whole_notices(docs: DataFrame, p: LicenseScan = LicenseScan(templates=NOTICE
     whole = lambda g: F.struct(F.array_max(F.concat(of_lines, _once(F.array_distinct(g), of_segment))).alias("best"), F.coalesce(of_text(g), F.array().cast("array<struct<dice: double, r: int, license: string>>")).alias("runs"))
     rows = common.slim(docs, "doc_id", "text").select("doc_id", _once(_hashes(text), whole).alias("x"))
     each = rows.select("doc_id", F.sort_array(F.array_compact(F.concat("x.runs", F.array("x.best"))), asc=False).alias("found"))
-    return each.select("doc_id", F.array_distinct(F.transform("found", lambda m: m["license"])).alias("licenses"), F.get("found", F.lit(0))["dice"].alias("dice"))
+    best, names = F.get("found", F.lit(0)), F.array_distinct(F.transform("found", lambda m: m["license"]))
+    return each.select("doc_id", best["license"].alias("license"), best["dice"].alias("dice"), F.array_join(names, ",").alias("licenses"), F.size(names).cast("long").alias("n_licenses"))
 
 
 def scan_sql(p: LicenseScan = LicenseScan()) -> str:
@@ -216,31 +178,63 @@ def scan_sql(p: LicenseScan = LicenseScan()) -> str:
     norm = r"trim(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
     return f"""
 WITH docs AS (
-  SELECT row_number() OVER () AS r, doc_id, text FROM documents
-), parts AS (
-  SELECT r, unnest(CASE WHEN len(l) > 1 THEN list_append(l, text) ELSE l END) AS s, unnest(range(1, len(l) + CASE WHEN len(l) > 1 THEN 2 ELSE 1 END)) AS segment
-  FROM (SELECT r, text, string_split(text, chr(10)) AS l FROM docs)
-), words AS (
-  SELECT r, segment, string_split({norm.format('s')}, ' ') AS w FROM parts
-), grams AS (
-  SELECT DISTINCT r, segment, w[i] || ' ' || w[i + 1] AS g FROM (SELECT *, unnest(range(1, len(w))) AS i FROM words)
-), sizes AS (
-  SELECT r, segment, count(*) AS n FROM grams GROUP BY ALL
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
 ), templates(rank, license, text) AS (VALUES
   {quoted}
 ), twords AS (
   SELECT rank, license, string_split({norm.format('text')}, ' ') AS w FROM templates
+), tall AS (
+  SELECT rank, license, w[i] || ' ' || w[i + 1] AS g FROM (SELECT *, unnest(range(1, len(w))) AS i FROM twords)
 ), tgrams AS (
-  SELECT DISTINCT rank, license, w[i] || ' ' || w[i + 1] AS g FROM (SELECT *, unnest(range(1, len(w))) AS i FROM twords)
+  SELECT DISTINCT rank, license, g FROM tall
 ), tsizes AS (
-  SELECT rank, count(*) AS m FROM tgrams GROUP BY ALL
+  SELECT rank, license, count(DISTINCT g) AS m, count(*) AS length FROM tall GROUP BY ALL
+), bounds AS (
+  SELECT *, (m * {p.percent} + {199 - p.percent}) // {200 - p.percent} AS lo, m * {200 - p.percent} // {p.percent} AS hi FROM tsizes
+), parts AS (
+  SELECT r, 0 AS segment, text AS s FROM docs
+  UNION ALL SELECT r, unnest(range(1, len(l) + 1)), unnest(l) FROM (SELECT r, string_split(text, chr(10)) AS l FROM docs)
+), words AS (
+  SELECT r, segment, string_split({norm.format('s')}, ' ') AS w FROM parts
+), every AS (
+  SELECT r, segment, i, w[i] || ' ' || w[i + 1] AS g FROM (SELECT *, unnest(range(1, len(w))) AS i FROM words)
+), grams AS (
+  SELECT DISTINCT r, segment, g FROM every
+), sizes AS (
+  SELECT r, segment, count(*) AS n FROM grams GROUP BY ALL
 ), shared AS (
   SELECT r, segment, rank, license, count(*) AS hits FROM grams JOIN tgrams USING (g) GROUP BY ALL
-), near AS (
-  SELECT r, segment, rank, license, 2.0::DOUBLE * hits / (n + m) AS dice
-  FROM shared JOIN sizes USING (r, segment) JOIN tsizes USING (rank) WHERE 200 * hits >= {p.percent} * (n + m)
+), segments AS (
+  SELECT r, s.rank, s.license, 2.0::DOUBLE * hits / (n + m) AS dice
+  FROM shared s JOIN sizes USING (r, segment) JOIN bounds b ON b.rank = s.rank WHERE n BETWEEN lo AND hi
 ), best AS (
-  SELECT r, arg_max(license, struct_pack(d := dice, k := -rank)) AS license, max(dice) AS dice, count(DISTINCT segment) AS n_matches FROM near GROUP BY r
+  SELECT r, arg_max(struct_pack(license := license, rank := rank, dice := dice), struct_pack(d := dice, k := -rank)) AS x FROM segments WHERE dice >= {p.percent / 100}::DOUBLE GROUP BY r
+), near AS (
+  SELECT s.r, s.rank, s.license, m, lo, length, hi + length - m AS longest FROM shared s JOIN bounds b ON b.rank = s.rank WHERE segment = 0 AND hits >= lo
+), placed AS (
+  SELECT r, i, g, coalesce(lag(i) OVER (PARTITION BY r, g ORDER BY i), 0) AS prev, max(i) OVER (PARTITION BY r) AS last
+  FROM every WHERE segment = 0 AND r IN (SELECT r FROM near)
+), marked AS (
+  SELECT p.*, n.rank, n.license, n.m, n.length, n.longest, t.g IS NOT NULL AS hit
+  FROM placed p JOIN near n USING (r) LEFT JOIN tgrams t ON t.rank = n.rank AND t.g = p.g
+), windows AS (
+  SELECT r, rank, license, a.i AS s, x.i AS e, (x.i - a.i + 1 >= a.length OR x.i = x.last) AS long, a.m,
+         sum(CAST(x.prev < a.i AS INTEGER)) OVER w AS n, sum(CAST(x.prev < a.i AND x.hit AS INTEGER)) OVER w AS hits
+  FROM marked a JOIN marked x USING (r, rank, license) WHERE a.hit AND x.i BETWEEN a.i AND a.i + a.longest - 1
+  WINDOW w AS (PARTITION BY r, rank, license, a.i ORDER BY x.i)
+), runs AS (
+  SELECT r, rank, license, s, max(dice) AS dice, arg_max(e, struct_pack(d := dice, k := -e)) AS e
+  FROM (SELECT *, 2.0::DOUBLE * hits / (n + m) AS dice FROM windows WHERE long) WHERE dice >= {p.percent / 100}::DOUBLE GROUP BY ALL
+), alone AS (
+  SELECT r, rank, license, dice FROM runs a WHERE NOT EXISTS (
+    SELECT 1 FROM runs b WHERE b.r = a.r AND b.license <> a.license AND (b.dice > a.dice OR b.dice = a.dice AND b.rank < a.rank)
+    AND 2 * (least(a.e, b.e) - greatest(a.s, b.s) + 1) > a.e - a.s + 1)
+), found AS (
+  SELECT r, rank, license, dice FROM alone UNION ALL SELECT r, x.rank, x.license, x.dice FROM best
+), named AS (
+  SELECT r, license, min(place) AS place, max(dice) AS dice FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY dice DESC, rank) AS place FROM found) GROUP BY r, license
+), joined AS (
+  SELECT r, arg_min(license, place) AS license, arg_min(dice, place) AS dice, string_agg(license, ',' ORDER BY place) AS licenses, count(*) AS n FROM named GROUP BY r
 )
-SELECT doc_id, license, dice, CAST(coalesce(n_matches, 0) AS BIGINT) AS n_matches FROM docs LEFT JOIN best USING (r)
+SELECT doc_id, license, dice, coalesce(licenses, '') AS licenses, CAST(coalesce(n, 0) AS BIGINT) AS n_licenses FROM docs LEFT JOIN joined USING (r)
 """
