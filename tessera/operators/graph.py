@@ -36,8 +36,9 @@ def adjacency(links: DataFrame, direction: str = "both") -> DataFrame:
 
 
 def store(links: DataFrame, path: str) -> None:
-    """Writes the adjacency of links, both ways, sorted by node; a node of very many links is dealt over several files."""
-    adjacency(links).repartitionByRange("node", "ord").sortWithinPartitions("node", "ord", "dir").write.option("parquet.block.size", str(16 << 20)).parquet(path)
+    """Writes the adjacency of links, both ways, each file sorted by node, so that page indexes find a node's rows. Rebalancing
+    deals a node of very many links over several files."""
+    adjacency(links).hint("rebalance", "node").sortWithinPartitions("node", "ord", "dir").write.option("parquet.block.size", str(16 << 20)).parquet(path)
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame:
