@@ -39,6 +39,8 @@ class NearDedup:
     #: Members of a chunk, and shingles of a chunk: what a task holds is two chunks.
     chunk_docs: int = 512
     chunk_shingles: int = 500_000
+    #: Leaders that a member of a crowded unit is first compared with: those it shares most bands with.
+    leaders: int = 2
     #: Units up to this many members are taken as a whole; larger ones by bucket.
     unit: int = 4096
     #: Members of one leader that a task compares before the leader's text is read again.
@@ -307,14 +309,30 @@ class _Run:
                 return new.select("id", "comp")
             labels = new.select("id", "comp")
 
+    def members(self, buckets: DataFrame) -> DataFrame:
+        """(id, leaders): the leaders of a member's buckets, those of most buckets first; as many as there are bands at most."""
+        pairs = buckets.where("id <> leader").groupBy("id", "leader").agg(F.count("*").alias("n"))
+        each = pairs.groupBy("id").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "leader"))).alias("x"))
+        return common.materialise(each.select("id", F.transform("x", lambda x: x["leader"]).alias("leaders")), "members")
+
+    @staticmethod
+    def spanning(members: DataFrame) -> DataFrame:
+        """(a, b) that connect what the leaders connect: each member with its least leader, and that one with the member's
+        other leaders. Members of one bucket mostly have the same leaders, so these are few."""
+        least = F.array_min("leaders")
+        own = members.select(least.alias("a"), F.col("id").alias("b"))
+        others = members.select(least.alias("a"), F.array_remove("leaders", least).alias("rest")).distinct()
+        return own.unionByName(others.select("a", F.explode("rest").alias("b")).distinct())
+
     def closed(self) -> DataFrame:
         """(id, comp) of all representatives that have a link."""
         p, buckets = self.p, self.buckets()
-        star = common.materialise(buckets.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "star")
-        units = common.materialise(self.units(buckets, star), "units")
+        members = self.members(buckets)
+        units = common.materialise(self.units(buckets, self.spanning(members)), "units")
         sizes = units.groupBy("unit").agg(F.count("*").alias("n")).where(F.col("n") > p.chunk_docs).select("unit")
         crowded = units.join(sizes, "unit", "left_semi").select("id").distinct()
-        links = self.links(star.join(crowded.withColumnRenamed("id", "b"), "b", "left_semi").select("a", "b"))
+        first = members.join(crowded, "id", "left_semi").select(F.explode(F.slice("leaders", 1, p.leaders)).alias("a"), F.col("id").alias("b"))
+        links = self.links(first)
         links = links.unionByName(self.joins(self.groups(units, self.components(links))))
         return self.components(links)
 
