@@ -112,16 +112,21 @@ def unpacked(raw: bytes) -> np.ndarray:
 
 
 def packed_slots(rows: DataFrame, name: str, orders: range, bits: int) -> DataFrame:
-    """rows with their distinct letter n-gram slots, packed, in the place of the text: at most 2**bits / 8 + 1 bytes a row."""
+    """rows with their distinct letter n-gram slots, packed, in the place of the text, and their number: at most 2**bits / 8 + 1
+    bytes a row."""
     kept = [c for c in rows.columns if c != name]
     at = rows.columns.index(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [packed(np.unique(gram_slots(letter_runs(t), orders, bits)), bits) for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[c for k, c in enumerate(batch.columns) if k != at], pa.array(made, pa.binary())], names=[*kept, "slots"])
-
-    return slim_batches(rows).mapInArrow(run, rows.select(*kept).schema.add("slots", "binary"))
+            made, sizes = [], []
+            for text in batch.column(at).to_pylist():
+                own = np.unique(gram_slots(letter_runs(text), orders, bits))
+                made.append(packed(own, bits))
+                sizes.append(len(own))
+            yield pa.RecordBatch.from_arrays([*[c for k, c in enumerate(batch.columns) if k != at], pa.array(made, pa.binary()), pa.array(sizes, pa.int64())], names=[*kept, "slots", "n_slots"])
+
+    return slim_batches(rows).mapInArrow(run, rows.select(*kept).schema.add("slots", "binary").add("n_slots", "long"))
 
 
 def gram_slots(c: np.ndarray, orders: range, bits: int) -> np.ndarray:

@@ -97,13 +97,11 @@ def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, fol
     chosen = marks.where(wanted).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     texts = common.slim(docs, "doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
     slots = common.packed_slots(texts.select("doc_id", "toxic", F.xxhash64("text").alias("h"), "text"), "text", ORDERS, BITS)
-    each = slots.groupBy("doc_id").agg(F.min_by(F.struct("toxic", "slots"), "h").alias("x")).select(F.xxhash64("doc_id").alias("dice"), "doc_id", "x.*")
+    each = slots.groupBy("doc_id").agg(F.min_by(F.struct("toxic", "slots", "n_slots"), "h").alias("x")).select(F.xxhash64("doc_id").alias("dice"), "doc_id", "x.*")
     sample = common.materialise(each, "labelled")
-    # a bitmap stands for no more slots than it has bits
-    size = F.when(F.length("slots") % 4 == 0, F.length("slots") / 4).otherwise(F.lit(1 << BITS))
     total, last = 0, None
-    for r in sorted(sample.select("dice", size.cast("long").alias("n")).collect(), key=lambda r: r["dice"]):
-        total += r["n"]
+    for r in sorted(sample.select("dice", "n_slots").collect(), key=lambda r: r["dice"]):
+        total += r["n_slots"]
         if total > SAMPLE_SLOTS:
             break
         last = r["dice"]
