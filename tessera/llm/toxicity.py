@@ -23,6 +23,8 @@ BITS, ORDERS = 18, range(3, 6)
 PER_CLASS, SAMPLE_SLOTS = 2500, 16_000_000
 ALPHA, RIDGE, ROUNDS, LEAST_DOCS, LEAST_Z = 1.0, 1.0, 80, 3, 2.0
 TOXIC = 0.7
+#: Slots that one step of the fit looks at together; they bound its memory, not its result.
+PART_SLOTS = 1 << 20
 
 
 def _slots(text: str, seen: np.ndarray) -> np.ndarray:
@@ -34,6 +36,18 @@ def _slots(text: str, seen: np.ndarray) -> np.ndarray:
     return out
 
 
+def _parts(rows: list[bytes], told: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Ranges of rows with their told slots, one after another, and the row (from the range's start) of each slot."""
+    at, own, held = 0, [], 0
+    for k, row in enumerate(rows, 1):
+        s = common.unpacked(row)
+        own.append(s[told[s]])
+        held += len(own[-1])
+        if held >= PART_SLOTS or k == len(rows):
+            yield at, k, np.concatenate(own), np.repeat(np.arange(k - at, dtype=np.int32), [len(s) for s in own])
+            at, own, held = k, [], 0
+
+
 @dataclass
 class ToxicityModel:
     weights: np.ndarray  # by slot
@@ -42,32 +56,36 @@ class ToxicityModel:
     @classmethod
     def fit(cls, texts: list[str], toxic: list[int]) -> ToxicityModel:
         seen = np.zeros(1 << BITS, bool)
-        return cls.fit_slots([_slots(t, seen).astype(np.int32) for t in texts], toxic)
+        return cls.fit_slots([common.packed(_slots(t, seen), BITS) for t in texts], toxic)
 
     @classmethod
-    def fit_slots(cls, rows: list[np.ndarray], toxic: list[int]) -> ToxicityModel:
-        """Without rows of both classes: a model that says the share of toxic rows (or 0) of every text."""
+    def fit_slots(cls, rows: list[bytes], toxic: list[int]) -> ToxicityModel:
+        """Fits on packed slots. Rows are unpacked one at a time, and only the slots that tell the classes apart are kept.
+
+        Without rows of both classes: a model that says the share of toxic rows (or 0) of every text.
+        """
         y = np.array(toxic, np.float64)
         size = 1 << BITS
         if not len(y) or y.min() == y.max():
             return cls(np.zeros(size, np.float32), 9.0 if len(y) and y[0] else -9.0)
-        flat = np.concatenate(rows)
-        doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-        df = np.bincount(flat, minlength=size)
-        p = ALPHA + np.bincount(np.concatenate([r for r, t in zip(rows, y, strict=True) if t]), minlength=size)
-        q = 2 * ALPHA + df - p
+        p, q = np.full(size, ALPHA), np.full(size, ALPHA)
+        for row, t in zip(rows, toxic, strict=True):
+            (p if t else q)[common.unpacked(row)] += 1
+        df = p + q - 2 * ALPHA
         ratio = np.log(p / (y.sum() + 2 * ALPHA)) - np.log(q / ((1 - y).sum() + 2 * ALPHA))
         # n-grams whose ratio is within the noise of their counts tell nothing, and there are very many of them
         ratio = np.where((df >= LEAST_DOCS) & (np.abs(ratio) >= LEAST_Z * np.sqrt(1 / p + 1 / q)), ratio, 0)
-        keep = ratio[flat] != 0
-        flat, doc = flat[keep], doc[keep]
+        parts = list(_parts(rows, ratio != 0))
         weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())  # the classes weigh the same
-        value = ratio[flat]
         w, b, m, v = np.zeros(size), 0.0, np.zeros(size + 1), np.zeros(size + 1)
         for t in range(1, ROUNDS + 1):  # Adam on all rows
-            z = np.bincount(doc, weights=value * w[flat], minlength=len(y)) + b
-            g = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
-            grad = np.append(np.bincount(flat, weights=value * g[doc], minlength=size) + RIDGE * w / len(y), g.sum())
+            scaled, pull, total = ratio * w, np.zeros(size), 0.0
+            for at, to, flat, doc in parts:
+                z = np.bincount(doc, weights=scaled[flat], minlength=to - at) + b
+                g = weight[at:to] * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[at:to])
+                pull += np.bincount(flat, weights=g[doc], minlength=size)
+                total += g.sum()
+            grad = np.append(ratio * pull + RIDGE * w / len(y), total)
             m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
             step = 0.03 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
             w -= step[:-1]
@@ -105,8 +123,10 @@ def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, fol
         if total > SAMPLE_SLOTS:
             break
         last = r["dice"]
-    rows = sample.where(F.col("dice") <= F.lit(last)).orderBy("dice", "doc_id").collect() if last is not None else []
-    return ToxicityModel.fit_slots([common.unpacked(r["slots"]) for r in rows], [r["toxic"] for r in rows])
+    # a partition at a time; in order of the hash, whatever files the rows were in, so that sums are the same in each run
+    drawn = sample.where(F.col("dice") <= F.lit(last)).toLocalIterator() if last is not None else ()
+    rows = sorted(((r["dice"], r["doc_id"], r["toxic"], bytes(r["slots"])) for r in drawn), key=lambda r: r[:2])
+    return ToxicityModel.fit_slots([r[3] for r in rows], [r[2] for r in rows])
 
 
 def score(docs: DataFrame, model: ToxicityModel, toxic_from: float = TOXIC) -> DataFrame:

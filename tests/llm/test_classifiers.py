@@ -193,3 +193,28 @@ def test_samples_of_repeated_and_long_rows_stay_bounded(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "SAMPLE_SLOTS", 60)
     toxicity.learn(docs, docs.select("doc_id", "toxic"), held_out_fold=None)
     assert seen[0] == 3 and seen[1] < 3
+
+
+def test_fit_keeps_no_more_than_the_slots_that_tell():
+    """Eight million slots: arrays of all of them would take hundreds of megabytes."""
+    import tracemalloc
+
+    from tessera.llm import common
+
+    draw = np.random.default_rng(3)
+    rows = [common.packed(np.unique(draw.integers(0, 1 << toxicity.BITS, 20_000)), toxicity.BITS) for _ in range(400)]
+    tracemalloc.start()
+    model = toxicity.ToxicityModel.fit_slots(rows, [k % 2 for k in range(400)])
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 80 << 20 and np.count_nonzero(model.weights)
+
+
+def test_parts_of_a_fit_do_not_change_it(monkeypatch):
+    draw = random.Random(11)
+    texts = [" ".join(draw.choice(["river", "house", "fool", "paper"]) for _ in range(9)) for _ in range(60)]
+    toxic = ["fool" in t.split()[:3] for t in texts]
+    one = toxicity.ToxicityModel.fit(texts, toxic)
+    monkeypatch.setattr(toxicity, "PART_SLOTS", 40)
+    many = toxicity.ToxicityModel.fit(texts, toxic)
+    assert np.allclose(one.weights, many.weights, atol=1e-6) and abs(one.bias - many.bias) < 1e-6
