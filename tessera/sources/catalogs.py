@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import itertools
 import json
 import re
 import tarfile
@@ -13,6 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources import json_stream
+from tessera.sources.scratch import materialise
+
 MAX_MEMBERS, MAX_MEMBER_BYTES, MAX_ARCHIVE_BYTES, MAX_CATALOG_BYTES = 100_000, 1 << 30, 8 << 30, 16 << 20
 REPOSITORY, HEAD, ARCHIVE = r"^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+$", r"^([0-9a-f]{40}|[0-9a-f]{64})$", r"^[A-Za-z0-9][A-Za-z0-9_.-]*\.tar\.gz$"
 
@@ -73,24 +77,44 @@ def select_one(entries: DataFrame, repository: str, part: str | None = None) ->
     return found
 
 
-def members(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(archive, name, bytes, sha256, content) of the members of tar.gz archives, read by the executors."""
+class _Stream:
+    """A file that comes in lines."""
+
+    def __init__(self, lines: Iterator[bytes]):
+        self.lines, self.held = lines, b""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total, seen = 0, set()
-                with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as tar:
-                    for m in tar:
-                        total += m.size
-                        if not m.isreg() or m.name in seen or m.name.startswith("/") or ".." in m.name.split("/") or len(seen) >= MAX_MEMBERS or m.size > MAX_MEMBER_BYTES or total > MAX_ARCHIVE_BYTES:
-                            raise ValueError(f"unsafe member {m.name} in {path}")
-                        seen.add(m.name)
-                        raw = tar.extractfile(m).read()
-                        yield pa.RecordBatch.from_arrays([pa.array([path.rsplit("/", 1)[-1]]), pa.array([m.name]), pa.array([m.size], pa.int64()), pa.array([hashlib.sha256(raw).hexdigest()]), pa.array([raw], pa.binary())], names=["archive", "name", "bytes", "sha256", "content"])
+    def read(self, n: int) -> bytes:
+        parts, size = [self.held], len(self.held)
+        while size < n and (line := next(self.lines, None)) is not None:
+            parts.append(line)
+            size += len(line)
+        whole = b"".join(parts)
+        self.held = whole[n:]
+        return whole[:n]
 
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return files.mapInArrow(run, "archive string, name string, bytes bigint, sha256 string, content binary")
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = ((p, v) for b in batches for p, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+    for path, own in itertools.groupby(rows, key=lambda r: r[0]):
+        total, seen = 0, set()
+        lines = (b"\n" + v if k else v for k, (_, v) in enumerate(own))
+        with tarfile.open(fileobj=_Stream(lines), mode="r|") as tar:
+            for m in tar:
+                total += m.size
+                if not m.isreg() or m.name in seen or m.name.startswith("/") or ".." in m.name.split("/") or len(seen) >= MAX_MEMBERS or m.size > MAX_MEMBER_BYTES or total > MAX_ARCHIVE_BYTES:
+                    raise ValueError(f"unsafe member {m.name} in {path}")
+                seen.add(m.name)
+                raw = tar.extractfile(m).read()
+                yield pa.RecordBatch.from_arrays([pa.array([path.rsplit("/", 1)[-1]]), pa.array([m.name]), pa.array([m.size], pa.int64()), pa.array([hashlib.sha256(raw).hexdigest()]), pa.array([raw], pa.binary())], names=["archive", "name", "bytes", "sha256", "content"])
+
+
+def members(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(archive, name, bytes, sha256, content) of the members of tar.gz archives.
+
+    An archive is unpacked as a stream of its lines, by one task, which holds one member at a time.
+    """
+    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.tar.gz").text(paths)
+    return lines.select("_metadata.file_path", F.col("value").cast("binary")).mapInArrow(_unpacked, "archive string, name string, bytes bigint, sha256 string, content binary")
 
 
 def member_faults(found: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -158,14 +182,32 @@ def merge_catalogs(packages: DataFrame, most: int = 128) -> tuple[str, DataFrame
 
 
 def graph_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """nodes, links and hyperedges of node-link JSON documents, with ord; other attributes are in attrs as a variant."""
-    raw = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("g"))
-    each = lambda p: raw.select(F.posexplode(F.variant_get("g", p, "array<variant>")).alias("ord", "v"))
+    """nodes, links and hyperedges of node-link JSON documents of any size, with ord and the document (graph) they are of.
+
+    Other attributes are in attrs, as a variant. Documents are read once, here, and stored by element.
+    """
+    stored = materialise(json_stream.elements(spark, path), "graph_elements")
     text = lambda k: F.try_variant_get("v", f"$.{k}", "string").alias(k)
-    nodes = each("$.nodes").select("ord", *[text(k) for k in ("id", "type", "label", "name", "kind", "source_file")], F.col("v").alias("attrs"))
-    links = each("$.links").select("ord", *[text(k) for k in ("source", "target", "type", "kind", "relation", "source_file")], F.col("v").alias("attrs"))
-    hyper = raw.select(F.posexplode_outer(F.coalesce(F.try_variant_get("g", "$.hyperedges", "array<variant>"), F.try_variant_get("g", "$.graph.hyperedges", "array<variant>"))).alias("ord", "v")).where("v is not null")
-    return nodes, links, hyper.select("ord", F.try_variant_get("v", "$.nodes", "array<string>").alias("nodes"))
+    of = lambda field: stored.where((F.col("field") == field) & F.col("ord").isNotNull()).select("document", "ord", F.parse_json("value").alias("v"))
+    graph = F.col("document").alias("graph")
+    nodes = of("nodes").select("ord", *[text(k) for k in ("id", "type", "label", "name", "kind", "source_file")], F.col("v").alias("attrs"), graph)
+    links = of("links").select("ord", *[text(k) for k in ("source", "target", "type", "kind", "relation", "source_file")], F.col("v").alias("attrs"), graph)
+    own = of("hyperedges")
+    inner = stored.where("field = 'graph' and ord is null").select("document", F.posexplode(F.try_variant_get(F.parse_json("value"), "$.hyperedges", "array<variant>")).alias("ord", "v"))
+    inner = inner.join(own.select("document").distinct(), "document", "left_anti")
+    hyper = own.unionByName(inner).select("ord", F.try_variant_get("v", "$.nodes", "array<string>").alias("nodes"), graph)
+    return nodes, links, hyper
+
+
+def graph_faults(spark: SparkSession, path: str, head: str | None = None) -> DataFrame:
+    """(graph, fault) of node-link documents that are not directed, or built at another head than the one that is asked for."""
+    values = json_stream.elements(spark, path)
+    said = lambda field: F.max(F.when(F.col("field") == field, F.col("value")))
+    each = values.groupBy(F.col("document").alias("graph")).agg(said("directed").alias("directed"), said("built_at_commit").alias("head"))
+    faults = [F.when(~F.col("directed").eqNullSafe("true"), "not_directed")]
+    if head is not None:
+        faults.append(F.when(~F.col("head").eqNullSafe(json.dumps(head)), "other_head"))
+    return each.select("graph", F.explode(F.array_compact(F.array(*faults))).alias("fault"))
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
