@@ -1040,6 +1040,45 @@ def stream_event_windows(spark, sf_dir):
     return windows.hourly_totals(spark, f"{sf_dir}/events.parquet")
 
 
+@query("""WITH d AS (SELECT concat('docs/', coalesce(source, 'none'), '/', doc_id, '.md') AS path, doc_id AS k, coalesce(lang, 'none') AS lang, coalesce(n_chars, 0) AS n FROM documents WHERE doc_id IS NOT NULL)
+SELECT path, 'file' AS kind, path AS label, NULL AS below FROM d UNION ALL SELECT path, 'heading', 'Document ' || k, path FROM d UNION ALL SELECT path, 'heading', 'Language ' || lang, 'Document ' || k FROM d
+UNION ALL SELECT path, 'heading', concat('Length ', n, ' or so'), 'Document ' || k FROM d UNION ALL SELECT path, 'links_to', concat(k + 1, '.md#top'), regexp_replace(path, '[^/]*$', '') || (k + 1) || '.md' FROM d UNION ALL SELECT path, 'links_to', '../index.md', 'docs/index.md' FROM d""")
+def extract_documents(spark, sf_dir):
+    """Every document as a Markdown file around its quoted text: headings with what they are below, and links."""
+    from tessera.operators import extract
+
+    d = _t(spark, sf_dir, "documents").where("doc_id is not null")
+    path = F.concat(F.lit("docs/"), F.coalesce("source", F.lit("none")), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md"))
+    lines = [
+        F.lit("---\ntitle: front\n---\n"), F.concat(F.lit("# Document "), F.col("doc_id").cast("string"), F.lit(" #\n")), F.concat(F.lit("> "), F.regexp_replace(F.coalesce("text", F.lit("")), "\\R", "\n> "), F.lit("\n")),
+        F.concat(F.lit("Language "), F.coalesce("lang", F.lit("none")), F.lit("\n---\n")), F.concat(F.lit("See [next]("), (F.col("doc_id") + 1).cast("string"), F.lit(".md#top), [out](https://example.org/x), `[no](a.md)` and [top][up].\n")),
+        F.concat(F.lit("## Length "), F.coalesce("n_chars", F.lit(0)).cast("string"), F.lit(" `or so`\n")), F.lit("```\n# no\n[no](b.md)\n```\n\n[up]: ../index.md"),
+    ]
+    found = extract.fragments(d.select(path.alias("path"), F.concat_ws("\n", *lines).cast("binary").alias("content")))
+    label = F.map_from_arrays("nodes.id", "nodes.label")
+    above = F.map_from_arrays("edges.target", "edges.source")
+    nodes = found.select("path", label.alias("l"), above.alias("up"), F.explode("nodes").alias("x")).select("path", F.col("x.type").alias("kind"), F.col("x.label").alias("label"), F.expr("try_element_at(l, try_element_at(up, x.id))").alias("below"))
+    links = found.select("path", F.explode("refs").alias("x")).select("path", "x.kind", F.col("x.target").alias("label"), F.array_join("x.candidates", " ").alias("below"))
+    return nodes.unionByName(links)
+
+
+@query("""WITH p AS (SELECT p_partkey AS k, p_size AS n, p_brand AS b, concat('pkg/m', p_partkey, '.py') AS path FROM part), r AS (
+SELECT path, b, 1 AS line, concat('pkg.m', k + 1) AS target, concat('pkg/m', k + 1, '.py') AS wanted FROM p UNION ALL SELECT path, b, 2, concat('pkg.m', n), concat('pkg/m', n, '.py') FROM p UNION ALL SELECT path, b, 13, 'far', 'far.py' FROM p)
+SELECT r.path AS source_file, 'imports' AS kind, target, CAST(line AS INTEGER) AS line, t.path AS target_path, t.b AS target_slice, CASE WHEN t.path IS NULL THEN 'unresolved' WHEN t.b = r.b THEN 'link' ELSE 'cross' END AS outcome FROM r LEFT JOIN p t ON t.path = r.wanted""")
+def extract_parts(spark, sf_dir):
+    """Every part as a Python module of its brand's slice, which imports others, assembled over all slices."""
+    from tessera.operators import extract
+
+    p = _t(spark, sf_dir, "part")
+    number = lambda c: c.cast("string")
+    content = F.concat(
+        F.lit("import pkg.m"), number(F.col("p_partkey") + 1), F.lit("\nfrom pkg.m"), number(F.col("p_size")), F.lit(" import size as s\n\n\nclass Part:\n    \"\"\"import pkg.m0\"\"\"\n\n    def name(self):\n        return '"), F.col("p_name"),
+        F.lit("'  # import pkg.m1\n\n\nasync def go():\n    import far\n"),
+    )
+    files = p.select(F.concat(F.lit("pkg/m"), number(F.col("p_partkey")), F.lit(".py")).alias("path"), content.cast("binary").alias("content"), F.col("p_brand").alias("slice"))
+    return extract.assemble(extract.fragments(files), files.select("path", "slice"))
+
+
 def _extracted(files: tuple[str, ...]):
     def run(spark, sf_dir):
         from tessera.operators import extract
