@@ -997,17 +997,25 @@ def text_functions(spark, sf_dir):
     return d.select("doc_id", text.normalize(F.col("text")).alias("norm"), text.slugify(F.col("text")).alias("slug"), text.row_digest(F.col("source"), F.col("lang")).alias("row_digest"), numbers.page_tokens(F.length("text")).alias("tokens"))
 
 
-@query("SELECT * FROM (VALUES (0, 'a/c.md', TRUE), (1, NULL, FALSE), (2, 'x.md', TRUE), (3, NULL, FALSE), (4, 'a/b/d', TRUE)) AS v(k, path, safe)")
+@query("""SELECT p_partkey AS k, CASE p_partkey % 6 WHEN 0 THEN 'a/c' || p_partkey || '.md' WHEN 1 THEN NULL WHEN 2 THEN 'x.md' WHEN 3 THEN NULL WHEN 4 THEN 'a/b/' || p_name ELSE NULL END AS path, p_partkey % 6 IN (0, 2, 4) AS safe FROM part""")
 def path_functions(spark, sf_dir):
-    rows = [(0, "a/b", "../c.md", "a/c.md"), (1, "a", "../../x", "../x"), (2, "", "./x.md", "x.md"), (3, "a", "b%20c", "a//b"), (4, "a/b", "d", "a/.gitx/d")]
-    d = spark.createDataFrame(rows, "k int, base string, path string, check string")
+    """Six kinds of path from a folder, with the names of parts: out of it, out of the root, plain, escaped, below, none."""
+    k, name = F.col("p_partkey").cast("string"), F.col("p_name")
+    kinds = [
+        (F.lit("a/b"), F.concat(F.lit("../c"), k, F.lit(".md")), F.concat(F.lit("a/c"), k)), (F.lit("a"), F.concat(F.lit("../../"), name), F.concat(F.lit("../"), name)), (F.lit(""), F.lit("./x.md"), F.concat(name, F.lit(".md"))),
+        (F.lit("a"), F.lit("b%20c"), F.concat(F.lit("a//"), k)), (F.lit("a//b"), name, F.concat(F.lit("a/.gitx/"), k)), (F.lit("a"), F.lit(""), F.concat(F.lit("a/.GIT/"), k)),
+    ]
+    cases = F.array(*[F.struct(base.alias("base"), path.alias("path"), check.alias("check")) for base, path, check in kinds])
+    d = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.element_at(cases, (F.col("p_partkey") % 6 + 1).cast("int")).alias("x")).select("k", "x.*")
     return d.select("k", text.relative_path(F.col("base"), F.col("path")).alias("path"), text.safe_path(F.col("check")).alias("safe"))
 
 
-@query("SELECT * FROM (VALUES (0, '1,2,3,20'), (1, '7'), (2, '5,6,9')) AS v(k, lanes)")
+@query("""SELECT p_partkey AS k, array_to_string(list_concat(range(p_size, p_size + 4), [p_size + 9, p_size + 20, p_size + 21]), ',') AS lanes FROM part""")
 def lane_ranges(spark, sf_dir):
-    d = spark.createDataFrame([(0, "L01–L03, L20"), (1, "L07, L7"), (2, "L5-L6, L09, L05")], "k int, lanes string")
-    return d.select("k", F.array_join(text.lane_numbers(F.col("lanes")).cast("array<string>"), ",").alias("lanes"))
+    """For every part a list with a long dash, a repeat of its first number, leading zeros and a range without its second L."""
+    n = lambda add: F.lpad((F.col("p_size") + add).cast("string"), 3, "0")
+    listed = F.concat(F.lit("L"), n(0), F.lit("\u2013L"), n(3), F.lit(", L"), n(9), F.lit(", L"), n(0), F.lit(" and L"), n(20), F.lit("-"), n(21))
+    return _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.array_join(text.lane_numbers(listed).cast("array<string>"), ",").alias("lanes"))
 
 
 @query("SELECT doc_id, sha256(text) AS content_sha256, CAST(('0x' || right(sha256(source || '/' || doc_id), 2))::INTEGER % 8 AS BIGINT) AS bucket FROM documents")
