@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import common, language, licenses, media, mixing, near_dedup, piece_bpe, quality, token_binary, token_counts, toxicity
+from tessera.llm import alignment, common, hard_negatives, language, licenses, media, mixing, near_dedup, packing, piece_bpe, quality, token_binary, token_counts, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -72,9 +72,21 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(common.table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(common.table(spark, sf_dir, "embeddings"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(common.table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")).drop("ids")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(common.table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")).documents()
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op2_token_binary, op3_language_id, op4_sentencepiece, op5_mixing, op6_quality_rules, op7_license_scan, op8_toxicity, op9_media_columns, op10_near_dedup)
+    for f in (op1_token_counts, op2_token_binary, op3_language_id, op4_sentencepiece, op5_mixing, op6_quality_rules, op7_license_scan, op8_toxicity, op9_media_columns, op10_near_dedup, op11_hard_negatives, op12_packing, op13_alignment)
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.MIX_SQL, "op6_quality_rules": quality.QUALITY_SQL, "op7_license_scan": licenses.scan_sql()}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.MIX_SQL, "op6_quality_rules": quality.QUALITY_SQL, "op7_license_scan": licenses.scan_sql(), "op11_hard_negatives": hard_negatives.MINE_SQL}
