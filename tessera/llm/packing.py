@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm import common
+from tessera.llm import common, token_binary
 from tessera.llm.memo import PieceMemo
 
 
@@ -44,17 +44,19 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def _cuts(body: np.ndarray) -> np.ndarray:
-    """Before a space or line end, unless one comes before: normalising and splitting never reach over them."""
+    """Before a space or line end, unless one comes before, and between an ASCII letter and an ASCII sign: normalising and
+    splitting never reach over them."""
     white = (body == 32) | (body == 10)
     out = white.copy()
     out[1:] &= ~white[:-1]
+    out[1:] |= token_binary.between_letter_and_sign(body)
     return out
 
 
 class WordEncoder:
-    """Ids of whole texts by the tokenizers library, add_special_tokens=False, for vocabularies that drop white space.
+    """Ids of whole texts by the tokenizers library, add_special_tokens=False, for vocabularies of words that drop white space.
 
-    What lies between white space is encoded by itself, whatever stands around it, so equal stretches are given to the
+    What lies between two cuts is encoded by itself, whatever stands around it, so equal stretches are given to the
     library once. A text that holds an added token's string goes to the library whole.
     """
 
@@ -66,11 +68,36 @@ class WordEncoder:
         if len(self.tokenizer.encode(" \n ", add_special_tokens=False).ids):
             raise ValueError("the vocabulary keeps white space")
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo = PieceMemo(_cuts, self._many)
+        vocab = self.tokenizer.get_vocab()
+        suffix = self.tokenizer.model.end_of_word_suffix
+        #: Ids that end a word.
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        self.memo = PieceMemo(_cuts, self._many, max_pieces=1_500_000)
 
     def _many(self, pieces: list[bytes], _: list[bool]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
-        return np.array([i for x in ids for i in x], np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
+        """Pieces of letters alone are one word each, so many go to the library as one text; its word ends tell them apart."""
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        upto = np.concatenate([[0], np.cumsum(size)])
+        body = np.frombuffer(b"".join(pieces), np.uint8)
+        letter = np.concatenate([[0], np.cumsum(token_binary.letters(body))])[upto]
+        white = np.concatenate([[0], np.cumsum((body == 32) | (body == 10))])[upto]
+        word = (np.diff(letter) > 0) & (np.diff(letter) + np.diff(white) == size)
+        words, others = np.flatnonzero(word).tolist(), np.flatnonzero(~word).tolist()
+        texts = [b" ".join([pieces[k] for k in words[a : a + 1000]]).decode() for a in range(0, len(words), 1000)] + [pieces[k].decode() for k in others]
+        ids = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        many, single = np.concatenate([np.zeros(0, np.int32), *ids[: len(ids) - len(others)]]), ids[len(ids) - len(others) :]
+        end = np.flatnonzero(self.ends[many]) + 1
+        if len(end) != len(words):
+            raise ValueError("the vocabulary does not mark the ends of words")
+        n = np.zeros(len(pieces), np.int64)
+        n[words], n[others] = np.diff(end, prepend=0), [len(x) for x in single]
+        out = np.empty(int(n.sum()), np.int32)
+        begin = np.cumsum(n) - n
+        out[np.repeat(begin[words] - (end - n[words]), n[words]) + np.arange(len(many))] = many
+        for k, x in zip(others, single, strict=True):
+            out[begin[k] : begin[k] + len(x)] = x
+        return out, n
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         flat, n = self.memo.encode(texts)

@@ -39,6 +39,20 @@ _LATIN[0x80:0xC0] = True
 _LATIN[[0x97, 0xB7]] = False  # the signs for times and divided by
 
 
+def between_letter_and_sign(body: np.ndarray) -> np.ndarray:
+    """For each byte but the first: it is an ASCII sign after an ASCII letter."""
+    return _SIGN[body[1:]] & _LETTER[body[:-1]]
+
+
+def letters(body: np.ndarray) -> np.ndarray:
+    """Bytes of ASCII letters and of Latin-1's letters in UTF-8."""
+    out = _LETTER[body]
+    pair = _LATIN[body[1:]] & (body[:-1] == 0xC3)
+    out[1:] |= pair
+    out[:-1] |= pair
+    return out
+
+
 def _safe(body: np.ndarray) -> np.ndarray:
     """Bytes that end a character after which a space may be cut off."""
     safe = _PLAIN[body]
@@ -53,7 +67,7 @@ def _cuts(body: np.ndarray) -> np.ndarray:
     if len(body) > 2:
         out[1:-1] |= (body[1:-1] == 10) & _OPENS[body[2:]]
     out[1:] &= _safe(body)[:-1]
-    out[1:] |= _SIGN[body[1:]] & _LETTER[body[:-1]]
+    out[1:] |= between_letter_and_sign(body)
     out[0] = True
     return out
 
