@@ -162,13 +162,15 @@ def _encode(path: str, end: int):
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0) -> None:
     """Encodes docs(doc_id, text) and writes the file set to path.
 
-    Null or empty text: the end id alone. Repeated doc_ids stay, in the order of their texts; a null doc_id comes
-    first. An empty table gives an empty file set. Other columns of docs are not read.
+    Null or empty text: the end id alone. Repeated doc_ids stay, in the order of a hash of their texts; a null doc_id comes
+    first. Rows of one doc_id, or without any, are dealt over shards by that hash, and equal rows by their place. An empty
+    table gives an empty file set. Other columns of docs are not read.
     """
+    dealt = common.slim(docs, "doc_id", "text").select("doc_id", "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("place"))
     (
-        common.slim(docs, "doc_id", "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        dealt.repartitionByRange("doc_id", "hash", "place")
+        .sortWithinPartitions("doc_id", "hash", "place")
+        .select("doc_id", "text")
         .mapInArrow(_encode(tokenizer_path, end_id), SCHEMA)
         .write.option("compression", "zstd")
         .option("parquet.writer.version", "PARQUET_2_0")
