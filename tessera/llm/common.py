@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.sources.scratch import drop, materialise, scratch, shared_dir
 
-__all__ = ["blocks", "code_points", "drop", "fold", "gram_slots", "letter_runs", "letters", "materialise", "packed", "packed_slots", "raw", "scratch", "shared_dir", "slim", "slim_batches", "table", "unpacked", "whole"]
+__all__ = ["blocks", "code_points", "drop", "fold", "gram_slots", "letter_runs", "letters", "materialise", "packed", "packed_slots", "raw", "scratch", "shared_dir", "slim", "slim_batches", "table", "unpacked", "unused", "whole"]
 
 #: A word, in every operator: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,6 +31,18 @@ def slim(docs: DataFrame, *names: str) -> DataFrame:
     return slim_batches(docs.select(*[F.col(n) for n in names]))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it for as long as df has a column of that name, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def slim_batches(df: DataFrame) -> DataFrame:
     """df, once its session sends Python workers no more than BATCH_ROWS rows at a time: a worker's memory is bound by them."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

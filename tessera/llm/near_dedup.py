@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import common, shingles
+from tessera.operators.entity import global_rank
 
 
 @dataclass(frozen=True)
@@ -346,11 +347,21 @@ def _groups(docs: DataFrame, p: NearDedup) -> DataFrame:
     return run.sketches.select("doc_id", "n_shingles", "digest").join(classes, F.col("digest") == F.col("d"), "left").select("doc_id", "n_shingles", comp.alias("component_id"), (F.col("doc_id") == comp).alias("kept"))
 
 
-def _named(rows: DataFrame, own: Column) -> DataFrame:
-    """(_row, _id, _top) of rows(_row, doc_id): a row's own doc_id, or a number above _top, the greatest of all doc_ids."""
-    top = rows.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long").alias("_top"))
-    # one row for the table
-    return rows.crossJoin(F.broadcast(top)).select("_row", F.when(own, F.col("doc_id").cast("long")).otherwise(F.col("_top") + 1 + F.col("_row")).alias("_id"), "_top")
+def _named(rows: DataFrame, own: Column) -> tuple[DataFrame, DataFrame | None, int]:
+    """(_row, _id) of rows(_row, doc_id), what numbers stand for, and the greatest number of a doc_id.
+
+    A row's number is its own doc_id, and a greater one than all of these where own is false. If 64 bits have no room
+    above the greatest doc_id, doc_ids are numbered in their order instead, as (_number, _doc_id) says.
+    """
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+    top, last = rows.agg(F.coalesce(F.max("doc_id"), F.lit(0)), F.coalesce(F.max("_row"), F.lit(0))).first()
+    if top + 1 + last < 1 << 63:
+        return rows.select("_row", F.when(own, F.col("doc_id")).otherwise(F.lit(top + 1) + F.col("_row")).alias("_id")), None, top
+    numbers = global_rank(rows.where(own).select(F.col("doc_id").alias("_doc_id")).distinct(), "_doc_id")
+    numbers = common.materialise(numbers.select(F.col("rank").cast("long").alias("_number"), "_doc_id"), "numbers")
+    top = numbers.count()
+    named = rows.join(numbers, own & (F.col("doc_id") == F.col("_doc_id")), "left")
+    return named.select("_row", F.coalesce("_number", F.lit(top + 1) + F.col("_row")).alias("_id")), numbers, top
 
 
 def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
@@ -366,25 +377,32 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
     if not docs.where("doc_id is null").take(1):
         return _groups(docs, p)
     rows = common.materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    names = _named(rows.select("_row", "doc_id"), F.col("doc_id").isNotNull()).select(F.col("_row").alias("_at"), "_id", "_top")
-    texts = common.materialise(rows.join(names, F.col("_row") == F.col("_at")).select(F.col("_id").alias("doc_id"), "text", "_top"), "texts")
-    top = texts.agg(F.max("_top").alias("_top"))
-    real = lambda c: F.when(F.col(c) <= F.col("_top"), F.col(c)).alias(c)
-    return _groups(texts, p).crossJoin(F.broadcast(top)).select(real("doc_id"), "n_shingles", real("component_id"), "kept")
+    names, numbers, top = _named(rows.select("_row", "doc_id"), F.col("doc_id").isNotNull())
+    texts = common.materialise(rows.join(names.withColumnRenamed("_row", "_at"), F.col("_row") == F.col("_at")).select(F.col("_id").alias("doc_id"), "text"), "texts")
+    found = _groups(texts, p)
+    if numbers is not None:
+        for c in ("doc_id", "component_id"):
+            found = found.join(numbers, F.col(c) == F.col("_number"), "left").drop(c, "_number").withColumnRenamed("_doc_id", c)
+        return found.select("doc_id", "n_shingles", "component_id", "kept")
+    real = lambda c: F.when(F.col(c) <= top, F.col(c)).alias(c)
+    return found.select(real("doc_id"), "n_shingles", real("component_id"), "kept")
 
 
 def keep_rows(docs: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
     """One row of each group of near duplicates, with all columns of docs. A row without a doc_id, or with that of an
     earlier row, is a document of its own; it comes after all that have one, and stays if it is like no other row."""
+    own, at = common.unused(docs, "row", "at")  # docs keeps its columns, whatever they are called
     ids = docs.groupBy("doc_id").agg(F.count("*").alias("_rows"))
     if not ids.where("doc_id is null or _rows > 1").take(1):
-        kept = _groups(common.slim(docs, "doc_id", "text"), p).where("kept").select(F.col("doc_id").alias("_kept_id"))
-        return docs.join(kept, docs["doc_id"] == F.col("_kept_id"), "left_semi")
-    rows = common.materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    first = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("_row").alias("_first"))
-    numbered = rows.select("_row", "doc_id").join(first.select("_first"), F.col("_row") == F.col("_first"), "left")
-    names = common.materialise(_named(numbered, F.col("_first").isNotNull()).select(F.col("_row").alias("_at"), "_id"), "names")
-    texts = common.materialise(rows.select("_row", "text").join(names, F.col("_row") == F.col("_at")).select(F.col("_id").alias("doc_id"), "text"), "texts")
+        kept = _groups(common.slim(docs, "doc_id", "text"), p).where("kept").select(F.col("doc_id").alias(at))
+        return docs.join(kept, F.col("doc_id") == F.col(at), "left_semi")
+    rows = common.materialise(docs.withColumn(own, F.monotonically_increasing_id()), "rows")
+    named = rows.select(F.col(own).alias("_row"), "doc_id")
+    first = named.where("doc_id is not null").groupBy("doc_id").agg(F.min("_row").alias("_first"))
+    numbered = named.join(first.select("_first"), F.col("_row") == F.col("_first"), "left")
+    names = common.materialise(_named(numbered, F.col("_first").isNotNull())[0], "names")
+    texts = rows.select(F.col(own).alias("_at"), "text").join(names, F.col("_row") == F.col("_at"))
+    texts = common.materialise(texts.select(F.col("_id").alias("doc_id"), "text"), "texts")
     kept = _groups(texts, p).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    at = names.join(kept, F.col("_id") == F.col("_kept_id"), "left_semi").select("_at")
-    return rows.join(at, F.col("_row") == F.col("_at"), "left_semi").select(*docs.columns)
+    stay = names.join(kept, F.col("_id") == F.col("_kept_id"), "left_semi").select(F.col("_row").alias(at))
+    return rows.join(stay, F.col(own) == F.col(at), "left_semi").drop(own)
