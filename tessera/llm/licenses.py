@@ -89,13 +89,13 @@ def _hashes(text: Column) -> Column:
     return _once(F.split(normal(text), " "), lambda w: F.when(F.size(w) >= 2, of(w)).otherwise(F.array().cast("array<bigint>")))
 
 
-def _hashed(spark: SparkSession, p: LicenseScan) -> tuple[Column, Column, Column]:
+def _hashed(spark: SparkSession, p: LicenseScan) -> tuple[Column, Column, Column, int]:
     """The templates as one constant array of (rank, license, t, m, lo, hi, length, longest): m distinct hashes t, the sizes of
-    sets that can match them, their number of bigrams and that of their longest run; all hashes; and the places of the
-    templates by the sizes that can match them. The templates are parameters, so they are few and small."""
+    sets that can match them, their number of bigrams and that of their longest run; all hashes; the places of the
+    templates by the sizes that can match them; and the longest run of all. The templates are parameters, so they are few and small."""
     rows = spark.createDataFrame([(k, name, text) for k, (name, text) in enumerate(p.templates)], "rank int, license string, text string")
     longs = lambda x: F.expr(f"array({', '.join(f'{v}L' if v > -(2**63) else 'cast(-9223372036854775808 as bigint)' for v in x)})")
-    each, known, sizes = [], set(), []
+    each, known, sizes, most = [], set(), [], 1
     for r in rows.select("rank", "license", _hashes(F.col("text")).alias("h")).where(F.size("h") > 0).orderBy("rank").collect():
         t = sorted(set(r["h"]))
         m, length = len(t), len(r["h"])
@@ -103,12 +103,13 @@ def _hashed(spark: SparkSession, p: LicenseScan) -> tuple[Column, Column, Column
         values = (("rank", F.lit(r["rank"])), ("license", F.lit(r["license"])), ("t", longs(t)), ("m", F.lit(m)), ("lo", F.lit(lo)), ("hi", F.lit(hi)), ("length", F.lit(length)), ("longest", F.lit(hi + length - m)))
         each.append(F.struct(*[v.alias(n) for n, v in values]))
         known.update(t)
+        most = max(most, hi + length - m)
         sizes += [[] for _ in range(hi + 1 - len(sizes))]
         for size in range(lo, hi + 1):
             sizes[size].append(len(each) - 1)
     empty = "array<struct<rank: int, license: string, t: array<bigint>, m: int, lo: int, hi: int, length: int, longest: int>>"
     by_size = F.expr(f"array({', '.join('array({})'.format(', '.join(map(str, x))) if x else 'cast(array() as array<int>)' for x in sizes)})") if sizes else F.array().cast("array<array<int>>")
-    return F.array(*each) if each else F.array().cast(empty), longs(sorted(known)) if known else F.array().cast("array<bigint>"), by_size
+    return F.array(*each) if each else F.array().cast(empty), longs(sorted(known)) if known else F.array().cast("array<bigint>"), by_size, most
 
 
 def scan(docs: DataFrame, p: LicenseScan = LicenseScan()) -> DataFrame:
@@ -121,7 +122,7 @@ def scan(docs: DataFrame, p: LicenseScan = LicenseScan()) -> DataFrame:
     match. Repeated rows and null ids stay. An empty table gives an empty one. Other columns of docs are not read.
     Nothing is shuffled.
     """
-    templates, known, by_size = _hashed(docs.sparkSession, p)
+    templates, known, by_size, longest = _hashed(docs.sparkSession, p)
 
     def of_segment(g: Column) -> Column:
         near = F.transform(F.coalesce(F.get(by_size, F.size(g)), F.array().cast("array<int>")), lambda k: F.get(templates, k))
@@ -153,9 +154,31 @@ def scan(docs: DataFrame, p: LicenseScan = LicenseScan()) -> DataFrame:
         return _once(marked, lambda b: F.filter(F.transform(F.filter(b, lambda s: s["hit"] == 1), lambda s: best(b, s)), lambda x: x["dice"] >= p.percent / 100))
 
     def alone(found: Column) -> Column:
+        """Runs that no better run covers by more than half. A run is longest places long at most, so in the order of their
+        starts, cut into stretches of that many places, those that overlap lie in one stretch or in the next."""
         shared = lambda a, b: F.least(a["end"], b["end"]) - F.greatest(a["start"], b["start"]) + 1
         better = lambda a, b: (b["license"] != a["license"]) & ((b["dice"] > a["dice"]) | ((b["dice"] == a["dice"]) & (b["r"] > a["r"]))) & (2 * shared(a, b) > a["end"] - a["start"] + 1)
-        return F.transform(F.filter(found, lambda a: ~F.exists(found, lambda b: better(a, b))), lambda x: F.struct(x["dice"].alias("dice"), x["r"].alias("r"), x["license"].alias("license")))
+        at = lambda x: F.floor(x["start"] / longest)
+
+        def within(runs: Column) -> Column:
+            marked = F.transform(runs, lambda x, i: F.struct(at(x).alias("at"), i.alias("i"), ((i == 0) | (at(x) != at(F.get(runs, i - 1)))).alias("first")))
+            n = F.size(runs)
+
+            def of_stretch(firsts: Column):
+                def kept(f: Column, j: Column) -> Column:
+                    before, after = F.get(firsts, j - 1), F.get(firsts, j + 1)
+                    to = F.coalesce(after["i"], n)
+                    lo = F.when((j > 0) & (before["at"] == f["at"] - 1), before["i"]).otherwise(f["i"])
+                    hi = F.when(after["at"] == f["at"] + 1, F.coalesce(F.get(firsts, j + 2)["i"], n)).otherwise(to)
+                    own = lambda near: F.filter(F.slice(runs, f["i"] + 1, to - f["i"]), lambda a: ~F.exists(near, lambda b: better(a, b)))
+                    return _once(F.slice(runs, lo + 1, hi - lo), own)
+
+                return F.flatten(F.transform(firsts, kept))
+
+            return _once(F.filter(marked, lambda x: x["first"]), of_stretch)
+
+        by_start = F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["dice"].alias("dice"), x["r"].alias("r"), x["license"].alias("license")))
+        return F.transform(_once(F.sort_array(by_start), within), lambda x: F.struct(x["dice"].alias("dice"), x["r"].alias("r"), x["license"].alias("license")))
 
     def of_text(g: Column) -> Column:
         near = _once(F.array_intersect(g, known), lambda own: F.filter(templates, lambda t: F.size(F.array_intersect(own, t["t"])) >= t["lo"]))
