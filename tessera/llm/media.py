@@ -8,6 +8,7 @@ joining on that digest. Positions and captions stay with their items all the way
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -22,15 +23,45 @@ from tessera.llm import common
 WIDTH = 192
 ITEM = "struct<position: int, kind: string, text: string, digest: string, caption: string, n_bytes: bigint>"
 _HIDDEN = frozenset({"script", "style", "template", "noscript", "title"})
+_NESTED = frozenset({"noscript", "template"})  # these hold tags of their own kind, the other hidden ones text alone
 _BREAKS = frozenset({"p", "div", "article", "section", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "tr", "td", "table", "figure", "br", "nav", "body", "head", "html", "blockquote", "pre"})
 
 
+_MEDIA = ("img", "audio", "video", "source")
+_HIDING = re.compile(rf"<(/?)({'|'.join(sorted(_HIDDEN))})(?=[\s/>])[^>]*>", re.I)
+_SHOWING = re.compile(rf"</?(?:{'|'.join(sorted({*_BREAKS, *_MEDIA, 'figcaption'}, key=lambda t: (-len(t), t)))})(?=[\s/>])", re.I)
+
+
+def _closed(html: str) -> str:
+    """html with an end for each hidden tag that has none: before the next tag that breaks the text or brings media. Where no
+    such tag follows, the hidden tag itself goes, and what comes after it is text."""
+    open_: dict[str, list[re.Match]] = {t: [] for t in _HIDDEN}
+    for m in _HIDING.finditer(html):
+        own = open_[m[2].lower()]
+        if not m[1]:
+            own.append(m)
+        elif m[2].lower() in _NESTED:
+            del own[-1:]
+        else:
+            own.clear()
+    edits = []
+    for m in (m for own in open_.values() for m in own):
+        shown = _SHOWING.search(html, m.end())
+        # of several ends at one place, the tag that was opened last ends first
+        edits.append((shown.start(), -m.start(), shown.start(), f"</{m[2]}>") if shown else (m.start(), 0, m.end(), ""))
+    out, upto = [], 0
+    for at, _, to, end in sorted(edits):
+        out += [html[upto:at], end]
+        upto = to
+    return "".join([*out, html[upto:]])
+
+
 class _Items(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.items: list[dict] = []
         self.words: list[str] = []
-        self.hidden = 0
+        self.hidden: list[str] = []
         self.caption: list[str] | None = None
 
     def flush(self) -> None:
@@ -42,8 +73,8 @@ class _Items(HTMLParser):
     def handle_starttag(self, tag, attrs):
         known = dict(attrs)
         if tag in _HIDDEN:
-            self.hidden += 1
-        elif tag in ("img", "audio", "video", "source") and known.get("src"):
+            self.hidden.append(tag)
+        elif tag in _MEDIA and known.get("src"):
             self.flush()
             src, size = known["src"], known.get("data-bytes") or ""
             self.items.append({"position": len(self.items), "kind": "media", "text": None, "digest": src.removeprefix("sha256:"), "caption": known.get("alt"), "n_bytes": int(size) if size.isdecimal() else None})
@@ -55,7 +86,10 @@ class _Items(HTMLParser):
 
     def handle_endtag(self, tag):
         if tag in _HIDDEN:
-            self.hidden = max(0, self.hidden - 1)
+            if tag in _NESTED:
+                self.hidden = self.hidden[:-1] if self.hidden[-1:] == [tag] else self.hidden
+            else:
+                self.hidden = [t for t in self.hidden if t != tag]
         elif tag == "figcaption" and self.caption is not None:
             text, self.caption = " ".join("".join(self.caption).split()), None
             if self.items and self.items[-1]["kind"] == "media":
@@ -72,9 +106,11 @@ class _Items(HTMLParser):
 
 
 def parse(html: str | None) -> list[dict]:
-    """The ordered items of a page. A figcaption belongs to the media item before it, else it is text."""
+    """The ordered items of a page. A figcaption belongs to the media item before it, else it is text. What titles, scripts,
+    styles, templates and noscript tags hold is left out; one that is not closed ends before the next tag that breaks the
+    text or brings media, or, if there is none, hides nothing."""
     reader = _Items()
-    reader.feed(html or "")
+    reader.feed(_closed(html or ""))
     reader.close()
     if reader.caption:
         reader.words += reader.caption
