@@ -112,14 +112,15 @@ def learn(docs: DataFrame, held_out_fold: int | None = 0, folds: int = 5) -> Lan
     return LanguageModel.fit_slots([common.unpacked(r["slots"]) for r in sample], [r["lang"] for r in sample])
 
 
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """docs with lang_pred and score. Null text, or no letter in it: und, 0.
+def identify(docs: DataFrame, model: LanguageModel, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with lang_pred and score, or columns of other names. Null text, or no letter in it: und, 0.
 
-    Only the text is looked at. Repeated rows, null ids and other columns stay; a column of docs that has one of the
-    two new names is replaced. An empty table gives an empty one. Nothing is shuffled.
+    Only the text is looked at. Repeated rows, null ids and other columns stay. A docs that has a column of one of the two
+    names is an error: common.unused gives names that it lacks. An empty table gives an empty one. Nothing is shuffled.
     """
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
+    if set(out) & set(docs.columns):
+        raise ValueError(f"docs has a column of one of the names {out}")
+    kept, schema = docs.columns, docs.select("*").schema.add(out[0], "string").add(out[1], "double")
     at = kept.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,6 +128,6 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
             texts = common.whole(batch.column(at))
             for a, b in common.blocks(texts):
                 names, scores = model.predict(texts.slice(a, b - a).to_pylist())
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(names, pa.string()), pa.array(scores)], names=[*kept, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(names, pa.string()), pa.array(scores)], names=[*kept, *out])
 
-    return common.slim_batches(docs.select(*kept)).mapInArrow(run, schema)
+    return common.slim_batches(docs).mapInArrow(run, schema)

@@ -109,8 +109,19 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of a bounded sample, on an executor: the weights that are not 0, and their slots."""
+    toxic, rows = [], []
+    for batch in batches:
+        toxic += batch.column(0).to_pylist()
+        rows += batch.column(1).to_pylist()
+    model = ToxicityModel.fit_slots(rows, toxic)
+    slots = np.flatnonzero(model.weights)
+    yield pa.RecordBatch.from_arrays([pa.array([slots.astype("<i4").tobytes()], pa.binary()), pa.array([model.weights[slots].astype("<f4").tobytes()], pa.binary()), pa.array([model.bias])], names=["slots", "weights", "bias"])
+
+
 def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, folds: int = 3) -> ToxicityModel:
-    """Fits on a bounded sample of labels(doc_id, toxic) with their docs(doc_id, text), outside the held-out fold.
+    """Fits, in one task, on a bounded sample of labels(doc_id, toxic) with their docs(doc_id, text), outside the held-out fold.
 
     A doc_id with several labels counts as toxic if one of them says so; labels without a doc_id or a 0 or 1 are left
     out. Of several texts of one doc_id that of the least hash is taken.
@@ -134,20 +145,25 @@ def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, fol
         if total > SAMPLE_SLOTS:
             break
         last = r["dice"]
-    # a partition at a time; in order of the hash, whatever files the rows were in, so that sums are the same in each run
-    drawn = sample.where(F.col("dice") <= F.lit(last)).toLocalIterator() if last is not None else ()
-    rows = sorted(((r["dice"], r["doc_id"], r["toxic"], bytes(r["slots"])) for r in drawn), key=lambda r: r[:2])
-    return ToxicityModel.fit_slots([r[3] for r in rows], [r[2] for r in rows])
+    if last is None:
+        return ToxicityModel.fit_slots([], [])
+    # in order of the hash, whatever files the rows were in, so that sums are the same in each run
+    drawn = sample.where(F.col("dice") <= F.lit(last)).repartition(1).sortWithinPartitions("dice", "doc_id").select("toxic", "slots")
+    fitted = common.materialise(common.slim_batches(drawn).mapInArrow(_fit, "slots binary, weights binary, bias double"), "weights").first()
+    weights = np.zeros(1 << BITS, np.float32)
+    weights[np.frombuffer(fitted["slots"], "<i4")] = np.frombuffer(fitted["weights"], "<f4")
+    return ToxicityModel(weights, fitted["bias"])
 
 
-def score(docs: DataFrame, model: ToxicityModel, toxic_from: float = TOXIC) -> DataFrame:
-    """docs with score and predicted. Null text counts as empty, and empty texts get the bias alone.
+def score(docs: DataFrame, model: ToxicityModel, toxic_from: float = TOXIC, out: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """docs with score and predicted, or columns of other names. Null text counts as empty, and empty texts get the bias alone.
 
-    Only the text is looked at. Repeated rows, null ids and other columns stay; a column of docs that has one of the
-    two new names is replaced. An empty table gives an empty one. Nothing is shuffled.
+    Only the text is looked at. Repeated rows, null ids and other columns stay. A docs that has a column of one of the two
+    names is an error: common.unused gives names that it lacks. An empty table gives an empty one. Nothing is shuffled.
     """
-    kept = [c for c in docs.columns if c not in ("score", "predicted")]
-    schema = docs.select(*kept).schema.add("score", "double").add("predicted", "integer")
+    if set(out) & set(docs.columns):
+        raise ValueError(f"docs has a column of one of the names {out}")
+    kept, schema = docs.columns, docs.select("*").schema.add(out[0], "double").add(out[1], "integer")
     at = kept.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,6 +171,6 @@ def score(docs: DataFrame, model: ToxicityModel, toxic_from: float = TOXIC) -> D
             texts = common.whole(batch.column(at))
             for a, b in common.blocks(texts):
                 s = model.score(texts.slice(a, b - a).to_pylist())
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(s), pa.array((s >= toxic_from).astype(np.int32))], names=[*kept, "score", "predicted"])
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(s), pa.array((s >= toxic_from).astype(np.int32))], names=[*kept, *out])
 
-    return common.slim_batches(docs.select(*kept)).mapInArrow(run, schema)
+    return common.slim_batches(docs).mapInArrow(run, schema)
