@@ -17,14 +17,17 @@ LEAST_SHARE = 0.35
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters, and those that no language fits."""
-    found = language.identify(docs, language.learn(docs, held_out_fold=None))
-    return found.where((found["lang_pred"] != language.UNKNOWN) & (found["score"] >= LEAST_SHARE)).select(*docs.columns)
+    name, share = out = common.unused(docs, "lang_pred", "share")
+    found = language.identify(docs, language.learn(docs, held_out_fold=None), out=out)
+    return found.where((found[name] != language.UNKNOWN) & (found[share] >= LEAST_SHARE)).drop(*out)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that are predicted to be toxic."""
     model = toxicity.learn(docs, common.table(spark, sf_dir, "labels"), held_out_fold=None)
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    share, bad = out = common.unused(docs, "share", "toxic")
+    found = toxicity.score(docs, model, out=out)
+    return found.where(found[bad] == 0).drop(share, bad)
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
