@@ -38,14 +38,18 @@ def reuse(wanted: DataFrame, cache: DataFrame) -> DataFrame:
     return wanted.join(c, wanted["key_sha256"] == c["_k"], "left").withColumn("outcome", F.when(F.col("_k").isNull(), "miss").when(F.col("_sound"), "hit").otherwise("corrupt")).drop("_k", "_sound")
 
 
-def put(cache: DataFrame, new: DataFrame, quota_bytes: int) -> DataFrame:
+def put(cache: DataFrame, new: DataFrame, quota_bytes: int, used: int | None = None) -> DataFrame:
     """new(key_sha256, payload, payload_sha256) with outcome stored, exists_verified, exists_conflict or full.
 
-    Nothing is replaced; new rows fit in the order of their keys until the quota of bytes is used up.
+    Nothing is replaced; new rows fit in the order of their keys until the quota of bytes is used up. used: the bytes of the
+    cache's payloads, where they are known.
     """
     c = cache.select(F.col("key_sha256").alias("_k"), F.col("payload_sha256").alias("_sha"))
-    used = cache.agg(F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("_used"))
-    rows = new.join(c, new["key_sha256"] == c["_k"], "left").crossJoin(F.broadcast(used))  # one row
+    rows = new.join(c, new["key_sha256"] == c["_k"], "left")
+    if used is None:
+        rows = rows.crossJoin(F.broadcast(cache.agg(F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("_used"))))  # one row
+    else:
+        rows = rows.withColumn("_used", F.lit(used))
     # sums of earlier sizes: by share of the key first, so that no task sees all rows
     share = F.substring("key_sha256", 1, 3)
     size = F.when(F.col("_k").isNull(), F.octet_length("payload")).otherwise(0)

@@ -10,21 +10,24 @@ import json
 import uuid
 from collections.abc import Iterable, Iterator
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import CURIE
 from tessera.operators import state
+from tessera.sources.scratch import materialise
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and what makes its paths."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     return at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
 def create_only(spark: SparkSession, path: str, parts: Iterable[bytes]) -> None:
     """Writes a new file; one that is there already, or comes meanwhile, stays, and is an error."""
-    fs, at = _fs(spark, path)
+    fs, at = file_system(spark, path)
     out = fs.create(at(path), False)
     done = False
     try:
@@ -37,6 +40,37 @@ def create_only(spark: SparkSession, path: str, parts: Iterable[bytes]) -> None:
             fs.delete(at(path), False)
 
 
+def put_if_absent(spark: SparkSession, path: str, data: bytes) -> bool:
+    """Makes a new file that is seen whole or not at all; False if there is one, which stays. Of several writers one wins.
+
+    The file is written aside and takes its name by a link on local disks, where renames replace files, and elsewhere by a
+    rename that must be atomic and not replace, as HDFS's is.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, at = file_system(spark, path)
+    folder, _, name = path.rpartition("/")
+    fs.mkdirs(at(folder))
+    real = fs.resolvePath(at(folder)).toString()  # what a mounted path stands for
+    aside = f"{real}/.{uuid.uuid4().hex}"
+    create_only(spark, aside, [data])
+    own, _ = file_system(spark, aside)
+    try:
+        if own.getScheme() == "file":
+            nio = lambda p: jvm.java.nio.file.Paths.get(at(p).toUri().getPath(), spark.sparkContext._gateway.new_array(jvm.java.lang.String, 0))
+            jvm.java.nio.file.Files.createLink(nio(f"{real}/{name}"), nio(aside))
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(at(aside).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+            context.rename(at(aside), at(f"{real}/{name}"), spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+            return True
+    except Py4JJavaError as e:
+        if not e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            raise
+        own.delete(at(aside), False)
+        return False
+    own.delete(at(aside), False)
+    return True
+
+
 def replace(spark: SparkSession, path: str, parts: Iterable[bytes]) -> None:
     """Puts a file in the place of another by a rename, so that a reader finds the old one or the new one."""
     jvm = spark.sparkContext._jvm
@@ -50,7 +84,7 @@ def replace(spark: SparkSession, path: str, parts: Iterable[bytes]) -> None:
 
 def read(spark: SparkSession, path: str) -> bytes | None:
     """A small file's bytes; None if there is none."""
-    fs, at = _fs(spark, path)
+    fs, at = file_system(spark, path)
     if not fs.exists(at(path)):
         return None
     stream = fs.open(at(path))
@@ -95,52 +129,57 @@ def write_validation(spark: SparkSession, folder: str, status: str, counts: dict
 
 
 class Ledger:
-    """Append-only tables below a path: freshness rows, the evidence of runs (the newest of a run counts), identities and
-    aliases. One writer at a time."""
+    """Append-only tables below a path, for any number of writers: freshness rows, the evidence of runs (the newest of a run
+    counts), identities and aliases."""
 
+    # fixed values: what classes and statuses are called
     CLASSES = ("valid", "stale", "unknown")
     STATUSES = ("PASS", "PASS_WITH_WARNINGS", "BLOCKED")
     _SCHEMAS = {
-        "freshness": "run_id string, corpus string, source_fingerprint string, classification string, checked_utc string, row_id long",
-        "evidence": "run_id string, status string, fatals array<string>, recorded_utc string, row_id long",
+        "freshness": "run_id string, corpus string, source_fingerprint string, classification string, checked_utc string",
+        "evidence": "run_id string, status string, fatals array<string>, recorded_utc string",
         "ids": "id long, curie string",
-        "aliases": "alias_id long, old_curie string, new_curie string, reason string",
+        "aliases": "old_curie string, new_curie string, reason string, rank long",
     }
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+        from tessera.sources.commit_log import CommitLog
 
-    def table(self, name: str) -> DataFrame:
-        fs, at = _fs(self.spark, self.path)
-        schema = self._SCHEMAS[name]
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}") if fs.exists(at(f"{self.path}/{name}")) else self.spark.createDataFrame([], schema)
-
-    def _next(self, name: str, column: str) -> int:
-        return (self.table(name).agg(F.max(column)).first()[0] or 0) + 1
+        self.spark = spark
+        self.log = CommitLog(spark, path, self._SCHEMAS)
 
-    def _append(self, name: str, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(f"{self.path}/{name}")
+    def table(self, name: str) -> DataFrame:
+        """A table's rows; row_id and alias_id are structs that put them in the order of their commits."""
+        rows = self.log.snapshot().table(name)
+        place = F.struct(F.col("_version").alias("version"), *([F.col("rank")] if name == "aliases" else []), F.col("_at").alias("at"))
+        named = {"ids": [], "aliases": [place.alias("alias_id")]}.get(name, [place.alias("row_id")])
+        return rows.select(*named, *[c for c in rows.columns if c not in ("_version", "_at", "rank")])
 
     def record(self, run_id: str, corpus: str, fingerprint: str, classification: str, now: str, status: str | None = None, fatals: list[str] = ()) -> None:
+        """Appends a freshness row and, with a status, the run's evidence: both or neither. No job runs."""
         if classification not in self.CLASSES or status not in (None, *self.STATUSES):
             raise ValueError(f"bad classification or status: {classification}, {status}")
-        row = (run_id, corpus, fingerprint, classification, now, self._next("freshness", "row_id"))
-        self._append("freshness", self.spark.createDataFrame([row], self._SCHEMAS["freshness"]).coalesce(1))
+        rows = {"freshness": [(run_id, corpus, fingerprint, classification, now)]}
         if status is not None:
-            row = (run_id, status, list(fatals), now, self._next("evidence", "row_id"))
-            self._append("evidence", self.spark.createDataFrame([row], self._SCHEMAS["evidence"]).coalesce(1))
+            rows["evidence"] = [(run_id, status, list(fatals), now)]
+        self.log.commit(self.log.snapshot(), rows=rows)
 
     def evidence(self) -> DataFrame:
         """(run_id, status, fatals): what was recorded last of each run."""
         return state.latest(self.table("evidence"), "run_id", "row_id").select("run_id", "status", "fatals")
 
     def intern(self, curies: DataFrame) -> DataFrame:
-        """Gives new curies ids, once and for ever; (id, curie) of all."""
+        """Gives new curies ids, once and for ever; (id, curie) of all. Another writer's new ids make this one start anew."""
         if curies.where(~F.coalesce(F.col("curie").rlike(CURIE), F.lit(False))).take(1):
             raise ValueError("not a curie")
-        known = self.table("ids")
-        every = state.intern(known, curies)
-        self._append("ids", every.join(known.select("id"), "id", "left_anti").select("id", "curie"))
+
+        def attempt(seen):
+            known = seen.table("ids").select("id", "curie")
+            new = materialise(state.intern(known, curies).join(known.select("id"), "id", "left_anti"), "interned")
+            if new.take(1):
+                self.log.commit(seen, {"ids": new}, conflicts=lambda c: c.adds_to("ids"))
+
+        self.log.retried(attempt)
         return self.table("ids")
 
     def alias(self, renames: DataFrame) -> None:
@@ -150,10 +189,41 @@ class Ledger:
         fine = F.col("old_curie").rlike(CURIE) & F.col("new_curie").rlike(CURIE) & (F.col("old_curie") != F.col("new_curie"))
         if renames.where(~F.coalesce(fine, F.lit(False))).take(1):
             raise ValueError("an alias leads from one curie to another")
-        first = self._next("aliases", "alias_id")
         numbered = global_rank(renames.select("old_curie", "new_curie", "reason"), "old_curie", "new_curie")
-        self._append("aliases", numbered.select((F.col("rank") + first).cast("long").alias("alias_id"), "old_curie", "new_curie", "reason"))
+        self.log.commit(self.log.snapshot(), {"aliases": numbered.withColumn("rank", F.col("rank").cast("long"))})
 
     def resolve(self, curies: DataFrame) -> DataFrame:
         """(curie, id) along the aliases."""
         return state.resolve_aliases(curies, self.table("ids"), self.table("aliases"))
+
+
+class FragmentStore:
+    """A cache that stores payloads under their keys, once: nothing is replaced, whoever writes. quota_bytes bounds their sum."""
+
+    def __init__(self, spark: SparkSession, path: str, quota_bytes: int):
+        from tessera.sources.commit_log import CommitLog
+
+        self.log = CommitLog(spark, path, {"fragments": "key_sha256 string, payload string, payload_sha256 string"})
+        self.quota = quota_bytes
+
+    def table(self) -> DataFrame:
+        return self.log.snapshot().table("fragments").drop("_version", "_at")
+
+    def put(self, new: DataFrame) -> DataFrame:
+        """new(key_sha256, payload, payload_sha256), each key once, with outcome stored, exists_verified, exists_conflict, full or
+        error. A payload that is not what its digest says is an error. What others store meanwhile counts as there."""
+
+        def attempt(seen):
+            cache = seen.table("fragments").drop("_version", "_at")
+            sound = F.coalesce(F.sha2("payload", 256) == F.col("payload_sha256"), F.lit(False)) & F.col("key_sha256").isNotNull()
+            # what can't be read back is no proof that the same is there
+            held = cache.withColumn("payload_sha256", F.sha2("payload", 256))
+            outcomes = state.put(held, new.where(sound), self.quota, used=seen.sums.get("bytes", 0))
+            outcomes = materialise(outcomes.unionByName(new.where(~sound).withColumn("outcome", F.lit("error"))), "put")
+            stored = outcomes.where("outcome = 'stored'").drop("outcome")
+            size = stored.agg(F.sum(F.octet_length("payload"))).first()[0]
+            if size is not None:
+                self.log.commit(seen, {"fragments": stored}, sums={"bytes": size}, conflicts=lambda c: c.adds_to("fragments"))
+            return outcomes
+
+        return self.log.retried(attempt)
