@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,26 +109,67 @@ def in_order(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("l", "r").alias("l"), F.greatest("l", "r").alias("r"), *rest).dropDuplicates(["l", "r"]).orderBy("l", "r")
 
 
-def bootstrap(deltas: DataFrame, group: str, resamples: int = 1000, seed: int = 0, reject_below: float = -0.005) -> DataFrame:
+#: Clusters of a block of a split group.
+BLOCK = 1 << 16
+
+
+def _dealt(draws: np.ndarray, seed: int, block: int, sizes: list[int]) -> np.ndarray:
+    """How many of each resample's draws fall into a block, of blocks of these sizes: halves of the blocks share the draws
+    of both binomially, with a generator of their own, so all tasks that ask agree."""
+    lo, hi, total = 0, len(sizes), sum(sizes)
+    while hi - lo > 1:
+        mid = (lo + hi) // 2
+        left = sum(sizes[lo:mid])
+        own = np.random.Generator(np.random.Philox(np.random.SeedSequence([seed, lo, hi]))).binomial(draws, left / total)
+        if block < mid:
+            draws, hi, total = own, mid, left
+        else:
+            draws, lo, total = draws - own, mid, total - left
+    return draws
+
+
+def bootstrap(deltas: DataFrame, group: str, resamples: int = 1000, seed: int = 0, reject_below: float = -0.005, block: int = BLOCK) -> DataFrame:
     """(group, mean, lower, upper, reject) of paired differences (group, cluster, d), by resampling clusters. A group whose
     differences are all null has none: zeros, and no rejection.
 
-    The clusters of a group are its decisions' summaries and come together in one task, in the order of their ids.
+    A group of up to block clusters is resampled in one task, in the order of its clusters. A larger one is cut into blocks
+    by that order; a resample's draws are dealt over the blocks, each block draws its own, and the sums are added up in
+    the order of the blocks. So no task holds more than a block, and the result is the same however rows are partitioned.
     """
-    import numpy as np
-    import pandas as pd
-
-    def of(key, rows: pd.DataFrame) -> pd.DataFrame:
-        d = rows.dropna(subset=["d"]).sort_values("cluster")["d"].to_numpy(np.float64)
-        if not d.size:
-            return pd.DataFrame({group: [key[0]], "mean": [0.0], "lower": [0.0], "upper": [0.0], "reject": [False]})
+    kind = deltas.schema[group].dataType.simpleString()
+    rows = deltas.select(F.col(group).alias("_g"), "cluster", F.col("d").cast("double").alias("d"))
+    known = global_rank(rows.where("d is not null"), "_g", "cluster", "d")
+    sizes = materialise(known.groupBy("_g").agg(F.min("rank").alias("_first"), F.count("*").alias("_n")).withColumn("_blocks", F.ceil(F.col("_n") / block)), "sizes")
+    place = F.col("rank") - F.col("_first")
+    # nulls are a group too
+    placed = known.join(sizes.withColumnRenamed("_g", "_h"), F.col("_g").eqNullSafe(F.col("_h"))).select("_g", "d", "_n", "_blocks", place.alias("_place"), F.floor(place / block).cast("int").alias("_block"))
+    placed = materialise(placed, "placed")
+
+    def whole(rows: pd.DataFrame) -> pd.DataFrame:
+        d = rows.sort_values("_place")["d"].to_numpy(np.float64)
         draw = np.random.default_rng(seed)
         means = np.concatenate([d[draw.integers(0, d.size, size=(1, d.size))].mean(axis=1) for _ in range(resamples)])
         low, high = np.percentile(means, [2.5, 97.5])
-        return pd.DataFrame({group: [key[0]], "mean": [d.mean()], "lower": [low], "upper": [high], "reject": [bool(low < reject_below)]})
-
-    kind = deltas.schema[group].dataType.simpleString()
-    return deltas.select(group, "cluster", "d").groupBy(group).applyInPandas(of, f"{group} {kind}, mean double, lower double, upper double, reject boolean")
+        return pd.DataFrame({"_g": [rows["_g"].iloc[0]], "mean": [d.mean()], "lower": [low], "upper": [high]})
+
+    def part(rows: pd.DataFrame) -> pd.DataFrame:
+        d, n, k = rows.sort_values("_place")["d"].to_numpy(np.float64), int(rows["_n"].iloc[0]), int(rows["_block"].iloc[0])
+        own = [block] * (n // block) + [n % block] * (n % block > 0)
+        draws = _dealt(np.full(resamples, n), seed, k, own)
+        draw = np.random.Generator(np.random.Philox(np.random.SeedSequence([seed, k])))
+        return pd.DataFrame({"_g": [rows["_g"].iloc[0]], "_block": [k], "total": [d.sum()], "sums": [[float(d[draw.integers(0, d.size, c)].sum()) for c in draws]]})
+
+    few = placed.where("_blocks = 1").groupBy("_g").applyInPandas(whole, f"_g {kind}, mean double, lower double, upper double")
+    parts = placed.where("_blocks > 1").groupBy("_g", "_block").applyInPandas(part, f"_g {kind}, _block int, total double, sums array<double>")
+    parts = materialise(parts, "parts").join(sizes.select(F.col("_g").alias("_h"), "_n"), F.col("_g").eqNullSafe(F.col("_h"))).drop("_h")
+    in_order = lambda c: F.aggregate(F.array_sort(F.collect_list(F.struct("_block", F.col(c).alias("x")))), F.lit(0.0), lambda a, x: a + x["x"])
+    each = parts.select("_g", "_block", "_n", F.posexplode("sums").alias("at", "sum")).groupBy("_g", "at", "_n").agg((in_order("sum") / F.col("_n")).alias("mean"))
+    edges = each.groupBy("_g").agg(F.percentile("mean", [0.025, 0.975]).alias("x")).select("_g", F.col("x")[0].alias("lower"), F.col("x")[1].alias("upper"))
+    means = parts.groupBy("_g", "_n").agg((in_order("total") / F.col("_n")).alias("mean")).select(F.col("_g").alias("_h"), "mean")
+    many = edges.join(means, F.col("_g").eqNullSafe(F.col("_h"))).select("_g", "mean", "lower", "upper")
+    none = rows.groupBy("_g").agg(F.count("d").alias("n")).where("n = 0").select("_g", *[F.lit(0.0).alias(c) for c in ("mean", "lower", "upper")])
+    found = few.unionByName(many).select("*", (F.col("lower") < reject_below).alias("reject")).unionByName(none.withColumn("reject", F.lit(False)))
+    return found.withColumnRenamed("_g", group)
 
 
 def clerical_sample(items: DataFrame, band: str, pos: str, per_band: int = 150) -> DataFrame:
@@ -134,9 +177,12 @@ def clerical_sample(items: DataFrame, band: str, pos: str, per_band: int = 150)
 
     Item i of k is the one at place int(i * n / k).
     """
-    numbered = items.withColumn("_rn", F.row_number().over(Window.partitionBy(band).orderBy(pos)) - 1)
-    sizes = items.groupBy(band).agg(F.count("*").alias("n_available")).withColumn("k", F.least(F.lit(per_band), F.col("n_available")))
-    wanted = sizes.select(band, "n_available", "k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k").cast("long") - 1)).alias("i"))
-    place = F.least(F.col("n_available") - 1, F.floor(F.col("i") * (F.col("n_available") / F.col("k"))))
-    wanted = wanted.select(F.col(band).alias("_band"), "n_available", "k", place.cast("long").alias("_at"))
-    return numbered.join(wanted, (numbered[band] == wanted["_band"]) & (numbered["_rn"] == wanted["_at"])).drop("_band", "_at", "_rn")
+    rows = items.select(F.col(band).alias("_band"), F.col(pos).alias("_pos"), F.struct("*").alias("_item"))
+    # places within bands, from the order of all items, so no band is one task's work
+    ranked = global_rank(rows, "_band", "_pos")
+    sizes = materialise(ranked.groupBy("_band").agg(F.min("rank").alias("_first"), F.count("*").alias("n_available")), "bands").withColumn("k", F.least(F.lit(per_band), F.col("n_available")))
+    wanted = sizes.select("_band", "_first", "n_available", "k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k").cast("long") - 1)).alias("i"))
+    place = F.least(F.col("n_available") - 1, F.floor(F.col("i") * (F.col("n_available") / F.col("k")))).cast("long")
+    # a rank is one item's, so the bands needn't be compared
+    wanted = wanted.select((F.col("_first") + place).alias("_at"), "n_available", "k")
+    return ranked.join(wanted, F.col("rank") == F.col("_at")).select("_item.*", "n_available", "k")

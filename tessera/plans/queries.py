@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import numbers, text
-from tessera.operators import admission, build, checks, entity, graph, paging, refresh, resolve, state, symbols, vectors
+from tessera.operators import admission, build, checks, entity, graph, paging, ranked, refresh, resolve, state, symbols, vectors
 from tessera.plans import trade_graph
 from tessera.sources import scratch, snapshots
 from tessera.streaming import windows
@@ -235,6 +235,47 @@ def graph_fuse(spark, sf_dir):
     return graph.fuse(rows)
 
 
+# --- ranked search ---------------------------------------------------------------------------------------------------
+
+_BM25 = r"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY ALL), size AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS size FROM tf GROUP BY doc_id),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term), c AS (SELECT (SELECT count(DISTINCT doc_id) FROM documents) AS n, (SELECT sum(size) FROM size)::DOUBLE / (SELECT count(DISTINCT doc_id) FROM documents) AS mean),
+p AS (SELECT doc_id, term, CAST(round(1000::DOUBLE * ln(1::DOUBLE + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * (tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * size / mean)))) AS BIGINT) AS impact FROM tf JOIN size USING (doc_id) JOIN df USING (term), c),
+s AS (SELECT q.doc_id AS query_id, p.doc_id, CAST(sum(p.impact) AS BIGINT) AS score FROM tf q JOIN p USING (term) WHERE q.doc_id % 100 = 0 GROUP BY ALL),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s)"""
+
+
+def _searched(spark, sf_dir, k: int) -> DataFrame:
+    """The k best documents for each document whose id is divisible by 100, by an index that is built once a session."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    path = scratch.once(spark, "bm25", [f"{sf_dir}/documents.parquet"], lambda path: ranked.Index.build(docs, path) and None)
+    return ranked.Index.load(spark, path).search(docs.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), "text"), k)
+
+
+@query(_BM25 + " SELECT * FROM r WHERE rank <= 10")
+def search_bm25(spark, sf_dir):
+    return _searched(spark, sf_dir, 10)
+
+
+@query(
+    _BM25
+    + """, l AS (SELECT q.doc_id AS query_id, row_number() OVER (PARTITION BY q.doc_id ORDER BY d.n_chars DESC, d.doc_id) AS rank, d.doc_id FROM documents q JOIN documents d USING (source) WHERE q.doc_id % 100 = 0),
+f AS (SELECT query_id, doc_id, max(CASE WHEN list = 2 THEN 0.5::DOUBLE / (60 + rank) END) AS b, max(CASE WHEN list = 1 THEN 1::DOUBLE / (60 + rank) END) AS a
+  FROM (SELECT query_id, rank, doc_id, 1 AS list FROM r UNION ALL SELECT query_id, rank, doc_id, 2 FROM l) WHERE rank <= 100 GROUP BY ALL),
+o AS (SELECT query_id, doc_id, coalesce(a, 0) + coalesce(b, 0) AS score FROM f)
+SELECT query_id, doc_id, round(score, 12) AS score FROM o QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 10"""
+)
+def search_fused(spark, sf_dir):
+    """Ranked search, fused with the longest documents of the query's source at half its weight."""
+    d = _t(spark, sf_dir, "documents").select("doc_id", "source", (-F.col("n_chars")).alias("short"))
+    asked = d.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), "source")
+    # the first hundred of each source, by the order of all
+    placed = entity.global_rank(d.where("source is not null"), "source", "short", "doc_id")
+    first = placed.groupBy("source").agg(F.min("rank").alias("first"))
+    longest = placed.join(first, "source").select("source", (F.col("rank") - F.col("first") + 1).alias("rank"), "doc_id").where("rank <= 100")
+    return ranked.fused([(_searched(spark, sf_dir, 100), 1.0), (asked.join(longest, "source").select("query_id", "rank", "doc_id"), 0.5)]).select("query_id", "doc_id", F.round("score", 12).alias("score"))
+
+
 # --- admission -------------------------------------------------------------------------------------------------------
 
 _FILES = "SELECT doc_id, source || '/' || lang || '/' || doc_id || '.md' AS path, octet_length(encode(text)) AS bytes, text FROM documents"
