@@ -81,7 +81,7 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alignment.align_documents(common.table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")).documents()
+    return alignment.align_documents(common.table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
 
 
 QUERIES = {

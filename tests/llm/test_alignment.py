@@ -50,7 +50,7 @@ def _plain(rows):
 
 
 def _aligned(docs):
-    return sorted((repr(r["doc_id"]), *tuple(r)[1:]) for r in alignment.align_documents(docs, A, B).documents().collect())
+    return sorted((repr(r["doc_id"]), *tuple(r)[1:]) for r in alignment.align_documents(docs, A, B).collect())
 
 
 def test_whole_table(spark, sf_dir):
@@ -61,7 +61,7 @@ def test_whole_table(spark, sf_dir):
 
 def test_query(spark, sf_dir):
     found = queries.op13_alignment(spark, sf_dir)
-    assert found.columns == ["doc_id", *alignment.SUMS, "groups_sha256"]
+    assert found.columns == ["doc_id", *alignment.SUMS, "n_best", "count_sum", "groups_sha256"]
     assert found.count() == common.table(spark, sf_dir, "documents").count()
 
 
@@ -77,43 +77,33 @@ def test_odd_texts(spark):
 def test_odd_rows(spark):
     rows = [x if x[0] != 9 else (9, "word " * 900 + "x" * 400, None, None) for x in cases.ROWS]
     assert _aligned(cases.docs(spark, rows).repartition(3)) == _plain([x[:2] for x in rows])
-    assert alignment.align_documents(cases.empty(spark), A, B).documents().collect() == []
+    assert alignment.align_documents(cases.empty(spark), A, B).collect() == []
 
 
 def test_long_texts(spark):
     """Texts beyond a block, and one long stretch whose groups have many tokens, in time."""
     rows = [(1, "word " * 400_000, None, None), (2, "a日" * 20_000, None, None), (3, "\x01" * 30_000, None, None)]
-    found = {r["doc_id"]: r for r in alignment.align_documents(cases.docs(spark, rows), A, B).documents().collect()}
+    found = {r["doc_id"]: r for r in alignment.align_documents(cases.docs(spark, rows), A, B).collect()}
     assert found[1]["n_a"] == 400_001 and found[1]["n_groups"] == found[1]["n_links"] - (found[1]["n_a"] + found[1]["n_b"] - 2 * found[1]["n_groups"])
     assert found[2]["n_a"] > 30_000 < found[3]["n_a"]
 
 
 @pytest.mark.parametrize("seed", range(3))
 def test_links_of_any_units(spark, seed):
+    """Units of any lengths, one of them a single group of many tokens, against all pairs of their ranges."""
     r = random.Random(seed)
 
     def split(n):
         ends = sorted({n, *(r.randrange(1, n) for _ in range(r.randrange(n)))}) if n > 1 else [n]
         return [y - x for x, y in zip([0, *ends], ends, strict=False)]
 
-    rows = []
-    for k in range(60):
-        n = r.randrange(1, 30)
-        x, y = split(n), split(n)
-        rows.append((k, "u", [r.randrange(9) for _ in x], x, [r.randrange(9) for _ in y], y))
-    units = spark.createDataFrame(rows, "u long, name string, a_ids array<int>, a_sizes array<int>, b_ids array<int>, b_sizes array<int>")
-    found = collections.Counter((x["u"], x["a_id"], x["b_id"]) for x in alignment.links(units, ["u", "name"]).collect())
-    wanted = collections.Counter()
-    for k, _, ai, an, bi, bn in rows:
-        s = 0
-        for i, n in zip(ai, an, strict=True):
-            t = 0
-            for j, m in zip(bi, bn, strict=True):
-                if s < t + m and t < s + n:
-                    wanted[k, i, j] += 1
-                t += m
-            s += n
-    assert found == wanted
-    for x in alignment.groups(alignment.links(units, ["u", "name"]), ["u", "name"]).collect():
-        _, _, ai, _, bi, _ = rows[x["u"]]
-        assert [i for g in x["groups"] for i in g["a"]] == ai and [i for g in x["groups"] for i in g["b"]] == bi and x["n_groups"] == len(x["groups"])
+    rows = [(k, "u", split(n), split(n)) for k, n in enumerate(r.randrange(1, 30) for _ in range(60))] + [(99, "u", [2] * 500, [1] + [2] * 499 + [1])]
+    key = ["u", "name"]
+    units = spark.createDataFrame(rows, "u long, name string, a_sizes array<int>, b_sizes array<int>")
+    found = {x["u"]: x for x in alignment.groups(alignment.links(units, key), key).collect()}
+    assert len(found) == len(rows)
+    for k, _, a, b in rows:
+        x, y = ([(sum(side[:i]), sum(side[: i + 1])) for i in range(len(side))] for side in (a, b))
+        assert [tuple(p) for p in found[k]["links"]] == sorted((i, j) for i, (s, e) in enumerate(x) for j, (t, f) in enumerate(y) if s < f and t < e)
+        cuts = sorted({e for _, e in x} & {e for _, e in y})
+        assert [tuple(g) for g in found[k]["groups"]] == [tuple(sum(lo < e <= hi for _, e in side) for side in (x, y)) for lo, hi in zip([0, *cuts], cuts, strict=False)]
