@@ -83,10 +83,23 @@ def search(nodes: DataFrame, text: str, limit: int = 50) -> DataFrame:
     return nodes.where(hit).orderBy("ord").limit(limit)
 
 
+def search_answer(nodes: DataFrame, text: str, limit: int = 50) -> tuple[DataFrame, str | None]:
+    """search, and the reason why it ends: record_limit if there are more nodes than it gives."""
+    found = materialise(search(nodes, text, limit + 1), "found")
+    return found.orderBy("ord").limit(limit), "record_limit" if found.count() > limit else None
+
+
 def node(nodes: DataFrame, node_id: str) -> DataFrame:
     return nodes.where(F.col("id") == node_id)
 
 
+def fetch(nodes: DataFrame, asked: DataFrame) -> DataFrame:
+    """(id, status, node) of asked(id), each once: the node's columns, and ok or node_absent."""
+    whole = nodes.select(F.col("id").alias("_id"), F.struct(*nodes.columns).alias("node"))
+    found = asked.select("id").distinct().join(whole, F.col("id") == F.col("_id"), "left")
+    return found.select("id", F.when(F.col("_id").isNull(), "node_absent").otherwise("ok").alias("status"), "node")
+
+
 def listing(entries: DataFrame, empty: DataFrame) -> DataFrame:
     """Archive entries, and repositories without a graph, in one list."""
     return entries.withColumn("status", F.lit("selected")).unionByName(empty, allowMissingColumns=True)

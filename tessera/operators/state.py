@@ -90,10 +90,12 @@ def resolution_digest(candidates: DataFrame, index: DataFrame, group: str) -> Da
     return input_digest(rows, group)
 
 
-def reusable(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(slice, reuse): both digests (slice, input_digest, resolution_digest) equal those of the last build."""
+def reusable(old: DataFrame, new: DataFrame, runtime: str | None) -> DataFrame:
+    """(slice, reuse): both digests (slice, input_digest, resolution_digest) equal those of the last build, and the runtime that
+    would build now is identified and is the one that input digests were made with. runtime: its digest, or None."""
     o = old.select("slice", F.col("input_digest").alias("_i"), F.col("resolution_digest").alias("_r"))
-    return new.join(o, "slice", "left").select("slice", F.coalesce((F.col("input_digest") == F.col("_i")) & (F.col("resolution_digest") == F.col("_r")), F.lit(False)).alias("reuse"))
+    same = (F.col("input_digest") == F.col("_i")) & (F.col("resolution_digest") == F.col("_r"))
+    return new.join(o, "slice", "left").select("slice", F.coalesce(same & F.lit(runtime is not None), F.lit(False)).alias("reuse"))
 
 
 def trusted_digest(files: DataFrame, known: DataFrame) -> DataFrame:
@@ -158,14 +160,40 @@ def plan_costs(changes: DataFrame, overhead_percent: int, output_each: int, inpu
     return both.withColumn("total_tokens", F.col("input_tokens") + F.col("output_tokens")).withColumn("cost", cost(F.col("input_tokens"), F.col("output_tokens"), input_rate, output_rate))
 
 
-def approval_refusals(plan: DataFrame, approval: DataFrame) -> DataFrame:
-    """(plan_sha256, refusals): why approvals do not cover plans(plan_sha256, estimate, requested_ceiling, now)."""
+def catch_up(changes: DataFrame, heads: DataFrame, overhead_percent: int, output_each: int, requested: int | None = None) -> DataFrame:
+    """A batch plan: for each repository of heads(repository, commit, since), in order, and in total (repository *), its kind of
+    catching up (initial without an earlier commit, none at the same one, else included), how many files are new, changed,
+    unchanged and deleted by changes(repository, change, bytes), tokens, and for the total why it is refused, if it is:
+    its tokens exceed the requested ceiling. Repositories without files count zero; changes of others are left out."""
+    work = F.col("change").isin("added", "modified")
+    tokens = F.when(work, planned_tokens(F.col("bytes"), overhead_percent))
+    names = (("new", "added"), ("changed", "modified"), ("unchanged", "unchanged"), ("deleted", "deleted"))
+    sums = changes.groupBy(F.col("repository").alias("_r")).agg(*[F.count_if(F.col("change") == c).alias(n) for n, c in names], F.sum(F.when(work, F.col("bytes"))).alias("input_bytes"), F.sum(tokens).alias("input_tokens"), (F.count_if(work) * output_each).alias("output_tokens"))
+    counts = [n for n, _ in names] + ["input_bytes", "input_tokens", "output_tokens"]
+    kind = F.when(F.col("since").isNull(), "initial").when(F.col("since") == F.col("commit"), "none").otherwise("included")
+    each = heads.join(sums, F.col("repository") == F.col("_r"), "left").select("repository", kind.alias("catch_up"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts])
+    total = each.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in counts]).select(F.lit("*").alias("repository"), F.lit(None).cast("string").alias("catch_up"), *counts)
+    both = each.unionByName(total).withColumn("total_tokens", F.col("input_tokens") + F.col("output_tokens"))
+    over = (F.col("repository") == "*") & (F.col("total_tokens") > F.lit(requested).cast("long"))
+    return both.withColumn("refusal", F.when(over, "over_requested_ceiling"))
+
+
+def approval_refusals(plan: DataFrame, approval: DataFrame, current: DataFrame | None = None) -> DataFrame:
+    """(plan_sha256, refusals): why approvals do not cover plans(plan_sha256, estimate, requested_ceiling, now).
+
+    current(plan_sha256, input_sha256, estimate): what the plans' inputs, with plan.input_sha256 then, come to now. A plan whose
+    inputs are gone or others is stale, and one that they would exceed is refused too.
+    """
+    if current is not None:
+        c = current.select(F.col("plan_sha256").alias("_c"), F.col("input_sha256").alias("_now"), F.col("estimate").alias("_estimate"))
+        plan = plan.join(c, plan["plan_sha256"] == c["_c"], "left").drop("_c")
     a = approval.select(F.col("plan_sha256").alias("_p"), "token_ceiling", "approved_at", "expires_at", "approved_by")
     rows = plan.join(a, plan["plan_sha256"] == a["_p"], "left")
     no = lambda condition, reason: F.when(F.coalesce(condition, F.lit(False)), reason)
     reasons = F.array_compact(
         F.array(
             no(F.col("_p").isNull(), "not_approved"),
+            *([no(~F.col("input_sha256").eqNullSafe(F.col("_now")), "stale_plan"), no(F.col("_estimate") > F.col("requested_ceiling"), "inputs_over_requested")] if current is not None else []),
             no(F.coalesce("approved_by", F.lit("")) == "", "no_approver"),
             no(F.col("estimate") > F.col("token_ceiling"), "estimate_over_approved"),
             no(F.col("token_ceiling") > F.col("requested_ceiling"), "approved_over_requested"),

@@ -56,6 +56,25 @@ def graph_search(spark, sf_dir):
     return graph.search(trade_graph.nodes(spark, sf_dir), "ER:1", limit=1000)
 
 
+@query(trade_graph.with_sql("SELECT DISTINCT 'customer:' || o_custkey * (1 + o_custkey % 2 * 1000000) AS id, CASE WHEN o_custkey % 2 = 1 THEN 'node_absent' ELSE 'ok' END AS status, CASE WHEN o_custkey % 2 = 0 THEN c_name END AS label FROM orders JOIN customer ON c_custkey = o_custkey"))
+def graph_fetch(spark, sf_dir):
+    """The customers of all orders, half of them asked for by ids that no node has."""
+    key = F.col("o_custkey") * (1 + F.col("o_custkey") % 2 * 1000000)
+    asked = _t(spark, sf_dir, "orders").select(F.concat(F.lit("customer:"), key.cast("string")).alias("id"))
+    return graph.fetch(trade_graph.nodes(spark, sf_dir), asked).select("id", "status", "node.label")
+
+
+@query(trade_graph.with_sql("""SELECT asked, least(n, 100) AS results, CASE WHEN n > 100 THEN 'record_limit' END AS truncation
+FROM (SELECT 'er:1' AS asked, count_if(lower(id) LIKE '%er:1%' OR lower(coalesce(label, 'None')) LIKE '%er:1%') AS n FROM nodes UNION ALL SELECT 'region:', count_if(id LIKE '%region:%') FROM nodes UNION ALL SELECT 'no such', 0)"""))
+def graph_search_reason(spark, sf_dir):
+    """Searches of at most a hundred nodes, with the reason why they end."""
+    nodes, rows = trade_graph.nodes(spark, sf_dir), []
+    for asked in ("er:1", "region:", "no such"):
+        found, truncation = graph.search_answer(nodes, asked, 100)
+        rows.append((asked, found.count(), truncation))
+    return spark.createDataFrame(rows, "asked string, results long, truncation string")
+
+
 @query(trade_graph.with_sql("SELECT ord, id, type, label, source_file FROM nodes WHERE id = 'customer:7'"))
 def graph_node(spark, sf_dir):
     return graph.node(trade_graph.nodes(spark, sf_dir), "customer:7")
@@ -471,12 +490,44 @@ def plan_tokens_cost(spark, sf_dir):
     return plan.select("repository", "files", "input_tokens", "output_tokens", "total_tokens", (F.col("cost") * 1000000).cast("long").alias("cost_micros"))
 
 
-@query("SELECT * FROM (VALUES ('p0', 'valid_too_long'), ('p1', 'not_approved,no_approver'), ('p2', 'estimate_over_approved,valid_too_long'), ('p3', 'approved_over_requested,expired,valid_too_long'), ('p4', 'expires_before_approval,expired')) AS v(plan_sha256, refusals)")
+@query(
+    _CHANGES
+    + """, h AS (SELECT DISTINCT source AS repository, 'h' AS head, CASE source WHEN 'src1' THEN NULL WHEN 'src2' THEN 'h' ELSE 'g' END AS since FROM documents),
+s AS (SELECT repository, count_if(change = 'added') AS new, count_if(change = 'modified') AS changed, count_if(change = 'unchanged') AS unchanged, count_if(change = 'deleted') AS deleted,
+  CAST(coalesce(sum(bytes) FILTER (change IN ('added', 'modified')), 0) AS BIGINT) AS input_bytes, CAST(coalesce(sum((((bytes + 3) // 4) * 150 + 99) // 100) FILTER (change IN ('added', 'modified')), 0) AS BIGINT) AS input_tokens,
+  count_if(change IN ('added', 'modified')) * 100 AS output_tokens FROM c GROUP BY repository),
+r AS (SELECT repository, CASE WHEN since IS NULL THEN 'initial' WHEN since = head THEN 'none' ELSE 'included' END AS catch_up, new, changed, unchanged, deleted, input_bytes, input_tokens, output_tokens FROM h JOIN s USING (repository)
+  UNION ALL SELECT '*', NULL, sum(new), sum(changed), sum(unchanged), sum(deleted), sum(input_bytes), sum(input_tokens), sum(output_tokens) FROM s)
+SELECT repository, catch_up, CAST(new AS BIGINT) AS new, CAST(changed AS BIGINT) AS changed, CAST(unchanged AS BIGINT) AS unchanged, CAST(deleted AS BIGINT) AS deleted, CAST(input_bytes AS BIGINT) AS input_bytes,
+  CAST(input_tokens AS BIGINT) AS input_tokens, CAST(output_tokens AS BIGINT) AS output_tokens, CAST(input_tokens + output_tokens AS BIGINT) AS total_tokens,
+  CASE WHEN repository = '*' AND input_tokens + output_tokens > 1000 THEN 'over_requested_ceiling' END AS refusal FROM r"""
+)
+def plan_catch_up(spark, sf_dir):
+    """Repositories of documents that are new, that stand where they stood, and that went on, under a ceiling of 1,000 tokens."""
+    current, old = _versions(spark, sf_dir)
+    both = current.select("path", "repository", "bytes").unionByName(old.where("path like 'gone/%'").select("path", "repository", "bytes"))
+    rows = state.diff(current, old, "path", "sha256").join(both, "path", "left")
+    since = F.when(F.col("repository") == "src2", "h").when(F.col("repository") != "src1", "g")
+    return state.catch_up(rows, current.select("repository").distinct().select("repository", F.lit("h").alias("commit"), since.alias("since")), 150, 100, 1000)
+
+
+@query(
+    """WITH p AS (SELECT c_custkey AS k, CAST(round(c_acctbal) AS BIGINT) AS estimate FROM customer)
+SELECT 'p' || k AS plan_sha256, concat_ws(',', CASE WHEN k % 6 = 1 THEN 'not_approved' END, CASE WHEN k % 7 = 0 THEN 'stale_plan' END, CASE WHEN estimate + 100 > 5000 AND k % 7 <> 1 THEN 'inputs_over_requested' END,
+  CASE WHEN k % 6 = 1 OR k % 6 = 2 THEN 'no_approver' END, CASE WHEN estimate > 4000 AND k % 6 <> 1 THEN 'estimate_over_approved' END,
+  CASE WHEN k % 6 = 3 THEN 'expires_before_approval' END, CASE WHEN k % 6 IN (3, 4) THEN 'expired' END, CASE WHEN k % 6 = 5 THEN 'valid_too_long' END) AS refusals FROM p"""
+)
 def plan_approval(spark, sf_dir):
-    now = "timestamp'2024-05-01 00:00:00'"
-    plans = spark.sql(f"select * from values ('p0', 10L, 20L, {now}), ('p1', 10L, 20L, {now}), ('p2', 30L, 40L, {now}), ('p3', 10L, 20L, {now}), ('p4', 10L, 20L, {now}) as t(plan_sha256, estimate, requested_ceiling, now)")
-    a = spark.sql("select plan_sha256, token_ceiling, timestamp(approved_at) approved_at, timestamp(expires_at) expires_at, approved_by from values ('p0', 15L, '2024-04-01', '2024-06-01', 'x'), ('p2', 20L, '2024-04-01', '2024-06-01', 'x'), ('p3', 25L, '2024-04-01', '2024-04-20', 'x'), ('p4', 15L, '2024-04-10', '2024-04-01', 'x') as t(plan_sha256, token_ceiling, approved_at, expires_at, approved_by)")
-    return state.approval_refusals(plans, a).select("plan_sha256", F.array_join("refusals", ",").alias("refusals"))
+    """A plan and mostly an approval for each customer, held against what its inputs come to now."""
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.round("c_acctbal").cast("long").alias("estimate"), F.concat(F.lit("p"), F.col("c_custkey").cast("string")).alias("plan_sha256"))
+    at = lambda x: F.to_timestamp(F.lit(x))
+    plans = c.select("plan_sha256", "estimate", F.lit(5000).cast("long").alias("requested_ceiling"), at("2024-05-01 00:00:00").alias("now"), F.lit("i").alias("input_sha256"))
+    kind = F.col("k") % 6
+    expires = F.when(kind == 3, at("2024-04-01 00:00:00")).when(kind == 4, at("2024-04-30 00:00:00")).when(kind == 5, at("2024-06-01 00:00:00")).otherwise(at("2024-05-02 00:00:00"))
+    approvals = c.where(kind != 1).select("plan_sha256", F.lit(4000).cast("long").alias("token_ceiling"), at("2024-04-28 00:00:00").alias("approved_at"), expires.alias("expires_at"), F.when(kind != 2, "x").alias("approved_by"))
+    current = c.where("k % 7 <> 1").select("plan_sha256", F.when(F.col("k") % 7 == 0, "j").otherwise(F.lit("i")).alias("input_sha256"), (F.col("estimate") + 100).alias("estimate"))
+    gone = c.where("k % 7 = 1").select("plan_sha256", F.lit("i").alias("input_sha256"), F.lit(None).cast("long").alias("estimate"))
+    return state.approval_refusals(plans, approvals, current.unionByName(gone)).select("plan_sha256", F.array_join("refusals", ",").alias("refusals"))
 
 
 @query(
@@ -505,11 +556,11 @@ def resolution_digest(spark, sf_dir):
 
 @query("SELECT lang AS slice, lang <> 'fr' AND lang <> 'de' AND lang <> 'es' AS reuse FROM (SELECT DISTINCT lang FROM documents)")
 def slice_reuse(spark, sf_dir):
-    """Slices by language: of two the input has changed, of one what its candidates resolve to, and one is as it was."""
+    """Slices by language: of two the input has changed, of one what its candidates resolve to, and the others are as they were."""
     files = _t(spark, sf_dir, "documents").select("lang", F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), F.sha2("text", 256).alias("sha256"))
     now = state.input_digest(files, "lang").withColumnRenamed("digest", "input_digest").withColumn("resolution_digest", F.lit("r")).withColumnRenamed("lang", "slice")
     then = now.withColumn("input_digest", F.when(F.col("slice").isin("fr", "de"), "0").otherwise(F.col("input_digest"))).withColumn("resolution_digest", F.when(F.col("slice") == "es", "s").otherwise(F.lit("r")))
-    return state.reusable(then, now)
+    return state.reusable(then, now, "runtime")
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'miss' WHEN doc_id % 5 = 1 THEN 'corrupt' ELSE 'hit' END AS outcome FROM documents")
@@ -576,10 +627,12 @@ def curie_mint_decompose(spark, sf_dir):
     return rows.select("doc_id", "curie", text.decompose(F.col("curie")).alias("p")).select("doc_id", "curie", "p.corpus", "p.path", "p.slug", "p.kind")
 
 
-@query("SELECT * FROM (VALUES ('r1', 'failed'), ('r2', 'unknown'), ('r3', 'completed')) AS v(run, status)")
+@query("SELECT o_custkey AS run, ['unknown', 'failed', 'deferred', 'completed', 'unchanged'][CAST(min(1 + o_orderkey % 5) AS INTEGER)] AS status FROM orders GROUP BY o_custkey")
 def run_status(spark, sf_dir):
-    rows = [("r1", "completed"), ("r1", "failed"), ("r2", "failed"), ("r2", "unknown"), ("r3", "unchanged"), ("r3", "completed")]
-    return state.worst_status(spark.createDataFrame(rows, "run string, status string"), "run")
+    """The worst status of each customer's orders, which have one each by their keys."""
+    names = F.array(*[F.lit(s) for s in ("unknown", "failed", "deferred", "completed", "unchanged")])
+    rows = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("run"), F.get(names, (F.col("o_orderkey") % 5).cast("int")).alias("status"))
+    return state.worst_status(rows, "run")
 
 
 @query("SELECT * FROM (VALUES ('a3', 'a3', 'current'), ('a1', 'a3', 'behind'), ('b1', 'a3', 'unknown')) AS v(built, target, relation)")
@@ -994,11 +1047,18 @@ def run_counts(spark, sf_dir):
     return build.run_counts(now, then, spark.createDataFrame([("src0",)], "slice string"))
 
 
-@query("SELECT * FROM (VALUES (0, 'clean_head_match', TRUE), (1, 'unstable_source', FALSE), (2, 'dirty_source', FALSE), (3, 'head_mismatch', FALSE), (4, 'target_mismatch', FALSE)) AS v(k, outcome, qualified)")
+@query(
+    """SELECT event_id, CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 THEN 'unstable_source' WHEN event_id % 5 = 0 THEN 'dirty_source' WHEN user_id % 3 = 0 THEN 'head_mismatch' WHEN event_id % 7 = 0 THEN 'target_mismatch' ELSE 'clean_head_match' END AS outcome,
+  NOT (event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 5 = 0 OR user_id % 3 = 0 OR event_id % 7 = 0) AS qualified FROM events"""
+)
 def source_observed(spark, sf_dir):
-    rows = [(0, "h", "h", "h", "", "", "h"), (1, "h", "h", "i", "", "", None), (2, "x", "h", "h", "M a", "M a", None), (3, "x", "h", "h", "", "", "x"), (4, "h", "h", "h", "", "", "t")]
-    df = spark.createDataFrame(rows, "k int, snapshot_head string, head_before string, head_after string, status_before string, status_after string, target_head string")
-    return build.observed(df).select("k", "outcome", "qualified")
+    """An observation for each event: heads and listings that change, or not, by its keys."""
+    k, head = F.col("event_id"), F.col("user_id").cast("string")
+    rows = _t(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("user_id") % 3 == 0, "x").otherwise(head).alias("snapshot_head"), head.alias("head_before"), F.when(k % 11 == 0, F.concat(head, F.lit("'"))).when(k % 13 != 0, head).alias("head_after"),
+        F.when(k % 5 == 0, " M a").otherwise("").alias("status_before"), F.when(k % 5 == 0, " M a").otherwise("").alias("status_after"), F.when(k % 7 == 0, "t").alias("target_head"),
+    )
+    return build.observed(rows).select("event_id", "outcome", "qualified")
 
 
 @query("SELECT * FROM (VALUES (1, 'prefix'), (2, 'repeated_prefix'), (3, 'repeated_prefix'), (3, 'name'), (4, 'repeated_name'), (5, 'repeated_name'), (6, 'buckets'), (-1, 'slices')) AS v(ord, fault)")
@@ -1020,10 +1080,15 @@ def dq_governed_blocks(spark, sf_dir):
     return build.governed_blocks(spark.createDataFrame([("a.md", k, v) for k, v in enumerate(lines)], "path string, ord int, value string"))
 
 
-@query("SELECT * FROM (VALUES ('100644', 'blob', 'ab12', 12, 'a b.txt'), ('160000', 'commit', 'cd34', NULL, 'sub/dir')) AS v(mode, kind, blob_oid, bytes, path)")
+@query("SELECT CASE WHEN doc_id % 9 = 0 THEN '160000' ELSE '100644' END AS mode, CASE WHEN doc_id % 9 = 0 THEN 'commit' ELSE 'blob' END AS kind, md5(text) AS blob_oid, CASE WHEN doc_id % 9 <> 0 THEN octet_length(encode(text)) END AS bytes, source || '/a b' || chr(10) || doc_id AS path FROM documents")
 def tree_entries(spark, sf_dir):
-    listing = "100644 blob ab12      12\ta b.txt\x00160000 commit cd34       -\tsub/dir\x00"
-    return build.tree_entries(spark.createDataFrame([(listing,)], "value string"))
+    """A listing of each source's documents as a tree, cut into its entries again."""
+    module = F.col("doc_id") % 9 == 0
+    size = F.when(module, "-").otherwise(F.octet_length("text").cast("string"))
+    entry = F.concat(F.when(module, "160000 commit ").otherwise("100644 blob "), F.md5("text"), F.lit(" "), F.lpad(size, 7, " "), F.lit("\t"), "source", F.lit("/a b\n"), F.col("doc_id").cast("string"), F.lit("\x00"))
+    # a listing holds a source's documents of one share, as one of a large tree would hold a folder's
+    listing = _t(spark, sf_dir, "documents").groupBy("source", F.floor(F.col("doc_id") / 1000)).agg(F.array_join(F.collect_list(entry), "").alias("value"))
+    return build.tree_entries(listing.select("value"))
 
 
 # --- functions -------------------------------------------------------------------------------------------------------
