@@ -1,30 +1,63 @@
 """Extractors of Markdown: headings in their hierarchy, and links to files.
 
-A document is read line by line; what a line means depends on the state that the lines before it left.
+A document is cut into blocks first. Front matter, fenced code and comments are masked over the whole text, so that line numbers
+stay. Each line then has a kind, runs of lines of text are paragraphs, and a paragraph of one line above an underline is a
+heading. Links are looked for in the lines of paragraphs and headings, last.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import groupby
+from urllib.parse import urlsplit
+
 from tessera.operators.extract.records import Records, inside
 
-_BLANK = " \t"
-_SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
+_FRONT = re.compile(r"\A[ \t]*---[ \t]*\n.*?^[ \t]*(?:---|\.\.\.)[ \t]*$", re.M | re.S)
+# a fence lasts to the next line that begins with as many of its signs
+_FENCE = r"^ {0,3}(?P<mark>(?P<sign>[`~])(?P=sign){2,})[^\n]*(?:\n(?! {0,3}(?P=mark))[^\n]*)*(?:\n[^\n]*)?"
+_MASKED = re.compile(rf"{_FENCE}|(?P<comment><!--.*?(?:-->|\Z))", re.M | re.S)
+_FENCED = re.compile(_FENCE, re.M)
+#: Signs that, as a word of their own, begin a list, a quote or a table.
+_OPENERS = frozenset("-*+>|")
+
+
+@dataclass
+class _Line:
+    number: int
+    kind: str  # blank, code, heading, underline or text
+    text: str
+    level: int = 0
+
 
+def _hidden(m: re.Match) -> str:
+    """Line ends stay. A comment within a line leaves a blank."""
+    return "\n" * m[0].count("\n") or " "
 
-def _flush(line: str) -> str:
-    """A line without up to three spaces before it; empty if it is indented further."""
-    rest = line.lstrip(" ")
-    return rest if len(line) - len(rest) < 4 else ""
 
+def _kind(number: int, line: str) -> _Line:
+    body = line.strip()
+    if not body:
+        return _Line(number, "blank", "")
+    if line.expandtabs(4).startswith("    "):
+        return _Line(number, "code", "")
+    if len(set(body)) == 1 and body[0] in "=-":
+        return _Line(number, "underline", "", 1 if body[0] == "=" else 2)
+    marks, *title = body.split(None, 1)
+    if len(marks) < 7 and not marks.strip("#"):
+        words = title[0].rsplit(None, 1) if title else []
+        if words and not words[-1].strip("#"):  # a closing run of number signs
+            words.pop()
+            return _Line(number, "heading", words[0] if words else "", len(marks))
+        return _Line(number, "heading", title[0] if title else "", len(marks))
+    return _Line(number, "text", line)
 
-def _fence(line: str) -> str:
-    """The back-ticks or tildes that open or close a block of code."""
-    rest = _flush(line)
-    for sign in "`~":
-        run = len(rest) - len(rest.lstrip(sign))
-        if run > 2:
-            return sign * run
-    return ""
+
+def _lines(text: str, masked: re.Pattern) -> Iterator[_Line]:
+    whole = masked.sub(_hidden, text)
+    return (_kind(k, line) for k, line in enumerate(whole.split("\n"), 1))
 
 
 def _without_code(line: str) -> str:
@@ -46,205 +79,112 @@ def _without_code(line: str) -> str:
     return "".join(out)
 
 
-def _skip(line: str, at: int) -> int:
-    while at < len(line) and line[at] in _BLANK:
-        at += 1
-    return at
-
-
-def _destination(line: str, at: int, plain: bool) -> tuple[str, int] | None:
-    """What the parenthesis before a place links to, and where it ends; plain: without angles, titles and blanks."""
-    if not plain:
-        at = _skip(line, at)
-        at += line.startswith("<", at)
-    start, stop = at, frozenset(" \t()" if plain else " \t()<>")
-    while at < len(line) and line[at] not in stop and not line[at].isspace():
-        at += 1
-    target = line[start:at]
-    if not plain:
-        at += line.startswith(">", at)
-        after = _skip(line, at)
-        if after > at and line[after : after + 1] in ("'", '"', "("):
-            close = line.find({"(": ")"}.get(line[after], line[after]), after + 1)
-            if close < 0 or line[after] == "(" and "(" in line[after + 1 : close]:
-                return None
-            after = _skip(line, close + 1)
-        at = after
-    return (target, at + 1) if target and line.startswith(")", at) else None
-
-
-def _links(line: str, plain: bool = False) -> list[str]:
-    """Destinations of the inline links of a line that has no code; images are none."""
-    found, at = [], 0
-    while (at := line.find("[", at)) >= 0:
-        close = line.find("]", at)
-        got = _destination(line, close + 2, plain) if close > 0 and line.startswith("(", close + 1) and line[at - 1 : at] != "!" else None
-        if got:
-            found.append(got[0])
-        at = got[1] if got else at + 1
-    return found
+def _title_ends(text: str) -> int:
+    """How much of what follows a destination is blanks and a title, before the closing parenthesis; -1 if there is more."""
+    rest = text.lstrip(" \t")
+    at = len(text) - len(rest)
+    if at and rest[:1] in ("'", '"', "("):
+        close = rest.find(")" if rest[0] == "(" else rest[0], 1)
+        if close < 0 or "(" in rest[1:close] and rest[0] == "(":
+            return -1
+        tail = rest[close + 1 :]
+        at += close + 1 + len(tail) - len(tail.lstrip(" \t"))
+    return at if text.startswith(")", at) else -1
+
+
+def _destination(text: str, plain: bool) -> tuple[str, int] | None:
+    """What an opened parenthesis links to, and where it ends. plain: without angles, titles and blanks."""
+    at = 0 if plain else len(text) - len(text.lstrip(" \t"))
+    angle = not plain and text.startswith("<", at)
+    target = re.match(r"[^\s()]*" if plain else r"[^\s()<>]*", text[at + angle :])[0]
+    at += angle + len(target)
+    if plain:
+        end = 0 if text.startswith(")", at) else -1
+    else:
+        at += text.startswith(">", at)
+        end = _title_ends(text[at:])
+    return (target, at + end + 1) if target and end >= 0 else None
+
+
+def _inline(text: str, plain: bool = False) -> Iterator[str]:
+    """Destinations of the inline links of a line that has no code; images are none.
+
+    The text is cut where a label ends and a parenthesis opens. A label has begun if its stretch, since the last bracket
+    that closed or link that ended, has an opening bracket that no exclamation mark makes an image's.
+    """
+    before, *after = text.split("](")
+    for part in after:
+        stretch = before.rpartition("]")[2]
+        found = _destination(part, plain) if re.search(r"(?:^|[^!])\[", stretch) else None
+        if found:
+            yield found[0]
+        before = part[found[1] :] if found else part
+
+
+def _defined(text: str) -> str | None:
+    """What the definition of a link's name leads to; footnotes are none."""
+    name, colon, target = text.strip().partition("]:")
+    if not colon or name[:1] != "[" or len(name) < 2 or name[1] == "^" or "]" in name:
+        return None
+    return re.split(r"[\s<>]", target.strip().removeprefix("<"), maxsplit=1)[0] or None
 
 
 def _label(title: str) -> str:
     """A heading's text: links and images become their own text, back-ticks go, and blanks become single spaces."""
-    out, at = [], 0
-    while at < len(title):
-        start = at + 1 if title.startswith("![", at) else at
-        close = title.find("]", start) if title[start : start + 1] == "[" else -1
-        end = title.find(")", close) if close > 0 and title.startswith("(", close + 1) else -1
-        if end > 0:
-            out.append(title[start + 1 : close])
-            at = end + 1
-        else:
-            out.append(title[at])
-            at += 1
-    return " ".join("".join(out).replace("`", "").split())
-
-
-def _hashes(line: str) -> tuple[int, str] | None:
-    """Level and title of a heading that begins with number signs."""
-    rest = _flush(line)
-    level = len(rest) - len(rest.lstrip("#"))
-    title = rest[level:].rstrip(_BLANK)
-    if not 0 < level < 7 or title and title[0] not in _BLANK:
-        return None
-    body = title.rstrip("#")
-    return level, (body if body != title and body[-1:] in (" ", "\t", "") else title).strip(_BLANK)
+    return " ".join(re.sub(r"!?\[([^\]]*)\]\([^)]*\)", r"\1", title).replace("`", "").split())
 
 
-def _underline(line: str) -> int:
-    """1 for a line of equal signs, 2 for one of dashes."""
-    rest = _flush(line).rstrip(_BLANK)
-    return 0 if not rest else 1 if not rest.strip("=") else 2 if not rest.strip("-") else 0
+def _in_repository(target: str) -> bool:
+    """Neither a place of this page, nor one from the root, nor one with a scheme."""
+    try:
+        return len(target) <= 4096 and min(target) >= " " and target[0] not in "/#" and not urlsplit(target).scheme
+    except ValueError:
+        return True
 
 
-def _opens_block(line: str) -> bool:
-    """Lists, quotes and tables, whose lines are no heading above an underline."""
-    head = _flush(line)
-    mark = head[:1]
-    if mark.isdecimal():
-        digits = len(head) - len(head.lstrip("0123456789"))
-        mark, head = head[digits : digits + 1], head[digits:]
-        return mark in (".", ")") and head[1:2] in ("", " ", "\t") and bool(mark)
-    return mark != "" and mark in "-*+>|" and (len(head) == 1 or head[1].isspace())
+def _link(out: Records, target: str, number: int) -> None:
+    if _in_repository(target):
+        out.reference("links_to", target, number, [inside(out.folder, target.split("#")[0].split("?")[0])])
 
 
-def _definition(line: str) -> str | None:
-    """What a definition of a link name leads to; footnotes are none."""
-    rest = _flush(line)
-    close = rest.find("]:")
-    if not rest.startswith("[") or close < 2 or rest.find("]") != close or rest[1] == "^":
-        return None
-    target = rest[_skip(rest, close + 2) :].removeprefix("<")
-    n = 0
-    while n < len(target) and target[n] not in "<>" and not target[n].isspace():
-        n += 1
-    return target[:n] or None
-
-
-def _leads_to_file(target: str) -> bool:
-    head, colon, _ = target.partition(":")
-    return len(target) <= 4096 and min(target) >= " " and target[0] not in "/#" and not (colon and head[:1].isalpha() and _SCHEME.issuperset(head))
-
-
-class _Reader:
-    def __init__(self, out: Records):
-        self.out = out
-        self.fence = ""
-        self.comment = False
-        #: The single line, with its number, that an underline would make a heading.
-        self.open: tuple[int, str] | None = None
-        #: Whether a paragraph may begin on the next line.
-        self.fresh = True
-        self.above: dict[int, str] = {}
-
-    def link(self, target: str, number: int) -> None:
-        if _leads_to_file(target):
-            self.out.reference("links_to", target, number, [inside(self.out.folder, target.split("#")[0].split("?")[0])])
-
-    def heading(self, level: int, title: str, number: int) -> None:
-        label = _label(title)
-        if 0 < len(label) <= 4096 and min(label) >= " ":
-            parent = max((x for x in self.above if x < level), default=None)
-            made = self.out.node("heading", label, number, parent=None if parent is None else self.above[parent])
-            self.above = {x: node for x, node in self.above.items() if x < level} | {level: made}
-
-    def _code(self, line: str) -> bool:
-        """Whether the line belongs to a fenced block."""
-        mark = _fence(line)
-        if self.fence:
-            if mark.startswith(self.fence):
-                self.fence = ""
-            return True
-        self.fence = mark
-        return bool(mark)
-
-    def _uncommented(self, line: str) -> str | None:
-        """A line without its comments; None if it lies in one."""
-        if self.comment:
-            _, close, line = line.partition("-->")
-            if not close:
-                return None
-            self.comment = False
-        while "<!--" in line:
-            head, _, rest = line.partition("<!--")
-            _, close, tail = rest.partition("-->")
-            if not close:
-                self.comment = True
-                return head
-            line = f"{head} {tail}"
-        return line
-
-    def line(self, number: int, line: str) -> None:
-        if not self.comment and self._code(line):
-            self.open, self.fresh = None, True
-            return
-        line = self._uncommented(line)
-        if line is None:
-            return
-        was, self.open = self.open, None
-        if not line.strip() or line.startswith(("    ", "\t")):
-            self.fresh = not line.strip()
-            return
-        text = _without_code(line)
-        if level := _underline(line):
-            if was:
-                self.heading(level, was[1], was[0])
-            self.fresh = True
-            return
-        if found := _hashes(line):
-            self.heading(*found, number)
-            self.fresh = True
-        else:
-            target = _definition(text)
-            if target:
-                self.link(target, number)
-            elif self.fresh and not _opens_block(line):
-                self.open = number, line
-            self.fresh = False
-        for target in _links(text):
-            self.link(target, number)
+def _headings(lines: list[_Line]) -> Iterator[_Line]:
+    """Headings of both forms, in order."""
+    paragraphs = [list(run) for _, run in groupby(lines, lambda x: "text" if x.kind in ("text", "code") else x.number)]
+    for run, after in zip(paragraphs, [*paragraphs[1:], []], strict=True):
+        one = run[0]
+        if one.kind == "heading":
+            yield one
+        elif len(run) == 1 and one.kind == "text" and after and after[0].kind == "underline":
+            first = one.text.split(None, 1)[0]
+            numbered = first[:-1].isdecimal() and first[-1] in ".)"
+            if not numbered and first not in _OPENERS and not _defined(_without_code(one.text)):
+                yield _Line(one.number, "heading", one.text, after[0].level)
 
 
 def markdown(text: str, out: Records) -> None:
     """Headings of both forms, each below the nearest one before of a lower level, and links: inline ones where they
     stand, named ones where their name is defined. Front matter, code and comments are passed over."""
-    lines = text.splitlines()
-    first = 0
-    if lines and lines[0].strip() == "---":
-        first = next((k for k in range(1, len(lines)) if lines[k].strip() in ("---", "...")), -1) + 1
-    reader = _Reader(out)
-    for number in range(first, len(lines)):
-        reader.line(number + 1, lines[number])
+    text = "\n".join(text.splitlines())
+    lines = list(_lines(_FRONT.sub(_hidden, text, count=1), _MASKED))
+    above: list[tuple[int, str]] = []
+    for x in _headings(lines):
+        label = _label(x.text)
+        if 0 < len(label) <= 4096 and min(label) >= " ":
+            while above and above[-1][0] >= x.level:
+                above.pop()
+            above.append((x.level, out.node("heading", label, x.number, parent=above[-1][1] if above else None)))
+    for x in lines:
+        if x.kind in ("text", "heading"):
+            own = _without_code(x.text)
+            named = _defined(own) if x.kind == "text" else None
+            for target in ([named] if named else []) + list(_inline(own)):
+                _link(out, target, x.number)
 
 
 def markdown_links(text: str, out: Records) -> None:
     """Plain inline links alone, outside code: the first version of the extractor."""
-    reader = _Reader(out)
-    for number, line in enumerate(text.splitlines(), 1):
-        mark = _fence(line)
-        if mark:
-            reader._code(line)
-        elif not reader.fence and not line.startswith(("    ", "\t")):
-            for target in _links(_without_code(line), plain=True):
-                reader.link(target, number)
+    whole = _FENCED.sub(_hidden, "\n".join(text.splitlines()))
+    for number, line in enumerate(whole.split("\n"), 1):
+        if not line.startswith(("    ", "\t")):
+            for target in _inline(_without_code(line), plain=True):
+                _link(out, target, number)

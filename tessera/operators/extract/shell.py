@@ -14,6 +14,8 @@ _NAME_START = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz_")
 # What names the running script, and its folder.
 _SCRIPT = ("$0", "${0}", "$BASH_SOURCE", "${BASH_SOURCE}", "${BASH_SOURCE[0]}")
 _FOLDER = ("${0%/*}/", "${BASH_SOURCE%/*}/", "${BASH_SOURCE[0]%/*}/")
+#: Letters, digits and the signs that names may have become underscores.
+_NAME_SIGNS = {c: "_" for c in range(128) if chr(c).isalnum() or chr(c) in ":.-"}
 #: Characters that the shell would expand.
 _EXPANDS = frozenset("$`*?[~{")
 
@@ -64,33 +66,44 @@ def _candidates(folder: str, word: str) -> list[str | None]:
     return [inside(folder, rest)] if own is not None else [inside(folder, rest), inside("", rest)]
 
 
-def _function(line: str) -> str | None:
-    """The name that a line defines as a function."""
-    words = line.lstrip(" \t")
-    keyword = words.split(None, 1)[0:1] == ["function"]
+def _word(text: str, at: int) -> str:
+    """The plain word that begins at a place, up to a sign, quote or substitution."""
+    end = at
+    while end < len(text) and text[end] not in _ENDS_WORD and text[end] != "\\" and not text.startswith("$(", end):
+        end += 1
+    return text[at:end]
+
+
+def _blanks(text: str, at: int) -> int:
+    while text[at : at + 1] in (" ", "\t") and at < len(text):
+        at += 1
+    return at
+
+
+def _function(text: str, at: int) -> str | None:
+    """The name of the function whose definition begins at a place: a word before empty parentheses, or after the word function.
+    Its body opens with a brace or parenthesis, on the line or on another."""
+    at = _blanks(text, at)
+    name = _word(text, at)
+    at = _blanks(text, at + len(name))
+    keyword = name == "function"
     if keyword:
-        words = words[len("function") :].lstrip(" \t")
-    n = 0
-    while n < len(words) and (words[n].isalnum() or words[n] in "_:.-"):
-        n += 1
-    name, rest = words[:n], words[n:].lstrip(" \t")
-    called = rest.startswith("(") and rest[1:].lstrip(" \t").startswith(")")
+        name = _word(text, at)
+        at = _blanks(text, at + len(name))
+    called = text.startswith("(", at) and text.startswith(")", inner := _blanks(text, at + 1))
     if called:
-        rest = rest[rest.index(")") + 1 :].lstrip(" \t")
-    return name if name and name[0] in _NAME_START and (keyword or called) and (not rest or rest[0] in "{(") else None
+        at = _blanks(text, inner + 1)
+    if not (keyword or called) or text[at : at + 1] not in ("", "\n", "{", "(", "#"):
+        return None
+    return name if _NAME_START.intersection(name[:1]) and not name.translate(_NAME_SIGNS).strip("_") else None
 
 
 def _here_mark(text: str, at: int) -> tuple[str, bool] | None:
-    """The mark that ends a here-document which begins after <<, and whether tabs before it are left out."""
+    """The word that ends a here-document which begins after <<, and whether tabs before it are left out."""
     tabs = text.startswith("-", at)
-    rest = text[at + tabs :].split("\n", 1)[0].lstrip(" \t")
-    quote = rest[:1] if rest[:1] in ("'", '"') else ""
-    body = rest[len(quote) :]
-    n = 0
-    while n < len(body) and (body[n].isalnum() or body[n] in "_.-"):
-        n += 1
-    mark = body[:n]
-    return (mark, tabs) if mark and mark[0] in _NAME_START and body.startswith(quote, n) else None
+    word = _argument(text, _blanks(text, at + tabs))
+    mark = word[1:-1] if len(word) > 2 and word[0] == word[-1] and word[0] in "'\"" else _word(word, 0)
+    return (mark, tabs) if _NAME_START.intersection(mark[:1]) and not mark.translate(_NAME_SIGNS).strip("_") else None
 
 
 def shell(text: str, out: Records) -> None:
@@ -114,7 +127,7 @@ def shell(text: str, out: Records) -> None:
         quoted = open_[-1:] == ['"']
         if not quoted and fresh:
             fresh = False
-            if name := _function(lines[number - 1].split(" #")[0]):
+            if name := _function(text, at):
                 out.node("function", name, number)
         if c == "\\":
             number += text.startswith("\n", at + 1)
@@ -154,10 +167,8 @@ def shell(text: str, out: Records) -> None:
         elif c in "<>":
             at += 1 if c == ">" else len(text[at : at + 3]) - len(text[at : at + 3].lstrip("<"))
         else:
-            end = at
-            while end < len(text) and text[end] not in _ENDS_WORD and text[end] != "\\" and not text.startswith("$(", end):
-                end += 1
-            word = text[at:end]
+            word = _word(text, at)
+            end = at + len(word)
             if command and word in ("source", ".") and text[end : end + 1] in (" ", "\t"):
                 while text[end : end + 1] in (" ", "\t"):
                     end += 1
