@@ -1,7 +1,7 @@
 """Token counts kept as a rollup of deltas: totals by source, language and tokenizer version.
 
 A batch of signed rows (+1 inserts, -1 deletes, both for a revised count) is summed by key and committed under a
-batch id by one rename. A batch id that was committed before changes nothing, so a batch may be sent again.
+batch id by one new version of a log. A batch id that was committed before changes nothing, so a batch may be sent again.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import common
+from tessera.sources.commit_log import CommitLog
 
 KEYS = ["source", "lang", "tokenizer"]
 CHANGE = ["doc_id", *KEYS, "n_tokens", "sign"]
@@ -63,41 +64,35 @@ def revised(old: DataFrame, new: DataFrame) -> DataFrame:
     return deletes(old).unionByName(inserts(new))
 
 
+def _summed(rows: DataFrame) -> DataFrame:
+    """Deltas of several batches as those of one."""
+    sums = rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+    return sums.select("*", *[F.lit(None).cast("long").alias(c) for c in ("_version", "_at")])
+
+
 class Rollup:
-    """The committed batches below a path in a store that all executors share; one writer at a time.
+    """The committed batches below a path in a store that all executors share, for any number of writers: a commit log whose
+    transactions are the batch ids, and whose checkpoints sum up the batches before them.
 
     Null source or language is a key of its own. Repeated change rows each count. An empty batch commits and adds
     nothing. Totals that come back to no documents and no tokens are left out.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-        self._fs = self._at(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    def __init__(self, spark: SparkSession, path: str, checkpoint_every: int = 50):
+        schemas = {"deltas": "source string, lang string, tokenizer string, docs long, tokens long"}
+        self.log = CommitLog(spark, path, schemas, checkpoint_every, merges={"deltas": _summed})
 
     def committed(self, batch_id: str) -> bool:
-        return self._fs.exists(self._at(f"{self.path}/batch={batch_id}"))
+        return self.log.snapshot().applied(batch_id)
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
-        """False, and nothing done, if the batch id was committed before."""
-        if not batch_id or "/" in batch_id or batch_id.startswith(("_", ".")):
-            raise ValueError(f"not a batch id: {batch_id!r}")
-        if self.committed(batch_id):
-            return False
+        """False, and nothing done, if the batch id was committed before, or is by another writer meanwhile."""
+        if not batch_id:
+            raise ValueError("a batch has an id")
         sign = F.col("sign").cast("long")
         sums = changes.groupBy(*KEYS).agg(F.sum(sign).alias("docs"), F.sum(sign * F.coalesce("n_tokens", F.lit(0))).alias("tokens"))
-        staged = common.scratch(self.spark, "staged")
-        sums.write.parquet(staged)
-        self._fs.mkdirs(self._at(self.path))
-        if self.committed(batch_id) or not self._fs.rename(self._at(staged), self._at(f"{self.path}/batch={batch_id}")):
-            common.drop(self.spark, staged)
-            return False
-        return True
+        return self.log.commit(self.log.snapshot(), {"deltas": sums}, txn=batch_id) is not None
 
     def totals(self) -> DataFrame:
-        schema = "source string, lang string, tokenizer string, docs long, tokens long"
-        found = self._fs.listStatus(self._at(self.path)) if self._fs.exists(self._at(self.path)) else []
-        names = [s.getPath().toString() for s in found if s.getPath().getName().startswith("batch=")]
-        rows = self.spark.read.schema(schema).parquet(*names) if names else self.spark.createDataFrame([], schema)
+        rows = self.log.snapshot().table("deltas")
         return rows.groupBy(*KEYS).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")

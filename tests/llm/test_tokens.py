@@ -176,8 +176,24 @@ def test_rollup_of_deltas(spark):
     assert _totals(rollup) == {(s, g, "words@1", n, t + n) for (s, g), (n, t) in by.items()}
     assert rollup.commit("three", token_counts.deletes(longer)) and rollup.commit("four", token_counts.inserts(words.where("false")))
     assert _totals(rollup) == set()
-    with pytest.raises(ValueError):
-        rollup.commit("a/b", token_counts.inserts(words))
+    with pytest.raises(ValueError, match="id"):
+        rollup.commit("", token_counts.inserts(words))
+
+
+def test_writers_of_a_rollup(spark):
+    """Two writers that send the same batches, and a checkpoint within: each batch counts once, and the batches before it are one."""
+    path = common.scratch(spark, "rollup")
+    words = token_counts.count_words(cases.docs(spark))
+    writers = [token_counts.Rollup(spark, path, checkpoint_every=3) for _ in range(2)]
+    sent = [w.commit(f"a/b {k}", token_counts.inserts(words)) for k in range(3) for w in writers]
+    assert sent == [True, False] * 3
+    seen = writers[0].log.snapshot()
+    assert writers[1].commit("late", token_counts.inserts(words))
+    # one that has not seen the other's commit of the same batch
+    assert writers[0].log.commit(seen, rows={"deltas": [("s", "l", "t", 1, 1)]}, txn="late") is None
+    once, = token_counts.inserts(words).agg({"n_tokens": "sum"}).first()
+    assert sum(r["n_tokens"] for r in writers[0].totals().collect()) == 4 * once
+    assert all(writers[1].committed(x) for x in ("a/b 0", "a/b 2", "late")) and not writers[1].committed("a/b")
 
 
 def test_counts_are_the_library_s(spark):
