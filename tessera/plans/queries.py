@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions import numbers, text
 from tessera.operators import admission, build, checks, entity, graph, paging, ranked, refresh, resolve, state, symbols, vectors
 from tessera.plans import trade_graph
-from tessera.sources import scratch, snapshots
+from tessera.sources import commit_log, outputs, scratch, snapshots
 from tessera.streaming import windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -615,6 +615,40 @@ def identity_intern(spark, sf_dir):
     return state.intern(known, n.select("curie"))
 
 
+@query(
+    """SELECT c_nationkey AS nation, count(*) AS customers, count(*) AS ids, CAST(round(2 * sum(c_acctbal::DECIMAL(18, 2)) * 100) AS BIGINT) AS cents, count(*) AS stored,
+  (SELECT count(*) FROM customer) AS greatest, 4 AS versions FROM customer GROUP BY c_nationkey"""
+)
+def commit_log_writers(spark, sf_dir):
+    """Two writers of one log over customers, who take turns: both intern halves that overlap, each commits its batch twice, and a
+    commit that was prepared from an old snapshot meets a conflict. By nation what is there in the end."""
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("nation"), F.round(F.col("c_acctbal") * 100).cast("long").alias("cents"), F.concat(F.lit("corp:c/"), F.col("c_custkey").cast("string"), F.lit(".py#c")).alias("curie"))
+    path = scratch.scratch(spark, "writers")
+    one, two = (outputs.Ledger(spark, f"{path}/ids") for _ in range(2))
+    one.intern(c.where("k % 3 <> 0").select("curie"))
+    old = one.log.snapshot(0)
+    two.intern(c.where("k % 3 <> 1").select("curie"))
+    try:
+        one.log.commit(old, rows={"ids": [(1, "corp:twice#x")]}, conflicts=lambda change: change.adds_to("ids"))
+    except commit_log.Conflict:
+        one.intern(c.select("curie"))
+    known = one.table("ids")
+    logs = [commit_log.CommitLog(spark, f"{path}/sums", {"cents": "k long, cents long"}) for _ in range(2)]
+    seen = logs[1].snapshot()
+    for batch in ("a", "a", "b"):
+        logs[0].commit(logs[0].snapshot(), {"cents": c.select("k", "cents")}, txn=batch)
+    logs[1].commit(seen, {"cents": c.select("k", "cents")}, txn="b")
+    cents = logs[1].snapshot().table("cents").groupBy("k").agg(F.sum("cents").alias("sum"))
+    store = outputs.FragmentStore(spark, f"{path}/store", 10**12)
+    payloads = c.select(F.sha2(F.col("k").cast("string"), 256).alias("key_sha256"), F.col("curie").alias("payload"), F.sha2("curie", 256).alias("payload_sha256"))
+    store.put(payloads)
+    store.put(payloads.withColumn("payload", F.lit("other")))  # not what its digest says
+    held = store.table().select(F.col("payload").alias("curie"), F.lit(1).alias("held"))
+    rows = c.join(known, "curie", "left").join(cents, "k", "left").join(held, "curie", "left")
+    greatest, versions = known.agg(F.max("id").cast("long")).first()[0], 2 + logs[1].snapshot().version + 1
+    return rows.groupBy("nation").agg(F.count("*").alias("customers"), F.count_distinct("id").alias("ids"), F.sum("sum").alias("cents"), F.count("held").alias("stored"), F.lit(greatest).alias("greatest"), F.lit(versions).alias("versions"))
+
+
 @query(
     """WITH m AS (SELECT doc_id, 'corp:' || source || '/' || doc_id || '.v1.md#' || doc_id || '-v1-' || CASE WHEN doc_id % 2 = 0 THEN 'type-def' ELSE 'x' END AS curie FROM documents)
 SELECT doc_id, curie, 'corp' AS corpus, regexp_extract(curie, ':([^#]+)#', 1) AS path, regexp_extract(curie, '#(.*)$', 1) AS slug, CASE WHEN doc_id % 2 = 0 THEN 'def' ELSE 'x' END AS kind FROM m"""
