@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.numbers import cost, planned_tokens
-from tessera.sources.scratch import materialise
+from tessera.sources.scratch import materialise, scratch
 
 
 #: An approval may be valid for a week.
@@ -212,11 +212,16 @@ def worst_status(runs: DataFrame, group: str) -> DataFrame:
     return runs.groupBy(group).agg(F.min_by("status", F.array_position(order, F.col("status"))).alias("status"))
 
 
-def target_relation(commits: DataFrame, built: str, target: str) -> str:
+#: Links between merges that the driver walks by itself; beyond, a round of jobs goes from merge to merge.
+HELD_LINKS = 500_000
+
+
+def target_relation(commits: DataFrame, built: str, target: str, held_links: int = HELD_LINKS) -> str:
     """current, behind or unknown: whether the built commit is the target, or an ancestor of it by commits(id, parent).
 
-    Runs of commits with one parent are crossed in rounds that double the steps; then a round goes from merge to merge,
-    until the built commit or nothing new is found.
+    Runs of commits with one parent are crossed in rounds that double the steps, which leaves merges, roots and the built commit.
+    Of their links, up to held_links are walked at once; more of them in rounds, each of which adds what it finds
+    to a table and reads it no more than once.
     """
     if built == target:
         return "current"
@@ -224,15 +229,34 @@ def target_relation(commits: DataFrame, built: str, target: str) -> str:
     single = links.groupBy("id").agg(F.count("*").alias("n"), F.min("parent").alias("end")).where((F.col("n") == 1) & (F.col("id") != built)).select(F.col("id").alias("start"), "end")
     ends = walk_ends(single)
 
-    def crossed(ids: DataFrame) -> DataFrame:
-        """The built commit, merges and roots that ids lead to; those that go around lead to none."""
-        return ids.join(ends, F.col("id") == F.col("start"), "left").where("around is null or not around").select(F.coalesce("end", "id").alias("id")).distinct()
-
-    frontier = materialise(crossed(commits.where(F.col("id") == target).select("id")), "ancestors")
-    known = frontier
-    while frontier.take(1):
+    def crossed(rows: DataFrame, name: str) -> DataFrame:
+        """The built commit, merges and roots that a column leads to; those that go around lead to none."""
+        return rows.join(ends, F.col(name) == F.col("start"), "left").where("around is null or not around").withColumn(name, F.coalesce("end", name)).drop("start", "end", "around").distinct()
+
+    first = crossed(commits.where(F.col("id") == target).select("id").distinct(), "id").first()
+    if first is None:
+        return "unknown"
+    # from merges alone: a link of a commit with one parent is crossed
+    merges = links.join(single, F.col("id") == F.col("start"), "left_anti")
+    ways = materialise(crossed(merges, "parent"), "merges")
+    if ways.count() <= held_links:
+        parents: dict[str, list[str]] = {}
+        for r in ways.toLocalIterator():
+            parents.setdefault(r["id"], []).append(r["parent"])
+        seen, todo = {first["id"]}, [first["id"]]
+        while todo:
+            new = set(parents.get(todo.pop(), ())) - seen
+            seen |= new
+            todo += new
+        return "behind" if built in seen else "unknown"
+    spark, path, k = commits.sparkSession, scratch(commits.sparkSession, "ancestors"), 0
+    spark.createDataFrame([first], "id string").write.parquet(f"{path}/round=0")
+    while True:
+        known = spark.read.schema("id string, round int").parquet(path)
+        frontier = known.where(F.col("round") == k).select("id")
+        if not frontier.take(1):
+            return "unknown"
         if frontier.where(F.col("id") == built).take(1):
             return "behind"
-        frontier = materialise(crossed(links.join(frontier, "id").select(F.col("parent").alias("id"))).join(known, "id", "left_anti"), "ancestors")
-        known = materialise(known.unionByName(frontier), "ancestors")
-    return "unknown"
+        k += 1
+        ways.join(frontier, "id").select(F.col("parent").alias("id")).distinct().join(known.select("id"), "id", "left_anti").write.parquet(f"{path}/round={k}")

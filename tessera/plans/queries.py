@@ -669,10 +669,22 @@ def run_status(spark, sf_dir):
     return state.worst_status(rows, "run")
 
 
-@query("SELECT * FROM (VALUES ('a3', 'a3', 'current'), ('a1', 'a3', 'behind'), ('b1', 'a3', 'unknown')) AS v(built, target, relation)")
+@query(
+    """WITH e AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders) SELECT unnest(['o', 'o', 'o', 's', 'o']) || unnest([lo, hi, hi, lo, lo]) AS built, unnest(['o', 'o', 's', 'o', 's']) || unnest([hi, lo, hi, hi, lo]) AS target,
+  unnest(['behind', 'unknown', 'behind', 'unknown', 'behind']) AS relation FROM e"""
+)
 def commit_relation(spark, sf_dir):
-    commits = spark.createDataFrame([("a1", None), ("a2", "a1"), ("a3", "a2"), ("b1", "a1")], "id string, parent string")
-    cases = [("a3", "a3"), ("a1", "a3"), ("b1", "a3")]
+    """A history made of orders: each follows the one before, each fifth merges the one two before that too, and each has a
+    side commit that nothing follows. How the ends of the history stand to one another."""
+    key = F.col("o_orderkey")
+    o = entity.global_rank(_t(spark, sf_dir, "orders").select("o_orderkey").distinct(), "o_orderkey")
+    name = lambda kind, c: F.concat(F.lit(kind), c.cast("string"))
+    before = o.select((F.col("rank") + 1).alias("rank"), key.alias("before"))
+    older = o.where("rank % 5 = 2").select((F.col("rank") + 3).alias("rank"), key.alias("before"))
+    main = o.join(before.unionByName(older), "rank", "left").select(name("o", key).alias("id"), name("o", F.col("before")).alias("parent"))
+    commits = scratch.materialise(main.unionByName(o.select(name("s", key).alias("id"), name("o", key).alias("parent"))), "history")
+    lo, hi = o.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    cases = [(f"o{lo}", f"o{hi}"), (f"o{hi}", f"o{lo}"), (f"o{hi}", f"s{hi}"), (f"s{lo}", f"o{hi}"), (f"o{lo}", f"s{lo}")]
     return spark.createDataFrame([(a, b, state.target_relation(commits, a, b)) for a, b in cases], "built string, target string, relation string")
 
 

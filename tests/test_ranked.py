@@ -75,3 +75,21 @@ def test_a_band_of_all_rows_is_not_one_task(spark):
     assert own == [int(i * (1000 / 30)) for i in range(30)] and picked.columns == ["band", "pos", "rank", "n_available", "k"]
     assert picked.where("band = 'c'").count() == 3
     assert "Window" not in entity.clerical_sample(rows, "band", "pos")._jdf.queryExecution().executedPlan().toString().replace("Window [sum", "")
+
+
+@pytest.mark.parametrize("held", [10**6, 0])
+def test_relation_to_a_target_over_merges(spark, held):
+    from tessera.operators.state import target_relation
+
+    r = random.Random(11)
+    parents = {k: {r.randrange(max(0, k - 4), k) for _ in range(r.choice([1, 1, 1, 2, 3]))} if k % 13 else set() for k in range(40)}
+    commits = spark.createDataFrame([(f"c{k}", f"c{p}" if p is not None else None) for k, own in parents.items() for p in own or [None]], "id string, parent string")
+    for built, target in ((1, 12), (12, 1), (14, 25), (13, 25), (27, 38), (30, 39), (5, 5), (20, 21)):
+        above, todo = {target}, [target]
+        while todo:
+            new = parents[todo.pop()] - above
+            above |= new
+            todo += new
+        wanted = "current" if built == target else "behind" if built in above else "unknown"
+        assert target_relation(commits, f"c{built}", f"c{target}", held) == wanted
+    assert target_relation(commits, "c1", "none", held) == "unknown"
