@@ -237,7 +237,16 @@ def graph_freshness(spark, sf_dir):
     return spark.createDataFrame([(*c, graph.freshness(*c)) for c in cases], "head string, caller string, dirty string, equivalent string, status string")
 
 
-@query()
+def _ranked_sql(rounds: int) -> str:
+    each = ", ".join(
+        f"r{k + 1} AS (SELECT id, sum(score) AS score FROM (SELECT target AS id, 0.85::DOUBLE * score * p AS score FROM step JOIN r{k} ON source = id UNION ALL SELECT id, share * 0.15::DOUBLE FROM base) GROUP BY id)"
+        for k in range(rounds)
+    )
+    return f""", degree AS (SELECT source, count(*) AS degree FROM links GROUP BY source), step AS (SELECT source, target, count(*)::DOUBLE / any_value(degree) AS p FROM links JOIN degree USING (source) GROUP BY source, target),
+base AS (SELECT unnest(['order:1', 'order:2']) AS id, 0.5::DOUBLE AS share), r0 AS (SELECT id, share AS score FROM base), {each} SELECT id, round(score, 9) AS score FROM r{rounds}"""
+
+
+@query(trade_graph.with_sql(_ranked_sql(4)))
 def graph_rank(spark, sf_dir):
     """An extension: nodes by personalised rank from two seeds."""
     links = trade_graph.links(spark, sf_dir)
@@ -805,11 +814,23 @@ def vec_upsert(spark, sf_dir):
     return vectors.upsert(vectors.twins(v), new).select("chunk_id", F.col("vec")[0].cast("double").alias("x"))
 
 
-@query()
+@query(
+    """WITH v AS (SELECT vec_id, 'v' || vec_id AS chunk_id, embedding::DOUBLE[] AS x FROM embeddings), q AS (SELECT x AS y FROM v WHERE vec_id = 0)
+SELECT chunk_id, round(list_dot_product(x, y) / (sqrt(list_dot_product(x, x)) * sqrt(list_dot_product(y, y))), 9) AS score FROM v, q ORDER BY score DESC, chunk_id LIMIT 10"""
+)
 def vec_nearest(spark, sf_dir):
     """An extension: the ten vectors nearest to the first."""
     v = vectors.twins(_vectors(spark, sf_dir))
-    return vectors.nearest(v, v.where("chunk_id = 'v0'").first()["vec"])
+    return vectors.nearest(v, v.where("chunk_id = 'v0'").first()["vec"]).select("chunk_id", F.round("score", 9).alias("score"))
+
+
+@query()
+def vec_two_stage(spark, sf_dir):
+    """About the ten nearest of all vectors to each whose id is divisible by a hundred, by bit codes and then by cosine."""
+    e = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("chunk_id"), F.col("embedding").alias("vec"))
+    path = scratch.once(spark, "codes", [f"{sf_dir}/embeddings.parquet"], lambda path: vectors.BitIndex.build(e, path) and None)
+    asked = e.where("chunk_id % 100 = 0").select(F.col("chunk_id").alias("query_id"), "vec")
+    return vectors.BitIndex.load(spark, path).search(asked).select("query_id", "rank", "chunk_id", F.round("score", 9).alias("score"))
 
 
 # --- paging ----------------------------------------------------------------------------------------------------------

@@ -93,3 +93,48 @@ def test_relation_to_a_target_over_merges(spark, held):
         wanted = "current" if built == target else "behind" if built in above else "unknown"
         assert target_relation(commits, f"c{built}", f"c{target}", held) == wanted
     assert target_relation(commits, "c1", "none", held) == "unknown"
+
+
+def _nearest(rows, queries, k):
+    import numpy as np
+
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return {q: [int(ids[j]) for j in np.lexsort((ids, -np.round(x @ (np.array(v) / np.linalg.norm(v)), 12)))[:k]] for q, v in queries}
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_two_stages_recall_most_neighbours(spark, sf_dir, sf):
+    from tessera.plans.queries import QUERIES
+
+    folder = sf_dir.replace("sf0.001", sf)
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    exact = _nearest(rows, [r for r in rows if r[0] % 100 == 0], 10)
+    found = {}
+    for r in QUERIES["vec_two_stage"](spark, folder).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append(r["chunk_id"])
+    assert found.keys() == exact.keys() and all(len(x) == 10 and x[0] == q for q, x in found.items())
+    assert sum(len(set(found[q]) & set(exact[q])) for q in exact) >= 0.9 * 10 * len(exact)
+
+
+def test_near_vectors_are_found_by_the_index_alone(spark, tmp_path, monkeypatch):
+    import numpy as np
+
+    from tessera.operators.vectors import BitIndex
+
+    draw = np.random.default_rng(3)
+    centres = draw.standard_normal((20, 32))
+    rows = [(k, (centres[k % 20] + 0.03 * draw.standard_normal(32)).tolist()) for k in range(400)] + [(1000 + k, centres[3].tolist()) for k in range(30)]
+    odd = [(None, [1.0] * 32), (2000, None), (2001, []), (2002, [float("nan")] * 32), (2003, [1.0, 2.0]), (2004, [0.0] * 32)]
+    index = BitIndex.build(spark.createDataFrame(rows + odd, "chunk_id long, vec array<double>"), str(tmp_path / "i"))
+    queries = [(k, centres[k].tolist()) for k in range(20)]
+    asked = spark.createDataFrame(queries + [(None, [1.0] * 32), (50, None), (51, [])], "query_id long, vec array<double>")
+    with monkeypatch.context() as m:
+        m.setattr(BitIndex, "_scanned", lambda self, rest, k: rest.where("raise_error('scanned') is null").selectExpr("query_id", "cast(null as bigint) chunk_id", "cast(null as double) score"))
+        found = {}
+        for r in index.search(asked).orderBy("query_id", "rank").collect():
+            found.setdefault(r["query_id"], []).append(r["chunk_id"])
+    assert found == _nearest(rows, queries, 10) and found[3] == list(range(1000, 1010))
+    # those that the index does not reach, and those of other sizes, by every code
+    far = index.search(spark.createDataFrame([(7, [1.0, 1.0]), (8, (-centres[5]).tolist())], "query_id long, vec array<double>"), k=3).orderBy("query_id", "rank").collect()
+    assert [r["chunk_id"] for r in far if r["query_id"] == 7] == [2003] and len([r for r in far if r["query_id"] == 8]) == 3
