@@ -54,10 +54,19 @@ def scratch(spark: SparkSession, name: str) -> str:
     return _made[-1]
 
 
-def materialise(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Cuts the lineage: writes df as Parquet to the shared folder and reads it back."""
+#: Narrow rows of a file, where a table's number of rows is known to be bound.
+FILE_ROWS = 250_000
+
+
+def materialise(df: DataFrame, name: str, compression: str = "zstd", most_rows: int | None = None) -> DataFrame:
+    """Cuts the lineage: writes df as Parquet to the shared folder and reads it back.
+
+    most_rows: a bound of the number of narrow rows, so that a small table is few files, however many partitions it comes from.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
+    if most_rows is not None:
+        df = df.coalesce(max(1, -(-most_rows // FILE_ROWS)))
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
