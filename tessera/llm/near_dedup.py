@@ -230,6 +230,7 @@ class _Run:
         sketch = self.sketches.where("digest is not null").join(self.classes.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("rep")), "left_semi")
         # rows that repeat a doc_id with one text are one; with several texts each set keeps its row
         self.reps = common.materialise(sketch.dropDuplicates(["doc_id", "digest"]), "reps")
+        self.n = self.reps.count()
 
     def buckets(self) -> DataFrame:
         """(key, id, leader) of band keys that several representatives have."""
@@ -241,7 +242,7 @@ class _Run:
         """(unit, id): the connected buckets, or a bucket alone where those have too many members."""
         whole = self.components(star)
         sizes = whole.groupBy("comp").agg(F.count("*").alias("n")).withColumn("large", F.col("n") > self.p.unit)
-        placed = common.materialise(whole.join(sizes, "comp").select("id", "comp", "large"), "placed")
+        placed = common.materialise(whole.join(sizes, "comp").select("id", "comp", "large"), "placed", most_rows=self.n)
         large = placed.where("large").select("id")
         alone = buckets.join(large, "id").select(F.concat(F.lit("b"), F.col("key").cast("string")).alias("unit"), "id")
         return placed.where("not large").select(F.concat(F.lit("c"), F.col("comp").cast("string")).alias("unit"), "id").unionByName(alone)
@@ -254,7 +255,7 @@ class _Run:
         about = member.groupBy("unit").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.mode("comp").alias("most"), F.count("*").alias("docs"), F.sum("n").alias("shingles")).where("lo <> hi")
         chunks = lambda docs, n: F.greatest(F.ceil(docs / p.chunk_docs), F.ceil(n / p.chunk_shingles)).cast("int")
         # a table of its own, so that the join's shuffle can be split where a unit has many members
-        about = common.materialise(about.select("unit", (chunks(F.col("docs"), F.col("shingles")) == 1).alias("one"), "most"), "about")
+        about = common.materialise(about.select("unit", (chunks(F.col("docs"), F.col("shingles")) == 1).alias("one"), "most"), "about", most_rows=self.n)
         rows = common.materialise(member.join(about, "unit").withColumn("inner", ~F.col("one") & (F.col("comp") == F.col("most"))), "members")
         counts = rows.where("not one").groupBy("unit").agg(
             *[f(F.when(F.col("inner") == inner, v)).alias(name) for name, inner, f, v in (("s_docs", False, F.count, F.lit(1)), ("s_n", False, F.sum, F.col("n")), ("g_docs", True, F.count, F.lit(1)), ("g_n", True, F.sum, F.col("n")))]
@@ -299,13 +300,14 @@ class _Run:
 
     def components(self, edges: DataFrame) -> DataFrame:
         """(id, comp) of all that have a link: comp is the least id that links lead to."""
-        both = common.materialise(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-        labels = common.materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("comp")), "labels")
+        most = 2 * edges.count()
+        both = common.materialise(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges", most_rows=most)
+        labels = common.materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("comp")), "labels", most_rows=most)
         while True:
             heard = both.join(labels.select(F.col("id").alias("b"), F.col("comp").alias("c")), "b").groupBy("a").agg(F.min("c").alias("c"))
             new = labels.join(heard, labels["id"] == heard["a"]).select("id", F.least("comp", "c").alias("comp"), F.col("comp").alias("was"))
             far = labels.select(F.col("id").alias("comp"), F.col("comp").alias("on"))  # and on to where the label's own label leads
-            new = common.materialise(new.join(far, "comp").select("id", F.least("comp", "on").alias("comp"), "was"), "labels")
+            new = common.materialise(new.join(far, "comp").select("id", F.least("comp", "on").alias("comp"), "was"), "labels", most_rows=most)
             if not new.where("comp <> was").take(1):
                 return new.select("id", "comp")
             labels = new.select("id", "comp")
