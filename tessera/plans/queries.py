@@ -11,7 +11,7 @@ from tessera.functions import numbers, text
 from tessera.operators import admission, build, checks, entity, graph, paging, ranked, refresh, resolve, state, symbols, vectors
 from tessera.plans import trade_graph
 from tessera.sources import commit_log, outputs, scratch, snapshots
-from tessera.streaming import windows
+from tessera.streaming import ledger, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -599,6 +599,22 @@ def ledger_classify(spark, sf_dir):
     return state.classify(e, "user_id", "ts", "event_id", "fingerprint", users)
 
 
+@query(
+    """WITH e AS (SELECT * FROM events WHERE event_id % 10 = 0), m AS (SELECT epoch_ms(max(ts)) - 3600000 AS now FROM e),
+n AS (SELECT user_id, arg_max(struct_pack(ts := ts, id := event_id, kind := event_type), struct_pack(t := ts, e := event_id)) AS x FROM e GROUP BY user_id)
+SELECT CAST(user_id AS VARCHAR) AS key, x.ts AS ts, x.id AS row_id, x.kind AS fingerprint, CASE WHEN epoch_ms(x.ts) + 604800000 <= now THEN 'stale' ELSE 'valid' END AS status FROM n, m"""
+)
+def ledger_stream(spark, sf_dir):
+    """A tenth of the events as a stream of files, half of which come after a restart: what is valid and stale in the end."""
+    e = _t(spark, sf_dir, "events").where("event_id % 10 = 0").select(F.col("user_id").cast("string").alias("key"), F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("row_id"), F.col("event_type").alias("fingerprint"))
+    path = scratch.scratch(spark, "ledger-stream")
+    middle = e.agg(F.timestamp_seconds((F.min(F.unix_timestamp("at")) + F.max(F.unix_timestamp("at"))) / 2)).first()[0]
+    for part in (F.col("at") < F.lit(middle), F.col("at") >= F.lit(middle)):
+        e.where(part).repartitionByRange(2, "at").write.mode("append").parquet(f"{path}/in")
+        ledger.follow(spark, spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in"), f"{path}/out", f"{path}/state")
+    return ledger.states(spark, f"{path}/out").withColumn("at", F.col("at").cast("timestamp_ntz")).withColumnRenamed("at", "ts")
+
+
 @query("SELECT event_id, ts, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1")
 def ledger_latest(spark, sf_dir):
     return state.latest(_t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"), "user_id", "ts", "event_id")

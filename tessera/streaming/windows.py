@@ -1,4 +1,4 @@
-"""Streams, an extension: event windows, a fragment cache filled from new files, and a ledger's latest state."""
+"""Streams, an extension: event windows, and a fragment cache filled from new files."""
 
 from __future__ import annotations
 
