@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -115,24 +116,35 @@ def int8_scale(vector: Column) -> Column:
     return F.greatest(F.array_max(F.transform(vector, F.abs)), F.lit(1e-12).cast("float")).cast("double") / 127
 
 
+def _stacked(vectors: pd.Series) -> Iterator[tuple[list[int], np.ndarray]]:
+    """The vectors of a batch as one array for each number of components, with their places; nulls are in none."""
+    places: dict[int, list[int]] = {}
+    for k, v in enumerate(vectors):
+        if v is not None:
+            places.setdefault(len(v), []).append(k)
+    for size, at in places.items():
+        yield at, np.array([vectors.iloc[k] for k in at], np.float32).reshape(len(at), size)
+
+
 @F.pandas_udf(T.ArrayType(T.ByteType()))
 def to_int8(vectors: pd.Series) -> pd.Series:
     """Symmetric quantisation in single precision, halves to even."""
-
-    def one(v):
-        if v is None:
-            return None
-        v = np.asarray(v, np.float32)
-        scale = np.float32(max(float(np.abs(v).max(initial=0)), 1e-12)) / np.float32(127)
-        return np.clip(np.rint(v / scale), -127, 127).astype(np.int8)
-
-    return vectors.map(one)
+    out: list = [None] * len(vectors)
+    for at, x in _stacked(vectors):
+        scale = np.maximum(np.abs(x).max(axis=1, initial=0), np.float32(1e-12)) / np.float32(127)
+        for k, row in zip(at, np.clip(np.rint(x / scale[:, None]), -127, 127).astype(np.int8), strict=True):
+            out[k] = row
+    return pd.Series(out)
 
 
 @F.pandas_udf(T.BinaryType())
 def to_bits(vectors: pd.Series) -> pd.Series:
     """One bit for each component above 0, the first component in the highest bit of the first byte."""
-    return vectors.map(lambda v: None if v is None else np.packbits(np.asarray(v, np.float32) > 0).tobytes())
+    out: list = [None] * len(vectors)
+    for at, x in _stacked(vectors):
+        for k, row in zip(at, np.packbits(x > 0, axis=1), strict=True):
+            out[k] = row.tobytes()
+    return pd.Series(out, dtype=object)
 
 
 def hamming(a: Column, b: Column) -> Column:

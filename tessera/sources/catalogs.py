@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from tessera.sources import json_stream
 from tessera.sources.scratch import materialise
 
+#: Bytes of an archive that is read as a row.
+WHOLE_BYTES = 1 << 30
 MAX_MEMBERS, MAX_MEMBER_BYTES, MAX_ARCHIVE_BYTES, MAX_CATALOG_BYTES = 100_000, 1 << 30, 8 << 30, 16 << 20
 REPOSITORY, HEAD, ARCHIVE = r"^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+$", r"^([0-9a-f]{40}|[0-9a-f]{64})$", r"^[A-Za-z0-9][A-Za-z0-9_.-]*\.tar\.gz$"
 
@@ -244,8 +246,25 @@ def staged(wanted: DataFrame, contents: DataFrame) -> DataFrame:
 
 
 def verified_archives(spark: SparkSession, entries: DataFrame, folder: str) -> DataFrame:
-    """(archive, fault) of catalogue entries whose archive below a folder is missing, or has another size or digest."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar.gz").load(folder)
-    f = found.select(F.element_at(F.split("path", "/"), -1).alias("_a"), F.col("length").alias("_n"), F.sha2("content", 256).alias("_s"))
+    """(archive, fault) of catalogue entries whose archive below a folder is missing, or has another size or digest.
+
+    An archive of over WHOLE_BYTES is digested as a stream, in the driver's JVM, for it can't be a row; a catalogue has
+    few entries.
+    """
+    every = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar.gz").load(folder)
+    name = F.element_at(F.split("path", "/"), -1).alias("_a")
+    f = every.where(F.col("length") <= WHOLE_BYTES).select(name, F.col("length").alias("_n"), F.sha2("content", 256).alias("_s"))
+    large = every.where(F.col("length") > WHOLE_BYTES).select("path", "length").collect()
+    if large:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        rows = []
+        for r in large:
+            at = jvm.org.apache.hadoop.fs.Path(r["path"])
+            stream = at.getFileSystem(conf).open(at)
+            try:
+                rows.append((r["path"].rpartition("/")[2], r["length"], jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)))
+            finally:
+                stream.close()
+        f = f.unionByName(spark.createDataFrame(rows, "_a string, _n long, _s string"))
     fault = F.when(F.col("_a").isNull(), "missing").when(F.col("_n") != F.col("bytes"), "other_size").when(F.col("_s") != F.col("sha256"), "other_content")
     return entries.join(f, F.col("archive") == F.col("_a"), "left").select("archive", fault.alias("fault")).where("fault is not null")

@@ -185,3 +185,39 @@ def test_a_pointer_is_always_there(spark, tmp_path):
     assert [p.name for p in (tmp_path / "s").iterdir() if not p.name.startswith(".")] == ["_latest"]
     with pytest.raises(FileNotFoundError):
         snapshots.pointed(spark, path, "current")
+
+
+def test_large_archives_are_digested_as_streams(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    sizes = {"a.tar.gz": 10, "b.tar.gz": 3_000_000, "c.tar.gz": 2_000_000}
+    for name, n in sizes.items():
+        (tmp_path / name).write_bytes(name.encode() * (n // 8))
+    digest = lambda name: hashlib.sha256((tmp_path / name).read_bytes()).hexdigest()
+    rows = [(name, digest(name) if name != "c.tar.gz" else "0" * 64, (tmp_path / name).stat().st_size) for name in sizes] + [("d.tar.gz", "0" * 64, 1)]
+    entries = spark.createDataFrame(rows, "archive string, sha256 string, bytes long")
+    wanted = {("c.tar.gz", "other_content"), ("d.tar.gz", "missing")}
+    assert {tuple(r) for r in catalogs.verified_archives(spark, entries, str(tmp_path)).collect()} == wanted
+    monkeypatch.setattr(catalogs, "WHOLE_BYTES", 1000)
+    assert {tuple(r) for r in catalogs.verified_archives(spark, entries, str(tmp_path)).collect()} == wanted
+
+
+def test_trusted_digests_and_staged_contents(spark):
+    import hashlib
+
+    files = spark.createDataFrame([("o1", b"a"), ("o2", b"b"), ("o2", b"b"), (None, b"c")], "blob_oid string, content binary")
+    known = spark.createDataFrame([(2, "o1", "late"), (1, "o1", "trusted"), (1, "o9", "other")], "ord int, blob_oid string, sha256 string")
+    own = lambda b: hashlib.sha256(b).hexdigest()
+    assert sorted((r["blob_oid"] or "", r["sha256"]) for r in state.trusted_digest(files, known).collect()) == [("", own(b"c")), ("o1", "trusted"), ("o2", own(b"b")), ("o2", own(b"b"))]
+    wanted = spark.createDataFrame([("p", own(b"a")), ("q", own(b"b")), ("r", own(b"c"))], "path string, sha256 string")
+    contents = spark.createDataFrame([("p", own(b"a"), b"a"), ("q", own(b"b"), b"x"), ("z", own(b"c"), b"c")], "path string, sha256 string, content binary")
+    assert {(r["path"], r["content"] and bytes(r["content"])) for r in catalogs.staged(wanted, contents).collect()} == {("p", b"a"), ("q", None), ("r", None)}
+
+
+def test_candidate_paths_and_canonical_links(spark):
+    from tessera.operators import resolve
+
+    refs = spark.createDataFrame([(["a", "b"],), (["b"],), ([],), (None,)], "candidates array<string>")
+    assert {r["path"] for r in resolve.candidate_paths(refs).collect()} == {"a", "b"}
+    links = spark.createDataFrame([("f", "s", "t", "x", 5), ("f", "s", "t", "x", 2), ("f", "a", "t", "x", 9), ("e", "z", "t", "y", 7), ("f", "s", "t", "y", 1)], "source_file string, source string, target string, type string, ord long")
+    assert [tuple(r) for r in resolve.canonical_links(links).collect()] == [("e", "z", "t", "y", 7), ("f", "a", "t", "x", 9), ("f", "s", "t", "x", 2), ("f", "s", "t", "y", 1)]
