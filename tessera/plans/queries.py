@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import numbers, text
-from tessera.operators import admission, build, checks, entity, graph, paging, ranked, refresh, resolve, state, symbols, vectors
+from tessera.operators import admission, build, checks, entity, graph, paging, proofs, ranked, refresh, resolve, state, symbols, vectors
 from tessera.plans import trade_graph
 from tessera.sources import commit_log, outputs, scratch, snapshots
 from tessera.streaming import ledger, windows
@@ -549,6 +549,32 @@ def input_digest(spark, sf_dir):
     return state.input_digest(files, "lang")
 
 
+@query(
+    """WITH l AS (SELECT DISTINCT lang AS slice, sha256(source || '/' || doc_id || chr(31) || sha256(text)) AS d FROM documents),
+b AS (SELECT slice, d[:2] AS prefix, sha256(string_agg(d, '' ORDER BY d)) AS digest FROM l GROUP BY ALL),
+m AS (SELECT slice, prefix[:1] AS prefix, sha256(string_agg(prefix[2:2] || ':' || digest, '' ORDER BY prefix)) AS digest FROM b GROUP BY slice, prefix[:1])
+SELECT slice, 0 AS level, '' AS prefix, sha256(string_agg(prefix || ':' || digest, '' ORDER BY prefix)) AS digest FROM m GROUP BY slice UNION ALL SELECT slice, 1, prefix, digest FROM m UNION ALL SELECT slice, 2, prefix, digest FROM b"""
+)
+def slice_tree(spark, sf_dir):
+    """The hash trees of documents by language, two digits deep."""
+    return proofs.tree(_slices(spark, sf_dir), 2)
+
+
+@query(
+    """WITH l AS (SELECT lang AS slice, doc_id, doc_id % 50 = 0 AS other, sha256(source || '/' || doc_id || chr(31) || sha256(text)) AS d, sha256(source || '/' || doc_id || chr(31) || '0') AS o FROM documents)
+SELECT DISTINCT slice, unnest([d[:2], o[:2]]) AS prefix FROM l WHERE other"""
+)
+def slice_tree_changes(spark, sf_dir):
+    """Where the trees differ if the contents of every fiftieth document are others."""
+    now = _slices(spark, sf_dir)
+    then = now.withColumn("sha256", F.when(F.col("doc_id") % 50 == 0, "0").otherwise(F.col("sha256")))
+    return proofs.changed(proofs.tree(then, 2), proofs.tree(now, 2), 2)
+
+
+def _slices(spark, sf_dir) -> DataFrame:
+    return _t(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("slice"), F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), F.sha2("text", 256).alias("sha256"))
+
+
 @query(
     """WITH r AS (SELECT DISTINCT o_orderpriority, unnest(['supplier/' || o_custkey, 'customer/' || o_custkey, 'nobody/' || o_custkey]) AS path FROM orders),
 i AS (SELECT 'customer/' || c_custkey AS path, 'c' || (c_custkey % 4) AS slice FROM customer UNION ALL SELECT 'supplier/' || s_suppkey, 's' FROM supplier),
