@@ -115,11 +115,10 @@ def learn(docs: DataFrame, held_out_fold: int | None = 0, folds: int = 5) -> Lan
 def identify(docs: DataFrame, model: LanguageModel, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """docs with lang_pred and score, or columns of other names. Null text, or no letter in it: und, 0.
 
-    Only the text is looked at. Repeated rows, null ids and other columns stay. A docs that has a column of one of the two
-    names is an error: common.unused gives names that it lacks. An empty table gives an empty one. Nothing is shuffled.
+    Only the text is looked at. Repeated rows, null ids and other columns stay; a column of docs that has one of the
+    two names is replaced, and common.unused gives names that it lacks. An empty table gives an empty one. Nothing is shuffled.
     """
-    if set(out) & set(docs.columns):
-        raise ValueError(f"docs has a column of one of the names {out}")
+    docs = docs.drop(*out)
     kept, schema = docs.columns, docs.select("*").schema.add(out[0], "string").add(out[1], "double")
     at = kept.index("text")
 

@@ -120,8 +120,8 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([slots.astype("<i4").tobytes()], pa.binary()), pa.array([model.weights[slots].astype("<f4").tobytes()], pa.binary()), pa.array([model.bias])], names=["slots", "weights", "bias"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, folds: int = 3) -> ToxicityModel:
-    """Fits, in one task, on a bounded sample of labels(doc_id, toxic) with their docs(doc_id, text), outside the held-out fold.
+def drawn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, folds: int = 3) -> DataFrame:
+    """(dice, doc_id, toxic, slots): the bounded sample of labels(doc_id, toxic) with their docs(doc_id, text), outside the held-out fold.
 
     A doc_id with several labels counts as toxic if one of them says so; labels without a doc_id or a 0 or 1 are left
     out. Of several texts of one doc_id that of the least hash is taken.
@@ -145,11 +145,16 @@ def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, fol
         if total > SAMPLE_SLOTS:
             break
         last = r["dice"]
-    if last is None:
-        return ToxicityModel.fit_slots([], [])
+    return sample.where(F.col("dice") <= F.lit(last) if last is not None else F.lit(False)).select("dice", "doc_id", "toxic", "slots")
+
+
+def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, folds: int = 3) -> ToxicityModel:
+    """Fits, in one task, on the rows that drawn gives. No row: a model that knows nothing."""
     # in order of the hash, whatever files the rows were in, so that sums are the same in each run
-    drawn = sample.where(F.col("dice") <= F.lit(last)).repartition(1).sortWithinPartitions("dice", "doc_id").select("toxic", "slots")
-    fitted = common.materialise(common.slim_batches(drawn).mapInArrow(_fit, "slots binary, weights binary, bias double"), "weights").first()
+    rows = drawn(docs, labels, held_out_fold, folds).repartition(1).sortWithinPartitions("dice", "doc_id").select("toxic", "slots")
+    fitted = common.materialise(common.slim_batches(rows).mapInArrow(_fit, "slots binary, weights binary, bias double"), "weights").first()
+    if fitted is None:
+        return ToxicityModel.fit_slots([], [])
     weights = np.zeros(1 << BITS, np.float32)
     weights[np.frombuffer(fitted["slots"], "<i4")] = np.frombuffer(fitted["weights"], "<f4")
     return ToxicityModel(weights, fitted["bias"])
@@ -158,11 +163,10 @@ def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, fol
 def score(docs: DataFrame, model: ToxicityModel, toxic_from: float = TOXIC, out: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """docs with score and predicted, or columns of other names. Null text counts as empty, and empty texts get the bias alone.
 
-    Only the text is looked at. Repeated rows, null ids and other columns stay. A docs that has a column of one of the two
-    names is an error: common.unused gives names that it lacks. An empty table gives an empty one. Nothing is shuffled.
+    Only the text is looked at. Repeated rows, null ids and other columns stay; a column of docs that has one of the
+    two names is replaced, and common.unused gives names that it lacks. An empty table gives an empty one. Nothing is shuffled.
     """
-    if set(out) & set(docs.columns):
-        raise ValueError(f"docs has a column of one of the names {out}")
+    docs = docs.drop(*out)
     kept, schema = docs.columns, docs.select("*").schema.add(out[0], "double").add(out[1], "integer")
     at = kept.index("text")
 

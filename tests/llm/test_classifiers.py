@@ -186,13 +186,13 @@ def test_queries_of_null_ids(spark, tmp_path):
 def test_samples_of_repeated_and_long_rows_stay_bounded(spark, monkeypatch):
     rows = [(k % 3, f"text number {k} " * (2000 if k % 7 == 0 else 2), k % 2) for k in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    seen = []
-    exact = toxicity.ToxicityModel.fit_slots
-    monkeypatch.setattr(toxicity.ToxicityModel, "fit_slots", classmethod(lambda cls, rows, toxic: seen.append(len(rows)) or exact(rows, toxic)))
-    toxicity.learn(docs, docs.select("doc_id", "toxic"), held_out_fold=None)
-    monkeypatch.setattr(toxicity, "SAMPLE_SLOTS", 60)
-    toxicity.learn(docs, docs.select("doc_id", "toxic"), held_out_fold=None)
-    assert seen[0] == 3 and seen[1] < 3
+    labels = docs.select("doc_id", "toxic")
+    assert toxicity.drawn(docs, labels, held_out_fold=None).count() == 3
+    assert toxicity.learn(docs, labels, held_out_fold=None).weights.shape == (1 << toxicity.BITS,)
+    for most in (60, 1):
+        monkeypatch.setattr(toxicity, "SAMPLE_SLOTS", most)
+        assert toxicity.drawn(docs, labels, held_out_fold=None).count() < 3
+        assert 0 <= toxicity.learn(docs, labels, held_out_fold=None).score(["text"])[0] <= 1
 
 
 def test_fit_keeps_no_more_than_the_slots_that_tell():

@@ -38,11 +38,10 @@ def test_stages_keep_the_values_of_all_columns(spark, sf_dir, ids):
         assert {(r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in out} <= wanted
 
 
-def test_classifiers_refuse_names_that_are_taken(spark):
+def test_classifiers_take_names_that_are_free(spark):
     docs = cases.docs(spark)
-    for run in (lambda: language.identify(docs, language.LanguageModel.fit([], [])), lambda: toxicity.score(docs, toxicity.ToxicityModel.fit([], []))):
-        with pytest.raises(ValueError, match="has a column"):
-            run()
+    for found, own in ((language.identify(docs, language.LanguageModel.fit([], []), out=("a1", "a2")), {"lang_pred", "score"}), (toxicity.score(docs, toxicity.ToxicityModel.fit([], []), out=("a1", "a2")), {"predicted", "score"})):
+        assert found.columns == [*docs.columns, "a1", "a2"] and all(r[c] == 7 for r in found.collect() for c in own)
     assert common.unused(docs, "SIZE", "size", "new") == ["_SIZE", "__size", "new"]
 
 
