@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.sources.scratch import drop, materialise, scratch, shared_dir
 
-__all__ = ["blocks", "code_points", "drop", "fold", "gram_slots", "letter_runs", "letters", "materialise", "packed", "packed_slots", "raw", "scratch", "shared_dir", "slim", "slim_batches", "table", "unpacked", "unused", "whole"]
+__all__ = ["blocks", "code_points", "drop", "fold", "gram_slots", "letter_runs", "letters", "materialise", "packed", "packed_slots", "raw", "scratch", "shared_dir", "slim", "slim_batches", "table", "trimmed", "unpacked", "unused", "whole"]
 
 #: A word, in every operator: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -51,6 +52,18 @@ def slim_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def trimmed(run):
+    """run over the batches of a task; what it has freed goes back to the system when the task ends, for its worker stays and may
+    have another stage's work next."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)(0)
+
+    return whole
+
+
 def fold(doc_id: str, by: int) -> Column:
     """crc32 of doc_id as text, modulo by."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(by))
@@ -138,7 +151,7 @@ def packed_slots(rows: DataFrame, name: str, orders: range, bits: int) -> DataFr
                 sizes.append(len(own))
             yield pa.RecordBatch.from_arrays([*[c for k, c in enumerate(batch.columns) if k != at], pa.array(made, pa.binary()), pa.array(sizes, pa.int64())], names=[*kept, "slots", "n_slots"])
 
-    return slim_batches(rows).mapInArrow(run, rows.select(*kept).schema.add("slots", "binary").add("n_slots", "long"))
+    return slim_batches(rows).mapInArrow(trimmed(run), rows.select(*kept).schema.add("slots", "binary").add("n_slots", "long"))
 
 
 def gram_slots(c: np.ndarray, orders: range, bits: int) -> np.ndarray:

@@ -129,4 +129,4 @@ def identify(docs: DataFrame, model: LanguageModel, out: tuple[str, str] = ("lan
                 names, scores = model.predict(texts.slice(a, b - a).to_pylist())
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(names, pa.string()), pa.array(scores)], names=[*kept, *out])
 
-    return common.slim_batches(docs).mapInArrow(run, schema)
+    return common.slim_batches(docs).mapInArrow(common.trimmed(run), schema)

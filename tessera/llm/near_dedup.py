@@ -224,7 +224,7 @@ def _compare(p: NearDedup):
 class _Run:
     def __init__(self, docs: DataFrame, p: NearDedup):
         self.p, self.docs = p, common.slim(docs, "doc_id", "text")
-        self.sketches = common.materialise(self.docs.mapInArrow(_sketch(p), "doc_id long, n_shingles long, digest binary, registers binary, keys array<long>"), "sketches")
+        self.sketches = common.materialise(self.docs.mapInArrow(common.trimmed(_sketch(p)), "doc_id long, n_shingles long, digest binary, registers binary, keys array<long>"), "sketches")
         own = self.sketches.where("digest is not null")
         self.classes = common.materialise(own.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
         sketch = self.sketches.where("digest is not null").join(self.classes.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("rep")), "left_semi")
@@ -275,7 +275,7 @@ class _Run:
         asked = common.materialise(groups, "groups")
         rows = asked.join(self._texts(asked), "id").select("group", "id", "comp", "text")
         rows = rows.repartition("group").sortWithinPartitions("group", "id")
-        return common.materialise(rows.mapInArrow(_compare(self.p), "a long, b long"), "links")
+        return common.materialise(rows.mapInArrow(common.trimmed(_compare(self.p)), "a long, b long"), "links")
 
     def _texts(self, asked: DataFrame) -> DataFrame:
         """(id, text) of the documents asked for; a bounded set of ids is sent to the scan, a larger one is joined."""
@@ -296,7 +296,7 @@ class _Run:
         asked = common.materialise(members.unionByName(leaders), "asked")
         rows = asked.join(self._texts(asked), "id").select("a", "salt", "member", "id", "text")
         rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "member", "id")
-        return common.materialise(rows.mapInArrow(_confirm(p), "a long, b long").where("a <> b"), "links")
+        return common.materialise(rows.mapInArrow(common.trimmed(_confirm(p)), "a long, b long").where("a <> b"), "links")
 
     def components(self, edges: DataFrame) -> DataFrame:
         """(id, comp) of all that have a link: comp is the least id that links lead to."""

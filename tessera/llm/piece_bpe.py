@@ -275,4 +275,4 @@ def encode_documents(docs: DataFrame, model_path: str, with_ids: bool = False) -
     gives an empty one. Other columns of docs are not read. Nothing is shuffled.
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-    return common.slim(docs, "doc_id", "text").mapInArrow(_run(model_path, with_ids), schema)
+    return common.slim(docs, "doc_id", "text").mapInArrow(common.trimmed(_run(model_path, with_ids)), schema)

@@ -152,7 +152,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 1, fol
     """Fits, in one task, on the rows that drawn gives. No row: a model that knows nothing."""
     # in order of the hash, whatever files the rows were in, so that sums are the same in each run
     rows = drawn(docs, labels, held_out_fold, folds).repartition(1).sortWithinPartitions("dice", "doc_id").select("toxic", "slots")
-    fitted = common.materialise(common.slim_batches(rows).mapInArrow(_fit, "slots binary, weights binary, bias double"), "weights").first()
+    fitted = common.materialise(common.slim_batches(rows).mapInArrow(common.trimmed(_fit), "slots binary, weights binary, bias double"), "weights").first()
     if fitted is None:
         return ToxicityModel.fit_slots([], [])
     weights = np.zeros(1 << BITS, np.float32)
@@ -177,4 +177,4 @@ def score(docs: DataFrame, model: ToxicityModel, toxic_from: float = TOXIC, out:
                 s = model.score(texts.slice(a, b - a).to_pylist())
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(s), pa.array((s >= toxic_from).astype(np.int32))], names=[*kept, *out])
 
-    return common.slim_batches(docs).mapInArrow(run, schema)
+    return common.slim_batches(docs).mapInArrow(common.trimmed(run), schema)
