@@ -243,14 +243,15 @@ def _ranked_sql(rounds: int) -> str:
         for k in range(rounds)
     )
     return f""", degree AS (SELECT source, count(*) AS degree FROM links GROUP BY source), step AS (SELECT source, target, count(*)::DOUBLE / any_value(degree) AS p FROM links JOIN degree USING (source) GROUP BY source, target),
-base AS (SELECT unnest(['order:1', 'order:2']) AS id, 0.5::DOUBLE AS share), r0 AS (SELECT id, share AS score FROM base), {each} SELECT id, round(score, 9) AS score FROM r{rounds}"""
+base AS (SELECT unnest(['order:1', 'order:2']) AS id, 0.5::DOUBLE AS share), r0 AS (SELECT id, share AS score FROM base), {each} SELECT id, round(score + 1e-12::DOUBLE, 9) AS score FROM r{rounds}"""
 
 
 @query(trade_graph.with_sql(_ranked_sql(4)))
 def graph_rank(spark, sf_dir):
     """An extension: nodes by personalised rank from two seeds."""
     links = trade_graph.links(spark, sf_dir)
-    return graph.rank_nodes(links, ["order:1", "order:2"], rounds=4).withColumn("score", F.round("score", 9))
+    # a little more, so that no score lies between two rounded ones
+    return graph.rank_nodes(links, ["order:1", "order:2"], rounds=4).withColumn("score", F.round(F.col("score") + 1e-12, 9))
 
 
 @query("SELECT id, 1.0::DOUBLE / (60 + a) + 2.0::DOUBLE / (60 + b) AS score FROM (SELECT 'customer:' || c_custkey AS id, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS a, row_number() OVER (ORDER BY c_name, c_custkey) AS b FROM customer)")
