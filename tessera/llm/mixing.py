@@ -96,7 +96,8 @@ def mix(docs: DataFrame, p: Mix = Mix()) -> DataFrame:
     """doc_id, size, source_size, target and taken of each row of docs(doc_id, source, text).
 
     Null text has size 0, and so has text without words; such a row is taken for 0 words. A null source is a source
-    and comes last. Rows that repeat a doc_id are taken or left together. With no words at all each target is 0. An
+    and comes last. Rows that repeat a doc_id, or have none, are taken or left together: where few ids, or none, stand for most
+    words of a source, its target is missed by as much as theirs. With no words at all each target is 0. An
     empty table gives an empty one. Other columns of docs are not read. The same rows give the same mix.
     """
     sizes = common.materialise(measured(common.slim(docs, "doc_id", "source", "text")), "sizes")
