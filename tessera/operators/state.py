@@ -212,45 +212,74 @@ def worst_status(runs: DataFrame, group: str) -> DataFrame:
     return runs.groupBy(group).agg(F.min_by("status", F.array_position(order, F.col("status"))).alias("status"))
 
 
-#: Links between merges that the driver walks by itself; beyond, a round of jobs goes from merge to merge.
+#: Links that the driver walks by itself; more of them are contracted first.
 HELD_LINKS = 500_000
 
 
-def target_relation(commits: DataFrame, built: str, target: str, held_links: int = HELD_LINKS) -> str:
-    """current, behind or unknown: whether the built commit is the target, or an ancestor of it by commits(id, parent).
+def _contracted(links: DataFrame, keep: list[str], k: int) -> DataFrame | None:
+    """Distinct links(id, parent) without some of their commits, and links past these in their place, so that of the kept commits
+    the same lead to one another; None if no commit can go.
 
-    Runs of commits with one parent are crossed in rounds that double the steps, which leaves merges, roots and the built commit.
-    Of their links, up to held_links are walked at once; more of them in rounds, each of which adds what it finds
-    to a table and reads it no more than once.
+    A commit may go if that makes no more links than it takes. Those that nothing follows, or that follow nothing, go at once; of the
+    others those that come first among their neighbours by a hash, so no two of them are neighbours.
     """
-    if built == target:
-        return "current"
-    links = materialise(commits.where("parent is not null").select("id", "parent").distinct(), "commits")
-    single = links.groupBy("id").agg(F.count("*").alias("n"), F.min("parent").alias("end")).where((F.col("n") == 1) & (F.col("id") != built)).select(F.col("id").alias("start"), "end")
-    ends = walk_ends(single)
-
-    def crossed(rows: DataFrame, name: str) -> DataFrame:
-        """The built commit, merges and roots that a column leads to; those that go around lead to none."""
-        return rows.join(ends, F.col(name) == F.col("start"), "left").where("around is null or not around").withColumn(name, F.coalesce("end", name)).drop("start", "end", "around").distinct()
-
-    first = crossed(commits.where(F.col("id") == target).select("id").distinct(), "id").first()
-    if first is None:
-        return "unknown"
-    # from merges alone: a link of a commit with one parent is crossed
-    merges = links.join(single, F.col("id") == F.col("start"), "left_anti")
-    ways = materialise(crossed(merges, "parent"), "merges")
-    if ways.count() <= held_links:
-        parents: dict[str, list[str]] = {}
-        for r in ways.toLocalIterator():
-            parents.setdefault(r["id"], []).append(r["parent"])
-        seen, todo = {first["id"]}, [first["id"]]
+    ends = links.select(F.col("id").alias("v"), F.lit(1).alias("outs"), F.lit(0).alias("ins")).unionByName(links.select(F.col("parent").alias("v"), F.lit(0).alias("outs"), F.lit(1).alias("ins")))
+    outs, ins = F.sum("outs"), F.sum("ins")
+    free = ends.groupBy("v").agg((outs * ins == 0).alias("dead"), (outs * ins <= outs + ins).alias("may_go")).where(F.col("may_go") & ~F.col("v").isin(keep))
+    free = materialise(free.select("v", "dead", F.xxhash64("v", F.lit(k)).alias("place")), "free")
+    if not free.take(1):
+        return None
+    of = lambda end: free.select(F.col("v").alias(end), F.col("dead").alias(f"{end}_dead"), F.col("place").alias(f"{end}_place"))
+    marked = links.join(of("id"), "id", "left").join(of("parent"), "parent", "left").where("not coalesce(id_dead, false) and not coalesce(parent_dead, false)")
+    marked = materialise(marked.select("id", "parent", "id_place", "parent_place"), "marked")
+    later = F.when(F.struct("id_place", "id") < F.struct("parent_place", "parent"), F.col("parent")).otherwise(F.col("id"))
+    later = marked.where("id_place is not null and parent_place is not null").select(later.alias("v"))
+    gone = materialise(free.where("not dead").join(later, "v", "left_anti").select("v"), "gone")
+    by = lambda end: gone.select(F.col("v").alias(end), F.lit(True).alias(f"{end}_goes"))
+    parted = materialise(marked.select("id", "parent").join(by("id"), "id", "left").join(by("parent"), "parent", "left"), "parted")
+    into = parted.where("parent_goes").select("id", F.col("parent").alias("via"))
+    past = into.join(parted.where("id_goes").select(F.col("id").alias("via"), "parent"), "via").where("id <> parent").select("id", "parent")
+    return materialise(parted.where("id_goes is null and parent_goes is null").select("id", "parent").unionByName(past).distinct(), "commits")
+
+
+def target_relations(commits: DataFrame, cases: list[tuple[str, str]], held_links: int = HELD_LINKS) -> list[str]:
+    """For each (built, target) current, behind or unknown: whether the built commit is the target, or an ancestor of it by
+    commits(id, parent).
+
+    Beyond held_links the history is contracted to the named commits in rounds, of which each takes a share of the commits, a third
+    of a line's; what held_links are left of it is walked at once. A history of so many merges that no commit can go is walked in
+    rounds, each of which adds what it finds to a table and reads it no more than once.
+    """
+    keep = sorted({c for case in cases for c in case})
+    links, k = materialise(commits.where("parent is not null and id is not null and id <> parent").select("id", "parent").distinct(), "commits"), 0
+    while not (few := links.count() <= held_links) and (fewer := _contracted(links, keep, k)) is not None:
+        links, k = fewer, k + 1
+    if not few:
+        return [_behind_by_rounds(links, *case) for case in cases]
+    parents: dict[str, list[str]] = {}
+    for r in links.toLocalIterator():
+        parents.setdefault(r["id"], []).append(r["parent"])
+    above: dict[str, set[str]] = {}
+    for target in {t for _, t in cases}:
+        seen, todo = {target}, [target]
         while todo:
             new = set(parents.get(todo.pop(), ())) - seen
             seen |= new
             todo += new
-        return "behind" if built in seen else "unknown"
-    spark, path, k = commits.sparkSession, scratch(commits.sparkSession, "ancestors"), 0
-    spark.createDataFrame([first], "id string").write.parquet(f"{path}/round=0")
+        above[target] = seen & set(keep)
+    return ["current" if built == target else "behind" if built in above[target] else "unknown" for built, target in cases]
+
+
+def target_relation(commits: DataFrame, built: str, target: str, held_links: int = HELD_LINKS) -> str:
+    """target_relations of one case."""
+    return target_relations(commits, [(built, target)], held_links)[0] if built != target else "current"
+
+
+def _behind_by_rounds(links: DataFrame, built: str, target: str) -> str:
+    if built == target:
+        return "current"
+    spark, path, k = links.sparkSession, scratch(links.sparkSession, "ancestors"), 0
+    spark.createDataFrame([(target,)], "id string").write.parquet(f"{path}/round=0")
     while True:
         known = spark.read.schema("id string, round int").parquet(path)
         frontier = known.where(F.col("round") == k).select("id")
@@ -259,4 +288,4 @@ def target_relation(commits: DataFrame, built: str, target: str, held_links: int
         if frontier.where(F.col("id") == built).take(1):
             return "behind"
         k += 1
-        ways.join(frontier, "id").select(F.col("parent").alias("id")).distinct().join(known.select("id"), "id", "left_anti").write.parquet(f"{path}/round={k}")
+        links.join(frontier, "id").select(F.col("parent").alias("id")).distinct().join(known.select("id"), "id", "left_anti").write.parquet(f"{path}/round={k}")

@@ -97,6 +97,16 @@ def test_commits_far_behind_their_target(spark):
     assert {case: state.target_relation(commits, *case) for case in wanted} == wanted
 
 
+def test_a_long_history_of_merges_is_contracted_and_not_walked(spark, monkeypatch):
+    n = 200
+    rows = [(f"o{k}", f"o{k - d}") for k in range(n) for d in ((1, 3) if k % 5 == 0 else (1,)) if k >= d] + [(f"s{k}", f"o{k}") for k in range(n)]
+    commits = spark.createDataFrame(rows, "id string, parent string")
+    monkeypatch.setattr(state, "scratch", lambda *a: pytest.fail("a walk from merge to merge"))
+    cases = [("o0", "o199"), ("o199", "o0"), ("o199", "s199"), ("s0", "o199"), ("o0", "s0"), ("o7", "o7")]
+    assert state.target_relations(commits, cases, 20) == ["behind", "unknown", "behind", "unknown", "behind", "current"]
+    assert state.target_relation(commits, "o3", "o150", 20) == "behind"
+
+
 def _graph(spark, n=3):
     nodes = spark.createDataFrame([(k, f"n{k}") for k in range(n)], "ord long, id string")
     return nodes, spark.createDataFrame([(0, "n0", "n1")], "ord long, source string, target string")
