@@ -16,13 +16,13 @@ def _named(rows: DataFrame, column: str = "symbol") -> DataFrame:
 
 
 def definitions(occurrences: DataFrame) -> DataFrame:
-    """(symbol, home): the first document that defines a symbol."""
-    return _named(occurrences).where("role = 'def'").groupBy("symbol").agg(F.min_by("path", "ord").alias("home"))
+    """(symbol, home): the first document that defines a symbol; of several in one place the least, so reruns agree."""
+    return _named(occurrences).where("role = 'def'").groupBy("symbol").agg(F.min_by("path", F.struct("ord", "path")).alias("home"))
 
 
 def anchors(occurrences: DataFrame, module_suffix: str = MODULE_SUFFIX) -> DataFrame:
-    """(path, anchor): a document's module symbol, or else its first definition."""
-    place = F.struct((~F.col("symbol").endswith(module_suffix)).alias("late"), "ord")
+    """(path, anchor): a document's module symbol, or else its first definition; of several in one place the least symbol."""
+    place = F.struct((~F.col("symbol").endswith(module_suffix)).alias("late"), "ord", "symbol")
     return _named(occurrences).where("role = 'def'").groupBy("path").agg(F.min_by("symbol", place).alias("anchor"))
 
 

@@ -39,3 +39,12 @@ def test_first_parts_are_missing_however_many_parts_there_are(spark, tmp_path):
         spark.createDataFrame([(1, "x")], f"{key} long, {more[0]} string").write.parquet(f"{tmp_path}/{table}.parquet")
     found = QUERIES["graph_hyperedge_check"](spark, str(tmp_path)).collect()
     assert sorted(map(tuple, found)) == [(1, "part:1000005"), (2, "part:1000007")]
+
+
+def test_symbols_in_one_place_have_one_anchor(spark):
+    from tessera.operators import symbols
+
+    rows = [(1, "a", "part:2", "def"), (1, "a", "part:1", "def"), (1, "a", "part:3", "def"), (2, "b", "part:9", "def")]
+    for order in (rows, rows[::-1]):
+        found = symbols.anchors(spark.createDataFrame(order, "ord long, path string, symbol string, role string").coalesce(1))
+        assert {tuple(r) for r in found.collect()} == {("a", "part:1"), ("b", "part:9")}
