@@ -64,6 +64,9 @@ def pointed(spark: SparkSession, path: str, pointer: str = "latest") -> str:
 def open_latest(spark: SparkSession, path: str, pointer: str = "latest") -> SparkSession:
     """A session of its own whose views nodes and edges are the snapshot's."""
     own = spark.newSession()
+    # the size of a compressed file says little of its rows: sides are broadcast by the size that a shuffle has found, and by no guess
+    own.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", own.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     name = pointed(spark, path, pointer)
     for part in ("nodes", "edges"):

@@ -221,3 +221,13 @@ def test_candidate_paths_and_canonical_links(spark):
     assert {r["path"] for r in resolve.candidate_paths(refs).collect()} == {"a", "b"}
     links = spark.createDataFrame([("f", "s", "t", "x", 5), ("f", "s", "t", "x", 2), ("f", "a", "t", "x", 9), ("e", "z", "t", "y", 7), ("f", "s", "t", "y", 1)], "source_file string, source string, target string, type string, ord long")
     assert [tuple(r) for r in resolve.canonical_links(links).collect()] == [("e", "z", "t", "y", 7), ("f", "a", "t", "x", 9), ("f", "s", "t", "x", 2), ("f", "s", "t", "y", 1)]
+
+
+def test_a_snapshot_broadcasts_nothing_by_the_size_of_its_files(spark, tmp_path):
+    from tessera.sources import snapshots
+
+    nodes = spark.range(10).selectExpr("concat('n', id) AS id", "'t' AS type")
+    links = spark.range(10).selectExpr("concat('n', id) AS source", "concat('n', id) AS target")
+    snapshots.write(spark, str(tmp_path), nodes, links)
+    joined = snapshots.open_latest(spark, str(tmp_path)).sql("SELECT n.type, count(*) AS n FROM edges l JOIN nodes n ON n.id = l.target GROUP BY n.type")
+    assert "Broadcast" not in joined._jdf.queryExecution().sparkPlan().toString() and [tuple(r) for r in joined.collect()] == [("t", 10)]
