@@ -4,11 +4,12 @@ Links are looked at in input order, node by node in the order of discovery, as a
 one job: the links of the frontier's nodes, in order, and no more of them than the walk may still look at, plus one.
 Both the frontier and what a level gives are bound by max_explored (100,000 at most), and so are held by the driver;
 what has no bound, the links, stays distributed. Walks over links that are stored by node (store) read only the row
-groups of a small frontier's nodes.
+groups of a small frontier's nodes; over links that are looked for (Sought) they make those of their nodes alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cache
 
@@ -45,13 +46,36 @@ def stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _ways(links: DataFrame, direction: str) -> DataFrame:
-    """The adjacency of links, or the wanted part of a stored one."""
-    if "dir" not in links.columns:
-        return adjacency(links, direction)
+@dataclass
+class Sought:
+    """Links that nothing stores: find(ids, side) makes those of which an end, side (source or target), is among ids."""
+
+    spark: SparkSession
+    find: Callable[[list[str], str], DataFrame]
+
+
+def _ways(links: DataFrame | Sought, direction: str) -> Callable[[list[str]], DataFrame]:
+    """The adjacency of given nodes (and others, where links are at hand): of links, of stored ones, or of links looked for."""
     if direction not in ("in", "out", "both"):
         raise ValueError(f"direction: {direction}")
-    return links if direction == "both" else links.where(F.col("dir") == int(direction == "in"))
+    if isinstance(links, Sought):
+        sides = {"out": ("source",), "in": ("target",), "both": ("source", "target")}[direction]
+
+        def ways(ids: list[str]) -> DataFrame:
+            each = [adjacency(links.find(ids, side), "out" if side == "source" else "in") for side in sides]
+            return each[0] if len(each) == 1 else each[0].unionByName(each[1])
+
+        return ways
+    if "dir" not in links.columns:
+        every = adjacency(links, direction)
+    else:
+        every = links if direction == "both" else links.where(F.col("dir") == int(direction == "in"))
+    return lambda ids: every
+
+
+def links_of(links: DataFrame | Sought, node_id: str, direction: str = "both") -> DataFrame:
+    """The adjacency of one node."""
+    return _ways(links, direction)([node_id]).where(F.col("node") == node_id)
 
 
 @cache
@@ -112,17 +136,18 @@ def _need(nodes: DataFrame, **ends: str) -> None:
             raise ValueError(f"{what} node absent: {node_id}")
 
 
-def _level(ways: DataFrame, frontier: list[str], most: int, *more: str) -> list:
+def _level(ways: Callable[[list[str]], DataFrame], frontier: list[str], most: int, *more: str) -> list:
     """The first links of the frontier's nodes, in their order: k, the place of the node, and next, ord, dir, ..."""
+    ways = ways(frontier)
     if len(frontier) <= NAMED:
         ways = ways.where(F.col("node").isin(*frontier))
     ranked = ways.sparkSession.createDataFrame([(n, k) for k, n in enumerate(frontier)], "node string, k long")
     return ways.join(F.broadcast(ranked), "node").select("k", "node", "next", "ord", "dir", *more).orderBy("k", "ord", "dir").limit(most).collect()
 
 
-def _bounded(max_explored: int) -> None:
-    if not 1 <= max_explored <= MOST_EXPLORED:
-        raise ValueError(f"max_explored is 1 to {MOST_EXPLORED}")
+def _bounded(max_explored: int, bound: int = MOST_EXPLORED) -> None:
+    if not 1 <= max_explored <= bound:
+        raise ValueError(f"max_explored is 1 to {bound}")
 
 
 @dataclass
@@ -135,12 +160,12 @@ class Neighbors:
     truncation: str | None
 
 
-def explore(nodes: DataFrame, links: DataFrame, start: str, direction: str = "both", depth: int = 1, limit: int = 50, max_explored: int = 10_000) -> Neighbors:
+def explore(nodes: DataFrame, links: DataFrame | Sought, start: str, direction: str = "both", depth: int = 1, limit: int = 50, max_explored: int = 10_000, bound: int = MOST_EXPLORED) -> Neighbors:
     """The neighbours of a node. The walk ends after the node that brings it over the limit, or when max_explored links
-    were looked at; the first limit rows are given. links may be stored ones."""
+    were looked at; the first limit rows are given. links may be stored ones, or looked for. bound: the greatest max_explored."""
     if depth not in (1, 2):
         raise ValueError("depth is 1 or 2")
-    _bounded(max_explored)
+    _bounded(max_explored, bound)
     _need(nodes, start=start)
     ways = _ways(links, direction)
     rows: list[tuple] = []
@@ -167,7 +192,7 @@ def explore(nodes: DataFrame, links: DataFrame, start: str, direction: str = "bo
     return Neighbors(found.select("position", "depth", "node_id", "node_type", "node_label", "link_source", "link_target", "link_kind", "link_ord"), len(rows), truncation)
 
 
-def neighbors(nodes: DataFrame, links: DataFrame, start: str, direction: str = "both", depth: int = 1, limit: int = 50, max_explored: int = 10_000) -> DataFrame:
+def neighbors(nodes: DataFrame, links: DataFrame | Sought, start: str, direction: str = "both", depth: int = 1, limit: int = 50, max_explored: int = 10_000) -> DataFrame:
     """One row for each link looked at, links back to known nodes too: position, depth, the other node and the link; see explore()."""
     return explore(nodes, links, start, direction, depth, limit, max_explored).rows
 
@@ -183,8 +208,8 @@ class Path:
     truncation: str | None = field(default=None)
 
 
-def find_path(nodes: DataFrame, links: DataFrame, start: str, target: str, max_hops: int = 6, max_explored: int = 10_000) -> Path:
-    """The path along out links that a breadth-first walk finds first. links may be stored ones."""
+def find_path(nodes: DataFrame, links: DataFrame | Sought, start: str, target: str, max_hops: int = 6, max_explored: int = 10_000) -> Path:
+    """The path along out links that a breadth-first walk finds first. links may be stored ones, or looked for."""
     if not 0 <= max_hops <= 12:
         raise ValueError("max_hops is 0 to 12")
     _bounded(max_explored)
@@ -211,17 +236,20 @@ def find_path(nodes: DataFrame, links: DataFrame, start: str, target: str, max_h
         frontier = new
         if not frontier:
             return Path("no_path", [], explored)
-    known = ways.sparkSession.createDataFrame([(n,) for n in before], "next string")
-    edge = ways.sparkSession.createDataFrame([(n,) for n in frontier], "node string")
-    onward = ways.select("node", "next").join(F.broadcast(edge), "node", "left_semi").join(F.broadcast(known), "next", "left_anti")  # max_explored rows at most
+    spark = nodes.sparkSession
+    known = spark.createDataFrame([(n,) for n in before], "next string")
+    edge = spark.createDataFrame([(n,) for n in frontier], "node string")
+    onward = ways(frontier).select("node", "next").join(F.broadcast(edge), "node", "left_semi").join(F.broadcast(known), "next", "left_anti")  # max_explored rows at most
     return Path("no_path_within_hop_limit" if onward.take(1) else "no_path", [], explored)
 
 
-def path_hops(links: DataFrame, path: Path) -> DataFrame:
+def path_hops(links: DataFrame | Sought, path: Path) -> DataFrame:
     """One row for each link of each hop of a path: parallel links are all shown."""
-    spark = links.sparkSession
+    spark = links.spark if isinstance(links, Sought) else links.sparkSession
     steps = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(zip(path.nodes, path.nodes[1:], strict=False), 1)], "hop int, source string, target string")
-    if "dir" in links.columns:  # stored by node
+    if isinstance(links, Sought):
+        links = links.find(path.nodes[:-1], "source")
+    elif "dir" in links.columns:  # stored by node
         links = links.where((F.col("dir") == 0) & F.col("node").isin(*path.nodes[:-1]))
     return links.join(F.broadcast(steps), ["source", "target"]).select("hop", "source", "target", "kind", "ord")
 

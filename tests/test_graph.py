@@ -150,3 +150,32 @@ def test_paths_are_those_of_a_queue(spark):
 def test_rank_stays_with_its_seeds(spark, small):
     rank = {r["id"]: r["score"] for r in graph.rank_nodes(small[1], ["a"], rounds=3).collect()}
     assert rank["a"] > 0 and rank["b"] > rank["c"]
+
+
+def test_walks_of_the_trade_graph_store_nothing_and_find_its_links(spark, sf_dir, monkeypatch):
+    from tessera.plans import trade_graph
+
+    links = trade_graph.links(spark, sf_dir).drop("source_file").persist()
+    monkeypatch.setattr(trade_graph.scratch, "once", lambda *a: pytest.fail("all links are stored for one walk"))
+    sought = trade_graph.sought_links(spark, sf_dir)
+    monkeypatch.setattr(trade_graph, "NAMED", 1)
+    rows = lambda df: sorted(map(tuple, df.select("ord", "source", "target", "kind").collect()))
+    for bound in (100_000, 3):
+        monkeypatch.setattr(trade_graph, "BROADCAST", bound)
+        for ids in (["part:11"], ["order:5", "order:6", "supplier:2", "customer:1"], ["nation:3", "region:1", "part:3", "part:4", "x", "order:05", None]):
+            for side in ("source", "target"):
+                assert rows(sought.find(ids, side)) == rows(links.where(links[side].isin([i for i in ids if i])))
+    links.unpersist()
+    from tessera.plans.queries import QUERIES
+
+    for name in ("graph_neighbors_both_d1", "graph_neighbors_both_d2", "graph_path_hops", "graph_path_status", "graph_neighbors_bounds"):
+        assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_a_node_may_have_more_links_than_a_walk_looks_at_by_default(spark):
+    nodes = spark.createDataFrame([(0, "a", "t", "a"), (1, "b", "t", "b")], "ord long, id string, type string, label string")
+    links = spark.range(5).selectExpr("id AS ord", "'a' AS source", "'b' AS target", "'k' AS kind")
+    found = graph.explore(nodes, links, "a", limit=5, max_explored=5, bound=5)
+    assert (found.explored, found.truncation, found.rows.count()) == (5, None, 5)
+    with pytest.raises(ValueError, match="1 to 4"):
+        graph.explore(nodes, links, "a", max_explored=5, bound=4)
