@@ -194,3 +194,23 @@ def test_names_of_files_are_the_records_own(spark):
     paths = ["a/b.py", 'q"u.md', "é/😀.go", "back\\slash"]
     found = spark.createDataFrame([(p,) for p in paths], "p string").select("p", extract.file_name("p").alias("id")).collect()
     assert all(r["id"] == file_id(r["p"]) for r in found)
+
+
+def test_long_lines_without_code_are_not_gone_through_by_character(monkeypatch):
+    import sys
+
+    import tessera.operators.extract  # noqa: F401
+
+    markdown, records = (sys.modules[f"tessera.operators.extract.{n}"] for n in ("markdown", "records"))
+    line = "word " * 400_000
+    calls = []
+    trace = lambda frame, event, arg: (calls.append(frame.f_lineno), trace)[1] if frame.f_code is markdown._without_code.__code__ else None
+    before = sys.gettrace()
+    sys.settrace(trace)
+    try:
+        assert markdown._without_code("a `b` c " + line) == "a  c " + line
+        assert markdown._without_code(line) == line
+    finally:
+        sys.settrace(before)
+    assert len(calls) < 100
+    assert markdown._kind(1, "  \tx").kind == "code" and markdown._kind(1, " #\tx").kind == "heading"
