@@ -91,9 +91,12 @@ def decode_cursor(cursor: Column) -> Column:
     return F.struct(F.get_json_object(raw, "$[0]").cast("double").alias("score"), F.get_json_object(raw, "$[1]").alias("node_id"))
 
 
+_CANONICAL = json.JSONEncoder(sort_keys=True, separators=(",", ":"), ensure_ascii=True, allow_nan=False)
+
+
 def canonical(record: object) -> str:
     """Sorted keys, no spaces, ASCII only, no NaN: the text that identities are digests of."""
-    return json.dumps(record, sort_keys=True, separators=(",", ":"), ensure_ascii=True, allow_nan=False)
+    return _CANONICAL.encode(record)
 
 
 def bounded_text(text: Column) -> Column:

@@ -214,3 +214,23 @@ def test_long_lines_without_code_are_not_gone_through_by_character(monkeypatch):
         sys.settrace(before)
     assert len(calls) < 100
     assert markdown._kind(1, "  \tx").kind == "code" and markdown._kind(1, " #\tx").kind == "heading"
+
+
+def test_bytes_of_records_are_counted_where_they_matter(monkeypatch):
+    import sys
+
+    import tessera.operators.extract  # noqa: F401
+
+    records = sys.modules["tessera.operators.extract.records"]
+    for room in (range(0, 700, 7)):
+        out, left, fits = records.Records("a.md", records.Limits(bytes=room)), room, True
+        try:
+            for k in range(3):
+                out.reference("k", "é" * k + "t", k, [f"c{k}"])
+        except records.Limit:
+            fits = False
+        for k in range(3):
+            left -= len(records.canonical({"kind": "k", "target": "é" * k + "t", "line": k, "candidates": [f"c{k}"], "resolution": "unique"}))
+        assert fits == (left >= 0)
+    monkeypatch.setattr(records, "canonical", lambda r: (_ for _ in ()).throw(AssertionError("a small record was written out")) if isinstance(r, dict) else "x")
+    records.Records("a.md").reference("k", "t", 1, ["c"])
